@@ -52,10 +52,9 @@ def item_shingles(benchmark: DataFrame, shingle_words: int) -> DataFrame:
 
 def _fingerprint(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Weighted SimHash of the (h, weight) rows of each key."""
-    bits = [F.sum(F.when(F.shiftrightunsigned("h", b).bitwiseAND(F.lit(1).cast("long")) == 1, F.col("weight")).otherwise(-F.col("weight"))).alias(f"b{b}") for b in range(64)]
-    summed = rows.groupBy(*keys).agg(*bits, F.sum("weight").alias("total"))
-    value = reduce(Column.bitwiseOR, [F.when(F.col(f"b{b}") > 0, F.shiftleft(F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long")) for b in range(64)])
-    return summed.select(*keys, "total", value.alias("fp"))
+    bits = [F.expr(f"sum(if((shiftrightunsigned(h, {b}) & 1L) = 1L, weight, -weight)) AS b{b}") for b in range(64)]
+    value = F.expr(" | ".join(f"if(b{b} > 0, shiftleft(1L, {b}), 0L)" for b in range(64)))
+    return rows.groupBy(*keys).agg(*bits, F.sum("weight").alias("total")).select(*keys, "total", value.alias("fp"))
 
 
 def _blocks(radius: int) -> Column:
@@ -63,9 +62,9 @@ def _blocks(radius: int) -> Column:
     n, parts, at = radius + 1, [], 0
     for i in range(n):
         wide = 64 // n + (i < 64 % n)
-        parts.append(F.struct(F.lit(i).alias("block"), F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << wide) - 1 if wide < 64 else -1).cast("long")).alias("part")))
+        parts.append(f"struct({i} AS block, shiftrightunsigned(fp, {at}) & {(1 << wide) - 1 if wide < 64 else -1}L AS part)")
         at += wide
-    return F.array(*parts)
+    return F.expr(f"array({', '.join(parts)})")
 
 
 def contaminated(

@@ -20,6 +20,8 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terravane.llm.shared import staged
+
 # Notices as the licences' own texts and their usual references word them.
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "apache-2.0": (
@@ -237,11 +239,12 @@ def scan(docs: DataFrame, confident: float = 0.6, confirm: float = 0.5, seed: in
     sums = hits.groupBy("row", "doc_id", "paragraph", "line", "pairs", "n").agg(
         *[F.sum(F.get("weight", F.lit(k))).alias(f"s{k}") for k in range(n)]
     )
+    sums = staged(sums, "license-sums")  # few rows; and each expression below is evaluated once, not copied into the next
     logit = [(F.lit(model.intercepts[k]) + F.col(f"s{k}") / F.sqrt("n")) / model.temperature for k in range(n)]
     scored = sums.withColumn("z", F.array(*logit)).withColumn("top", F.array_max("z"))
     scored = scored.withColumn("probability", 1 / F.aggregate("z", F.lit(0.0), lambda a, z: a + F.exp(z - F.col("top"))))
     scored = scored.withColumn("best", F.get(F.array(*[F.lit(c) for c in model.classes]), (F.array_position("z", F.col("top")) - 1).cast("int")))
-    found = scored.where(F.col("best") != PROSE)
+    found = staged(scored.where(F.col("best") != PROSE), "license-found")
     options = []
     for family, texts in TEMPLATES.items():
         for i, text in enumerate(texts):
