@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from terravane.llm.shared import staged
 
 BROADCAST_SHINGLES = 1_000_000
+GATE_SHINGLES = 1 << 16
 
 
 def words(text: Column) -> Column:
@@ -50,6 +51,24 @@ def item_shingles(benchmark: DataFrame, shingle_words: int) -> DataFrame:
     return flat.join(weight, ["size", "h"])
 
 
+def _gated(hashed: DataFrame, items: DataFrame, sizes: list[int]) -> DataFrame:
+    """The documents that hold a shingle of an item, all told.
+
+    Without it every document's words would go through a shuffle to meet the few windows that were found in them. The hashes are
+    a constant of the plan (a hash set there) and grow with the benchmark only.
+    """
+
+    def shares(w: Column, size: int) -> Column:
+        known = sorted(r.h for r in items.where(F.col("size") == size).select("h").distinct().collect())
+        return F.exists(shingles(w, size), lambda h: h.isin(known))
+
+    def holds(w: Column) -> Column:
+        return reduce(Column.__or__, [shares(w, size) for size in sizes])
+
+    # the words stand as an element of an array, so that a filter pushed below their projection computes them once a row
+    return hashed.where(F.exists(F.array("w"), holds))
+
+
 def _fingerprint(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Weighted SimHash of the (h, weight) rows of each key."""
     bits = [F.expr(f"sum(if((shiftrightunsigned(h, {b}) & 1L) = 1L, weight, -weight)) AS b{b}") for b in range(64)]
@@ -73,40 +92,44 @@ def contaminated(
     """documents, benchmark -> (doc_id, item_id, start_word, n_words, similarity): the best window of each pair that reaches ``similarity``.
 
     Ties go to the first window. A document shorter than the item is one window. Null and empty texts, and items without a word,
-    match nothing. Rows that repeat a doc_id count as one document's windows. Null ids take no part. An empty table gives no rows.
+    match nothing. Where rows repeat a doc_id, the best window of all its texts counts. Null ids take no part. An empty table gives no rows.
     """
     if not 0 <= radius < 64 or not 0 < similarity <= 1 or shingle_words < 1:
         raise ValueError("radius must be 0 to 63, similarity above 0 and at most 1, shingle_words positive")
     items = staged(item_shingles(benchmark, shingle_words), "decontam-items")
     per_size = {r["size"]: r["n"] for r in items.groupBy("size").agg(F.count("*").alias("n")).collect()}
     hashed = _hashed(docs.where(F.col("doc_id").isNotNull()), "doc_id", "text")
+    if per_size and sum(per_size.values()) <= GATE_SHINGLES:
+        hashed = _gated(hashed, items, sorted(per_size))
+    # a document is told by its id and its words, so rows that repeat an id are told apart and equal rows count once
+    hashed = staged(hashed.withColumn("body", F.xxhash64("w")).dropDuplicates(["doc_id", "body"]), "decontam-words")
+    doc = ["doc_id", "body"]
     seen = []
     for size, n in sorted(per_size.items()):
         known = items.where(F.col("size") == size).select("h", "item_id", "size", "n_words", "item_pos", "weight")
         known = F.broadcast(known) if n <= BROADCAST_SHINGLES else known
-        flat = hashed.select("doc_id", F.size("w").alias("doc_words"), F.posexplode(shingles(F.col("w"), size)).alias("pos", "h"))
+        flat = hashed.select(*doc, F.size("w").alias("doc_words"), F.posexplode(shingles(F.col("w"), size)).alias("pos", "h"))
         seen.append(flat.join(known, "h"))
     if not seen:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, start_word int, n_words int, similarity double")
-    hits = staged(reduce(DataFrame.unionByName, seen).select("doc_id", "doc_words", "pos", "item_id", "size", "n_words", "item_pos", "weight"), "decontam-hits")
+    hits = staged(reduce(DataFrame.unionByName, seen).select(*doc, "doc_words", "pos", "item_id", "size", "n_words", "item_pos", "weight"), "decontam-hits")
     # a pair whose shared weight is below similarity times the item's weight cannot pass: shared / larger sum <= shared / item sum
     needed = items.groupBy("item_id").agg(F.sum("weight").alias("item_total"))
-    shared = hits.select("doc_id", "item_id", "item_pos", "weight").distinct().groupBy("doc_id", "item_id").agg(F.sum("weight").alias("shared"))
-    able = shared.join(needed, "item_id").where(F.col("shared") >= F.col("item_total") * similarity - 1e-9).select("doc_id", "item_id")
+    shared = hits.select(*doc, "item_id", "item_pos", "weight").distinct().groupBy(*doc, "item_id").agg(F.sum("weight").alias("shared"))
+    able = shared.join(needed, "item_id").where(F.col("shared") >= F.col("item_total") * similarity - 1e-9).select(*doc, "item_id")
     last = F.greatest(F.col("doc_words") - F.col("n_words"), F.lit(0))
     start = F.greatest(F.least(F.col("pos") - F.col("item_pos"), last), F.lit(0))
     windows = staged(
-        hits.join(able, ["doc_id", "item_id"], "left_semi").select("doc_id", "size", "n_words", start.alias("start_word")).distinct(), "decontam-windows"
+        hits.join(able, [*doc, "item_id"], "left_semi").select(*doc, "size", "n_words", start.alias("start_word")).distinct(), "decontam-windows"
     )
-    # texts of documents that have a window, read again: the shingles of each window
-    wanted = windows.groupBy("doc_id").agg(F.collect_set(F.struct("size", "n_words", "start_word")).alias("windows"))
-    again = hashed.join(wanted, "doc_id").select("doc_id", "w", F.explode("windows").alias("window"))
-    cut = again.select("doc_id", "window.*", F.slice(F.col("w"), F.col("window.start_word") + 1, F.col("window.n_words")).alias("part"))
+    wanted = windows.groupBy(*doc).agg(F.collect_set(F.struct("size", "n_words", "start_word")).alias("windows"))
+    again = hashed.join(wanted, doc).select(*doc, "w", F.explode("windows").alias("window"))
+    cut = again.select(*doc, "window.*", F.slice(F.col("w"), F.col("window.start_word") + 1, F.col("window.n_words")).alias("part"))
     flat = reduce(
         DataFrame.unionByName,
-        [cut.where(F.col("size") == size).select("doc_id", "size", "n_words", "start_word", F.explode(shingles(F.col("part"), size)).alias("h")) for size in sorted(per_size)],
+        [cut.where(F.col("size") == size).select(*doc, "size", "n_words", "start_word", F.explode(shingles(F.col("part"), size)).alias("h")) for size in sorted(per_size)],
     )
-    key = ["doc_id", "size", "n_words", "start_word"]
+    key = [*doc, "size", "n_words", "start_word"]
     weights = F.broadcast(items.select("size", "h", "weight").distinct()) if sum(per_size.values()) <= BROADCAST_SHINGLES else items.select("size", "h", "weight").distinct()
     weighed = staged(
         flat.groupBy(*key, "h").agg(F.count("*").alias("n")).join(weights, ["size", "h"], "left")
