@@ -1,43 +1,41 @@
-"""Every named query with the SQL that checks it."""
+"""The registry of named queries and the SQL that checks them."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its own name, with SQL over the same tables where SQL can express it."""
+
     def put(f: Query) -> Query:
-        _QUERIES[name] = f
+        _QUERIES[f.__name__] = f
         if sql:
-            _SQL[name] = sql
+            _SQL[f.__name__] = sql
         return f
 
     return put
 
 
-def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+def _load() -> None:
+    from terravane.plans import contributions, matching, quality, scalars  # noqa: F401
 
 
-def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def queries() -> dict[str, Query]:
+    _load()
+    return dict(_QUERIES)
 
 
-@query(
-    "nation_supplier_count",
-    "SELECT n_name, count(*) AS suppliers FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name",
-)
-def nation_supplier_count(spark: SparkSession, d: str) -> DataFrame:
-    s, n = t(spark, d, "supplier"), t(spark, d, "nation")
-    return s.join(n, s.s_nationkey == n.n_nationkey).groupBy("n_name").agg(F.count("*").alias("suppliers"))
+def oracle_sql() -> dict[str, str]:
+    _load()
+    return dict(_SQL)
