@@ -8,9 +8,10 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold_accents(values: pd.Series) -> pd.Series:
     """Compatibility decomposition without combining marks; Spark has no Unicode normaliser."""
     return values.map(lambda v: None if v is None else "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c)))
@@ -119,7 +120,7 @@ def full_name(given: Column, family: Column) -> Column:
 
 
 def split_list(value: Column, mark: str = ";") -> Column:
-    return F.filter(F.transform(F.split(value, mark), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(value, mark), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def valid_coordinates(lat: Column, lon: Column) -> Column:
@@ -146,7 +147,7 @@ def fill_template(template: Column, values: dict[str, Column]) -> Column:
     return template
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Matching-blocks similarity of two strings, 0 to 1; no edit-distance built-in equals it."""
     return pd.Series([None if a is None or b is None else difflib.SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right, strict=True)])

@@ -52,7 +52,7 @@ def csv_after_preamble(spark: SparkSession, path: str, header_prefix: str, schem
 def markdown_rows(text: Column) -> Column:
     """Pipe-table rows of a document -> array<array<string>>, rules and other lines left out."""
     lines = F.filter(F.split(text, "\n"), lambda s: F.startswith(F.trim(s), F.lit("|")) & ~F.trim(s).rlike(r"^\|[\s:|\-]+\|?$"))
-    return F.transform(lines, lambda s: F.transform(F.split(F.btrim(F.trim(s), F.lit("|")), r"\|"), F.trim))
+    return F.transform(lines, lambda s: F.transform(F.split(F.btrim(F.trim(s), F.lit("|")), r"\|"), lambda c: F.trim(c)))
 
 
 def html_title(html: Column) -> Column:
