@@ -91,7 +91,7 @@ def check_shards(rows, texts):
 def test_sharding(spark):
     rng = random.Random(2)
     texts = [(i, f"t{rng.randrange(700)} " * rng.randint(1, 60)) for i in range(1500)] + [(5000 + i, "same copies") for i in range(500)]
-    rows = sharding.shard(docs_of(spark, texts), 7, grain=16, unit_rows=50).collect()
+    rows = sharding.shard(docs_of(spark, texts), 7, grain=64, unit_rows=50).collect()
     check_shards(rows, texts)
     placed = {}
     for r in rows:
