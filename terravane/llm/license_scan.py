@@ -229,26 +229,12 @@ def scan(docs: DataFrame, confident: float = 0.6, confirm: float = 0.5, seed: in
     vocabulary = sorted({w for g in model.weights for w in g.split() if w not in STOP})
     lines = paragraphs(docs).withColumn("tokens", _tokens(F.col("line")))
     known = lines.where(F.exists("tokens", lambda w: w.isin(vocabulary)))
-    # No family passes prose unless its margins, each at most `most`, outweigh the intercepts: paragraphs with too few known n-grams for that are prose.
-    prose = model.classes.index(PROSE)
-    most = max(max(w) - w[prose] for w in model.weights.values())
-    gap = model.intercepts[prose] - max(b for k, b in enumerate(model.intercepts) if k != prose)
-    listed = sorted(model.weights)
-
-    def grams_in(tokens: Column) -> Column:
-        return F.array_distinct(F.concat(*[_grams(tokens, n) for n in (1, 2, 3)]))
-
-    def enough(grams: Column) -> Column:
-        return F.size(F.filter(grams, lambda g: g.isin(listed))) * most >= F.sqrt(F.size(grams)) * gap - 1e-9
-
-    # tokens and n-grams stand as elements of arrays, so that the filter computes them once a row wherever it is pushed
-    known = known.where(F.exists(F.transform(F.array("tokens"), grams_in), enough))
-    known = known.withColumn("grams", grams_in(F.col("tokens")))
+    known = known.withColumn("grams", F.array_distinct(F.concat(*[_grams(F.col("tokens"), n) for n in (1, 2, 3)])))
     key = F.monotonically_increasing_id()
     # the model: a few thousand n-grams of a fixed text, whatever the corpus
     table = spark.createDataFrame([(g, list(w)) for g, w in sorted(model.weights.items())], "gram string, weight array<double>")
-    rows = known.select(key.alias("row"), "doc_id", "paragraph", "line", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
-    hits = rows.join(F.broadcast(table), "gram")
+    rows = known.select(key.alias("row"), "doc_id", "paragraph", "line", F.size("grams").alias("n"), "grams")
+    hits = rows.select("doc_id", "paragraph", "line", "row", "n", F.explode("grams").alias("gram")).join(F.broadcast(table), "gram")
     n = len(model.classes)
     sums = hits.groupBy("row", "doc_id", "paragraph", "line", "n").agg(
         *[F.sum(F.get("weight", F.lit(k))).alias(f"s{k}") for k in range(n)]
@@ -258,7 +244,8 @@ def scan(docs: DataFrame, confident: float = 0.6, confirm: float = 0.5, seed: in
     scored = sums.withColumn("z", F.array(*logit)).withColumn("top", F.array_max("z"))
     scored = scored.withColumn("probability", 1 / F.aggregate("z", F.lit(0.0), lambda a, z: a + F.exp(z - F.col("top"))))
     scored = scored.withColumn("best", F.get(F.array(*[F.lit(c) for c in model.classes]), (F.array_position("z", F.col("top")) - 1).cast("int")))
-    found = staged(scored.where(F.col("best") != PROSE).withColumn("pairs", F.array_distinct(_grams(_tokens(F.col("line")), 2))), "license-found")
+    found = staged(scored.where(F.col("best") != PROSE), "license-best")
+    found = staged(found.withColumn("pairs", F.array_distinct(_grams(_tokens(F.col("line")), 2))), "license-found")
     options = []
     for family, texts in TEMPLATES.items():
         for i, text in enumerate(texts):
