@@ -32,7 +32,6 @@ def rotation(dims: int, seed: int) -> np.ndarray:
 def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(vec_id, vec, dims) without null ids and vectors that are null, empty, zero or hold null or non-finite components."""
     vec = F.col(embedding)
-    bad = F.exists(vec, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return (
         vectors.select(F.col(vec_id).cast("long").alias("vec_id"), vec.cast("array<double>").alias("vec"))
         .where(F.col("vec_id").isNotNull() & F.col("vec").isNotNull())
