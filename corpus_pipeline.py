@@ -25,11 +25,10 @@ def _documents(docs: DataFrame) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the rows whose text has a language. Rejected: null texts, texts without a letter, and texts no language is likely for.
 
-    A doc_id that is repeated stays with all its rows if one of them has a language.
+    Each row is judged by its own text, repeated ids and null ids included, in the pass that predicts it.
     """
-    found = langid.identify(docs)
-    kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select("doc_id").distinct()
-    return _documents(docs).join(staged(kept, "pipeline-language"), "doc_id", "left_semi")
+    found = langid.identify(docs, carry=COLUMNS)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +48,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps each leaf's token prefix under equal weights, nine tenths of all tokens, one epoch."""
-    chosen = mixing.mix(mixing.tree_columns(docs), budget_share=0.9, max_epochs=1).select("doc_id").distinct()
-    return _documents(docs).join(staged(chosen, "pipeline-mix"), "doc_id", "left_semi")
+    return mixing.mixed_documents(_documents(docs), budget_share=0.9)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

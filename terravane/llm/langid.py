@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terravane.llm.shared import fold
 
@@ -182,19 +183,31 @@ def predict_texts(net: ByteCNN, texts: list[str | None]) -> tuple[list[str], np.
     return names, scores
 
 
-def predict(docs: DataFrame, net: ByteCNN) -> DataFrame:
-    """documents -> (doc_id, held_out, lang_pred, score), one row per input row; only doc_id and text are read, and doc_id only to name the row."""
+def predict(docs: DataFrame, net: ByteCNN, carry: tuple[str, ...] = ()) -> DataFrame:
+    """documents -> (doc_id, held_out, lang_pred, score), one row per input row; only doc_id and text are read, and doc_id only to name the row.
+
+    The columns named in ``carry`` come along as a struct ``row``, so a filter on the prediction needs no join and no shuffle of texts.
+    """
+    inside = "text" in carry
+    made = [T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), (fold(F.col("doc_id")) == 0).alias("held_out"),
+        *([] if inside else ["text"]), *([F.struct(*carry).alias("row")] if carry else []),
+    )
+    schema = T.StructType(made + ([rows.schema["row"]] if carry else []))
+    names_out = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = predict_texts(net, batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
+            read = batch.column("row").field("text") if inside else batch.column("text")
+            names, scores = predict_texts(net, read.to_pylist())
+            kept = [batch.column("row")] if carry else []
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), *kept], names_out)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold(F.col("doc_id")) == 0).alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(run, schema)
 
 
-def identify(docs: DataFrame, per_language: int = 600) -> DataFrame:
+def identify(docs: DataFrame, per_language: int = 600, carry: tuple[str, ...] = ()) -> DataFrame:
     """Train on the labelled sample of ``docs`` and predict every whole text. Without one labelled row every language is ``und``."""
     texts, names = labelled_sample(docs, per_language)
-    return predict(docs, train(texts, names))
+    return predict(docs, train(texts, names), carry)

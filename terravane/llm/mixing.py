@@ -75,6 +75,11 @@ def budgets(
     return out
 
 
+def _draw(seed: int, epoch: Column, doc_id: Column) -> Column:
+    """A document's place in its leaf's epoch; buckets are ranges of it."""
+    return F.md5(F.concat_ws(":", F.lit(seed), epoch, doc_id))
+
+
 def leaf_totals(keyed: DataFrame) -> dict[tuple[str, str, str], tuple[int, int]]:
     """(domain, language, origin) -> (tokens, rows). One row a leaf comes to the driver, none a document."""
     rows = keyed.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")).collect()
@@ -109,7 +114,7 @@ def mix(
     plan = spark.createDataFrame(
         [(*k, given[k], t, -(-n // bucket_rows), min(max_epochs, int(given[k] // t) + 1 if t else 1)) for k, (t, n) in totals.items()], schema
     )
-    draw = F.md5(F.concat_ws(":", F.lit(seed), F.col("epoch"), F.col("doc_id")))
+    draw = _draw(seed, F.col("epoch"), F.col("doc_id"))
     bucket = F.floor(F.conv(F.substring("draw", 1, 8), 16, 10).cast("double") / 4294967296.0 * F.col("buckets")).cast("int")
     # the leaves were collected above, so their table is no larger than what the driver holds already; adaptive execution broadcasts it if it is small
     drawn = (
@@ -135,11 +140,35 @@ def mix(
 
 def tree_columns(docs: DataFrame, domains: int = 4) -> DataFrame:
     """documents -> (doc_id, domain, language, origin, tokens). The tables have no domain, so a source's hash names one; nulls become ``none``."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_leaf(domains), word_count(F.col("text")).alias("tokens"))
+
+
+def _leaf(domains: int) -> list[Column]:
     origin = F.coalesce(F.col("source").cast("string"), F.lit("none"))
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+    return [
         F.concat(F.lit("domain"), F.pmod(F.crc32(origin.cast("binary")), F.lit(domains)).cast("string")).alias("domain"),
         F.coalesce(F.col("lang").cast("string"), F.lit("none")).alias("language"),
         origin.alias("origin"),
-        word_count(F.col("text")).alias("tokens"),
+    ]
+
+
+def mixed_documents(
+    docs: DataFrame, weights: Mapping[tuple[str, ...], float] | None = None, budget_share: float = 0.5, seed: int = 17, domains: int = 4
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``mix`` chooses in one epoch.
+
+    A leaf's choice is a prefix of its order, so its last chosen place tells all of it: each row is compared with that one place,
+    and texts are neither shuffled nor joined by id. Rows equal to a leaf's last chosen one in doc_id and tokens stay with it. Null ids are ids like others.
+    A leaf with no chosen row keeps none.
+    """
+    chosen = mix(tree_columns(docs, domains), weights, budget_share, 1, seed)
+    place = F.struct(_draw(seed, F.lit(0), F.col("doc_id")).alias("draw"), F.col("doc_id"), F.col("tokens"))
+    ends = staged(chosen.groupBy(*LEVELS).agg(F.max(place).alias("end")), "mix-ends")
+    rows = docs.select(F.struct("*").alias("row"), *_leaf(domains)).join(ends, list(LEVELS))
+    doc_id = F.col("row.doc_id").cast("long")
+    draw = _draw(seed, F.lit(0), doc_id)
+    # the tokens of a text are counted again only at the last place itself
+    at_end = (draw == F.col("end.draw")) & (
+        F.struct(doc_id.alias("doc_id"), word_count(F.col("row.text")).alias("tokens")) <= F.struct(F.col("end.doc_id").alias("doc_id"), F.col("end.tokens").alias("tokens"))
     )
+    return rows.where((draw < F.col("end.draw")) | at_end).select("row.*")

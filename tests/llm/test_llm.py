@@ -253,6 +253,21 @@ def test_mixing_against_brute_force(spark):
     assert mixing.mix(awkward, budget_share=1.0).count() == len(AWKWARD)
 
 
+def test_mixed_documents_are_what_mix_chooses(spark):
+    rng = random.Random(4)
+    rows = [(i, "w " * rng.randint(0, 30), rng.choice(["en", None]), rng.choice(["a", "b", None]), 1, "x", "y") for i in [*range(300), None]]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, domain string, origin string")
+    for share in (0.0, 0.3, 0.9, 1.0):
+        want = sorted((r.doc_id is None, r.doc_id) for r in mixing.mix(mixing.tree_columns(frame), budget_share=share).collect())
+        got = mixing.mixed_documents(frame, budget_share=share)
+        assert got.columns == frame.columns
+        assert sorted((r.doc_id is None, r.doc_id) for r in got.collect()) == want
+    assert len(want) == len(rows)
+    assert mixing.mixed_documents(frame.limit(0)).count() == 0
+    awkward = docs_of(spark, AWKWARD)
+    assert mixing.mixed_documents(awkward, budget_share=1.0).count() == len(AWKWARD)
+
+
 def test_license_scan(spark):
     rows = [
         (1, "Some prose.\nReleased under the MIT License.\nMore prose of the house."), (2, "Ein Haus mit Garten."), (3, "This work is licensed under the GNU General Public License, version 3."),
@@ -270,6 +285,8 @@ def test_pipeline_stages_on_awkward_tables(spark, tmp_path):
         out = stage(spark, frame, str(tmp_path))
         assert out.columns == list(corpus_pipeline.COLUMNS)
         ids = {r.doc_id for r in out.collect()}
+        if name == "language":
+            assert ids == {None, 4, 5, 6, 7, 8}
         if name == "near_duplicates":
             assert ids >= {1, 4, 6, 7, 8} and not ids & {2, 3, 5}
         if name == "decontamination":
