@@ -1,8 +1,9 @@
 """Chat formatting of reply trees, in DataFrame functions only.
 
-Root-to-leaf paths come from iterated self-joins with doubling: after round k every node holds the
-last 2^k nodes of its path, so a path of n turns takes log2(n) joins. Only ids travel through the joins; texts are joined
-once to the chosen paths. Branches of a tree are ranked by their score and the best ones formatted.
+Root-to-leaf paths come from iterated self-joins with doubling: round k leads every node 2^k nodes up and sums the score on
+the way, so a path of n turns takes log2(n) joins and n rows in each. The leaves' branches are ranked by their score, and the
+paths of the best ones are enumerated by the same jumps, the longest first. Only ids travel through these joins, never lists of
+them; texts are joined once to the chosen paths.
 
 Template: a turn is ``### role``, a newline, the text and ``</turn>`` with a newline. ``\\``, ``<`` and ``#`` in roles and texts
 become ``\\s``, ``\\l`` and ``\\h`` (and a newline in a role ``\\n``), so no control string can stand inside a turn and the
@@ -41,42 +42,60 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.replace(role, F.lit("\\n"), F.lit("\n")))
 
 
-def paths(nodes: DataFrame) -> DataFrame:
-    """(tree, node, parent, score) -> (tree, leaf, path, score): one row a leaf, path from root to leaf, score summed along it.
+def _meet(left: DataFrame, right: DataFrame, by: str, how: str = "inner") -> DataFrame:
+    """Join ``by`` of the left with ``node`` of the right within a tree; null trees are one tree."""
+    other = right.withColumnsRenamed({"tree": "_tree", "node": "_node"})
+    return left.join(other, F.col("tree").eqNullSafe(F.col("_tree")) & (F.col(by) == F.col("_node")), how).drop("_tree", "_node")
 
+
+def branches(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(tree, node, parent, score) -> leaves (tree, leaf, turns, score) and jumps (tree, node, up).
+
+    A leaf stands for its path from the root: turns long, score summed along it. Table k of the jumps leads 2^k nodes up.
     A parent that is null or names no node of the tree makes a root. Nodes on a cycle reach no root, and
-    a leaf below them is left out. Null scores count as 0. Node names are unique within a tree.
+    a leaf below them is left out. Null scores count as 0. Node names are unique within a tree. No nodes give no leaves.
     """
     base = nodes.select("tree", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
-    known = base.select("tree", F.col("node").alias("parent"), F.lit(True).alias("known"))
-    state = base.join(known, ["tree", "parent"], "left").select(
-        "tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), F.array("node").alias("path"), "score"
-    )
-    state = staged(state, "chat-paths")
+    known = base.select("tree", "node", F.lit(True).alias("known"))
+    up = F.when(F.col("known"), F.col("parent"))
+    state = staged(_meet(base, known, "parent", "left").select("tree", "node", up.alias("up"), F.lit(1).cast("long").alias("turns"), "score"), "chat-jump")
     inner = staged(state.where("up IS NOT NULL").select("tree", F.col("up").alias("node")).distinct(), "chat-inner")
-    total, rounds = state.count(), 0
-    while rounds <= total.bit_length() and not state.where("up IS NOT NULL").isEmpty():
-        above = state.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("path").alias("head"), F.col("score").alias("more"))
+    jumps: list[DataFrame] = []
+    while len(jumps) <= state.count().bit_length() and not (going := state.where("up IS NOT NULL")).isEmpty():
+        jumps.append(going.select("tree", "node", "up"))
+        above = state.select("tree", "node", F.col("up").alias("up2"), F.col("turns").alias("more_turns"), F.col("score").alias("more"))
         state = staged(
-            state.join(above, ["tree", "up"], "left").select(
+            _meet(state, above, "up", "left").select(
                 "tree", "node", F.col("up2").alias("up"),
-                F.when(F.col("head").isNull(), F.col("path")).otherwise(F.concat("head", "path")).alias("path"),
+                (F.col("turns") + F.coalesce("more_turns", F.lit(0))).alias("turns"),
                 (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
             ),
-            "chat-paths",
+            "chat-jump",
         )
-        rounds += 1
-    return state.where("up IS NULL").join(inner, ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf"), "path", "score")
+    leaves = _meet(state.where("up IS NULL"), inner, "node", "left_anti").select("tree", F.col("node").alias("leaf"), "turns", "score")
+    return leaves, jumps
+
 
+def best(leaves: DataFrame, count: int = 1) -> DataFrame:
+    """The ``count`` best leaves of each tree by score, ties to the longer path, then to the smaller leaf; adds branch, from 1."""
+    order = Window.partitionBy("tree").orderBy(F.desc("score"), F.desc("turns"), "leaf")
+    return leaves.withColumn("branch", F.row_number().over(order)).where(F.col("branch") <= count)
 
-def best(leaf_paths: DataFrame, branches: int = 1) -> DataFrame:
-    """The ``branches`` best paths of each tree by score, ties to the longer path, then to the smaller leaf; adds branch, from 1."""
-    order = Window.partitionBy("tree").orderBy(F.desc("score"), F.desc(F.size("path")), "leaf")
-    return leaf_paths.withColumn("branch", F.row_number().over(order)).where(F.col("branch") <= branches)
+
+def paths(chosen: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """Chosen leaves -> (tree, branch, score, at, node): a row per node of each path, at from 1 at the root.
+
+    The longest jump comes first: each join adds, to the nodes found so far, those one jump above them.
+    """
+    steps = staged(chosen.select("tree", "branch", "score", F.col("turns").alias("at"), F.col("leaf").alias("node")), "chat-steps")
+    for k in reversed(range(len(jumps))):
+        above = _meet(steps, jumps[k], "node").select("tree", "branch", "score", (F.col("at") - (1 << k)).alias("at"), F.col("up").alias("node"))
+        steps = staged(steps.unionByName(above), "chat-steps")
+    return steps
 
 
-def format_paths(chosen: DataFrame, nodes: DataFrame, learn: tuple[str, ...] = ("assistant",)) -> DataFrame:
-    """Chosen paths and (tree, node, role, text) -> tree, branch, score, formatted, spans.
+def format_paths(steps: DataFrame, nodes: DataFrame, learn: tuple[str, ...] = ("assistant",)) -> DataFrame:
+    """Rows of ``paths`` and (tree, node, role, text) -> tree, branch, score, formatted, spans.
 
     ``formatted`` is the conversation in the template. ``spans`` lists, in order, the
     (start, chars) of the texts under the loss mask: those of the ``learn`` roles, counted in code points from 0. Null roles and texts are empty.
@@ -84,8 +103,7 @@ def format_paths(chosen: DataFrame, nodes: DataFrame, learn: tuple[str, ...] = (
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     said = nodes.select("tree", "node", role.alias("role"), text.alias("text"))
     turns = (
-        chosen.select("tree", "branch", "score", F.posexplode("path").alias("at", "node"))
-        .join(said, ["tree", "node"])
+        _meet(steps, said, "node")
         .select(
             "tree", "branch", "score", "at",
             F.concat(F.lit("### "), escape_role(F.col("role")), F.lit("\n")).alias("head"),

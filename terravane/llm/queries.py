@@ -26,7 +26,8 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text"
     )
     nodes = chat.staged(chat.linear_nodes(turns.unionByName(extra)), "chat-nodes")
-    made = chat.staged(chat.format_paths(chat.best(chat.paths(nodes)), nodes), "chat-formatted")
+    leaves, jumps = chat.branches(nodes)
+    made = chat.staged(chat.format_paths(chat.paths(chat.best(leaves), jumps), nodes), "chat-formatted")
     read = made.select("tree", "formatted", chat.parse(F.col("formatted")).alias("turns"), chat.learned(F.col("formatted"), F.col("spans")).alias("loss"))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
