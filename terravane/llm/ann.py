@@ -77,12 +77,13 @@ def bounds(codes: np.ndarray, norm: np.ndarray, correction: np.ndarray, query: n
     rest = query - centre
     size = np.linalg.norm(rest, axis=1)
     signs = np.unpackbits(codes, axis=1, count=d).astype(np.float32) * 2 - 1
-    inner = signs @ (rest @ turn / np.sqrt(d)).T.astype(np.float32) / correction[:, None].astype(np.float32)
+    unit = rest / np.where(size > 0, size, 1)[:, None]
+    inner = signs @ (unit @ turn / np.sqrt(d)).T.astype(np.float32) / correction[:, None].astype(np.float32)
     error = epsilon * np.sqrt(np.maximum(1 - correction**2, 0) / correction**2 / max(d - 1, 1))
     base = norm[:, None] ** 2 + size[None, :] ** 2
     slack = 1e-5 * base + 1e-12  # single precision above
     half = 2 * norm[:, None] * (error[:, None] * size[None, :]) + slack
-    mid = base - 2 * norm[:, None] * inner
+    mid = base - 2 * norm[:, None] * size[None, :] * inner
     return mid - half, mid + half
 
 
