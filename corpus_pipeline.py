@@ -32,18 +32,24 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each class the document with the smallest doc_id, once if its row is repeated."""
+    """Keeps one row of each class: that with the smallest doc_id, of several with it the least row; a null id stays only in a class of null ids."""
     found = simhash.near_duplicates(docs)
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = _documents(docs).join(staged(gone, "pipeline-copies"), "doc_id", "left_anti")
-    twice = docs.groupBy("doc_id").count().where(F.col("count") > 1)
-    return kept if twice.isEmpty() else kept.dropDuplicates(["doc_id"])
+    unnamed = docs.groupBy("doc_id").count().where((F.col("count") > 1) | F.col("doc_id").isNull())
+    if unnamed.isEmpty():
+        gone = found.where("component_id <> doc_id").select("doc_id")
+        return _documents(docs).join(staged(gone, "pipeline-copies"), "doc_id", "left_anti")
+    # some id does not tell one row: rows are told by their fingerprints
+    classes = staged(found.select("fp", "class_fp", "component_id").distinct(), "pipeline-classes")
+    rows = simhash.fingerprints(docs, carry=COLUMNS).join(classes, "fp").where("component_id IS NULL OR doc_id = component_id")
+    return rows.groupBy("class_fp").agg(F.min("row").alias("row")).select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops every document with a window that an item of ``benchmark`` resembles."""
-    found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return _documents(docs).join(staged(found.select("doc_id").distinct(), "pipeline-leaks"), "doc_id", "left_anti")
+    """Drops every document with a window that an item of ``benchmark`` resembles; rows are told by their texts, null and repeated ids included."""
+    body = F.xxhash64("text")
+    found = decontam.contaminated(docs.select(body.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    leaks = staged(found.select(F.col("doc_id").alias("leak")).distinct(), "pipeline-leaks")
+    return _documents(docs).join(leaks, body == F.col("leak"), "left_anti")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terravane.llm.components import components
 from terravane.llm.shared import staged
@@ -61,15 +62,18 @@ def fingerprint(text: str | None, shingle_words: int = 3, seed: int = 42) -> int
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 3, seed: int = 42) -> DataFrame:
-    """documents -> (doc_id, fp); other columns are not read, whatever their names."""
+def fingerprints(docs: DataFrame, shingle_words: int = 3, seed: int = 42, carry: tuple[str, ...] = ()) -> DataFrame:
+    """documents -> (doc_id, fp); other columns are not read, whatever their names, but those in ``carry`` come along as a struct ``row``."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([F.struct(*carry).alias("row")] if carry else []))
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType()), *([rows.schema["row"]] if carry else [])])
+    names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(t.as_py(), shingle_words, seed) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps, pa.int64()), *([batch.column("row")] if carry else [])], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, schema)
 
 
 def segment_counts(fps: np.ndarray, segment_bits: int) -> np.ndarray:
@@ -195,12 +199,13 @@ def links(fps: DataFrame, radius: int = 3, segment_bits: int = 2, block_rows: in
 def near_duplicates(
     docs: DataFrame, shingle_words: int = 3, radius: int = 3, seed: int = 42, segment_bits: int = 2, block_rows: int = 4096
 ) -> DataFrame:
-    """documents -> (doc_id, fp, component_id), one row per input row.
+    """documents -> (doc_id, fp, component_id, class_fp), one row per input row.
 
     component_id is the smallest doc_id whose fingerprint can be reached by steps of
     at most ``radius`` differing bits. Texts without a word (null, empty, white space) share the
     fingerprint zero and are linked like any other. Rows repeated with one doc_id come out as
-    often as they went in. A null doc_id takes no part in the minimum. No rows give no rows.
+    often as they went in. A null doc_id takes no part in the minimum; a class
+    of null ids alone has no component_id. class_fp, its smallest fingerprint, names every class. No rows give no rows.
     """
     owned = staged(fingerprints(docs, shingle_words, seed), "simhash-fp")
     distinct = staged(owned.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
@@ -208,11 +213,14 @@ def near_duplicates(
     root_of = member.unionByName(member.select(F.col("root").alias("node"), "root").distinct())
     root_of = staged(root_of.join(distinct.withColumnRenamed("fp", "node"), "node"), "simhash-members")
     class_id = staged(root_of.groupBy("root").agg(F.min("first_id").alias("component_id")), "simhash-classes")
-    linked = root_of.join(class_id, "root").select(F.col("node").alias("fp"), "component_id")
+    linked = root_of.join(class_id, "root").select(F.col("node").alias("fp"), "component_id", F.col("root").alias("class_fp"))
     resolved = staged(
-        distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")), "simhash-resolved"
+        distinct.join(linked, "fp", "left").select(
+            "fp", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("class_fp", "fp").alias("class_fp")
+        ),
+        "simhash-resolved",
     )
-    return owned.join(resolved, "fp").select("doc_id", "fp", "component_id")
+    return owned.join(resolved, "fp").select("doc_id", "fp", "component_id", "class_fp")
 
 
 def digits(fp: Column) -> Column:

@@ -110,18 +110,23 @@ def test_chat_trees_and_round_trip(spark):
         [("t", 1, None, "user", "hi \\s <b> # </turn>\n", 1.0), ("t", 2, 1, "assistant", "a\\", None), ("t", 3, 1, "assistant", "", 2.0), ("t", 4, 3, "us\ner", "ü", 0.0), ("u", 9, 77, None, None, None)],
         "tree string, node long, parent long, role string, text string, score double",
     )
-    leaves = {(r.tree, r.leaf): (r.path, r.score) for r in chat.paths(nodes).collect()}
-    assert leaves == {("t", 2): ([1, 2], 1.0), ("t", 4): ([1, 3, 4], 3.0), ("u", 9): ([9], 0.0)}
-    made = chat.format_paths(chat.best(chat.paths(nodes), 2), nodes)
+    leaves, jumps = chat.branches(nodes)
+    assert {(r.tree, r.leaf): (r.turns, r.score) for r in leaves.collect()} == {("t", 2): (2, 1.0), ("t", 4): (3, 3.0), ("u", 9): (1, 0.0)}
+    made = chat.format_paths(chat.paths(chat.best(leaves, 2), jumps), nodes)
     rows = made.select("tree", "branch", chat.parse(F.col("formatted")).alias("turns"), chat.learned(F.col("formatted"), F.col("spans")).alias("loss")).collect()
     got = {(r.tree, r.branch): ([tuple(t) for t in r.turns], r.loss) for r in rows}
     first = ("user", "hi \\s <b> # </turn>\n")
     assert got == {("t", 1): ([first, ("assistant", ""), ("us\ner", "ü")], ""), ("t", 2): ([first, ("assistant", "a\\")], "a\\"), ("u", 1): ([("", "")], "")}
-    long = spark.createDataFrame([(1, t, "user" if t % 2 else "assistant", f"<{t}>") for t in range(150)] + [(None, None, None, None)], "conv_id long, turn long, role string, text string")
+    long = spark.createDataFrame([(1, t, "user" if t % 2 else "assistant", f"<{t}>") for t in range(150)] + [(None, None, None, None), (None, 7, "user", "x")], "conv_id long, turn long, role string, text string")
     nodes = chat.linear_nodes(long)
-    path = {r.tree: r.path for r in chat.paths(nodes).collect()}
-    assert path == {1: list(range(1, 151)), None: [1]} or path == {1: list(range(1, 151))}
-    assert chat.paths(nodes.limit(0)).count() == 0
+    leaves, jumps = chat.branches(nodes)
+    rows = chat.paths(chat.best(leaves), jumps).collect()
+    assert sorted((r.tree or 0, r.at, r.node) for r in rows) == [(0, 1, 1), (0, 2, 2)] + [(1, i, i) for i in range(1, 151)]
+    leaves, jumps = chat.branches(nodes.limit(0))
+    assert chat.paths(chat.best(leaves), jumps).count() == 0
+    # a cycle, and a leaf below it, reach no root
+    ring = spark.createDataFrame([(1, 1, 2, 0.0), (1, 2, 1, 0.0), (1, 3, 2, 0.0), (1, 4, None, 0.0)], "tree long, node long, parent long, score double")
+    assert [r.leaf for r in chat.branches(ring)[0].collect()] == [4]
 
 
 def test_ann_recall_and_ties(spark):
@@ -292,3 +297,17 @@ def test_pipeline_stages_on_awkward_tables(spark, tmp_path):
         if name == "decontamination":
             assert 8 not in ids and ids >= {1, 2, 4, 5, 6, 7}
         assert stage(spark, frame.limit(0), str(tmp_path)).count() == 0
+
+
+def test_pipeline_stages_judge_rows(spark, tmp_path):
+    spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    stages = dict(corpus_pipeline.STAGES)
+
+    def kept(name, rows):
+        return sorted((r.doc_id or 0, r.text) for r in stages[name](spark, docs_of(spark, rows), str(tmp_path)).collect())
+
+    rows = [(None, "lost id"), (None, "lost id"), (None, "one"), (4, "one"), (5, "one"), (5, "other words here"), (5, "other words here")]
+    assert kept("near_duplicates", rows) == [(0, "lost id"), (4, "one"), (5, "other words here")]
+    assert kept("near_duplicates", [(1, "one"), (2, "one"), (3, "two or more")]) == [(1, "one"), (3, "two or more")]
+    rows = [(None, "a b c d e f g"), (None, "clean"), (8, "a b c d e f g"), (8, "clean too"), (9, None)]
+    assert stages["decontamination"](spark, docs_of(spark, rows), str(tmp_path)).count() == 3
