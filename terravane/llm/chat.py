@@ -61,18 +61,22 @@ def branches(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     state = staged(_meet(base, known, "parent", "left").select("tree", "node", up.alias("up"), F.lit(1).cast("long").alias("turns"), "score"), "chat-jump")
     inner = staged(state.where("up IS NOT NULL").select("tree", F.col("up").alias("node")).distinct(), "chat-inner")
     jumps: list[DataFrame] = []
-    while len(jumps) <= state.count().bit_length() and not (going := state.where("up IS NOT NULL")).isEmpty():
+    ended, most = state.where("up IS NULL"), state.count().bit_length()
+    while len(jumps) <= most and not (going := state.where("up IS NOT NULL")).isEmpty():
         jumps.append(going.select("tree", "node", "up"))
         above = state.select("tree", "node", F.col("up").alias("up2"), F.col("turns").alias("more_turns"), F.col("score").alias("more"))
-        state = staged(
-            _meet(state, above, "up", "left").select(
-                "tree", "node", F.col("up2").alias("up"),
-                (F.col("turns") + F.coalesce("more_turns", F.lit(0))).alias("turns"),
-                (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
+        moved = staged(
+            _meet(going, above, "up").select(
+                "tree", "node", F.col("up2").alias("up"), (F.col("turns") + F.col("more_turns")).alias("turns"), (F.col("score") + F.col("more")).alias("score")
             ),
             "chat-jump",
         )
-    leaves = _meet(state.where("up IS NULL"), inner, "node", "left_anti").select("tree", F.col("node").alias("leaf"), "turns", "score")
+        ended = ended.unionByName(moved.where("up IS NULL"))
+        # a tree without a node still on its way is done: only the others are looked at again
+        live = moved.where("up IS NOT NULL").select(F.col("tree").alias("_tree")).distinct()
+        done = state.where("up IS NULL").unionByName(moved.where("up IS NULL")).join(live, F.col("tree").eqNullSafe(F.col("_tree")), "left_semi")
+        state = staged(moved.where("up IS NOT NULL").unionByName(done), "chat-state")
+    leaves = _meet(ended, inner, "node", "left_anti").select("tree", F.col("node").alias("leaf"), "turns", "score")
     return leaves, jumps
 
 
