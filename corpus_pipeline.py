@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terravane.llm import decontam, langid, mixing, sharding, simhash
+from terravane.llm import decontam, langid, mixing, nearcopies, sharding
 from terravane.llm.shared import staged, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -32,16 +32,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of each class: that with the smallest doc_id, of several with it the least row; a null id stays only in a class of null ids."""
-    found = simhash.near_duplicates(docs)
+    """Keeps one row of each class of texts linked by a five-word similarity of 0.8: that with the smallest doc_id, of several with it the least row; a null id stays only in a class of null ids."""
+    owned, classes = nearcopies.near_copies(docs)
     unnamed = docs.groupBy("doc_id").count().where((F.col("count") > 1) | F.col("doc_id").isNull())
     if unnamed.isEmpty():
-        gone = found.where("component_id <> doc_id").select("doc_id")
+        gone = owned.join(classes, "body").where("component_id <> doc_id").select("doc_id")
         return _documents(docs).join(staged(gone, "pipeline-copies"), "doc_id", "left_anti")
-    # some id does not tell one row: rows are told by their fingerprints
-    classes = staged(found.select("fp", "class_fp", "component_id").distinct(), "pipeline-classes")
-    rows = simhash.fingerprints(docs, carry=COLUMNS).join(classes, "fp").where("component_id IS NULL OR doc_id = component_id")
-    return rows.groupBy("class_fp").agg(F.min("row").alias("row")).select("row.*")
+    # some id does not tell one row: rows are told by their texts
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("body"), F.struct(*COLUMNS).alias("row"))
+    kept = rows.join(classes, "body").where("component_id IS NULL OR doc_id = component_id")
+    return kept.groupBy("class").agg(F.min("row").alias("row")).select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

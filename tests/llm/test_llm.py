@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from terravane.llm import ann, chat, decontam, langid, license_scan, mixing, quality, sharding, simhash, warc
+from terravane.llm import ann, chat, decontam, langid, license_scan, mixing, nearcopies, quality, sharding, simhash, warc
 from terravane.llm.components import components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, fp string, block string, start string, job string"
@@ -311,3 +311,46 @@ def test_pipeline_stages_judge_rows(spark, tmp_path):
     assert kept("near_duplicates", [(1, "one"), (2, "one"), (3, "two or more")]) == [(1, "one"), (3, "two or more")]
     rows = [(None, "a b c d e f g"), (None, "clean"), (8, "a b c d e f g"), (8, "clean too"), (9, None)]
     assert stages["decontamination"](spark, docs_of(spark, rows), str(tmp_path)).count() == 3
+
+
+def five(text):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+@pytest.mark.parametrize("block_rows", [512, 5])
+def test_near_copies_against_brute_force(spark, block_rows):
+    rng = random.Random(8)
+    vocabulary, texts = [f"w{i}" for i in range(400)], []
+    for group in range(24):
+        base = rng.choices(vocabulary, k=rng.choice([12, 60, 120, 300]))
+        texts.append(" ".join(base))
+        for _ in range(30 if group == 0 else 4):
+            copy = list(base)
+            for _ in range(rng.randint(1, max(1, len(base) // 30))):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            texts.append(" ".join(copy).title())
+    texts += ["", " \n", "one two", "ONE  two", "one two three"]
+    sets = [five(t) for t in texts]
+    parent = {i: i for i in range(len(texts))}
+    for i in parent:
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                u, v = find(parent, i), find(parent, j)
+                parent[max(u, v)] = min(u, v)
+    owned, classes = nearcopies.near_copies(docs_of(spark, list(enumerate(texts))), block_rows=block_rows)
+    got = {r.doc_id: r.component_id for r in owned.join(classes, "body").collect()}
+    assert got == {i: find(parent, i) for i in parent} and len(set(got.values())) < len(texts) - 20
+
+
+def test_pipeline_drops_loose_near_copies(spark, tmp_path):
+    rng = random.Random(10)
+    base = [f"w{rng.randrange(5000)}" for _ in range(80)]
+    near, far = list(base), list(base)
+    near[40] = "changed"
+    for i in (10, 30, 50, 70):
+        far[i] = "changed"
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far))]
+    assert ((simhash.fingerprint(rows[0][1]) ^ simhash.fingerprint(rows[1][1])) % 2**64).bit_count() > 3 and len(five(rows[0][1]) & five(rows[2][1])) < 0.8 * 76
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs_of(spark, rows), str(tmp_path))
+    assert {r.doc_id for r in kept.collect()} == {1, 3}
