@@ -6,7 +6,9 @@ items get a weighted SimHash; fingerprints are cut into radius + 1 blocks, of wh
 differ in no more than radius bits, so the equi-join on blocks brings together every item and item-sized window within the
 radius. Each such pair is verified by its exact weighted-shingle similarity: the sum of the smaller weights over the sum of the larger ones.
 
-A shingle weighs one over the number of items that hold it, so what many items share counts little; a shingle that no item holds weighs one.
+A shingle weighs one over the number of different item texts that hold it, so what many items share counts little; a shingle that
+no item holds weighs one. As that would let new words outweigh a shared stem, a pair also passes by its plain similarity, in which every
+shingle weighs one; that way takes no account of fingerprints.
 """
 
 from __future__ import annotations
@@ -40,15 +42,15 @@ def _hashed(table: DataFrame, key: str, text: str) -> DataFrame:
 
 def item_shingles(benchmark: DataFrame, shingle_words: int) -> DataFrame:
     """(item_id, size, n_words, item_pos, h, weight); an item with fewer words than a shingle is one shingle. Items without a word drop out."""
-    rows = _hashed(benchmark.where(F.col("item_id").isNotNull()), "item_id", "text").where(F.size("w") > 0).distinct()
-    sizes = [rows.where(F.size("w") >= shingle_words).select("item_id", F.lit(shingle_words).alias("size"), F.size("w").alias("n_words"), F.posexplode(shingles(F.col("w"), shingle_words)).alias("item_pos", "h"))]
+    rows = _hashed(benchmark.where(F.col("item_id").isNotNull()), "item_id", "text").where(F.size("w") > 0).distinct().withColumn("body", F.xxhash64("w"))
+    sizes = [rows.where(F.size("w") >= shingle_words).select("item_id", "body", F.lit(shingle_words).alias("size"), F.size("w").alias("n_words"), F.posexplode(shingles(F.col("w"), shingle_words)).alias("item_pos", "h"))]
     sizes += [
-        rows.where(F.size("w") == k).select("item_id", F.lit(k).alias("size"), F.size("w").alias("n_words"), F.posexplode(shingles(F.col("w"), k)).alias("item_pos", "h"))
+        rows.where(F.size("w") == k).select("item_id", "body", F.lit(k).alias("size"), F.size("w").alias("n_words"), F.posexplode(shingles(F.col("w"), k)).alias("item_pos", "h"))
         for k in range(1, shingle_words)
     ]
     flat = reduce(DataFrame.unionByName, sizes)
-    weight = flat.groupBy("size", "h").agg((1 / F.count_distinct("item_id")).alias("weight"))
-    return flat.join(weight, ["size", "h"])
+    weight = flat.groupBy("size", "h").agg((1 / F.count_distinct("body")).alias("weight"))
+    return flat.drop("body").join(weight, ["size", "h"])
 
 
 def _gated(hashed: DataFrame, items: DataFrame, sizes: list[int]) -> DataFrame:
@@ -89,7 +91,7 @@ def _blocks(radius: int) -> Column:
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, shingle_words: int = 5, similarity: float = 0.8, radius: int = 15
 ) -> DataFrame:
-    """documents, benchmark -> (doc_id, item_id, start_word, n_words, similarity): the best window of each pair that reaches ``similarity``.
+    """documents, benchmark -> (doc_id, item_id, start_word, n_words, similarity): the best window of each pair that reaches ``similarity``, weighted or plain; the larger one is told.
 
     Ties go to the first window. A document shorter than the item is one window. Null and empty texts, and items without a word,
     match nothing. Where rows repeat a doc_id, the best window of all its texts counts. Null ids take no part. An empty table gives no rows.
@@ -113,10 +115,10 @@ def contaminated(
     if not seen:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, start_word int, n_words int, similarity double")
     hits = staged(reduce(DataFrame.unionByName, seen).select(*doc, "doc_words", "pos", "item_id", "size", "n_words", "item_pos", "weight"), "decontam-hits")
-    # a pair whose shared weight is below similarity times the item's weight cannot pass: shared / larger sum <= shared / item sum
-    needed = items.groupBy("item_id").agg(F.sum("weight").alias("item_total"))
-    shared = hits.select(*doc, "item_id", "item_pos", "weight").distinct().groupBy(*doc, "item_id").agg(F.sum("weight").alias("shared"))
-    able = shared.join(needed, "item_id").where(F.col("shared") >= F.col("item_total") * similarity - 1e-9).select(*doc, "item_id")
+    # a pair whose shared weight and count are below similarity times the item's cannot pass: shared / larger sum <= shared / item sum
+    needed = items.groupBy("item_id").agg(F.sum("weight").alias("item_total"), F.count("*").alias("item_n"))
+    shared = hits.select(*doc, "item_id", "item_pos", "weight").distinct().groupBy(*doc, "item_id").agg(F.sum("weight").alias("shared"), F.count("*").alias("shared_n"))
+    able = shared.join(needed, "item_id").where((F.col("shared") >= F.col("item_total") * similarity - 1e-9) | (F.col("shared_n") >= F.col("item_n") * similarity - 1e-9)).select(*doc, "item_id")
     last = F.greatest(F.col("doc_words") - F.col("n_words"), F.lit(0))
     start = F.greatest(F.least(F.col("pos") - F.col("item_pos"), last), F.lit(0))
     windows = staged(
@@ -145,8 +147,13 @@ def contaminated(
         .select(*key, "total", "item_id", "item_total").distinct()
     )
     same = weighed.select(*key, "h", F.col("n").alias("here"), "each").join(counted.select("item_id", "h", F.col("n").alias("there")), "h")
-    common = same.groupBy(*key, "item_id").agg(F.sum(F.least("here", "there") * F.col("each")).alias("common"))
+    common = same.groupBy(*key, "item_id").agg(F.sum(F.least("here", "there") * F.col("each")).alias("common"), F.sum(F.least("here", "there")).alias("common_n"))
     scored = near.join(common, [*key, "item_id"]).withColumn("similarity", F.col("common") / (F.col("total") + F.col("item_total") - F.col("common")))
+    plain = (
+        common.join(weighed.groupBy(*key).agg(F.sum("n").alias("total_n")), key).join(needed.select("item_id", "item_n"), "item_id")
+        .withColumn("similarity", F.col("common_n") / (F.col("total_n") + F.col("item_n") - F.col("common_n")))
+    )
+    scored = reduce(DataFrame.unionByName, [x.select(*key, "item_id", "similarity") for x in (scored, plain)])
     best = scored.where(F.col("similarity") >= similarity - 1e-12).groupBy("doc_id", "item_id", "n_words").agg(
         F.max(F.struct("similarity", (-F.col("start_word")).alias("back"))).alias("best")
     )

@@ -354,3 +354,15 @@ def test_pipeline_drops_loose_near_copies(spark, tmp_path):
     assert ((simhash.fingerprint(rows[0][1]) ^ simhash.fingerprint(rows[1][1])) % 2**64).bit_count() > 3 and len(five(rows[0][1]) & five(rows[2][1])) < 0.8 * 76
     kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs_of(spark, rows), str(tmp_path))
     assert {r.doc_id for r in kept.collect()} == {1, 3}
+
+
+@pytest.mark.parametrize("stem", [False, True])
+def test_decontamination_repeated_items_and_shared_stems(spark, stem):
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(9000)}" for _ in range(59)]
+    items = [(i, " ".join([*base, f"end{i}"] if stem else base)) for i in range(5)]
+    near = [*base, "end0"] if stem else list(base)
+    near[30] = "changed"
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs_of(spark, [(1, " ".join(near)), (2, "clean words")]), bench).collect()}
+    assert (1, 0) in got and all(d == 1 for d, _ in got) and (stem or len(got) == 5)
