@@ -101,3 +101,22 @@ def test_streaming_equals_batch(spark, tmp_path):
     q.stop()
     got = {tuple(r) for r in spark.sql("SELECT * FROM totals").collect()}
     assert got == {tuple(r) for r in incremental.windowed_totals(rows).collect()}
+
+
+def test_fuzzy_match_cascade_against_brute_force(spark, tmp_path):
+    import difflib
+
+    from terravane.plans import matching
+
+    customers = [(i, f"Customer#{i * 37 % 50:04d}", i % 2, float(i * 700 - 1000)) for i in range(1, 13)] + [(20, "Supplier#0007", 0, -5.0), (21, None, 0, 9900.0)]
+    suppliers = [(i, f"Supplier#{i:04d}", i % 2) for i in range(1, 9)] + [(30, "Customer#0037", 1), (31, "Supplier#0007", 0)]
+    spark.createDataFrame(customers, "c_custkey long, c_name string, c_nationkey int, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame(suppliers, "s_suppkey long, s_name string, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    pairs = [(1 - difflib.SequenceMatcher(None, a, b).ratio(), l, r, n) for l, a, n, _ in customers if a for r, b, m in suppliers if n == m]
+    used, want = set(), set()
+    for cost, l, r, n in sorted(p for p in pairs if p[0] <= 0.45):
+        if not used & {("l", l), ("r", r)}:
+            used |= {("l", l), ("r", r)}
+            want.add((n, l, r))
+    got = {(x.day, x.left_id, x.right_id) for x in matching.fuzzy_match_cascade(spark, str(tmp_path)).collect()}
+    assert got == want and (0, 20, 31) in got and (1, 1, 30) in got
