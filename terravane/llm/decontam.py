@@ -1,27 +1,31 @@
 """Benchmark decontamination in DataFrame functions only.
 
-A benchmark item of n words is looked for in document windows of n words. Windows are anchored where a document shares a
-word shingle with the item: a window that shares none has similarity zero, so no window that could pass is left out. Windows and
-items get a weighted SimHash; fingerprints are cut into radius + 1 blocks, of which at least one is equal whenever two
-differ in no more than radius bits, so the equi-join on blocks brings together every item and item-sized window within the
-radius. Each such pair is verified by its exact weighted-shingle similarity: the sum of the smaller weights over the sum of the larger ones.
+A benchmark item of n words is looked for in document windows of n words. A window that reaches the similarity holds some of
+the item's rarest shingles (its prefix, below), so documents and items meet there first; each pair's windows are then
+those that put a shared shingle at its place in the item. Windows and items get two SimHashes, one over weighted and one over plain
+shingles. Fingerprints are cut into radius + 1 blocks, of which at least one is equal whenever two differ in no more than
+radius bits: the equi-join on blocks brings together every window and its item within the radius in either fingerprint. Each
+such pair is verified by its exact shingle similarity: the sum of the smaller weights over the sum of the larger ones.
 
 A shingle weighs one over the number of different item texts that hold it, so what many items share counts little; a shingle that
 no item holds weighs one. As that would let new words outweigh a shared stem, a pair also passes by its plain similarity, in which every
-shingle weighs one; that way takes no account of fingerprints.
+shingle weighs one. A feature enters a SimHash with the root of its weight: then two sets of similarity J have an angle whose
+cosine is at least 2 J / (1 + J), whatever the weights, and a pair at 0.8 differs in more than 22 of 64 bits about once in 10^4.
+
+Documents meet the items' shingles through a Bloom filter, a constant of the plan of at most ``FILTER_BITS`` bits at every benchmark
+size: only documents that may hold a shingle, and of them only the positions that may, go on. What it lets through by chance the joins drop.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terravane.llm.shared import staged
 
-BROADCAST_SHINGLES = 1_000_000
-GATE_SHINGLES = 1 << 16
+FILTER_BITS = 1 << 23
 
 
 def words(text: Column) -> Column:
@@ -41,7 +45,7 @@ def _hashed(table: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def item_shingles(benchmark: DataFrame, shingle_words: int) -> DataFrame:
-    """(item_id, size, n_words, item_pos, h, weight); an item with fewer words than a shingle is one shingle. Items without a word drop out."""
+    """(item_id, size, n_words, item_pos, h, weight, holders); an item with fewer words than a shingle is one shingle. Items without a word drop out."""
     rows = _hashed(benchmark.where(F.col("item_id").isNotNull()), "item_id", "text").where(F.size("w") > 0).distinct().withColumn("body", F.xxhash64("w"))
     sizes = [rows.where(F.size("w") >= shingle_words).select("item_id", "body", F.lit(shingle_words).alias("size"), F.size("w").alias("n_words"), F.posexplode(shingles(F.col("w"), shingle_words)).alias("item_pos", "h"))]
     sizes += [
@@ -49,33 +53,43 @@ def item_shingles(benchmark: DataFrame, shingle_words: int) -> DataFrame:
         for k in range(1, shingle_words)
     ]
     flat = reduce(DataFrame.unionByName, sizes)
-    weight = flat.groupBy("size", "h").agg((1 / F.count_distinct("body")).alias("weight"))
-    return flat.drop("body").join(weight, ["size", "h"])
+    weight = flat.groupBy("size", "h").agg(F.count_distinct("body").alias("holders"))
+    return flat.drop("body").join(weight, ["size", "h"]).withColumn("weight", 1 / F.col("holders"))
 
 
-def _gated(hashed: DataFrame, items: DataFrame, sizes: list[int]) -> DataFrame:
-    """The documents that hold a shingle of an item, all told.
+def bloom(items: DataFrame, shingles_held: int, most_bits: int = FILTER_BITS):
+    """A test ``hash -> may be an item's shingle`` as a Column function: two probes of a bit array, 32 bits a shingle up to ``most_bits``.
 
-    Without it every document's words would go through a shuffle to meet the few windows that were found in them. The hashes are
-    a constant of the plan (a hash set there) and grow with the benchmark only.
+    At most ``most_bits / 64`` numbers come to the driver, whatever the benchmark; a larger one only lets more through.
     """
+    bits = min(most_bits, max(64, 1 << (32 * shingles_held).bit_length()))
 
-    def shares(w: Column, size: int) -> Column:
-        known = sorted(r.h for r in items.where(F.col("size") == size).select("h").distinct().collect())
-        return F.exists(shingles(w, size), lambda h: h.isin(known))
+    def places(h: Column) -> list[Column]:
+        return [F.shiftrightunsigned(h, k).bitwiseAND(F.lit(bits - 1)) for k in (0, 31)]
 
-    def holds(w: Column) -> Column:
-        return reduce(Column.__or__, [shares(w, size) for size in sizes])
+    slots = items.select("h").distinct().select(F.explode(F.array(*places(F.col("h")))).alias("place"))
+    words_of = slots.groupBy(F.shiftright("place", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("mask"))
+    table = [0] * (bits // 64)
+    for r in words_of.collect():
+        table[r["word"]] = r["mask"]
+    mask = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")  # folds to one constant
 
-    # the words stand as an element of an array, so that a filter pushed below their projection computes them once a row
-    return hashed.where(F.exists(F.array("w"), holds))
+    def may(h: Column) -> Column:
+        tests = []
+        for place in places(h):
+            word = F.get(mask, F.shiftright(place, 6).cast("int"))
+            tests.append(F.call_function("shiftrightunsigned", word, place.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1)
+        return tests[0] & tests[1]
 
+    return may
 
-def _fingerprint(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Weighted SimHash of the (h, weight) rows of each key."""
-    bits = [F.expr(f"sum(if((shiftrightunsigned(h, {b}) & 1L) = 1L, weight, -weight)) AS b{b}") for b in range(64)]
+
+def _fingerprints(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, h, n, weight of one) -> (keys, kind, fp): the SimHashes over weighted and over plain shingles."""
+    both = rows.select(*keys, "h", F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), F.sqrt(value).alias("v")) for kind, value in (("weighted", F.col("n") * F.col("each")), ("plain", F.col("n").cast("double")))])).alias("f")).select(*keys, "h", "f.*")
+    bits = [F.expr(f"sum(if((shiftrightunsigned(h, {b}) & 1L) = 1L, v, -v)) AS b{b}") for b in range(64)]
     value = F.expr(" | ".join(f"if(b{b} > 0, shiftleft(1L, {b}), 0L)" for b in range(64)))
-    return rows.groupBy(*keys).agg(*bits, F.sum("weight").alias("total")).select(*keys, "total", value.alias("fp"))
+    return both.groupBy(*keys, "kind").agg(*bits).select(*keys, "kind", value.alias("fp"))
 
 
 def _blocks(radius: int) -> Column:
@@ -88,73 +102,89 @@ def _blocks(radius: int) -> Column:
     return F.expr(f"array({', '.join(parts)})")
 
 
+def prefixes(items: DataFrame, similarity: float) -> DataFrame:
+    """(item_id, size, h): the rarest shingles of each item, as many that what is left over cannot reach ``similarity`` alone, weighted or plain."""
+    order = Window.partitionBy("item_id").orderBy("holders", "h", "item_pos")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("item_id")
+    ranked = items.select(
+        "item_id", "size", "h", F.coalesce(F.sum("weight").over(before), F.lit(0.0)).alias("lighter"), (F.row_number().over(order) - 1).alias("fewer"),
+        F.sum("weight").over(whole).alias("weight_all"), F.count("*").over(whole).alias("n_all"),
+    )
+    left = 1 - similarity + 1e-9
+    return ranked.where((F.col("lighter") <= F.col("weight_all") * left) | (F.col("fewer") <= F.col("n_all") * left)).select("item_id", "size", "h").distinct()
+
+
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, shingle_words: int = 5, similarity: float = 0.8, radius: int = 15
+    docs: DataFrame, benchmark: DataFrame, shingle_words: int = 5, similarity: float = 0.8, radius: int = 22
 ) -> DataFrame:
-    """documents, benchmark -> (doc_id, item_id, start_word, n_words, similarity): the best window of each pair that reaches ``similarity``, weighted or plain; the larger one is told.
+    """documents, benchmark -> (doc_id, item_id, start_word, n_words, similarity): the best window of each pair that reaches ``similarity``, weighted or plain; the larger one is told, to nine digits.
 
     Ties go to the first window. A document shorter than the item is one window. Null and empty texts, and items without a word,
-    match nothing. Where rows repeat a doc_id, the best window of all its texts counts. Null ids take no part. An empty table gives no rows.
+    match nothing. Where rows repeat a doc_id, the best window of all its texts counts; equal rows count once. Null ids take no part, other columns are not read. An empty table gives no rows.
     """
     if not 0 <= radius < 64 or not 0 < similarity <= 1 or shingle_words < 1:
         raise ValueError("radius must be 0 to 63, similarity above 0 and at most 1, shingle_words positive")
     items = staged(item_shingles(benchmark, shingle_words), "decontam-items")
-    per_size = {r["size"]: r["n"] for r in items.groupBy("size").agg(F.count("*").alias("n")).collect()}
+    per_size = {r["size"]: r["n"] for r in items.groupBy("size").agg(F.count("*").alias("n")).collect()}  # at most shingle_words rows
+    if not per_size:
+        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, start_word int, n_words int, similarity double")
+    may, sizes = bloom(items, sum(per_size.values())), sorted(per_size)
     hashed = _hashed(docs.where(F.col("doc_id").isNotNull()), "doc_id", "text")
-    if per_size and sum(per_size.values()) <= GATE_SHINGLES:
-        hashed = _gated(hashed, items, sorted(per_size))
+    # the words stand as an element of an array, so that a filter pushed below their projection computes them once a row
+    hashed = hashed.where(F.exists(F.array("w"), lambda w: reduce(Column.__or__, [F.exists(shingles(w, size), may) for size in sizes])))
     # a document is told by its id and its words, so rows that repeat an id are told apart and equal rows count once
     hashed = staged(hashed.withColumn("body", F.xxhash64("w")).dropDuplicates(["doc_id", "body"]), "decontam-words")
     doc = ["doc_id", "body"]
-    seen = []
-    for size, n in sorted(per_size.items()):
-        known = items.where(F.col("size") == size).select("h", "item_id", "size", "n_words", "item_pos", "weight")
-        known = F.broadcast(known) if n <= BROADCAST_SHINGLES else known
-        flat = hashed.select(*doc, F.size("w").alias("doc_words"), F.posexplode(shingles(F.col("w"), size)).alias("pos", "h"))
-        seen.append(flat.join(known, "h"))
-    if not seen:
-        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, start_word int, n_words int, similarity double")
-    hits = staged(reduce(DataFrame.unionByName, seen).select(*doc, "doc_words", "pos", "item_id", "size", "n_words", "item_pos", "weight"), "decontam-hits")
+
+    def seen(size: int) -> DataFrame:
+        at = F.transform(shingles(F.col("w"), size), lambda h, i: F.struct(i.alias("pos"), h.alias("h")))
+        return hashed.select(*doc, F.size("w").alias("doc_words"), F.lit(size).alias("size"), F.inline(F.filter(at, lambda x: may(x["h"]))))
+
+    hits = staged(reduce(DataFrame.unionByName, [seen(size) for size in sizes]), "decontam-hits")
+    pairs = staged(hits.select(*doc, "size", "h").distinct().join(prefixes(items, similarity), ["size", "h"]).select(*doc, "item_id").distinct(), "decontam-pairs")
+    shared = staged(
+        pairs.join(items.select("item_id", "size", "n_words", "item_pos", "h", "weight"), "item_id").join(hits, [*doc, "size", "h"])
+        .select(*doc, "doc_words", "pos", "item_id", "size", "n_words", "item_pos", "weight"),
+        "decontam-shared",
+    )
     # a pair whose shared weight and count are below similarity times the item's cannot pass: shared / larger sum <= shared / item sum
     needed = items.groupBy("item_id").agg(F.sum("weight").alias("item_total"), F.count("*").alias("item_n"))
-    shared = hits.select(*doc, "item_id", "item_pos", "weight").distinct().groupBy(*doc, "item_id").agg(F.sum("weight").alias("shared"), F.count("*").alias("shared_n"))
-    able = shared.join(needed, "item_id").where((F.col("shared") >= F.col("item_total") * similarity - 1e-9) | (F.col("shared_n") >= F.col("item_n") * similarity - 1e-9)).select(*doc, "item_id")
+    sums = shared.select(*doc, "item_id", "item_pos", "weight").distinct().groupBy(*doc, "item_id").agg(F.sum("weight").alias("shared"), F.count("*").alias("shared_n"))
+    able = sums.join(needed, "item_id").where((F.col("shared") >= F.col("item_total") * similarity - 1e-9) | (F.col("shared_n") >= F.col("item_n") * similarity - 1e-9)).select(*doc, "item_id")
     last = F.greatest(F.col("doc_words") - F.col("n_words"), F.lit(0))
     start = F.greatest(F.least(F.col("pos") - F.col("item_pos"), last), F.lit(0))
-    windows = staged(
-        hits.join(able, [*doc, "item_id"], "left_semi").select(*doc, "size", "n_words", start.alias("start_word")).distinct(), "decontam-windows"
-    )
+    key = [*doc, "size", "n_words", "start_word"]
+    windows = staged(shared.join(able, [*doc, "item_id"], "left_semi").select(*doc, "item_id", "size", "n_words", start.alias("start_word")).distinct(), "decontam-windows")
     wanted = windows.groupBy(*doc).agg(F.collect_set(F.struct("size", "n_words", "start_word")).alias("windows"))
     again = hashed.join(wanted, doc).select(*doc, "w", F.explode("windows").alias("window"))
     cut = again.select(*doc, "window.*", F.slice(F.col("w"), F.col("window.start_word") + 1, F.col("window.n_words")).alias("part"))
     flat = reduce(
         DataFrame.unionByName,
-        [cut.where(F.col("size") == size).select(*doc, "size", "n_words", "start_word", F.explode(shingles(F.col("part"), size)).alias("h")) for size in sorted(per_size)],
+        [cut.where(F.col("size") == size).select(*key, F.explode(shingles(F.col("part"), size)).alias("h")) for size in sizes],
     )
-    key = [*doc, "size", "n_words", "start_word"]
-    weights = F.broadcast(items.select("size", "h", "weight").distinct()) if sum(per_size.values()) <= BROADCAST_SHINGLES else items.select("size", "h", "weight").distinct()
+    weights = items.select("size", "h", "weight").distinct()
     weighed = staged(
-        flat.groupBy(*key, "h").agg(F.count("*").alias("n")).join(weights, ["size", "h"], "left")
-        .select(*key, "h", "n", F.coalesce("weight", F.lit(1.0)).alias("each"), (F.col("n") * F.coalesce("weight", F.lit(1.0))).alias("weight")),
+        flat.groupBy(*key, "h").agg(F.count("*").alias("n")).join(weights, ["size", "h"], "left").select(*key, "h", "n", F.coalesce("weight", F.lit(1.0)).alias("each")),
         "decontam-weighed",
     )
-    counted = items.groupBy("item_id", "size", "n_words", "h").agg(F.count("*").alias("n"), F.sum("weight").alias("weight"))
-    item_fp = _fingerprint(counted, ["item_id", "size", "n_words"]).withColumn("at", F.explode(_blocks(radius))).select("item_id", "size", "n_words", F.col("total").alias("item_total"), F.col("fp").alias("item_fp"), "at.*")
-    window_fp = staged(_fingerprint(weighed, key), "decontam-prints").withColumn("at", F.explode(_blocks(radius))).select(*key, "total", "fp", "at.*")
+    counted = staged(items.groupBy("item_id", "h").agg(F.count("*").alias("n"), F.first("weight").alias("each")), "decontam-counted")
+    item_fp = _fingerprints(counted, ["item_id"]).withColumn("at", F.explode(_blocks(radius))).select("item_id", "kind", F.col("fp").alias("item_fp"), "at.*")
+    window_fp = windows.join(staged(_fingerprints(weighed, key), "decontam-prints"), key).withColumn("at", F.explode(_blocks(radius))).select(*key, "item_id", "kind", "fp", "at.*")
     near = (
-        window_fp.join(item_fp, ["size", "n_words", "block", "part"])
-        .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
-        .select(*key, "total", "item_id", "item_total").distinct()
+        window_fp.join(item_fp, ["item_id", "kind", "block", "part"])
+        .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius).select(*key, "item_id").distinct()
     )
-    same = weighed.select(*key, "h", F.col("n").alias("here"), "each").join(counted.select("item_id", "h", F.col("n").alias("there")), "h")
-    common = same.groupBy(*key, "item_id").agg(F.sum(F.least("here", "there") * F.col("each")).alias("common"), F.sum(F.least("here", "there")).alias("common_n"))
-    scored = near.join(common, [*key, "item_id"]).withColumn("similarity", F.col("common") / (F.col("total") + F.col("item_total") - F.col("common")))
-    plain = (
-        common.join(weighed.groupBy(*key).agg(F.sum("n").alias("total_n")), key).join(needed.select("item_id", "item_n"), "item_id")
-        .withColumn("similarity", F.col("common_n") / (F.col("total_n") + F.col("item_n") - F.col("common_n")))
+    near = staged(near, "decontam-near")
+    same = near.join(weighed, key).join(counted.select("item_id", "h", F.col("n").alias("there")), ["item_id", "h"])
+    both = F.least("n", "there")
+    common = same.groupBy(*key, "item_id").agg(F.sum(both * F.col("each")).alias("common"), F.sum(both).alias("common_n"))
+    totals = weighed.groupBy(*key).agg(F.sum(F.col("n") * F.col("each")).alias("total"), F.sum("n").alias("total_n"))
+    alike = lambda common, total, item: F.col(common) / (F.col(total) + F.col(item) - F.col(common))
+    scored = common.join(totals, key).join(needed, "item_id").withColumn(
+        "similarity", F.round(F.greatest(alike("common", "total", "item_total"), alike("common_n", "total_n", "item_n")), 9)
     )
-    scored = reduce(DataFrame.unionByName, [x.select(*key, "item_id", "similarity") for x in (scored, plain)])
-    best = scored.where(F.col("similarity") >= similarity - 1e-12).groupBy("doc_id", "item_id", "n_words").agg(
+    best = scored.where(F.col("similarity") >= similarity - 1e-9).groupBy("doc_id", "item_id", "n_words").agg(
         F.max(F.struct("similarity", (-F.col("start_word")).alias("back"))).alias("best")
     )
     return best.select("doc_id", "item_id", (-F.col("best.back")).alias("start_word"), "n_words", "best.similarity")

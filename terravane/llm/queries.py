@@ -110,6 +110,37 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
 """
 
+OP6_SQL = r"""
+WITH i AS (
+  SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+), ip AS (
+  SELECT item_id, w, least(len(w), 5) AS size, len(w) AS n_words, unnest(range(0, len(w) - least(len(w), 5) + 1)) AS item_pos FROM i WHERE len(w) > 0
+), ish AS (SELECT item_id, w, size, n_words, item_pos, array_to_string(w[item_pos + 1 : item_pos + size], ' ') AS h FROM ip
+), wt AS (SELECT size, h, 1.0 / count(DISTINCT w) AS weight FROM ish GROUP BY 1, 2
+), tot AS (SELECT item_id, sum(weight) AS item_total, count(*) AS item_n FROM ish JOIN wt USING (size, h) GROUP BY 1
+), icnt AS (SELECT item_id, h, count(*) AS there FROM ish GROUP BY 1, 2
+), d AS (
+  SELECT DISTINCT doc_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
+), b AS (SELECT row_number() OVER () AS body, doc_id, w FROM d
+), dp AS (SELECT body, w, size, unnest(range(0, len(w) - size + 1)) AS pos FROM b, (SELECT DISTINCT size FROM ish) WHERE len(w) >= size
+), dsh AS (SELECT body, len(w) AS doc_words, size, pos, array_to_string(w[pos + 1 : pos + size], ' ') AS h FROM dp
+), win AS (
+  SELECT DISTINCT body, item_id, size, n_words, greatest(least(pos - item_pos, greatest(doc_words - n_words, 0)), 0) AS start_word FROM dsh JOIN ish USING (size, h)
+), cut AS (SELECT win.*, w[start_word + 1 : start_word + n_words] AS part FROM win JOIN b USING (body)
+), wp AS (SELECT body, item_id, size, n_words, start_word, part, unnest(range(0, len(part) - size + 1)) AS p FROM cut
+), wsh AS (
+  SELECT body, item_id, size, n_words, start_word, array_to_string(part[p + 1 : p + size], ' ') AS h, count(*) AS n FROM wp GROUP BY ALL
+), s AS (
+  SELECT body, item_id, n_words, start_word, sum(n * coalesce(weight, 1.0)) AS total, sum(n) AS total_n,
+         coalesce(sum(CASE WHEN there > 0 THEN least(n, there) * weight END), 0) AS common, coalesce(sum(CASE WHEN there > 0 THEN least(n, there) END), 0) AS common_n
+  FROM wsh LEFT JOIN wt USING (size, h) LEFT JOIN icnt USING (item_id, h) GROUP BY 1, 2, 3, 4
+), r AS (
+  SELECT doc_id, item_id, n_words, start_word, round(greatest(common / (total + item_total - common), common_n / (total_n + item_n - common_n)), 9) AS similarity
+  FROM s JOIN tot USING (item_id) JOIN b USING (body)
+), k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start_word) AS place FROM r WHERE similarity >= 0.8 - 1e-9)
+SELECT doc_id, item_id, CAST(start_word AS INTEGER) AS start_word, CAST(n_words AS INTEGER) AS n_words, CAST(similarity AS DOUBLE) AS similarity FROM k WHERE place = 1
+"""
+
 OP7_SQL = r"""
 WITH p AS (
   SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
@@ -130,4 +161,4 @@ FROM u
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": OP3_SQL, "op4_rotated_codes": OP4_SQL, "op7_warc": OP7_SQL}
+    return {"op3_chat_format": OP3_SQL, "op4_rotated_codes": OP4_SQL, "op6_decontamination": OP6_SQL, "op7_warc": OP7_SQL}

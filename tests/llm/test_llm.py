@@ -434,3 +434,56 @@ def test_decontamination_repeated_items_and_shared_stems(spark, stem):
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs_of(spark, [(1, " ".join(near)), (2, "clean words")]), bench).collect()}
     assert (1, 0) in got and all(d == 1 for d, _ in got) and (stem or len(got) == 5)
+
+
+def oracle_rows(sql, **tables):
+    import duckdb
+
+    con = duckdb.connect()
+    for name, path in tables.items():
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    found = con.execute(sql)
+    names = [x[0] for x in found.description]
+    return [dict(zip(names, r, strict=True)) for r in found.fetchall()]
+
+
+def test_decontamination_query_against_sql(spark):
+    from terravane.llm import queries
+
+    d = "/root/testdata/sf0.01"
+    want = oracle_rows(queries.OP6_SQL, documents=f"{d}/documents.parquet", benchmark=f"{d}/benchmark.parquet")
+    got = [r.asDict() for r in queries.op6_decontamination(spark, d).collect()]
+    assert sorted(map(str, got)) == sorted(str({k: r[k] for k in got[0]}) for r in want) and len(got) > 5
+
+
+def test_decontamination_prefixes_and_a_large_benchmark(spark):
+    rng = random.Random(14)
+    word = lambda: f"v{rng.randrange(30000)}"
+    stem = [word() for _ in range(50)]
+    items = [(i, " ".join([*stem, *(word() for _ in range(10))] if i % 10 == 0 else [word() for _ in range(60)])) for i in range(1700)]
+    near = []
+    for i in range(0, 1700, 17):
+        w = items[i][1].split()
+        w[rng.randrange(len(w))] = "changed"
+        near.append((i, " ".join([word() for _ in range(20)] + w + [word() for _ in range(20)])))
+    rows = near + [(5000 + i, " ".join(word() for _ in range(120))) for i in range(100)] + [(None, items[3][1]), (6000, items[3][1] + " x" * 30000)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert sum(len(t.split()) - 4 for _, t in items) > 1 << 16
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs_of(spark, rows), bench).collect()}
+    assert got >= {(i, i) for i, _ in near} | {(6000, 3)}
+    # beside its own item, a text with the shared stem meets only others with the stem
+    assert all(a == b or (a % 10 == b % 10 == 0) for a, b in got if a < 5000) and not any(5000 <= a < 6000 or a is None for a, _ in got)
+    assert decontam.bloom(decontam.staged(decontam.item_shingles(bench, 5), "t"), 70000, 1 << 12)  # a filter too small for its items still is one
+
+
+def test_simhash_radius_keeps_pairs_at_the_threshold():
+    rng, lost, pairs = np.random.default_rng(5), 0, 3000
+    for _ in range(pairs):
+        n = int(rng.integers(10, 150))
+        common = math.ceil(2 * n * 0.8 / 1.8)  # two sets of n with a similarity of 0.8
+        hashes = rng.integers(0, 1 << 64, 2 * n - common, dtype=np.uint64)
+        weight = np.sqrt(1 / rng.integers(1, 6, len(hashes)))
+        signs = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).astype(float) * 2 - 1
+        a, b = (signs[:n] * weight[:n, None]).sum(axis=0) > 0, (signs[n - common :] * weight[n - common :, None]).sum(axis=0) > 0
+        lost += int((a != b).sum() > 22)
+    assert lost <= 6, lost
