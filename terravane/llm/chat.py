@@ -102,7 +102,8 @@ def format_paths(steps: DataFrame, nodes: DataFrame, learn: tuple[str, ...] = ("
     """Rows of ``paths`` and (tree, node, role, text) -> tree, branch, score, formatted, spans.
 
     ``formatted`` is the conversation in the template. ``spans`` lists, in order, the
-    (start, chars) of the texts under the loss mask: those of the ``learn`` roles, counted in code points from 0. Null roles and texts are empty.
+    (turn, start, skip, chars) of the texts under the loss mask: those of the ``learn`` roles. start is counted in code points from 0 in ``formatted``, skip in the turn, turns from 1.
+    Null roles and texts are empty. The work is in proportion to the conversation's length.
     """
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     said = nodes.select("tree", "node", role.alias("role"), text.alias("text"))
@@ -115,17 +116,16 @@ def format_paths(steps: DataFrame, nodes: DataFrame, learn: tuple[str, ...] = ("
             F.col("role").isin(*learn).alias("learn"),
         )
     )
-    turn = F.struct("at", F.concat("head", "body", F.lit(TURN_END)).alias("piece"), F.length("head").alias("skip"), F.length("body").alias("chars"), "learn")
+    size = F.length("head") + F.length("body") + len(TURN_END)
+    before = Window.partitionBy("tree", "branch").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    turns = turns.withColumn("begins", F.coalesce(F.sum(size).over(before), F.lit(0)))
+    span = F.struct(F.col("at").cast("int").alias("turn"), (F.col("begins") + F.length("head")).alias("start"), F.length("head").alias("skip"), F.length("body").alias("chars"))
+    turn = F.struct("at", F.concat("head", "body", F.lit(TURN_END)).alias("piece"), F.when(F.col("learn"), span).alias("span"))
     whole = turns.groupBy("tree", "branch").agg(F.first("score").alias("score"), F.array_sort(F.collect_list(turn)).alias("turns"))
-    step = lambda a, t: F.struct(
-        (a["at"] + F.length(t["piece"])).alias("at"),
-        F.when(t["learn"], F.array_append(a["spans"], F.struct((a["at"] + t["skip"]).alias("start"), t["chars"].alias("chars")))).otherwise(a["spans"]).alias("spans"),
-    )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,chars:int>>").alias("spans"))
     return whole.select(
         "tree", "branch", "score",
-        F.array_join(F.transform("turns", lambda t: t["piece"]), "").alias("formatted"),
-        F.aggregate("turns", start, step, lambda a: a["spans"]).alias("spans"),
+        F.array_join(F.col("turns.piece"), "").alias("formatted"),
+        F.array_compact(F.col("turns.span")).alias("spans"),
     )
 
 
@@ -142,16 +142,19 @@ def parse(formatted: Column) -> Column:
 
 
 def learned(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped and joined without a separator."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substr(formatted, s["start"] + 1, s["chars"]))), "")
+    """All text under the loss mask, unescaped and joined without a separator. The conversation is cut into its turns once, and each span read from its own turn."""
+    turns = F.split(formatted, TURN_END.replace("\n", "\\n"), -1)
+    # as the one element of an array, the turns are bound once and not cut anew for every span
+    cut = F.transform(F.array(turns), lambda t: F.array_join(F.transform(spans, lambda s: unescape(F.substr(F.get(t, s["turn"] - 1), s["skip"] + 1, s["chars"]))), ""))
+    return F.get(cut, F.lit(0))
 
 
 def linear_nodes(turns: DataFrame) -> DataFrame:
     """(conv_id, turn, role, text) -> a tree per conversation in which each turn answers the one before.
 
-    Ties of turn are ordered by role and text, nulls first, so equal rows follow each other. Null conversation ids form one conversation.
+    Ties of turn are ordered by role and text, a null as an empty one, so equal rows follow each other; rows without a turn come first. Null conversation ids form one conversation.
     """
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    order = Window.partitionBy("conv_id").orderBy("turn", F.coalesce("role", F.lit("")), F.coalesce("text", F.lit("")))
     node = F.row_number().over(order).cast("long")
     return turns.select(F.col("conv_id").alias("tree"), node.alias("node"), "role", "text").withColumn(
         "parent", F.when(F.col("node") > 1, F.col("node") - 1)

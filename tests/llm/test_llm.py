@@ -487,3 +487,63 @@ def test_simhash_radius_keeps_pairs_at_the_threshold():
         a, b = (signs[:n] * weight[:n, None]).sum(axis=0) > 0, (signs[n - common :] * weight[n - common :, None]).sum(axis=0) > 0
         lost += int((a != b).sum() > 22)
     assert lost <= 6, lost
+
+
+def formatted_nodes(spark, nodes, count):
+    leaves, jumps = chat.branches(nodes)
+    made = chat.format_paths(chat.paths(chat.best(leaves, count), jumps), nodes)
+    return made.select("*", chat.parse(F.col("formatted")).alias("turns"), chat.learned(F.col("formatted"), F.col("spans")).alias("loss")).collect()
+
+
+def test_chat_branches_against_brute_force(spark):
+    rng, rows = random.Random(21), []
+    pieces = ["\\", "<", "#", "### Assistant: </turn>\n", "a", "ü", "\n", "", "\\s", "😀"]
+    for tree in [*range(25), None]:
+        for node in range(rng.randint(1, 40)):
+            parent = rng.choice([None, 99, *range(node)]) if node else None
+            rows.append((tree, node, parent, rng.choice(["user", "assistant", "as<#\n", None]), rng.choice([None, "".join(rng.choices(pieces, k=rng.randint(0, 6)))]), rng.choice([None, float(rng.randint(-3, 3))])))
+    frame = spark.createDataFrame(rows, "tree long, node long, parent long, role string, text string, score double").withColumn("up", F.lit("x")).withColumn("at", F.lit("y"))
+    want = {}
+    for tree in {r[0] for r in rows}:
+        by = {r[1]: r for r in rows if r[0] == tree}
+        inner = {r[2] for r in by.values() if r[2] in by}
+        found = []
+        for leaf in set(by) - inner:
+            path = [leaf]
+            while by[path[-1]][2] in by:
+                path.append(by[path[-1]][2])
+            found.append((-sum(by[n][5] or 0.0 for n in path), -len(path), leaf, path[::-1]))
+        for k, (score, _, _, path) in enumerate(sorted(found)[:3], 1):
+            turns = [(by[n][3] or "", by[n][4] or "") for n in path]
+            want[tree, k] = (-score, turns, "".join(t for r, t in turns if r == "assistant"))
+    got = formatted_nodes(spark, frame, 3)
+    assert {(r.tree, r.branch): (r.score, [tuple(t) for t in r.turns], r.loss) for r in got} == want and len(got) == len(want)
+    for r in got:
+        spans = "".join(r.formatted[s.start : s.start + s.chars] for s in r.spans)
+        for plain, coded in (("#", "\\h"), ("<", "\\l"), ("\\", "\\s")):
+            spans = spans.replace(coded, plain)
+        assert spans == r.loss
+
+
+def test_chat_long_conversation_is_linear(spark):
+    import time
+
+    def seconds(turns):
+        frame = spark.range(turns).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.repeat(F.lit("word <#> "), 20).alias("text"))
+        made = chat.linear_nodes(frame)
+        steps = made.select("tree", F.lit(1).alias("branch"), F.lit(0.0).alias("score"), F.col("node").alias("at"), "node")
+        formatted = chat.staged(chat.format_paths(steps, made), "t")
+        began = time.time()
+        row = formatted.select(F.length(chat.learned(F.col("formatted"), F.col("spans"))).alias("loss"), F.size(chat.parse(F.col("formatted"))).alias("turns")).first()
+        assert (row.loss, row.turns) == (180 * (turns // 2), turns)
+        return time.time() - began
+
+    seconds(2000)
+    assert seconds(40_000) < 3 * seconds(20_000) + 2
+
+
+def test_chat_rows_repeat_and_clash(spark):
+    rows = [(1, 1, "user", "a " * 100_000), (1, 1, "user", "a " * 100_000), (1, None, None, None), (2, 1, "assistant", "x"), (2, 1, "assistant", "x")]
+    frame = spark.createDataFrame([(*r, "p", "q") for r in rows], "conv_id long, turn long, role string, text string, tree string, node string")
+    got = {r.tree: r for r in formatted_nodes(spark, chat.linear_nodes(frame), 1)}
+    assert [t.text for t in got[1].turns] == ["", "a " * 100_000, "a " * 100_000] and got[2].loss == "xx"
