@@ -12,8 +12,8 @@ no item holds weighs one. As that would let new words outweigh a shared stem, a
 shingle weighs one. A feature enters a SimHash with the root of its weight: then two sets of similarity J have an angle whose
 cosine is at least 2 J / (1 + J), whatever the weights, and a pair at 0.8 differs in more than 22 of 64 bits about once in 10^4.
 
-Documents meet the items' shingles through a Bloom filter, a constant of the plan of at most ``FILTER_BITS`` bits at every benchmark
-size: only documents that may hold a shingle, and of them only the positions that may, go on. What it lets through by chance the joins drop.
+Documents meet the items' shingles through Bloom filters, constants of the plan of at most ``FILTER_BITS`` bits at every benchmark
+size: only documents that may hold a prefix shingle, and of them only the positions that may hold any, go on. What the filters let through by chance the joins drop.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from terravane.llm.shared import staged
 
-FILTER_BITS = 1 << 23
+FILTER_BITS = 1 << 25
 
 
 def words(text: Column) -> Column:
@@ -57,31 +57,34 @@ def item_shingles(benchmark: DataFrame, shingle_words: int) -> DataFrame:
     return flat.drop("body").join(weight, ["size", "h"]).withColumn("weight", 1 / F.col("holders"))
 
 
-def bloom(items: DataFrame, shingles_held: int, most_bits: int = FILTER_BITS):
-    """A test ``hash -> may be an item's shingle`` as a Column function: two probes of a bit array, 32 bits a shingle up to ``most_bits``.
+def bloom(items: DataFrame, most_bits: int = FILTER_BITS):
+    """A test ``hash -> may be one of the table's h`` as a Column function: four probes of a bit array, 128 bits a shingle up to ``most_bits``, behind one look into a small table of flags that spares most hashes the probes.
 
-    At most ``most_bits / 64`` numbers come to the driver, whatever the benchmark; a larger one only lets more through.
+    At most ``most_bits / 64`` numbers come to the driver, whatever the table; a larger one only lets more through.
     """
-    bits = min(most_bits, max(64, 1 << (32 * shingles_held).bit_length()))
+    held = items.select("h").distinct()
+    bits, flags = min(most_bits, max(64, 1 << (64 * held.count()).bit_length())), 1 << 18
 
     def places(h: Column) -> list[Column]:
-        return [F.shiftrightunsigned(h, k).bitwiseAND(F.lit(bits - 1)) for k in (0, 31)]
+        half = F.lit((1 << 31) - 1)  # sums of halves cannot overflow
+        return [(h.bitwiseAND(half) + F.shiftrightunsigned(h, 31).bitwiseAND(half) * i).bitwiseAND(F.lit(bits - 1)) for i in range(4)]
 
-    slots = items.select("h").distinct().select(F.explode(F.array(*places(F.col("h")))).alias("place"))
+    slots = held.select(F.explode(F.array(*places(F.col("h")))).alias("place"))
     words_of = slots.groupBy(F.shiftright("place", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("mask"))
     table = [0] * (bits // 64)
     for r in words_of.collect():
         table[r["word"]] = r["mask"]
-    mask = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")  # folds to one constant
+    some = [0] * flags
+    for r in held.select(F.col("h").bitwiseAND(F.lit(flags - 1)).alias("flag")).distinct().collect():  # at most as many as there are flags
+        some[r["flag"]] = 1
+    # each folds to one constant
+    mask, flag = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>"), F.split(F.lit(",".join(map(str, some))), ",").cast("array<boolean>")
 
-    def may(h: Column) -> Column:
-        tests = []
-        for place in places(h):
-            word = F.get(mask, F.shiftright(place, 6).cast("int"))
-            tests.append(F.call_function("shiftrightunsigned", word, place.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1)
-        return tests[0] & tests[1]
+    def probe(place: Column) -> Column:
+        word = F.get(mask, F.shiftright(place, 6).cast("int"))
+        return F.call_function("shiftrightunsigned", word, place.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
-    return may
+    return lambda h: reduce(Column.__and__, map(probe, places(h)), F.get(flag, h.bitwiseAND(F.lit(flags - 1)).cast("int")))
 
 
 def _fingerprints(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -129,10 +132,11 @@ def contaminated(
     per_size = {r["size"]: r["n"] for r in items.groupBy("size").agg(F.count("*").alias("n")).collect()}  # at most shingle_words rows
     if not per_size:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, start_word int, n_words int, similarity double")
-    may, sizes = bloom(items, sum(per_size.values())), sorted(per_size)
+    first, sizes = staged(prefixes(items, similarity), "decontam-prefixes"), sorted(per_size)
+    begins, may = bloom(first), bloom(items)
     hashed = _hashed(docs.where(F.col("doc_id").isNotNull()), "doc_id", "text")
     # the words stand as an element of an array, so that a filter pushed below their projection computes them once a row
-    hashed = hashed.where(F.exists(F.array("w"), lambda w: reduce(Column.__or__, [F.exists(shingles(w, size), may) for size in sizes])))
+    hashed = hashed.where(F.exists(F.array("w"), lambda w: reduce(Column.__or__, [F.exists(shingles(w, size), begins) for size in sizes])))
     # a document is told by its id and its words, so rows that repeat an id are told apart and equal rows count once
     hashed = staged(hashed.withColumn("body", F.xxhash64("w")).dropDuplicates(["doc_id", "body"]), "decontam-words")
     doc = ["doc_id", "body"]
@@ -142,7 +146,7 @@ def contaminated(
         return hashed.select(*doc, F.size("w").alias("doc_words"), F.lit(size).alias("size"), F.inline(F.filter(at, lambda x: may(x["h"]))))
 
     hits = staged(reduce(DataFrame.unionByName, [seen(size) for size in sizes]), "decontam-hits")
-    pairs = staged(hits.select(*doc, "size", "h").distinct().join(prefixes(items, similarity), ["size", "h"]).select(*doc, "item_id").distinct(), "decontam-pairs")
+    pairs = staged(hits.select(*doc, "size", "h").distinct().join(first, ["size", "h"]).select(*doc, "item_id").distinct(), "decontam-pairs")
     shared = staged(
         pairs.join(items.select("item_id", "size", "n_words", "item_pos", "h", "weight"), "item_id").join(hits, [*doc, "size", "h"])
         .select(*doc, "doc_words", "pos", "item_id", "size", "n_words", "item_pos", "weight"),
