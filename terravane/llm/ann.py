@@ -4,11 +4,13 @@ A vector is centred on the mean, normalised and rotated by a seeded random ortho
 coordinate. With the correction scalar c = <code / sqrt(d), rotated unit vector>, the inner product of the unit vector and a
 query is estimated as <code / sqrt(d), rotated query> / c, and the estimate errs by more than
 ``epsilon * |query| * sqrt((1 - c^2) / c^2 / (d - 1))`` only with a probability that falls exponentially in ``epsilon``.
-From estimate and bound come a lower and an upper bound of each distance: the vectors whose lower bound is no
-greater than the k-th least upper bound are measured exactly on the original vectors.
+The rotated query is rounded to ``query_bits`` bits a coordinate and kept as bit planes, so <code, query> is a sum of
+popcounts of packed words; the rounding's exact error is added to the bound. From estimate and bound come a lower and an upper bound of each distance.
 
-Queries and vectors are dealt into blocks by the hash of their id; each pair of blocks is one task of bounded size
-that returns k rows a query, and a second, small step merges them. Every vector has a code and is compared with every query.
+Codes and planes are dealt into blocks by the hash of their row; each pair of blocks is one task of bounded size. A first
+pass finds each query's k-th least upper bound over all codes, a second one picks the vectors whose lower bound is no greater.
+Only codes and scalars are replicated over the query blocks: the original vectors are joined to the picked rows alone, which are then
+measured exactly. Every vector has a code and is compared with every query.
 """
 
 from __future__ import annotations
@@ -45,111 +47,158 @@ def bad_of(vec: Column) -> Column:
 
 
 def means(rows: DataFrame) -> dict[int, np.ndarray]:
-    """The mean vector of each number of dimensions: one partial sum a partition comes to the driver."""
+    """The mean vector of each number of dimensions; one number a dimension comes to the driver, whatever the rows."""
+    found = rows.select("dims", F.posexplode("vec").alias("pos", "x")).groupBy("dims", "pos").agg(F.avg("x").alias("mean")).collect()
+    out = {d: np.zeros(d) for d in {r.dims for r in found}}
+    for r in found:
+        out[r.dims][r.pos] = r.mean
+    return out
 
-    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[int, tuple[np.ndarray, int]] = {}
-        for pdf in batches:
-            for d, g in pdf.groupby("dims"):
-                s, n = sums.get(d, (np.zeros(d), 0))
-                sums[d] = (s + np.stack(g["vec"].to_numpy()).sum(axis=0), n + len(g))
-        yield pd.DataFrame([(d, s, n) for d, (s, n) in sums.items()], columns=["dims", "total", "n"])
 
-    out: dict[int, tuple[np.ndarray, int]] = {}
-    for r in sorted(rows.mapInPandas(part, "dims int, total array<double>, n long").collect(), key=lambda r: (r.dims, r.n, r.total)):
-        s, n = out.get(r.dims, (np.zeros(r.dims), 0))
-        out[r.dims] = (s + np.array(r.total), n + r.n)
-    return {d: s / n for d, (s, n) in out.items()}
+def words_of(bits: np.ndarray) -> np.ndarray:
+    """(n, d) booleans -> (n, ceil(d / 64)) packed words."""
+    packed = np.packbits(bits, axis=1)
+    wide = np.zeros((len(bits), -(-bits.shape[1] // 64) * 8), np.uint8)
+    wide[:, : packed.shape[1]] = packed
+    return wide.view(np.uint64)
 
 
-def encode(vecs: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Packed sign bits, distance to the centre and correction scalar of each vector."""
+def turned_units(vecs: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distances to the centre, and the rotated unit vectors from it."""
     rest = vecs - centre
     norm = np.linalg.norm(rest, axis=1)
-    turned = rest / np.where(norm > 0, norm, 1)[:, None] @ turn
-    correction = np.where(norm > 0, np.abs(turned).sum(axis=1) / np.sqrt(vecs.shape[1]), 1.0)
-    return np.packbits(turned > 0, axis=1), norm, correction
-
+    return norm, rest / np.where(norm > 0, norm, 1)[:, None] @ turn
 
-def bounds(codes: np.ndarray, norm: np.ndarray, correction: np.ndarray, query: np.ndarray, centre: np.ndarray, turn: np.ndarray, epsilon: float) -> tuple[np.ndarray, np.ndarray]:
-    """Lower and upper bounds of the squared distances, (codes, queries), from codes and scalars alone."""
-    d = len(centre)
-    rest = query - centre
-    size = np.linalg.norm(rest, axis=1)
-    signs = np.unpackbits(codes, axis=1, count=d).astype(np.float32) * 2 - 1
-    unit = rest / np.where(size > 0, size, 1)[:, None]
-    inner = signs @ (unit @ turn / np.sqrt(d)).T.astype(np.float32) / correction[:, None].astype(np.float32)
-    error = epsilon * np.sqrt(np.maximum(1 - correction**2, 0) / correction**2 / max(d - 1, 1))
-    base = norm[:, None] ** 2 + size[None, :] ** 2
-    slack = 1e-5 * base + 1e-12  # single precision above
-    half = 2 * norm[:, None] * (error[:, None] * size[None, :]) + slack
-    mid = base - 2 * norm[:, None] * size[None, :] * inner
-    return mid - half, mid + half
 
-
-def _distances(vecs: np.ndarray, query: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(vecs))
-    for j in range(vecs.shape[1]):  # in order of the components, whatever the number of vectors
-        total += (vecs[:, j] - query[j]) ** 2
-    return np.sqrt(total)
+def encode(vecs: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Packed sign bits, distance to the centre and correction scalar of each vector."""
+    norm, turned = turned_units(vecs, centre, turn)
+    correction = np.where(norm > 0, np.abs(turned).sum(axis=1) / np.sqrt(vecs.shape[1]), 1.0)
+    return words_of(turned > 0), norm, correction
+
+
+def planes(vecs: np.ndarray, centre: np.ndarray, turn: np.ndarray, query_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(n, query_bits, words) bit planes of the rounded rotated queries, and (n, 5) scalars: distance to the centre, least value, step, sum of the rounded values, sum of the rounding errors."""
+    size, turned = turned_units(vecs, centre, turn)
+    low = turned.min(axis=1)
+    step = np.maximum(turned.max(axis=1) - low, 1e-300) / (2**query_bits - 1)
+    level = np.clip(np.rint((turned - low[:, None]) / step[:, None]), 0, 2**query_bits - 1)
+    rounded = low[:, None] + step[:, None] * level
+    out = np.stack([words_of((level.astype(np.int64) >> b) & 1 == 1) for b in range(query_bits)], axis=1)
+    return out, np.stack([size, low, step, rounded.sum(axis=1), np.abs(turned - rounded).sum(axis=1)], axis=1)
+
+
+def bounds(codes: np.ndarray, norm: np.ndarray, correction: np.ndarray, query: np.ndarray, scalars: np.ndarray, dims: int, epsilon: float) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds of the squared distances of one query from all codes, by popcounts and scalars alone."""
+    size, low, step, total, rounding = scalars
+    ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int64)
+    weighed = np.zeros(len(codes), np.int64)
+    for b, plane in enumerate(query):
+        weighed += np.bitwise_count(codes & plane).sum(axis=1, dtype=np.int64) << b
+    # signs are twice the bits less one
+    inner = (2 * (low * ones + step * weighed) - total) / np.sqrt(dims) / correction
+    error = epsilon * np.sqrt(np.maximum(1 - correction**2, 0) / correction**2 / max(dims - 1, 1)) + rounding / np.sqrt(dims) / correction
+    base = norm**2 + size**2
+    half = 2 * norm * size * error + 1e-9 * base + 1e-12
+    mid = base - 2 * norm * size * inner
+    # where squares overflow nothing is known
+    return np.where(np.isfinite(mid), mid - half, -np.inf), np.where(np.isfinite(mid), mid + half, np.inf)
 
 
 def search(
-    vectors: DataFrame, queries: Column, k: int = 10, epsilon: float = 3.0, seed: int = 7, block_rows: int = 4096, query_rows: int = 1024
+    vectors: DataFrame, queries: Column, k: int = 10, epsilon: float = 3.0, seed: int = 7, block_rows: int = 16384, query_rows: int = 1024, query_bits: int = 5
 ) -> DataFrame:
     """(vec_id, vec, dims) of ``usable`` -> (query_id, rank, vec_id, score): the k nearest of each row for which ``queries`` holds.
 
-    score is the Euclidean distance in double precision; ties go to the smaller vec_id. A query's own vec_id is no
-    candidate; vectors are compared with queries of as many dimensions. Fewer candidates than k give as many ranks. A vec_id that is repeated
-    is searched once for each distinct vector it has and can be found once for each. No rows give no rows.
+    score is the Euclidean distance in double precision; ties go to the smaller vec_id. A query's own row is no
+    candidate, every other row is: rows that repeat a vec_id are candidates and, where ``queries`` holds, queries of their own. Vectors are
+    compared with queries of as many dimensions. Fewer candidates than k give as many ranks. Null ids are left out by ``usable``, and other columns are not read. No rows give no rows.
     """
-    rows = staged(vectors.select("vec_id", "vec", "dims").withColumn("asks", F.coalesce(queries, F.lit(False))).distinct(), "ann-vectors")
+    rows = staged(vectors.select(F.monotonically_increasing_id().alias("row"), "vec_id", "vec", "dims", F.coalesce(queries, F.lit(False)).alias("asks")), "ann-vectors")
     centres = means(rows)
-    turns = {d: rotation(d, seed) for d in centres}
     n, asked = rows.agg(F.count("*"), F.count_if("asks")).first()
     blocks, query_blocks = max(1, -(-n // block_rows)), max(1, -(-asked // query_rows))
 
     def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turns: dict[int, np.ndarray] = {}
         for pdf in batches:
             for d, g in pdf.groupby("dims"):
-                codes, norm, correction = encode(np.stack(g["vec"].to_numpy()), centres[d], turns[d])
-                yield g.assign(code=[c.tobytes() for c in codes], norm=norm, correction=correction)
-
-    base = "vec_id long, vec array<double>, dims int"
-    filed = staged(rows.select("vec_id", "vec", "dims").mapInPandas(coded, f"{base}, code binary, norm double, correction double"), "ann-codes")
-    dealt = filed.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))).withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    asking = (
-        rows.where("asks").select("vec_id", "vec", "dims")
-        .withColumn("query_block", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+                turn = turns.setdefault(d, rotation(d, seed))
+                vecs = np.stack(g["vec"].to_numpy())
+                codes, norm, correction = encode(vecs, centres[d], turn)
+                made = pd.DataFrame({"row": g["row"].to_numpy(), "dims": d, "code": [c.tobytes() for c in codes], "norm": norm, "correction": correction})
+                made["planes"], made["scalars"] = None, None
+                asks = np.flatnonzero(g["asks"].to_numpy())
+                if len(asks):
+                    bits, scalars = planes(vecs[asks], centres[d], turn, query_bits)
+                    for name, values in (("planes", [b.tobytes() for b in bits]), ("scalars", list(scalars))):
+                        column = np.empty(len(g), object)
+                        for i, v in zip(asks, values, strict=True):
+                            column[i] = v
+                        made[name] = column
+                yield made
+
+    filed = staged(rows.select("row", "vec", "dims", "asks").mapInPandas(coded, "row long, dims int, code binary, norm double, correction double, planes binary, scalars array<double>"), "ann-codes")
+    dealt = (
+        filed.select("row", "dims", "code", "norm", "correction", F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block"))
+        .withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
+        .groupBy("query_block", "block")
     )
-
-    def meet(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[tuple] = []
-        a, b = left.to_pandas(), right.to_pandas()
-        for d, ask in b.groupby("dims"):
-            have = a[a["dims"] == d]
-            if have.empty:
+    asking = staged(filed.where("planes IS NOT NULL").select("row", "dims", "planes", "scalars", F.pmod(F.xxhash64("row"), F.lit(query_blocks)).cast("int").alias("query_block")), "ann-asking")
+    every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+
+    def meet(left: pa.Table, right: pa.Table, answer) -> tuple[list, list]:
+        """Calls ``answer(rows, lows, highs, position of the query)`` for each query of a block with all codes of a block but its own row."""
+        dims, code, query_dims, first, second = left["dims"].to_numpy(), left["code"].to_pylist(), right["dims"].to_numpy(), [], []
+        row, norm, correction = (left[c].to_numpy() for c in ("row", "norm", "correction"))
+        asker, plane, scalars = right["row"].to_numpy(), right["planes"].to_pylist(), right["scalars"].to_pylist()
+        for d in np.unique(query_dims).tolist():
+            here = np.flatnonzero(dims == d)
+            if not len(here):
                 continue
-            ids, vecs = have["vec_id"].to_numpy(), np.stack(have["vec"].to_numpy())
-            codes = np.frombuffer(b"".join(have["code"]), np.uint8).reshape(len(have), -1)
-            scalars = have["norm"].to_numpy(), have["correction"].to_numpy()
-            who, what = ask["vec_id"].to_numpy(), np.stack(ask["vec"].to_numpy())
-            for at in range(0, len(who), 128):
-                low, high = bounds(codes, *scalars, what[at : at + 128], centres[d], turns[d], epsilon)
-                for j, (query_id, query) in enumerate(zip(who[at : at + 128], what[at : at + 128], strict=True)):
-                    other = ids != query_id
-                    top = np.partition(high[other, j], min(k, other.sum()) - 1)[min(k, other.sum()) - 1] if other.any() else -1.0
-                    pick = np.flatnonzero(other & (low[:, j] <= top))
-                    score = _distances(vecs[pick], query)
-                    order = np.lexsort((ids[pick], score))[:k]
-                    asked_as = query.tobytes()
-                    out += [(query_id, asked_as, ids[pick[o]], score[o]) for o in order]
-        cols = list(zip(*out, strict=True)) or [(), (), (), ()]
-        return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "asked_as", "vec_id", "score"])
-
-    found = dealt.groupBy("query_block", "block").cogroup(asking.groupBy("query_block", "block")).applyInArrow(
-        meet, "query_id long, asked_as binary, vec_id long, score double"
-    )
-    order = Window.partitionBy("query_id", "asked_as").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            codes = np.frombuffer(b"".join(code[i] for i in here), np.uint64).reshape(len(here), -1)
+            for j in np.flatnonzero(query_dims == d):
+                query = np.frombuffer(plane[j], np.uint64).reshape(query_bits, -1)
+                low, high = bounds(codes, norm[here], correction[here], query, np.array(scalars[j]), d, epsilon)
+                other = row[here] != asker[j]
+                a, b = answer(row[here][other], low[other], high[other], j)
+                first.append(a)
+                second.append(b)
+        return first, second
+
+    def table(names: list[str], columns: list[list[np.ndarray]], types: list) -> pa.Table:
+        return pa.table([pa.array(np.concatenate(c) if c else [], t) for c, t in zip(columns, types, strict=True)], names=names)
+
+    def least_bounds(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        asker = right["row"].to_numpy()
+
+        def answer(rows, low, high, j):
+            least = np.partition(high, k - 1)[:k] if len(high) > k else high
+            return np.full(len(least), asker[j]), least
+
+        return table(["asker", "high"], list(meet(left, right, answer)), [pa.int64(), pa.float64()])
+
+    def picked(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        asker, limit = right["row"].to_numpy(), right["limit"].to_numpy()
+
+        def answer(rows, low, high, j):
+            pick = rows[low <= limit[j]]
+            return np.full(len(pick), asker[j]), pick
+
+        return table(["asker", "row"], list(meet(left, right, answer)), [pa.int64(), pa.int64()])
+
+    highs = dealt.cogroup(asking.withColumn("block", every_block).groupBy("query_block", "block")).applyInArrow(least_bounds, "asker long, high double")
+    place = F.row_number().over(Window.partitionBy("asker").orderBy("high"))
+    limits = highs.withColumn("place", place).where(F.col("place") <= k).groupBy("asker").agg(F.max("high").alias("high"), F.count("*").alias("n"))
+    # fewer than k candidates: all of them are wanted
+    limits = staged(limits.select("asker", F.when(F.col("n") < k, float("inf")).otherwise(F.col("high")).alias("limit")), "ann-limits")
+    bounded = asking.join(limits, F.col("row") == F.col("asker")).drop("asker").withColumn("block", every_block)
+    picks = staged(dealt.cogroup(bounded.groupBy("query_block", "block")).applyInArrow(picked, "asker long, row long"), "ann-picks")
+
+    query = rows.where("asks").select(F.col("row").alias("asker"), F.col("vec_id").alias("query_id"), F.col("vec").alias("asked"))
+    measured = picks.join(query, "asker").join(rows.select("row", "vec_id", "vec"), "row")
+    gaps = F.zip_with("vec", "asked", lambda a, b: (a - b) * (a - b))
+    # summed in the order of the components
+    scored = measured.select("asker", "query_id", "vec_id", F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda a, x: a + x)).alias("score"))
+    order = Window.partitionBy("asker").orderBy("score", "vec_id")
+    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -99,14 +99,14 @@ FROM e GROUP BY conv_id
 
 OP4_SQL = """
 WITH v AS (
-  SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings
+  SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), d AS (
-  SELECT q.vec_id AS query_id, q.vec AS asked, c.vec_id,
+  SELECT q.vec_id AS query_id, q.r AS asked, c.vec_id,
          sqrt(list_sum(list_transform(list_zip(c.vec, q.vec), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS score
-  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.vec) = len(q.vec) WHERE q.vec_id % 100 = 0
-), r AS (SELECT *, row_number() OVER (PARTITION BY query_id, asked ORDER BY score, vec_id) AS rank FROM d)
+  FROM v q JOIN v c ON c.r <> q.r AND len(c.vec) = len(q.vec) WHERE q.vec_id % 100 = 0
+), r AS (SELECT *, row_number() OVER (PARTITION BY asked ORDER BY score, vec_id) AS rank FROM d)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
 """
 
