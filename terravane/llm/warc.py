@@ -1,10 +1,11 @@
 """WARC archives of pages, and their capture index merged from locally sorted runs.
 
 Archives are written by Spark's text writer, so any store that Spark writes to will do: each line of its output is a
-whole record, and the line end supplies the last CRLF. They are read back as binary files and parsed by Content-Length.
+whole record, and the line end supplies the last CRLF. An archive is closed when the next record would take it beyond
+``archive_bytes``, so archives are read back as binary files of bounded size and parsed by Content-Length.
 Each archive is sorted by URL key and time, so its index is a locally sorted run. Runs are
-cut by a global range partitioning on (URL key, time, page) and each range merges its pieces of the runs with
-a loser tree: the ranges in order are the globally ordered capture histories. Only index rows take part, never payloads.
+cut by a global range partitioning on (URL key, time, page, place in the archives) into ranges of about ``range_rows`` rows, and each range merges
+its pieces of the runs with a loser tree over iterators: the ranges in order are the globally ordered capture histories. Only index rows take part, never payloads.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ import hashlib
 import uuid
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,7 +45,7 @@ def planned(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
     same = rows.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("keeper"), F.count("*").alias("copies"))
     keepers = staged(same.where("copies > 1").select("payload_digest", "payload_bytes", "keeper"), "warc-keepers")
     return rows.join(keepers, ["payload_digest", "payload_bytes"], "left").select(
-        "page_id", "url", "payload", "payload_bytes", "payload_digest", F.when(F.col("keeper") != F.col("page_id"), F.col("keeper")).alias("refers_to")
+        "page_id", "url", "payload", "payload_bytes", "payload_digest", F.when(~F.col("keeper").eqNullSafe(F.col("page_id")), F.col("keeper")).alias("refers_to")
     )
 
 
@@ -52,6 +53,15 @@ def _crlf_free(value: Column) -> Column:
     return F.replace(F.replace(value, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
 
 
+def utc_text(seconds: Column) -> Column:
+    """Seconds since 1970 as a UTC date and time, whatever the session's time zone is."""
+    day, rest = F.floor(seconds / 86400).cast("int"), F.pmod(seconds, F.lit(86400))
+    part = lambda n: F.lpad(n.cast("int").cast("string"), 2, "0")
+    return F.concat(
+        F.date_from_unix_date(day).cast("string"), F.lit("T"), part(F.floor(rest / 3600)), F.lit(":"), part(F.floor(rest % 3600 / 60)), F.lit(":"), part(rest % 60), F.lit("Z")
+    )
+
+
 def records(rows: DataFrame, first_second: int = 1_700_000_000) -> DataFrame:
     """``planned`` rows -> url_key, page_id, value: the record up to its last CRLF."""
     ident = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
@@ -62,7 +72,7 @@ def records(rows: DataFrame, first_second: int = 1_700_000_000) -> DataFrame:
     head = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "), F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")),
         F.lit("\r\nWARC-Record-ID: "), ident(F.col("page_id")),
-        F.lit("\r\nWARC-Date: "), F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        F.lit("\r\nWARC-Date: "), utc_text(seconds),
         F.lit("\r\nWARC-Target-URI: "), _crlf_free(F.coalesce("url", F.lit(""))),
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nWARC-Payload-Digest: sha1:"), F.col("payload_digest"),
         F.when(revisit, F.concat(F.lit(f"\r\nWARC-Profile: {PROFILE}\r\nWARC-Refers-To: "), ident(F.col("refers_to")))).otherwise(F.lit("")),
@@ -71,16 +81,28 @@ def records(rows: DataFrame, first_second: int = 1_700_000_000) -> DataFrame:
     return rows.select(url_key(F.col("url")).alias("url_key"), seconds.alias("seconds"), "page_id", F.concat(head, block, F.lit("\r\n")).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, least_bytes: int = 1000, records_a_file: int = 4000) -> None:
-    """Write one record per row of ``pages`` into locally sorted archives under ``path``. No rows write no record."""
-    spark = pages.sparkSession
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "UTC")  # dates in records are UTC
-    try:
-        rows = records(planned(pages, least_bytes)).sortWithinPartitions("url_key", "seconds", "page_id")
-        rows.select("value").write.option("lineSep", "\r\n").option("maxRecordsPerFile", records_a_file).text(path)
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", zone)
+def numbered(rows: DataFrame, archive_bytes: int) -> DataFrame:
+    """Adds ``archive``: within a partition, a new number before the record that would take the archive beyond ``archive_bytes``."""
+    schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in rows.schema)}, archive int"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        archive, used = 0, 0
+        for batch in batches:
+            numbers = []
+            for size in pc.binary_length(batch.column("value")).to_pylist():
+                if used and used + size + 2 > archive_bytes:
+                    archive, used = archive + 1, 0
+                used += size + 2
+                numbers.append(archive)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int32())], [*batch.schema.names, "archive"])
+
+    return rows.mapInArrow(run, schema)
+
+
+def write_archives(pages: DataFrame, path: str, least_bytes: int = 1000, archive_bytes: int = 32 << 20) -> None:
+    """Write one record per row of ``pages`` into locally sorted archives under ``path``, none beyond ``archive_bytes`` but those of one longer record. No rows write no record."""
+    rows = numbered(records(planned(pages, least_bytes)), archive_bytes).sortWithinPartitions("archive", "url_key", "seconds", "page_id")
+    rows.select("archive", "value").write.partitionBy("archive").option("lineSep", "\r\n").text(path)
 
 
 def parse(content: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
@@ -123,7 +145,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
                 cols = zip(*rows, strict=True) if rows else [()] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], list(names))
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").load(path).select("path", "content")
     found = files.mapInArrow(
         run,
         "page_id long, url string, date string, record_type string, payload_bytes long, payload_digest string, refers_to long, archive string, record_offset long, record_bytes long",
@@ -166,30 +188,59 @@ class LoserTree:
             self._play(winner)
 
 
-def merge_histories(index: DataFrame) -> DataFrame:
-    """Index rows -> the same rows, globally ordered by (url_key, captured, page_id); partitions are the ranges in order. Nulls come first."""
+def _run_pieces(table: pa.Table) -> list[Iterator[tuple]]:
+    """One iterator of (key, row number) for each archive of a table sorted by archive; keys are made as they are asked for."""
+    archive = table.column("archive")
+    ends = pc.run_end_encode(archive.combine_chunks()).run_ends.to_pylist()
+    low = -(1 << 62)
+
+    def piece(start: int, stop: int, at_once: int = 256) -> Iterator[tuple]:
+        for at in range(start, stop, at_once):
+            part = table.slice(at, min(at_once, stop - at))
+            key = [part.column(c).to_pylist() for c in ("url_key", "at", "page_id", "archive", "record_offset")]
+            for i, (url, time, page, name, offset) in enumerate(zip(*key, strict=True)):
+                yield url, time, low if page is None else page, name, offset, at + i
+
+    return [piece(start, stop) for start, stop in zip([0, *ends], ends, strict=False)]
+
+
+def merge_histories(index: DataFrame, range_rows: int = 100_000) -> DataFrame:
+    """Index rows -> the same rows, globally ordered by (url_key, captured, page_id, archive, record_offset); partitions are the ranges in order. Null page_ids come first.
+
+    No two captures share archive and offset, so even captures that are equal in all else are cut into ranges of about ``range_rows`` rows.
+    """
     names = index.columns
+    rows = index.withColumn("at", F.unix_micros("captured"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = list(batches)
-        if not parts:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = list(batches)  # a range, about range_rows rows of the index
+        if not sum(map(len, parts)):
             return
-        rows = pd.concat(parts, ignore_index=True)
-        runs = []
-        for _, part in rows.groupby("archive", sort=True):
-            keys = zip(part["url_key"], part["captured"].astype("int64"), part["page_id"].fillna(-(1 << 62)).astype("int64"), part.index, strict=True)
-            runs.append(iter(list(keys)))
-        yield rows.loc[[key[3] for key in LoserTree(runs)], names]
+        table, order = pa.Table.from_batches(parts), []
+        whole = table.select(names)
+
+        def chosen() -> Iterator[pa.RecordBatch]:
+            yield from whole.take(pa.array(order)).combine_chunks().to_batches()
+            order.clear()
+
+        for key in LoserTree(_run_pieces(table)):
+            order.append(key[-1])
+            if len(order) == 8192:
+                yield from chosen()
+        if order:
+            yield from chosen()
 
-    order = ["url_key", "captured", "page_id"]
-    return index.repartitionByRange(*order).sortWithinPartitions("archive", *order).mapInPandas(run, index.schema)
+    order = ["url_key", "captured", "page_id", "archive", "record_offset"]
+    ranges = max(1, -(-index.count() // range_rows))
+    return rows.repartitionByRange(ranges, *order).sortWithinPartitions("archive", *order[:3], "record_offset").mapInArrow(run, index.schema)
 
 
 def archive_pages(pages: DataFrame, path: str | None = None, least_bytes: int = 1000) -> DataFrame:
     """Write the archives (to the shared folder unless ``path`` names another), read them back, and return the merged capture histories.
 
     A null html is an empty payload and a null url an empty one. Rows repeated with one page_id give a record each, all
-    of them responses if theirs is the largest page_id of the payload. No rows give no rows.
+    of them responses if theirs is the largest page_id of the payload. Rows without a page_id have records without a number in their names; they
+    revisit a larger payload that some page_id has, and are all responses where none has. Other columns are not read. No rows give no rows.
     """
     spark = pages.sparkSession
     path = path or f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"

@@ -551,3 +551,63 @@ def test_chat_rows_repeat_and_clash(spark):
     frame = spark.createDataFrame([(*r, "p", "q") for r in rows], "conv_id long, turn long, role string, text string, tree string, node string")
     got = {r.tree: r for r in formatted_nodes(spark, chat.linear_nodes(frame), 1)}
     assert [t.text for t in got[1].turns] == ["", "a " * 100_000, "a " * 100_000] and got[2].loss == "xx"
+
+
+def test_warc_small_archives_null_ids_and_zones(spark, tmp_path):
+    rng, big = random.Random(30), "same " * 300
+    pages = [(i, f"http://h{rng.randrange(4)}.org/{rng.randrange(9)}", rng.choice([None, "", big, "x" * rng.randrange(3000), "long " * 20000]), "u", 7) for i in range(120)]
+    pages += [(None, None, big, "u", 7), (None, None, big, "u", 7), (119, "http://h0.org/0", big, "u", 7), (119, "http://h0.org/0", big, "u", 7), (None, "q", "only here " * 200, "u", 7)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string, archive string, value int").repartition(3)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        warc.write_archives(frame, str(tmp_path / "w"), archive_bytes=20_000)
+        index = warc.read_index(spark, str(tmp_path / "w"))
+        rows = warc.merge_histories(index, range_rows=20).withColumn("second", F.unix_seconds("captured")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert len(rows) == len(pages) and all(r.second == 1_700_000_000 + (r.page_id or 0) for r in rows)
+    low = -(1 << 62)
+    keys = [(r.url_key, r.second, low if r.page_id is None else r.page_id, r.archive, r.record_offset) for r in rows]
+    assert keys == sorted(keys) and len({r.archive for r in rows}) > 5
+    sizes = Counter()
+    for r in rows:
+        sizes[r.archive] += r.record_bytes
+    assert all(n <= 20_000 or sum(r.archive == a for r in rows) == 1 for a, n in sizes.items())
+    held = {}
+    for i, _, html, *_ in pages:
+        held.setdefault(html or "", set()).add(i)
+    for r in rows:
+        same = next(ids for html, ids in held.items() if hashlib.sha1(html.encode()).hexdigest() == r.payload_digest)
+        keeper = max((i for i in same if i is not None), default=None)
+        revisit = r.payload_bytes >= 1000 and keeper is not None and r.page_id != keeper
+        assert (r.record_type, r.refers_to) == (("revisit", keeper) if revisit else ("response", None))
+
+
+def test_warc_dates_are_utc(spark):
+    import datetime as dt
+
+    seconds = [0, 86399, 951782400, 1_700_000_000, 1_710_054_000, 4_102_444_799]
+    got = [r.t for r in spark.createDataFrame([(s,) for s in seconds], "s long").select(warc.utc_text(F.col("s")).alias("t")).collect()]
+    assert got == [dt.datetime.fromtimestamp(s, dt.UTC).strftime("%Y-%m-%dT%H:%M:%SZ") for s in seconds]
+
+
+def test_ann_repeated_rows_and_awkward_vectors(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.standard_normal(70).tolist()) for i in range(80)]
+    rows += [(100, rows[0][1])] * 3 + [(100, rows[1][1]), (200, [1e200] + [0.0] * 69), (300, [1e-200] * 70), (400, [5.0]), (500, [1.0, 2.0]), (600, [3.0, 2.0])]
+    frame = ann.usable(spark.createDataFrame([(*r, "a", 1) for r in rows], "vec_id long, embedding array<double>, row string, dims int"))
+    got = Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in ann.search(frame, F.col("vec_id") % 100 == 0, 4, block_rows=30, query_rows=3).collect())
+    want = Counter()
+    for i, (q, a) in enumerate(rows):
+        if q % 100 == 0:
+            near = []
+            for j, (v, b) in enumerate(rows):
+                if j != i and len(a) == len(b):
+                    total = 0.0
+                    for x, y in zip(a, b, strict=True):
+                        total += (y - x) * (y - x)
+                    near.append((math.sqrt(total), v))
+            want.update((q, k, v, s) for k, (s, v) in enumerate(sorted(near)[:4], 1))
+    assert sum((got & want).values()) >= 0.97 * sum(want.values()) and sum(got.values()) == sum(want.values())
+    assert got[100, 1, 0, 0.0] == 3 and got[500, 1, 600, 2.0] == 1 and not any(q == 400 for q, *_ in got)
