@@ -474,10 +474,10 @@ def test_decontamination_prefixes_and_a_large_benchmark(spark):
     # beside its own item, a text with the shared stem meets only others with the stem
     assert all(a == b or (a % 10 == b % 10 == 0) for a, b in got if a < 5000) and not any(5000 <= a < 6000 or a is None for a, _ in got)
     held = decontam.staged(decontam.item_shingles(bench, 5), "t")
-    for bits in (1 << 12, 1 << 25):  # a filter too small for its items lets everything through, and loses none
+    for bits in (1 << 12, 1 << 21):  # a filter too small for its items lets everything through, and loses none
         may = decontam.bloom(held, bits)
         assert held.where(~may(F.col("h"))).count() == 0
-    assert spark.range(100_000).where(may(F.xxhash64("id"))).count() < 100
+    assert spark.range(100_000).where(may(F.xxhash64("id"))).count() < 1000
 
 
 def test_simhash_radius_keeps_pairs_at_the_threshold():
