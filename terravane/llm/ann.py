@@ -7,10 +7,11 @@ query is estimated as <code / sqrt(d), rotated query> / c, and the estimate errs
 The rotated query is rounded to ``query_bits`` bits a coordinate and kept as bit planes, so <code, query> is a sum of
 popcounts of packed words; the rounding's exact error is added to the bound. From estimate and bound come a lower and an upper bound of each distance.
 
-Codes and planes are dealt into blocks by the hash of their row; each pair of blocks is one task of bounded size. A first
-pass finds each query's k-th least upper bound over all codes, a second one picks the vectors whose lower bound is no greater.
-Only codes and scalars are replicated over the query blocks: the original vectors are joined to the picked rows alone, which are then
-measured exactly. Every vector has a code and is compared with every query.
+Vectors and queries are dealt into blocks by the hash of their row; each pair of blocks is one task of bounded size that returns
+k rows a query, and a second, small step merges them. In a task the vectors of the least upper bounds are measured first; then all
+whose lower bound is no greater than the k-th distance among these. Every vector has a code and is compared with every query.
+Vectors travel once for each block of ``query_rows`` queries. On evenly spread vectors one bit a coordinate leaves a large part of them within the bounds
+(of 64 dimensions a third at epsilon 3), so sending originals for picked pairs only would move more than the blocks do.
 """
 
 from __future__ import annotations
@@ -105,8 +106,43 @@ def bounds(codes: np.ndarray, norm: np.ndarray, correction: np.ndarray, query: n
     return np.where(np.isfinite(mid), mid - half, -np.inf), np.where(np.isfinite(mid), mid + half, np.inf)
 
 
+def _distances(vecs: np.ndarray, query: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(vecs))
+    for j in range(vecs.shape[1]):  # in order of the components, whatever the number of vectors
+        total += (vecs[:, j] - query[j]) ** 2
+    return np.sqrt(total)
+
+
+def _matrix(table: pa.Table, name: str, at: np.ndarray) -> np.ndarray:
+    """Rows ``at`` of a column of equally long lists."""
+    return table.column(name).take(pa.array(at)).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(at), -1)
+
+
+def nearest(codes: np.ndarray, norm: np.ndarray, correction: np.ndarray, vecs: np.ndarray, ids: np.ndarray, plane: np.ndarray, scalars: np.ndarray, query: np.ndarray, own: int | None, k: int, epsilon: float) -> tuple[np.ndarray, np.ndarray]:
+    """vec_ids and distances of a query's k nearest in a block; ``own`` is the query's place in the block, if it stands there."""
+    low, high = bounds(codes, norm, correction, plane, scalars, vecs.shape[1], epsilon)
+    if own is not None:
+        low[own] = high[own] = np.inf
+    left = len(ids) - (own is not None)
+    if left <= k:
+        pick = np.flatnonzero(np.arange(len(ids)) != (-1 if own is None else own))
+    else:
+        first = np.argpartition(high, min(4 * k, left) - 1)[: min(4 * k, left)]
+        if own is not None:
+            first = first[first != own]
+        limit = np.partition(_distances(vecs[first], query), k - 1)[k - 1]
+        with np.errstate(over="ignore"):
+            near = low <= limit * limit * (1 + 1e-9) + 1e-300
+        if own is not None:
+            near[own] = False
+        pick = np.flatnonzero(near)
+    score = _distances(vecs[pick], query)
+    order = np.lexsort((ids[pick], score))[:k]
+    return ids[pick[order]], score[order]
+
+
 def search(
-    vectors: DataFrame, queries: Column, k: int = 10, epsilon: float = 3.0, seed: int = 7, block_rows: int = 16384, query_rows: int = 1024, query_bits: int = 5
+    vectors: DataFrame, queries: Column, k: int = 10, epsilon: float = 3.0, seed: int = 7, block_rows: int = 8192, query_rows: int = 16384, query_bits: int = 5
 ) -> DataFrame:
     """(vec_id, vec, dims) of ``usable`` -> (query_id, rank, vec_id, score): the k nearest of each row for which ``queries`` holds.
 
@@ -124,81 +160,46 @@ def search(
         for pdf in batches:
             for d, g in pdf.groupby("dims"):
                 turn = turns.setdefault(d, rotation(d, seed))
-                vecs = np.stack(g["vec"].to_numpy())
-                codes, norm, correction = encode(vecs, centres[d], turn)
-                made = pd.DataFrame({"row": g["row"].to_numpy(), "dims": d, "code": [c.tobytes() for c in codes], "norm": norm, "correction": correction})
-                made["planes"], made["scalars"] = None, None
-                asks = np.flatnonzero(g["asks"].to_numpy())
-                if len(asks):
-                    bits, scalars = planes(vecs[asks], centres[d], turn, query_bits)
-                    for name, values in (("planes", [b.tobytes() for b in bits]), ("scalars", list(scalars))):
-                        column = np.empty(len(g), object)
-                        for i, v in zip(asks, values, strict=True):
-                            column[i] = v
-                        made[name] = column
-                yield made
-
-    filed = staged(rows.select("row", "vec", "dims", "asks").mapInPandas(coded, "row long, dims int, code binary, norm double, correction double, planes binary, scalars array<double>"), "ann-codes")
-    dealt = (
-        filed.select("row", "dims", "code", "norm", "correction", F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block"))
-        .withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-        .groupBy("query_block", "block")
-    )
-    asking = staged(filed.where("planes IS NOT NULL").select("row", "dims", "planes", "scalars", F.pmod(F.xxhash64("row"), F.lit(query_blocks)).cast("int").alias("query_block")), "ann-asking")
-    every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-
-    def meet(left: pa.Table, right: pa.Table, answer) -> tuple[list, list]:
-        """Calls ``answer(rows, lows, highs, position of the query)`` for each query of a block with all codes of a block but its own row."""
-        dims, code, query_dims, first, second = left["dims"].to_numpy(), left["code"].to_pylist(), right["dims"].to_numpy(), [], []
-        row, norm, correction = (left[c].to_numpy() for c in ("row", "norm", "correction"))
-        asker, plane, scalars = right["row"].to_numpy(), right["planes"].to_pylist(), right["scalars"].to_pylist()
+                codes, norm, correction = encode(np.stack(g["vec"].to_numpy()), centres[d], turn)
+                yield g.assign(code=[c.tobytes() for c in codes], norm=norm, correction=correction)
+
+    def planed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turns: dict[int, np.ndarray] = {}
+        for pdf in batches:
+            for d, g in pdf.groupby("dims"):
+                turn = turns.setdefault(d, rotation(d, seed))
+                bits, scalars = planes(np.stack(g["vec"].to_numpy()), centres[d], turn, query_bits)
+                yield g.assign(planes=[b.tobytes() for b in bits], scalars=list(scalars))
+
+    base = "row long, vec_id long, vec array<double>, dims int"
+    bare = rows.select("row", "vec_id", "vec", "dims")
+    filed = staged(bare.mapInPandas(coded, f"{base}, code binary, norm double, correction double"), "ann-codes")
+    asking = staged(rows.where("asks").select("row", "vec_id", "vec", "dims").mapInPandas(planed, f"{base}, planes binary, scalars array<double>"), "ann-queries")
+    home = lambda count: F.pmod(F.xxhash64("row"), F.lit(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    dealt = filed.withColumn("block", home(blocks)).withColumn("query_block", every(query_blocks)).groupBy("query_block", "block")
+    asks = asking.withColumn("query_block", home(query_blocks)).withColumn("block", every(blocks)).groupBy("query_block", "block")
+
+    def meet(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        dims, query_dims = left["dims"].to_numpy(), right["dims"].to_numpy()
         for d in np.unique(query_dims).tolist():
-            here = np.flatnonzero(dims == d)
+            here, there = np.flatnonzero(dims == d), np.flatnonzero(query_dims == d)
             if not len(here):
                 continue
-            codes = np.frombuffer(b"".join(code[i] for i in here), np.uint64).reshape(len(here), -1)
-            for j in np.flatnonzero(query_dims == d):
-                query = np.frombuffer(plane[j], np.uint64).reshape(query_bits, -1)
-                low, high = bounds(codes, norm[here], correction[here], query, np.array(scalars[j]), d, epsilon)
-                other = row[here] != asker[j]
-                a, b = answer(row[here][other], low[other], high[other], j)
-                first.append(a)
-                second.append(b)
-        return first, second
-
-    def table(names: list[str], columns: list[list[np.ndarray]], types: list) -> pa.Table:
-        return pa.table([pa.array(np.concatenate(c) if c else [], t) for c, t in zip(columns, types, strict=True)], names=names)
-
-    def least_bounds(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        asker = right["row"].to_numpy()
-
-        def answer(rows, low, high, j):
-            least = np.partition(high, k - 1)[:k] if len(high) > k else high
-            return np.full(len(least), asker[j]), least
-
-        return table(["asker", "high"], list(meet(left, right, answer)), [pa.int64(), pa.float64()])
-
-    def picked(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        asker, limit = right["row"].to_numpy(), right["limit"].to_numpy()
-
-        def answer(rows, low, high, j):
-            pick = rows[low <= limit[j]]
-            return np.full(len(pick), asker[j]), pick
-
-        return table(["asker", "row"], list(meet(left, right, answer)), [pa.int64(), pa.int64()])
-
-    highs = dealt.cogroup(asking.withColumn("block", every_block).groupBy("query_block", "block")).applyInArrow(least_bounds, "asker long, high double")
-    place = F.row_number().over(Window.partitionBy("asker").orderBy("high"))
-    limits = highs.withColumn("place", place).where(F.col("place") <= k).groupBy("asker").agg(F.max("high").alias("high"), F.count("*").alias("n"))
-    # fewer than k candidates: all of them are wanted
-    limits = staged(limits.select("asker", F.when(F.col("n") < k, float("inf")).otherwise(F.col("high")).alias("limit")), "ann-limits")
-    bounded = asking.join(limits, F.col("row") == F.col("asker")).drop("asker").withColumn("block", every_block)
-    picks = staged(dealt.cogroup(bounded.groupBy("query_block", "block")).applyInArrow(picked, "asker long, row long"), "ann-picks")
-
-    query = rows.where("asks").select(F.col("row").alias("asker"), F.col("vec_id").alias("query_id"), F.col("vec").alias("asked"))
-    measured = picks.join(query, "asker").join(rows.select("row", "vec_id", "vec"), "row")
-    gaps = F.zip_with("vec", "asked", lambda a, b: (a - b) * (a - b))
-    # summed in the order of the components
-    scored = measured.select("asker", "query_id", "vec_id", F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda a, x: a + x)).alias("score"))
+            vecs, query, scalars = _matrix(left, "vec", here), _matrix(right, "vec", there), _matrix(right, "scalars", there)
+            codes = np.frombuffer(b"".join(left["code"].take(pa.array(here)).to_pylist()), np.uint64).reshape(len(here), -1)
+            bits = np.frombuffer(b"".join(right["planes"].take(pa.array(there)).to_pylist()), np.uint64).reshape(len(there), query_bits, -1)
+            row, ids, norm, correction = (left[c].to_numpy()[here] for c in ("row", "vec_id", "norm", "correction"))
+            asker, query_id = (right[c].to_numpy()[there] for c in ("row", "vec_id"))
+            place = dict(zip(row.tolist(), range(len(row)), strict=True))
+            for j in range(len(there)):
+                found, score = nearest(codes, norm, correction, vecs, ids, bits[j], scalars[j], query[j], place.get(int(asker[j])), k, epsilon)
+                out.append((np.full(len(found), asker[j]), np.full(len(found), query_id[j]), found, score))
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[], [], [], []]
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["asker", "query_id", "vec_id", "score"])
+
+    found = dealt.cogroup(asks).applyInArrow(meet, "asker long, query_id long, vec_id long, score double")
     order = Window.partitionBy("asker").orderBy("score", "vec_id")
-    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
