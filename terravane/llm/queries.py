@@ -59,9 +59,22 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+# Uneven targets at all three levels; what a domain, language or source cannot give goes to its siblings first.
+TARGETS = {
+    ("domain0",): 4.0, ("domain1",): 2.0, ("domain2",): 1.0, ("domain3",): 1.0,
+    ("domain0", "en"): 1.0, ("domain0", "fr"): 2.0, ("domain0", "de"): 2.0, ("domain0", "es"): 3.0,
+    ("domain1", "en"): 5.0, ("domain2", "de"): 4.0, ("domain3", "fr"): 0.5, ("domain3", "none"): 0.0,
+    ("domain0", "en", "src0"): 3.0, ("domain0", "en", "src2"): 0.5, ("domain1", "en", "src4"): 2.0, ("domain2", "en", "src3"): 6.0, ("domain3", "en", "src5"): 0.0,
+}
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token prefixes of ``documents`` under ``TARGETS``, 0.8 of all tokens, up to four epochs; a row per chosen document and epoch.
+
+    Null texts have no tokens, null lang and source are named ``none``, repeated rows are rows of their own, empty tables give no rows; see ``mixing.mix``.
+    """
     keyed = mixing.tree_columns(table(spark, sf_dir, "documents"))
-    return mixing.mix(keyed, budget_share=0.8, max_epochs=4)
+    return mixing.mix(keyed, TARGETS, budget_share=0.8, max_epochs=4)
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -228,33 +228,91 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.archive_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
-def test_budgets():
-    got = mixing.budgets({("d", "en", "a"): 100, ("d", "en", "b"): 1000, ("d", "fr", "c"): 50, ("e", "en", "f"): 1000}, 1000, {("d",): 1.0, ("e",): 1.0})
+def plain_share(budget, wants, caps):
+    """Divide a budget by weight among siblings, none above its cap; what one cannot take goes to the others by weight."""
+    got = dict.fromkeys(wants, 0.0)
+    open_ = {k for k in wants if wants[k] > 0 and caps[k] > 0}
+    left = float(budget)
+    while open_ and left > 1e-9:
+        weight = sum(wants[k] for k in sorted(open_))
+        full = {k for k in sorted(open_) if got[k] + left * wants[k] / weight >= caps[k] - 1e-9}
+        if not full:
+            for k in sorted(open_):
+                got[k] += left * wants[k] / weight
+            break
+        for k in sorted(full):
+            left -= caps[k] - got[k]
+            got[k] = float(caps[k])
+        open_ -= full
+    return got
+
+
+def plain_budgets(leaves, budget, weights, max_epochs=1):
+    """Tokens of each leaf -> its budget. ``weights`` maps a node's path (1 to 3 names) to its weight among its siblings; 1 where absent."""
+    caps = {}
+    for path, tokens in leaves.items():
+        for depth in range(4):
+            # a weight of zero anywhere on the path shuts the leaf out, so it must not count as room above
+            if all(weights.get(path[: d + 1], 1.0) > 0 for d in range(3)):
+                caps[path[:depth]] = caps.get(path[:depth], 0.0) + tokens * max_epochs
+            else:
+                caps.setdefault(path[:depth], 0.0)
+    out = {}
+
+    def give(node, amount):
+        if len(node) == 3:
+            out[node] = amount
+            return
+        children = sorted({p[: len(node) + 1] for p in leaves if p[: len(node)] == node})
+        for child, got in plain_share(amount, {c: weights.get(c, 1.0) for c in children}, {c: caps[c] for c in children}).items():
+            give(child, got)
+
+    give((), min(float(budget), caps.get((), 0.0)))
+    return out
+
+
+def spark_budgets(spark, leaves, weights, share, max_epochs=1):
+    frame = spark.createDataFrame([(*k, t, 1) for k, t in leaves.items()], "domain string, language string, origin string, leaf_tokens long, n long")
+    return {(r.domain, r.language, r.origin): r.leaf_budget for r in mixing.leaf_budgets(frame, weights, share, max_epochs).collect()}
+
+
+def test_budgets(spark):
+    leaves = {("d", "en", "a"): 100, ("d", "en", "b"): 1000, ("d", "fr", "c"): 50, ("e", "en", "f"): 1000}
     # c is short of 250 by 200, which its sibling language takes before the other domain; a is short of what b takes
-    assert got == {("d", "en", "a"): 100.0, ("d", "en", "b"): 350.0, ("d", "fr", "c"): 50.0, ("e", "en", "f"): 500.0}
-    assert sum(mixing.budgets({("d", "en", "a"): 10, ("e", "en", "f"): 10}, 500, {}).values()) == 20
-    assert mixing.budgets({("d", "en", "a"): 10, ("e", "en", "f"): 10}, 500, {}, 3) == {("d", "en", "a"): 30.0, ("e", "en", "f"): 30.0}
+    got = spark_budgets(spark, leaves, {("d",): 1.0, ("e",): 1.0}, 1000 / 2150)
+    assert {k: round(v, 6) for k, v in got.items()} == {("d", "en", "a"): 100.0, ("d", "en", "b"): 350.0, ("d", "fr", "c"): 50.0, ("e", "en", "f"): 500.0}
+    two = {("d", "en", "a"): 10, ("e", "en", "f"): 10}
+    assert sum(spark_budgets(spark, two, {}, 25.0).values()) == 20
+    assert spark_budgets(spark, two, {}, 25.0, 3) == {("d", "en", "a"): 30.0, ("e", "en", "f"): 30.0}
+    rng = random.Random(9)
+    for _ in range(4):
+        leaves = {(rng.choice("def"), rng.choice(["en", "fr", "de"]), rng.choice("abcdefgh")): rng.choice([0, 1, rng.randint(1, 5000)]) for _ in range(40)}
+        weights = {k[:n]: rng.choice([0.0, 0.5, 1.0, 3.0, 7.5]) for k in leaves for n in (1, 2, 3) if rng.random() < 0.5}
+        share, epochs = rng.choice([0.0, 0.2, 0.7, 1.5]), rng.randint(1, 3)
+        want = plain_budgets(leaves, share * sum(leaves.values()), weights, epochs)
+        got = spark_budgets(spark, leaves, weights, share, epochs)
+        assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-5 for k in want)
 
 
 def test_mixing_against_brute_force(spark):
     rng = random.Random(8)
-    rows = [(i, f"d{i % 2}", rng.choice(["en", "fr"]), rng.choice("abc"), rng.randint(0, 50)) for i in range(800)]
-    frame = spark.createDataFrame(rows, "doc_id long, domain string, language string, origin string, tokens long")
-    got = {(r.doc_id, r.epoch): r.tokens_through for r in mixing.mix(frame, {("d0",): 3.0}, 0.9, 3, bucket_rows=20).collect()}
+    rows = [(rng.choice([i, i, i, 7, None]), f"d{i % 2}", rng.choice(["en", "fr"]), rng.choice("abc"), rng.randint(0, 50), "x") for i in range(800)] + [(3, "d0", "en", "a", 5, "x")] * 1500
+    frame = spark.createDataFrame(rows, "doc_id long, domain string, language string, origin string, tokens long, epoch string")
+    got = Counter((r.doc_id, r.tokens, r.epoch, r.tokens_through) for r in mixing.mix(frame, {("d0",): 3.0, ("d1", "en"): 2.0}, 0.9, 3, bucket_rows=20).collect())
     leaves = Counter()
     for r in rows:
         leaves[r[1:4]] += r[4]
-    given = mixing.budgets(leaves, sum(leaves.values()) * 0.9, {("d0",): 3.0}, 3)
-    want = {}
+    given = plain_budgets(leaves, sum(leaves.values()) * 0.9, {("d0",): 3.0, ("d1", "en"): 2.0}, 3)
+    want = Counter()
     for leaf, budget in given.items():
-        run, n = 0, sum(r[1:4] == leaf for r in rows)
+        run, mine = 0, [r for r in rows if r[1:4] == leaf]
         for epoch in range(min(3, int(budget // leaves[leaf]) + 1)):
-            mine = [(hashlib.md5(f"17:{epoch}:{r[0]}".encode()).hexdigest(), r) for r in rows if r[1:4] == leaf]
-            for _, r in sorted(mine):
+            draw = lambda r: hashlib.md5(f"17:{epoch}:{'null' if r[0] is None else r[0]}:{r[4]}".encode()).hexdigest()  # noqa: E731, B023
+            for r in sorted(mine, key=draw):
                 run += r[4]
                 if run <= budget + 1e-6:
-                    want[r[0], epoch] = run
-    assert got == want
+                    want[r[0], r[4], epoch, run] += 1
+    assert got == want and max(want.values()) >= 1
     assert mixing.mix(frame.limit(0)).count() == 0
     awkward = mixing.tree_columns(docs_of(spark, AWKWARD).withColumn("lang", F.lit(None).cast("string")))
     assert mixing.mix(awkward, budget_share=1.0).count() == len(AWKWARD)
