@@ -8,8 +8,8 @@ first bundled by the hash of their text into ``shards * grain`` bundles, which a
 jobs. So the driver's heap sees at most ``2 * shards * grain`` jobs, and loads differ by about
 one bundle, a ``1 / grain`` part of a shard.
 
-Slots are numbered within units of about ``unit_rows`` rows (a job, cut by the hash of doc_id
-where it is large), whose starts are running sums over the units' counts; a group of copies
+Slots are numbered within units of about ``unit_rows`` rows (a job, cut by the hash of the row's own number
+where it is large, so that a repeated or missing id does not hold a unit together), whose starts are running sums over the jobs' and then the units' counts; a group of copies
 that holds a third of all rows is numbered by many tasks.
 """
 
@@ -20,12 +20,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from terravane.llm.shared import staged
 
-JOB_SCHEMA = T.StructType([T.StructField("job", T.StringType()), T.StructField("shard", T.IntegerType())])
-
 
 def lpt(jobs: Iterable[tuple[str, int]], shards: int) -> list[tuple[str, int]]:
     """(job, size) -> (job, shard): largest first, ties by name, each to the least-loaded shard, ties to the smaller number."""
@@ -39,9 +36,10 @@ def lpt(jobs: Iterable[tuple[str, int]], shards: int) -> list[tuple[str, int]]:
 
 
 def sized(docs: DataFrame, overhead: int = 16) -> DataFrame:
-    """doc_id, size, text_crc32, key: everything that sharding needs of a document, without its text."""
+    """row, doc_id, size, text_crc32, key: everything that sharding needs of a document, without its text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
+        F.monotonically_increasing_id().alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text) + overhead).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
@@ -49,11 +47,11 @@ def sized(docs: DataFrame, overhead: int = 16) -> DataFrame:
     )
 
 
-def shard(docs: DataFrame, shards: int = 40, grain: int = 256, unit_rows: int = 200) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 40, grain: int = 256, unit_rows: int = 5000) -> DataFrame:
     """documents -> doc_id, size, text_crc32, law, shard, slot, grown_shard; one row per input row.
 
     Law ``bytes``: the sizes of the shards are near equal as far as no group outweighs a shard. A null
-    text counts as an empty one. Equal rows are placed together and get a slot each. No rows give no rows.
+    text counts as an empty one, in its group too. Equal rows are placed together and get a slot each, null and repeated ids as well. Other columns are not read. No rows give no rows.
     """
     if shards < 1 or grain < 1 or unit_rows < 1:
         raise ValueError("shards, grain and unit_rows must be positive")
@@ -66,26 +64,24 @@ def shard(docs: DataFrame, shards: int = 40, grain: int = 256, unit_rows: int =
     own = large.select("key", F.lit(True).alias("own"))
     # at most shards * grain rows by the definition above, 64 digits each
     placed = rows.join(F.broadcast(own), "key", "left").withColumn("job", F.when(F.col("own"), F.col("key")).otherwise(small))
-    placed = staged(placed.select("doc_id", "size", "text_crc32", "key", "job"), "shard-jobs")
-    jobs = placed.groupBy("job").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).collect()
-    plan = spark.createDataFrame(
-        [(job, s, n) for (job, s), n in zip(lpt([(r.job, r.bytes) for r in jobs], shards), _rows_in_order(jobs), strict=True)],
-        T.StructType([*JOB_SCHEMA.fields, T.StructField("job_rows", T.LongType())]),
-    )
-    cut = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("job_rows") / unit_rows)).cast("int")
+    placed = staged(placed.select("row", "doc_id", "size", "text_crc32", "key", "job"), "shard-jobs")
+    # at most 2 * shards * grain jobs
+    jobs = {r.job: r for r in placed.groupBy("job").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).collect()}
+    starts, plan = [0] * shards, []
+    for job, number in lpt([(j, r.bytes) for j, r in jobs.items()], shards):
+        plan.append((job, number, jobs[job].rows, starts[number]))
+        starts[number] += jobs[job].rows
+    plan = spark.createDataFrame(plan, "job string, shard int, job_rows long, job_start long")
+    cut = F.pmod(F.xxhash64("row"), F.ceil(F.col("job_rows") / unit_rows)).cast("int")
     dealt = staged(
-        placed.join(F.broadcast(plan), "job").select("doc_id", "size", "text_crc32", "key", "job", "shard", cut.alias("part")), "shard-dealt"
+        placed.join(F.broadcast(plan), "job").select("row", "doc_id", "size", "text_crc32", "key", "job", "shard", "job_start", cut.alias("part")), "shard-dealt"
     )
-    units = dealt.groupBy("shard", "job", "part").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("shard").orderBy("job", "part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = staged(units.select("job", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")), "shard-units")
-    within = Window.partitionBy("job", "part").orderBy("key", "doc_id")
+    units = dealt.groupBy("job", "job_start", "part").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("job").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = staged(units.select("job", "part", (F.col("job_start") + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("start")), "shard-units")
+    within = Window.partitionBy("job", "part").orderBy("key", "doc_id", "row")
     numbered = dealt.withColumn("at", F.row_number().over(within) - 1)
-    return numbered.join(starts, ["job", "part"]).select(
+    return numbered.join(begins, ["job", "part"]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         (F.col("start") + F.col("at")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
     )
-
-
-def _rows_in_order(jobs) -> list[int]:
-    return [r.rows for r in sorted(jobs, key=lambda r: (-r.bytes, r.job))]

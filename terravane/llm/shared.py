@@ -9,12 +9,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+class NoSharedFolder(RuntimeError):
+    """A cluster whose executors have no common folder."""
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: ``spark.checkpoint.dir``; a local one only where that is unset (tests)."""
+    """The application's folder that every executor sees, under ``spark.checkpoint.dir``; it goes when the application ends.
+
+    Where that is unset a folder of this machine serves, but only if the executors run on it (a local master); a cluster without the setting is refused.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = f"file://{tempfile.gettempdir()}/terravane-{spark.sparkContext.applicationId}"
-    return base.rstrip("/") + "/terravane"
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise NoSharedFolder("set spark.checkpoint.dir to a folder that all executors see")
+        base = f"file://{tempfile.gettempdir()}"
+    app = f"{base.rstrip('/')}/terravane-{spark.sparkContext.applicationId}"
+    if app not in _TO_REMOVE:
+        _TO_REMOVE.add(app)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(app)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return app
+
+
+_TO_REMOVE: set[str] = set()
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

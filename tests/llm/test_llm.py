@@ -86,8 +86,7 @@ def check_shards(rows, texts):
     assert len(rows) == len(texts)
     for s in {r.shard for r in rows}:
         assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
-    for r, (i, t) in zip(sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.size)), sorted(texts, key=lambda x: (x[0] is not None, x[0] or 0, len(x[1] or ""))), strict=True):
-        assert (r.doc_id, r.size, r.text_crc32) == (i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode()))
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in texts)
 
 
 def test_sharding(spark):
@@ -669,3 +668,31 @@ def test_ann_repeated_rows_and_awkward_vectors(spark):
             want.update((q, k, v, s) for k, (s, v) in enumerate(sorted(near)[:4], 1))
     assert sum((got & want).values()) >= 0.97 * sum(want.values()) and sum(got.values()) == sum(want.values())
     assert got[100, 1, 0, 0.0] == 3 and got[500, 1, 600, 2.0] == 1 and not any(q == 400 for q, *_ in got)
+
+
+def test_sharding_against_plain_scheduling(spark):
+    rng = random.Random(31)
+    texts = [(rng.choice([None, 5, i]), f"t{rng.randrange(200)} " * rng.randint(1, 90)) for i in range(900)] + [(None, "hot copies")] * 400
+    rows = sharding.shard(docs_of(spark, texts), 5, grain=100_000, unit_rows=30).collect()
+    check_shards(rows, texts)
+    # at this grain every group is a job of its own, so the loads are those of plain longest-processing-time scheduling
+    groups = Counter()
+    for _, t in texts:
+        groups[t] += len(t.encode()) + 16
+    plain, loads = [0] * 5, Counter()
+    for size in sorted(groups.values(), reverse=True):
+        plain[plain.index(min(plain))] += size
+    for r in rows:
+        loads[r.shard] += r.size
+    assert sorted(loads.values()) == sorted(plain)
+
+
+def test_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from terravane.llm import shared
+
+    assert shared.shared_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077", applicationId="a"))
+    with pytest.raises(shared.NoSharedFolder):
+        shared.shared_dir(cluster)
