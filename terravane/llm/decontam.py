@@ -41,8 +41,8 @@ def shingles(hashes: Column, size: int) -> Column:
     return F.when(n >= 1, F.transform(F.sequence(F.lit(0), n - 1), one)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _hashed(table: DataFrame, key: str, text: str) -> DataFrame:
-    return table.select(F.col(key).cast("long").alias(key), F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("w"))
+def _hashed(table: DataFrame, key: str, text: str, id_type: str = "long") -> DataFrame:
+    return table.select(F.col(key).cast(id_type).alias(key), F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("w"))
 
 
 def item_shingles(benchmark: DataFrame, shingle_words: int) -> DataFrame:
@@ -123,22 +123,22 @@ def prefixes(items: DataFrame, similarity: float) -> DataFrame:
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, shingle_words: int = 5, similarity: float = 0.8, radius: int = 22
+    docs: DataFrame, benchmark: DataFrame, shingle_words: int = 5, similarity: float = 0.8, radius: int = 22, id_type: str = "long"
 ) -> DataFrame:
     """documents, benchmark -> (doc_id, item_id, start_word, n_words, similarity): the best window of each pair that reaches ``similarity``, weighted or plain; the larger one is told, to nine digits.
 
     Ties go to the first window. A document shorter than the item is one window. Null and empty texts, and items without a word,
-    match nothing. Where rows repeat a doc_id, the best window of all its texts counts; equal rows count once. Null ids take no part, other columns are not read. An empty table gives no rows.
+    match nothing. doc_id is read as ``id_type``. Where rows repeat a doc_id, the best window of all its texts counts; equal rows count once. Null ids take no part, other columns are not read. An empty table gives no rows.
     """
     if not 0 <= radius < 64 or not 0 < similarity <= 1 or shingle_words < 1:
         raise ValueError("radius must be 0 to 63, similarity above 0 and at most 1, shingle_words positive")
     items = staged(item_shingles(benchmark, shingle_words), "decontam-items")
     per_size = {r["size"]: r["n"] for r in items.groupBy("size").agg(F.count("*").alias("n")).collect()}  # at most shingle_words rows
     if not per_size:
-        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, start_word int, n_words int, similarity double")
+        return docs.sparkSession.createDataFrame([], f"doc_id {id_type}, item_id long, start_word int, n_words int, similarity double")
     first, sizes = staged(prefixes(items, similarity), "decontam-prefixes"), sorted(per_size)
     begins, may = bloom(first), bloom(items)
-    hashed = _hashed(docs.where(F.col("doc_id").isNotNull()), "doc_id", "text")
+    hashed = _hashed(docs.where(F.col("doc_id").isNotNull()), "doc_id", "text", id_type)
     # the words stand as an element of an array, so that a filter pushed below their projection computes them once a row
     hashed = hashed.where(F.exists(F.array("w"), lambda w: reduce(Column.__or__, [F.exists(shingles(w, size), begins) for size in sizes])))
     # a document is told by its id and its words, so rows that repeat an id are told apart and equal rows count once

@@ -1,9 +1,10 @@
 """Near-copy classes by the exact Jaccard similarity of word shingles.
 
 A text is the set of its runs of ``shingle_words`` words; two texts are linked if their sets are at least ``similarity``
-alike, and classes are what links reach. Pairs to compare come from MinHash bands: a cell is a band's minima, and texts that
-meet in no cell are not compared. With 25 bands of five minima a pair of similarity 0.8 meets in some cell with
-probability 0.99995, one of 0.9 always but for one in 10^9. No other step loses a pair.
+alike, and classes are what links reach. Pairs to compare come from the SimHash classes of the same shingles (``simhash``, its popcount grid) and, as few pairs
+at 0.8 lie within its three bits and a grid of twelve bits meets nearly all pairs, from MinHash bands: a cell is a band's minima, a SimHash class is one cell more,
+and texts that meet in no cell are not compared. With 25 bands of five minima a pair of similarity 0.8 meets in some cell with
+probability 0.99995, one of 0.9 always but for one in 10^9. No other step loses a pair. Texts are told by a 64-bit hash.
 
 Cells are joined to their smallest text by equi-joins, whose classes are the candidate classes. A text's set is
 shipped once to its candidate class and compared there with the texts it shares a cell with, less those already
@@ -22,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terravane.llm import simhash
 from terravane.llm.components import components
 from terravane.llm.shared import staged
 
@@ -77,7 +79,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], shingle_words: int) -> Iterator[p
 def _sets(batches: Iterator[pa.RecordBatch], shingle_words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         made = [shingle_set(t.as_py(), shingle_words) for t in batch.column("text")]
-        cell = pa.array([cells(s) for s in made], pa.list_(pa.int64()))
+        cell = pa.array([np.append(cells(s), c) for s, c in zip(made, batch.column("class_cell").to_pylist(), strict=True)], pa.list_(pa.int64()))
         held = pa.array([s.view(np.int64) for s in made], pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays([batch.column("body"), batch.column("root"), cell, held], ["body", "root", "cells", "held"])
 
@@ -143,12 +145,13 @@ def _compare(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[p
 
 
 def links(texts: DataFrame, sketch: DataFrame, shingle_words: int = 5, similarity: float = 0.8, block_rows: int = 512) -> DataFrame:
-    """(body, text), (body, cells) with distinct bodies -> (a, b): links whose classes are those of all compared pairs that reach ``similarity``."""
+    """(body, text), (body, cells) with distinct bodies, the SimHash class's cell last, -> (a, b): links whose classes are those of all compared pairs that reach ``similarity``."""
     grid = sketch.select("body", F.explode("cells").alias("cell"))
     met = grid.groupBy("cell").agg(F.min("body").alias("least"), F.max("body").alias("most")).where("least < most")
     candidates = components(grid.join(staged(met.select("cell", "least"), "nearcopies-cells"), "cell").select(F.col("body").alias("a"), F.col("least").alias("b")))
     member = staged(candidates.unionByName(candidates.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "body"), "nearcopies-candidates")
-    wanted = texts.select("body", "text").join(member, "body").dropDuplicates(["body"]).select("body", "root", "text")
+    held = sketch.select("body", F.element_at("cells", -1).alias("class_cell"))
+    wanted = texts.select("body", "text").join(member.join(held, "body"), "body").dropDuplicates(["body"]).select("body", "root", "class_cell", "text")
     sets = staged(wanted.mapInArrow(lambda it: _sets(it, shingle_words), "body long, root long, cells array<long>, held array<long>"), "nearcopies-sets")
     hot = staged(member.groupBy("root").count().where(F.col("count") > block_rows).select("root"), "nearcopies-hot")
     order = ["root", "block", "probe", "body", "cells", "held"]
@@ -171,15 +174,18 @@ def links(texts: DataFrame, sketch: DataFrame, shingle_words: int = 5, similarit
     return found.unionByName(pivoted) if pivoted is not None else found
 
 
-def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, block_rows: int = 512) -> tuple[DataFrame, DataFrame]:
+def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, block_rows: int = 512, radius: int = 3) -> tuple[DataFrame, DataFrame]:
     """documents -> (doc_id, body), one row per input row, and (body, class, component_id), one per distinct text.
 
     body is the text's hash, class the smallest body of its class, component_id the smallest doc_id of the class (null ids take no part).
-    Texts without a word are one class.
+    Texts without a word are one class. Repeated rows and null ids are rows like others; other columns are not read. No rows give no rows.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("body"), "text")
     owned = staged(texts.mapInArrow(lambda it: _sketch(it, shingle_words), "doc_id long, body long, cells array<long>"), "nearcopies-sketch")
-    distinct = staged(owned.groupBy("body").agg(F.min("doc_id").alias("first_id"), F.min("cells").alias("cells")), "nearcopies-distinct")
+    prints = simhash.near_duplicates(docs.select(F.xxhash64("text").alias("doc_id"), "text"), shingle_words, radius)
+    prints = staged(prints.groupBy(F.col("doc_id").alias("body")).agg(F.min(F.xxhash64("class_fp", F.lit(BANDS))).alias("class_cell")), "nearcopies-prints")
+    firsts = owned.groupBy("body").agg(F.min("doc_id").alias("first_id"), F.min("cells").alias("cells")).join(prints, "body")
+    distinct = staged(firsts.select("body", "first_id", F.array_append("cells", F.col("class_cell")).alias("cells")), "nearcopies-distinct")
     member = components(links(texts, distinct, shingle_words, similarity, block_rows)).withColumnRenamed("node", "body")
     named = staged(distinct.join(member, "body", "left").select("body", "first_id", F.coalesce("root", "body").alias("class")), "nearcopies-named")
     least = named.groupBy("class").agg(F.min("first_id").alias("component_id"))

@@ -27,7 +27,9 @@ def shared_dir(spark: SparkSession) -> str:
     if app not in _TO_REMOVE:
         _TO_REMOVE.add(app)
         folder = spark._jvm.org.apache.hadoop.fs.Path(app)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+        store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(folder)  # only a folder that exists can be marked
+        store.deleteOnExit(folder)
     return app
 
 

@@ -693,6 +693,8 @@ def test_shared_folder(spark, monkeypatch):
     from terravane.llm import shared
 
     assert shared.shared_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+    here = spark._jvm.org.apache.hadoop.fs.Path(shared.shared_dir(spark))
+    assert here.getFileSystem(spark._jsc.hadoopConfiguration()).exists(here)
     cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077", applicationId="a"))
     with pytest.raises(shared.NoSharedFolder):
         shared.shared_dir(cluster)
