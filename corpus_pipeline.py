@@ -14,8 +14,8 @@ from terravane.llm import decontam, langid, mixing, nearcopies, sharding
 from terravane.llm.shared import staged, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-# Below this no language of the training rows is likely; texts of a few letters stay above it.
-LEAST_LANGUAGE_SCORE = 0.25
+# Target weights of the mixture: domains first, then languages within one; absent ones weigh 1.
+WEIGHTS = {("domain0",): 2.0, ("domain1",): 1.5, ("domain0", "en"): 1.0, ("domain0", "fr"): 2.0, ("domain1", "es"): 2.0}
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -23,42 +23,51 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the rows whose text has a language. Rejected: null texts, texts without a letter, and texts no language is likely for.
+    """Keeps the rows whose text has a language. Rejected: null texts and texts without a letter (empty ones among them).
 
-    Each row is judged by its own text, repeated ids and null ids included, in the pass that predicts it.
+    Each row is judged by its own text, repeated ids and null ids included, in the pass that predicts it. No rows give no rows.
     """
-    found = langid.identify(docs, carry=COLUMNS)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select("row.*")
+    return langid.identify(docs, carry=COLUMNS).where(F.col("lang_pred") != "und").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of each class of texts linked by a five-word similarity of 0.8: that with the smallest doc_id, of several with it the least row; a null id stays only in a class of null ids."""
+    """Keeps one row of each class of texts linked by a five-word similarity of 0.8: that with the smallest doc_id, of several with it the least row; a null id stays only in a class of null ids.
+
+    Pairs come from SimHash classes at five words and from MinHash bands, each verified exactly. Texts without a word (null, empty, white space) are one class. No rows give no rows.
+    """
     owned, classes = nearcopies.near_copies(docs)
-    unnamed = docs.groupBy("doc_id").count().where((F.col("count") > 1) | F.col("doc_id").isNull())
-    if unnamed.isEmpty():
-        gone = owned.join(classes, "body").where("component_id <> doc_id").select("doc_id")
-        return _documents(docs).join(staged(gone, "pipeline-copies"), "doc_id", "left_anti")
-    # some id does not tell one row: rows are told by their texts
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("body"), F.struct(*COLUMNS).alias("row"))
-    kept = rows.join(classes, "body").where("component_id IS NULL OR doc_id = component_id")
-    return kept.groupBy("class").agg(F.min("row").alias("row")).select("row.*")
+    keys = staged(owned.groupBy("doc_id", "body").agg(F.count("*").alias("n")).join(classes.select("body", "class"), "body"), "pipeline-keys")
+    key = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "body")
+    first = keys.groupBy("class").agg(F.min(key).alias("first"))
+    told = keys.join(first, "class").select("doc_id", "body", "n", (key == F.col("first")).alias("kept"))
+    told = staged(told.select(F.col("doc_id").alias("k"), F.col("body").alias("b"), "n", "kept"), "pipeline-told")
+    body = F.xxhash64("text")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("k")) & (body == F.col("b"))
+    # a key of one row is that row; of the few kept keys with several rows one row is chosen
+    single = _documents(docs).join(told.where("NOT kept OR n > 1"), same, "left_anti")
+    several = _documents(docs).join(told.where("kept AND n > 1"), same, "left_semi")
+    chosen = several.groupBy(F.col("doc_id").alias("k"), body.alias("b")).agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
+    return single.unionByName(chosen)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops every document with a window that an item of ``benchmark`` resembles; rows are told by their texts, null and repeated ids included."""
-    body = F.xxhash64("text")
-    found = decontam.contaminated(docs.select(body.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    """Drops every document with a window that an item of ``benchmark`` resembles; rows are told by a 128-bit hash of their texts, null and repeated ids included.
+
+    Null and empty texts stay. No rows give no rows.
+    """
+    body = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    found = decontam.contaminated(docs.select(body.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"), id_type="string")
     leaks = staged(found.select(F.col("doc_id").alias("leak")).distinct(), "pipeline-leaks")
     return _documents(docs).join(leaks, body == F.col("leak"), "left_anti")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps each leaf's token prefix under equal weights, nine tenths of all tokens, one epoch."""
-    return mixing.mixed_documents(_documents(docs), budget_share=0.9)
+    """Keeps each leaf's token prefix under ``WEIGHTS``, nine tenths of all tokens, one epoch. Null lang and source are named ``none``, null texts have no tokens. No rows give no rows."""
+    return mixing.mixed_documents(_documents(docs), WEIGHTS, budget_share=0.9)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The placement of every document in 40 shards."""
+    """The placement of every document in 40 shards, by sizes near equal; null texts count as empty, repeated rows get a slot each. No rows give no rows."""
     return sharding.shard(docs, 40)
 
 
@@ -74,6 +83,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over ``documents``, each written and read again; what each does with nulls, ties, repeated rows and empty tables stands at the stage. Columns beyond ``COLUMNS`` are left out."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}-out")
