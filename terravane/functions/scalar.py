@@ -1,4 +1,4 @@
-"""Column functions: keys, dates, lenient numbers, names and places. All are JVM-side expressions but ``fold_accents`` and ``sequence_ratio``."""
+"""Column functions: keys, dates, lenient numbers, names and places. All are JVM-side expressions but ``fold_accents``, ``strip_diacritics``, ``round_binary`` and ``sequence_ratio``."""
 
 from __future__ import annotations
 
@@ -17,23 +17,64 @@ def fold_accents(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c)))
 
 
+@F.pandas_udf(T.StringType())
+def strip_diacritics(values: pd.Series) -> pd.Series:
+    """Compatibility decomposition without the marks U+0300 to U+036F; other combining marks stay."""
+    return values.map(lambda v: None if v is None else "".join(c for c in unicodedata.normalize("NFKD", v) if not "\u0300" <= c <= "\u036f"))
+
+
 def premap(value: Column) -> Column:
     """Letters that decomposition leaves whole."""
     return F.translate(value, "øØłŁđĐðÐ", "oOlLdDdD")
 
 
-def normalize_key(value: Column, ascii_only: bool = False) -> Column:
-    """Letters and digits of the folded, lower-cased value. ``ascii_only`` skips the folding where the input needs none."""
-    folded = value if ascii_only else fold_accents(premap(value))
+def normalize_key(value: Column, premapped: bool = False, ascii_only: bool = False) -> Column:
+    """ASCII letters and digits of the folded, lower-cased value; letters without a decomposition drop out unless ``premapped``. Null gives ''.
+
+    ``ascii_only`` skips the folding where the input needs none.
+    """
+    value = F.coalesce(value, F.lit(""))
+    folded = value if ascii_only else fold_accents(premap(value) if premapped else value)
     return F.regexp_replace(F.lower(folded), "[^a-z0-9]", "")
 
 
 def search_text(value: Column, ascii_only: bool = False) -> Column:
-    return F.lower(value if ascii_only else fold_accents(value))
+    """Lower-cased without diacritics; punctuation stays. Null gives ''."""
+    value = F.coalesce(value, F.lit(""))
+    return F.lower(value if ascii_only else strip_diacritics(value))
+
+
+def country_key(value: Column, ascii_only: bool = False) -> Column:
+    """``search_text`` without anything but ASCII letters and digits."""
+    return F.regexp_replace(search_text(value, ascii_only), "[^a-z0-9]", "")
+
+
+def slug(value: Column, ascii_only: bool = True) -> Column:
+    """Runs of ASCII letters and digits joined by dashes; other letters are folded first unless ``ascii_only``, and dropped where they have no ASCII form."""
+    flat = value if ascii_only else F.regexp_replace(fold_accents(value), r"[^\x00-\x7F]", "")
+    return F.btrim(F.regexp_replace(F.lower(flat), "[^a-z0-9]+", "-"), F.lit("-"))
+
+
+def profile_id(name: Column, born: Column, nation: Column, prefix: str = "top5", ascii_only: bool = False) -> Column:
+    """``prefix:slug:year``; without a birth year ``prefix:slug:unknown-nation``."""
+    year = F.when(born.isNotNull(), born.cast("double").cast("long").cast("string")).otherwise(F.concat(F.lit("unknown-"), slug(nation, ascii_only)))
+    return F.concat(F.lit(f"{prefix}:"), slug(name, ascii_only), F.lit(":"), year)
 
 
-def slug(value: Column) -> Column:
-    return F.btrim(F.regexp_replace(F.lower(value), "[^a-z0-9]+", "-"), F.lit("-"))
+def profile_url(name: Column, base: str, ascii_only: bool = False) -> Column:
+    return F.concat(F.lit(base), slug(name, ascii_only))
+
+
+def url_or_name_id(url: Column, name: Column, prefix: str = "wiki-", ascii_only: bool = False) -> Column:
+    """The last path segment of the url if it is sixteen hex digits, or else the prefix and sixteen digits of the SHA-1 of the name's key."""
+    last = F.regexp_extract(F.coalesce(url, F.lit("")), r"([^/]*)/*$", 1)
+    named = F.concat(F.lit(prefix), F.substring(F.sha1(normalize_key(name, ascii_only=ascii_only).cast("binary")), 1, 16))
+    return F.when(last.rlike("^[0-9a-f]{16}$"), last).otherwise(named)
+
+
+def cache_key(value: Column, digits: int = 24) -> Column:
+    """The first digits of the SHA-256."""
+    return F.substring(F.sha2(value.cast("binary"), 256), 1, digits)
 
 
 def stable_id(name: Column, url: Column, born: Column) -> Column:
@@ -47,15 +88,16 @@ def season_label(end_year: Column) -> Column:
 
 
 def season_end_year(value: Column) -> Column:
-    """``2006``, ``2005-06`` and ``2005/2006`` name 2006; 1999-00 rolls over; anything else is null."""
+    """``2006``, ``2005-06``, ``2005 / 06`` and ``2005/2006`` name 2006; 1999-00 rolls over, and so does a short end equal to its start (2005-05 is 2105); anything else is null."""
     v = F.trim(value.cast("string"))
-    start = F.regexp_extract(v, r"^(\d{4})[-/](\d{2}|\d{4})$", 1).try_cast("int")
-    end = F.regexp_extract(v, r"^(\d{4})[-/](\d{2}|\d{4})$", 2)
+    pattern = r"^(\d{4})\s*[-/]\s*(\d{2}|\d{4})$"
+    start = F.regexp_extract(v, pattern, 1).try_cast("int")
+    end = F.regexp_extract(v, pattern, 2)
     short = (F.floor(start / 100) * 100).cast("int") + end.try_cast("int")
     return (
         F.when(v.rlike(r"^\d{4}$"), v.try_cast("int"))
         .when(F.length(end) == 4, end.try_cast("int"))
-        .when(F.length(end) == 2, F.when(short < start, short + 100).otherwise(short))
+        .when(F.length(end) == 2, F.when(short <= start, short + 100).otherwise(short))
     )
 
 
@@ -72,17 +114,39 @@ def parse_date(value: Column) -> Column:
     return F.coalesce(*[F.try_to_timestamp(v, F.lit(p)).cast("date") for p in tries])
 
 
+def age_at(born: Column, birth_year: Column, on: Column) -> Column:
+    """struct<age, exact>: completed years where the birth date is known, or else the difference of the years; null without either."""
+    year = F.year(on) - birth_year.cast("int")
+    return F.when(born.isNotNull(), F.struct(age_on(born, on).alias("age"), F.lit(True).alias("exact"))).otherwise(F.struct(year.alias("age"), F.lit(False).alias("exact")))
+
+
 def lenient_int(value: Column) -> Column:
     """Floats are cut, dashes and blanks and anything else count as 0."""
-    return F.coalesce(F.trim(value).try_cast("double").cast("long"), F.lit(0).cast("long"))
+    number = F.trim(value.cast("string")).try_cast("double")
+    return F.coalesce(F.when(~F.isnan(number), number).cast("long"), F.lit(0).cast("long"))
+
+
+def whole_int(value: Column) -> Column:
+    """Whole numbers only: a float, a dash, a blank and anything else count as 0."""
+    v = F.trim(value.cast("string"))
+    return F.when(v.rlike(r"^[+-]?\d+$"), v.try_cast("long")).otherwise(F.lit(0).cast("long"))
+
+
+def first_int(value: Column, signed: bool = False) -> Column:
+    """The first run of digits in a text, 0 without one."""
+    return F.coalesce(F.regexp_extract(value, r"(-?\d+)" if signed else r"(\d+)", 1).try_cast("long"), F.lit(0).cast("long"))
+
+
+_OF = r"(?i)^\s*(\d+)\s+of\s+(\d+)"
 
 
 def landed(value: Column) -> Column:
-    return F.regexp_extract(value, r"(\d+)\s+of\s+(\d+)", 1).try_cast("long")
+    """The first number of a text that begins ``x of y``, 0 for any other."""
+    return F.coalesce(F.regexp_extract(value, _OF, 1).try_cast("long"), F.lit(0).cast("long"))
 
 
 def attempted(value: Column) -> Column:
-    return F.regexp_extract(value, r"(\d+)\s+of\s+(\d+)", 2).try_cast("long")
+    return F.coalesce(F.regexp_extract(value, _OF, 2).try_cast("long"), F.lit(0).cast("long"))
 
 
 def wkt_point(value: Column) -> Column:
@@ -96,17 +160,52 @@ def last_segment(url: Column) -> Column:
 
 
 def page_title(url: Column) -> Column:
-    """Title of an encyclopedia page url, decoded, underscores as spaces; null for other hosts."""
-    path = F.regexp_extract(url, r"^https?://[a-z\-]+\.wikipedia\.org/wiki/([^?#]+)", 1)
-    return F.when(path != "", F.replace(F.try_url_decode(path), F.lit("_"), F.lit(" ")))
+    """Title of a page of the English encyclopedia, decoded, underscores as spaces; null for other hosts and without a title."""
+    path = F.regexp_replace(F.regexp_extract(url, r"(?i)^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?(?:www\.)?en\.wikipedia\.org(?::\d*)?(/[^?#]*)", 1), ";[^/]*$", "")
+    raw = F.when(F.contains(path, F.lit("/wiki/")), F.regexp_extract(path, "^.*?/wiki/(.*)$", 1))
+    # a plus is a plus here, and a percent sign without two digits stands for itself
+    coded = F.regexp_replace(F.replace(raw, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.nullif(F.trim(F.replace(F.try_url_decode(coded), F.lit("_"), F.lit(" "))), F.lit(""))
+
+
+def title_case(word: Column) -> Column:
+    """A capital after anything that is no letter, small letters after letters: O'NEIL-SMITH is O'Neil-Smith."""
+    letters = F.split(word, "")
+    after = lambda i: F.coalesce(F.get(letters, i - 1).rlike(r"^\p{L}$"), F.lit(False))
+    return F.array_join(F.transform(letters, lambda c, i: F.when(after(i), F.lower(c)).otherwise(F.upper(c))), "")
+
+
+def _loud(word: Column) -> Column:
+    return (word == F.upper(word)) & (word != F.lower(word))
+
+
+# name particles that can stand in a surname in any case
+PARTICLES = ("van", "von", "der", "den", "de", "del", "da", "do", "du", "le", "la")
+
+
+def _split_at(parts: Column, ends: Column) -> Column:
+    """Words from the first one for which ``ends`` holds, then the ones before it with capitals eased."""
+    flags = F.transform(parts, ends) if callable(ends) else ends
+    first = F.coalesce(F.nullif(F.array_position(flags, True), F.lit(0).cast("long")).cast("int"), F.size(parts) + 1)
+    surname = F.transform(F.slice(parts, 1, first - 1), lambda w: F.when(_loud(w), title_case(w)).otherwise(w))
+    return F.array_join(F.concat(F.slice(parts, first, F.size(parts)), surname), " ")
 
 
 def given_name_first(value: Column) -> Column:
-    """``SURNAME Given`` -> ``Given Surname``: the leading words in capitals are the surname."""
+    """``VAN der POEL Mathieu`` -> ``Mathieu Van der Poel``: the leading words in capitals, with particles among them, are the surname. Words in capitals after the given name stay."""
+    return _split_at(F.split(F.trim(value), r"\s+"), lambda w: ~F.lower(w).isin(*PARTICLES) & ~_loud(w))
+
+
+def capitals_last(value: Column) -> Column:
+    """The variant without particles: every leading word that equals its upper case is the surname; a name all in capitals is only eased."""
     parts = F.split(F.trim(value), r"\s+")
-    loud = F.filter(parts, lambda w: (w == F.upper(w)) & (F.length(w) > 1))
-    rest = F.filter(parts, lambda w: ~((w == F.upper(w)) & (F.length(w) > 1)))
-    return F.array_join(F.concat(rest, F.transform(loud, F.initcap)), " ")
+    quiet = F.exists(parts, lambda w: w != F.upper(w))
+    return F.when(quiet, _split_at(parts, lambda w: w != F.upper(w))).otherwise(F.array_join(F.transform(parts, title_case), " "))
+
+
+def ease_capitals(value: Column) -> Column:
+    """Words all in capitals in title case, others as they are."""
+    return F.array_join(F.transform(F.split(F.trim(value), r"\s+"), lambda w: F.when(_loud(w), title_case(w)).otherwise(w)), " ")
 
 
 def name_key(value: Column, ascii_only: bool = False) -> Column:
@@ -120,6 +219,8 @@ def full_name(given: Column, family: Column) -> Column:
 
 
 def split_list(value: Column, mark: str = ";") -> Column:
+    """Trimmed parts that are not blank; null gives an empty list."""
+    value = F.coalesce(value, F.lit(""))
     return F.filter(F.transform(F.split(value, mark), lambda x: F.trim(x)), lambda x: x != "")
 
 
@@ -135,6 +236,124 @@ def grid_cell(lat: Column, lon: Column, resolution: int) -> Column:
     return F.when(valid_coordinates(lat, lon), code)
 
 
+def cell_parent(cell: Column) -> Column:
+    """The cell one resolution coarser that holds it; null at resolution 0."""
+    part = lambda i: F.get(F.split(cell, ":"), F.lit(i)).cast("long")
+    return F.when(part(0) > 0, F.concat_ws(":", part(0) - 1, F.floor(part(1) / 2).cast("long"), F.floor(part(2) / 2).cast("long")))
+
+
+def cell_ring(cell: Column) -> Column:
+    """Closed ring of a cell's corners, array<struct<lon, lat>>; cells do not cross the antimeridian, as they start there."""
+    part = lambda i: F.get(F.split(cell, ":"), F.lit(i)).cast("long")
+    size = F.lit(10.0) / F.pow(F.lit(2.0), part(0))
+    south, west = part(1) * size - 90, part(2) * size - 180
+    corner = lambda dx, dy: F.struct((west + size * dx).alias("lon"), (south + size * dy).alias("lat"))
+    return F.array(corner(0, 0), corner(1, 0), corner(1, 1), corner(0, 1), corner(0, 0))
+
+
+def cell_area(cell: Column, radius_km: float = 6371.0088) -> Column:
+    """Square kilometres of a cell on a sphere."""
+    ring = cell_ring(cell)
+    south, north = F.radians(F.get(ring, F.lit(0))["lat"]), F.radians(F.get(ring, F.lit(2))["lat"])
+    wide = F.radians(F.get(ring, F.lit(1))["lon"] - F.get(ring, F.lit(0))["lon"])
+    return F.lit(radius_km**2) * wide * (F.sin(north) - F.sin(south))
+
+
+# bounding box south, north, west, east
+AUSTRALIA = (-44.5, -9.0, 112.0, 154.5)
+
+
+def inside_box(lat: Column, lon: Column, box: tuple[float, float, float, float] = AUSTRALIA) -> Column:
+    return F.coalesce(lat.between(box[0], box[1]) & lon.between(box[2], box[3]), F.lit(False))
+
+
+def first_coordinates(options: list[tuple[str, Column, Column]]) -> Column:
+    """struct<lat, lon, precision> of the first option with both coordinates; ``unresolved`` without one."""
+    found = [F.when(lat.isNotNull() & lon.isNotNull(), F.struct(lat.alias("lat"), lon.alias("lon"), F.lit(name).alias("precision"))) for name, lat, lon in options]
+    none = F.lit(None).cast("double")
+    return F.coalesce(*found, F.struct(none.alias("lat"), none.alias("lon"), F.lit("unresolved").alias("precision")))
+
+
+def city_search_name(value: Column, no_cities: Column | None = None, ascii_only: bool = False) -> Column:
+    """struct<name, country>: the part before the first comma with the rest as a country hint; an Australian state at the end is cut and hints AU. ``no_cities`` is an array of keys that name no city."""
+    text = F.trim(value)
+    comma = F.instr(text, ",") > 0
+    name = F.when(comma, F.trim(F.substring_index(text, ",", 1))).otherwise(text)
+    hint = F.when(comma, F.trim(F.regexp_extract(text, "(?s)^[^,]*,(.*)$", 1)))
+    state = r"(?i)\s+(NSW|QLD|VIC|WA|SA|TAS|ACT|NT)$"
+    there = name.rlike(state)
+    found = F.struct(F.when(there, F.trim(F.regexp_replace(name, state, ""))).otherwise(name).alias("name"), F.when(there, F.lit("AU")).otherwise(hint).alias("country"))
+    bad = F.lit(False) if no_cities is None else F.array_contains(no_cities, normalize_key(found["name"], ascii_only=ascii_only))
+    return F.when(F.coalesce(value, F.lit("")) != "", F.when(~bad, found))
+
+
+def last_word(value: Column) -> Column:
+    """The last word, as a nation code stands at the end of ``eng ENG``; null for blanks."""
+    return F.nullif(F.regexp_extract(F.trim(value), r"(\S+)$", 1), F.lit(""))
+
+
+def recode(value: Column, names: dict[str, str]) -> Column:
+    """The name of a code, and the value itself where the map has none."""
+    known = F.create_map(*[F.lit(x) for pair in sorted(names.items()) for x in pair]) if names else None
+    return value if known is None else F.coalesce(F.get(F.map_values(F.map_filter(known, lambda k, v: k == value)), F.lit(0)), value)
+
+
+def discipline(event: Column) -> Column:
+    """Family of an athletics event by words in its name, the first rule that holds."""
+    has = lambda *words: F.coalesce(event.rlike("|".join(words)), F.lit(False))
+    return (
+        F.when(has("Relay"), "Relays").when(has("Decathlon", "Heptathlon"), "Combined events").when(has("Race Walk"), "Race walks")
+        .when(has("Marathon"), "Road").when(has("Jump", "Vault"), "Jumps").when(has("Put", "Throw"), "Throws").otherwise("Track")
+    )
+
+
+def event_type(name: Column) -> Column:
+    return F.when(F.coalesce(name.rlike(r"^UFC\s+\d"), F.lit(False)), "Numbered PPV").otherwise("Fight Night")
+
+
+_CLAIM = "array<struct<rank: string, mainsnak: struct<snaktype: string, datavalue: struct<value: string>>>>"
+
+
+def claim_value(entity: Column, prop: str) -> Column:
+    """JSON text of a claim's value: the first preferred claim, or else the first one; null unless that snak holds a value."""
+    claims = F.from_json(F.get_json_object(entity, f"$.claims.{prop}"), _CLAIM)
+    chosen = F.coalesce(F.get(F.filter(claims, lambda c: c["rank"] == "preferred"), F.lit(0)), F.get(claims, F.lit(0)))["mainsnak"]
+    return F.when(chosen["snaktype"] == "value", chosen["datavalue"]["value"])
+
+
+def claim_entity(entity: Column, prop: str) -> Column:
+    return F.get_json_object(claim_value(entity, prop), "$.id")
+
+
+def claim_date(entity: Column, prop: str = "P569") -> Column:
+    """The first ten characters of the time without its sign; null for shorter ones."""
+    raw = F.ltrim(F.get_json_object(claim_value(entity, prop), "$.time"), F.lit("+"))
+    return F.when(F.length(raw) >= 10, F.substring(raw, 1, 10))
+
+
+def claim_coordinates(entity: Column, prop: str = "P625") -> Column:
+    at = claim_value(entity, prop)
+    return F.struct(F.get_json_object(at, "$.latitude").try_cast("double").alias("lat"), F.get_json_object(at, "$.longitude").try_cast("double").alias("lon"))
+
+
+def entity_label(entity: Column) -> Column:
+    """The English label, or else the first one that is not empty."""
+    labels = F.from_json(F.get_json_object(entity, "$.labels"), "map<string, struct<value: string>>")
+    other = F.get(F.filter(F.transform(F.map_values(labels), lambda x: x["value"]), lambda v: v != ""), F.lit(0))
+    return F.when(F.array_contains(F.map_keys(labels), "en"), F.element_at(labels, "en")["value"]).otherwise(other)
+
+
+@F.pandas_udf(T.DoubleType())
+def round_binary(values: pd.Series, digits: pd.Series) -> pd.Series:
+    """Half-even rounding of the binary value itself (2.675 to two digits is 2.67); ``F.round`` and ``F.bround`` round its decimal text."""
+    return pd.Series([None if v is None or d is None or v != v else round(float(v), int(d)) for v, d in zip(values, digits, strict=True)], dtype="float64")
+
+
+def count_word(count: Column, one: str, many: str) -> Column:
+    """A count with the noun's form for it."""
+    return F.concat(count.cast("string"), F.lit(" "), F.when(count == 1, F.lit(one)).otherwise(F.lit(many)))
+
+
 def escape_html(value: Column) -> Column:
     for plain, coded in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):
         value = F.replace(value, F.lit(plain), F.lit(coded))

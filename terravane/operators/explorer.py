@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -28,36 +28,82 @@ class ExplorerQuery:
     low: float | None = None
     high: float | None = None
     best_rank: int | None = None
+    positions: frozenset[str] = frozenset()
     equals: dict[str, object] = field(default_factory=dict)
 
 
-def participant_filter(df: DataFrame, q: ExplorerQuery, country: str = "country", age: str = "age") -> DataFrame:
-    """Participant-level predicates; a person without an age is outside every age range."""
+def participant_filter(df: DataFrame, q: ExplorerQuery, country: str = "country", age: str = "age", positions: str = "positions") -> DataFrame:
+    """Participant-level predicates; a person without an age is outside every age range, and one of several positions is enough."""
     if q.countries:
         df = df.where(F.col(country).isin(*sorted(q.countries)))
     if q.low is not None:
         df = df.where(F.col(age) >= q.low)
     if q.high is not None:
         df = df.where(F.col(age) < q.high)
+    if q.positions:
+        df = df.where(F.arrays_overlap(F.col(positions), F.array(*[F.lit(p) for p in sorted(q.positions)])))
     for name, value in sorted(q.equals.items()):
         df = df.where(F.col(name) == F.lit(value))
     return df
 
 
-def project_splits(splits: DataFrame, spec: EditionSpec, q: ExplorerQuery) -> DataFrame:
-    """Splits that the query selects, rolled up per person; people without one drop out. The rank bound holds on the rolled-up rank."""
+def selected_splits(splits: DataFrame, spec: EditionSpec, q: ExplorerQuery) -> DataFrame:
     if q.groups:
         splits = splits.where(F.col(spec.group).isin(*sorted(q.groups)))
     if q.teams:
         splits = splits.where(F.col(spec.team).isin(*sorted(q.teams)))
+    return splits
+
+
+def project_splits(splits: DataFrame, spec: EditionSpec, q: ExplorerQuery) -> DataFrame:
+    """Splits that the query selects, rolled up per person; people without one drop out. The rank bound holds on the rolled-up rank."""
     aggs = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (spec.workload, *spec.sum_stats)] + [F.min(c).alias(c) for c in spec.min_stats]
     primary = F.min(F.struct((-F.col(spec.workload)).alias("_w"), F.col(spec.team)))[spec.team].alias("primary_team")
-    out = splits.groupBy(spec.person).agg(*aggs, primary)
+    out = selected_splits(splits, spec, q).groupBy(spec.person).agg(*aggs, primary)
     if q.best_rank is not None:
         out = out.where(F.col(spec.min_stats[0]) <= q.best_rank)
     return out
 
 
+def project_records(records: DataFrame, splits: DataFrame, spec: EditionSpec, q: ExplorerQuery) -> DataFrame:
+    """Records that the query selects, all columns. Without a team or group in the query a record is returned as it is; with one, its measures and its team and group
+    are those of its selected splits (the primary split is the one of most work, ties to the smaller team), and other columns stay. A person without any split has
+    the record's own team, group and measures as its one split. The rank bound holds on the result.
+    """
+    if not (q.groups or q.teams):
+        out = records
+    else:
+        measures = [spec.workload, *spec.sum_stats, *spec.min_stats]
+        bare = records.join(splits.select(spec.person), spec.person, "left_anti")
+        whole = splits.select(spec.person, spec.team, spec.group, *measures).unionByName(bare.select(spec.person, spec.team, spec.group, *measures))
+        first = F.min(F.struct((-F.col(spec.workload)).alias("_w"), F.col(spec.team), F.col(spec.group)))
+        aggs = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (spec.workload, *spec.sum_stats)] + [F.min(c).alias(c) for c in spec.min_stats]
+        rolled = selected_splits(whole, spec, q).groupBy(spec.person).agg(*aggs, first.alias("_p")).select(spec.person, *measures, f"_p.{spec.team}", f"_p.{spec.group}")
+        out = records.drop(spec.team, spec.group, *measures).join(rolled, spec.person).select(*records.columns)
+    return out if q.best_rank is None else out.where(F.col(spec.min_stats[0]) <= q.best_rank)
+
+
+def team_records(records: DataFrame, splits: DataFrame, spec: EditionSpec) -> DataFrame:
+    """One row per person and team; a person without splits has one with the record's own values."""
+    columns = [spec.person, spec.team, spec.group, spec.workload, *spec.sum_stats, *spec.min_stats]
+    return splits.select(*columns).unionByName(records.join(splits.select(spec.person), spec.person, "left_anti").select(*columns))
+
+
+def event_selection(log: DataFrame, person: str, event: str, chosen: str, rounds: str = "rounds", medal: str = "medal") -> DataFrame:
+    """An event log's rows of one event, summed anew per person: entries, rounds and medals by colour."""
+    rows = log.where(F.col(event) == chosen)
+    won = lambda name: F.count_if(F.col(medal) == name)
+    return rows.groupBy(person).agg(
+        F.count("*").alias("entries"), F.coalesce(F.sum(rounds), F.lit(0)).alias("rounds"), F.count_if(F.coalesce(F.col(medal), F.lit("")) != "").alias("medals"),
+        won("Gold").alias("gold"), won("Silver").alias("silver"), won("Bronze").alias("bronze"),
+    )
+
+
+def location_lens(df: DataFrame, lens: str, lenses: dict[str, dict[str, str]]) -> DataFrame:
+    """The columns of one view of a person's place under common names: ``lenses`` maps a lens to (common name -> column)."""
+    return df.select("*", *[F.col(column).alias(name) for name, column in lenses[lens].items()])
+
+
 def top(df: DataFrame, measure: str, name: str, n: int, first: list[Column] | None = None) -> DataFrame:
     return df.orderBy(*(first or []), F.desc(measure), F.asc(name)).limit(n)
 
@@ -68,3 +114,32 @@ def page(df: DataFrame, order: list[Column], number: int, size: int) -> DataFram
 
 def contains_text(df: DataFrame, needle: str, columns: list[str]) -> DataFrame:
     return df.where(F.contains(F.lower(F.concat_ws(" ", *columns)), F.lit(needle.lower())))
+
+
+def stable_first(cells: DataFrame, rate: str, name: str, n: int, only: bool = False) -> DataFrame:
+    """The n cells of the highest rates, stable ones before all others, or stable ones only; cells without a rate are out. Ties by name."""
+    known = cells.where(F.col(rate).isNotNull())
+    return top(known.where("stable") if only else known, rate, name, n, [F.desc("stable")])
+
+
+def age_extremes(people: DataFrame, age: str, name: str, n: int = 10) -> DataFrame:
+    """The n youngest and the n oldest with a place each; ties by name, people without an age out."""
+    known = people.where(F.col(age).isNotNull())
+    sides = []
+    for side, order in (("youngest", F.asc(age)), ("oldest", F.desc(age))):
+        # n rows stand in the window
+        some = known.orderBy(order, F.asc(name)).limit(n)
+        sides.append(some.withColumn("side", F.lit(side)).withColumn("place", F.row_number().over(Window.orderBy(order, F.asc(name)))))
+    return sides[0].unionByName(sides[1])
+
+
+def age_overview(people: DataFrame, age: str, by: list[str], home: Column, mapped: Column, represented: str | None = None, young: int = 23, old: int = 30) -> DataFrame:
+    """Median age, people under ``young`` and from ``old`` on, the share of mapped people from elsewhere than home, and the countries they stand for."""
+    n = F.count(age)
+    out = people.groupBy(*by).agg(
+        F.median(age).alias("median_age"), F.count_if(F.col(age) < young).alias("young"), F.count_if(F.col(age) >= old).alias("old"), n.alias("aged"),
+        F.count_if(mapped & ~home).alias("_away"), F.count_if(mapped).alias("_mapped"),
+        *([F.count_distinct(F.nullif(F.col(represented), F.lit(""))).alias("represented")] if represented else []),
+    )
+    pct = lambda a, b: F.when(F.col(b) > 0, F.lit(100.0) * F.col(a) / F.col(b)).otherwise(0.0)
+    return out.withColumn("young_pct", pct("young", "aged")).withColumn("old_pct", pct("old", "aged")).withColumn("outside_pct", pct("_away", "_mapped")).drop("_away", "_mapped")

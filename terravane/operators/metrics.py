@@ -43,15 +43,19 @@ def normalised_entropy(counts: DataFrame, by: str, n: str) -> DataFrame:
     )
 
 
-def quantile_nearest(values: Column, q: float) -> Column:
-    """Element at round((n - 1) q) of the sorted values, halves up."""
-    s = F.array_sort(F.collect_list(values))
-    return F.get(s, F.floor((F.size(s) - 1) * q + 0.5).cast("int"))
+def ranked_quantiles(df: DataFrame, by: list[str], value: str, named: dict[str, tuple[float, str]]) -> DataFrame:
+    """name -> (q, rule) quantiles of each group, by counts of equal values and their running sum: no task holds a group's rows.
 
-
-def quantile_floor(values: Column, q: float) -> Column:
-    s = F.array_sort(F.collect_list(values))
-    return F.get(s, F.floor((F.size(s) - 1) * q).cast("int"))
+    ``nearest`` is the element at round((n - 1) q), halves up, of the sorted values, ``floor`` the one at floor((n - 1) q). Nulls are left out; a group without a value has no row.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_m"))
+    ordered = Window.partitionBy(*by).orderBy("_v")
+    placed = counts.withColumn("_end", F.sum("_m").over(ordered)).withColumn("_n", F.sum("_m").over(Window.partitionBy(*by)))
+    out = []
+    for name, (q, rule) in named.items():
+        place = F.floor((F.col("_n") - 1) * q + (0.5 if rule == "nearest" else 0.0))
+        out.append(F.min(F.when(F.col("_end") > place, F.col("_v"))).alias(name))
+    return placed.groupBy(*by).agg(*out)
 
 
 def quantile_linear(values: str, q: float) -> Column:
@@ -64,12 +68,13 @@ def lowest_mode(column: str) -> Column:
 
 
 def kde(df: DataFrame, by: str, value: str, low: float, high: float, points: int = 81) -> DataFrame:
-    """Gaussian density on an even grid; bandwidth 0.9 min(sd, iqr / 1.34) n^-0.2 within 0.75 and 2.5, 1.2 for fewer than two values."""
+    """Gaussian density on an even grid; bandwidth 0.9 spread n^-0.2 within 0.75 and 2.5, 1.2 for fewer than two values; spread is min(sd, iqr / 1.34), sd where iqr is 0, and 1.5 for equal values."""
     known = df.where(F.col(value).isNotNull()).select(by, value)
     per = known.groupBy(by).agg(
         F.count("*").alias("n"), F.stddev_samp(value).alias("sd"), (quantile_linear(value, 0.75) - quantile_linear(value, 0.25)).alias("iqr")
     )
     spread = F.when(F.col("iqr") > 0, F.least(F.col("sd"), F.col("iqr") / 1.34)).otherwise(F.col("sd"))
+    spread = F.when(spread == 0, 1.5).otherwise(spread)
     width = F.when(F.col("n") < 2, 1.2).otherwise(F.least(F.lit(2.5), F.greatest(F.lit(0.75), 0.9 * spread * F.pow(F.col("n"), F.lit(-0.2)))))
     # equal values are counted first, so the grid meets distinct values and not rows
     counted = known.groupBy(by, value).agg(F.count("*").alias("m")).join(per.select(by, "n", width.alias("width")), by)
@@ -107,3 +112,28 @@ def gap_to_primary(splits: DataFrame, totals: DataFrame, person: str, team: str,
     return placed.join(totals.select(person, canonical), person, "left").withColumn(
         "adjusted", F.col(points) + F.when(F.col("_place") == 1, gap).otherwise(0.0)
     ).drop("_place", "_sum", canonical)
+
+
+def deliveries(balls: DataFrame, batter: Column, bowler: Column) -> DataFrame:
+    """(runs, wide, noball, byes, total, wicket) -> id, runs, fours, sixes, faced, bowled, conceded, wickets: the batter faces all but wides, the bowler bowls all but wides and no-balls and concedes the total less byes."""
+    zero, n = F.lit(0).cast("long"), lambda c: c.cast("long")
+    at_bat = F.struct(batter.alias("id"), F.col("runs").alias("runs"), n(F.col("runs") == 4).alias("fours"), n(F.col("runs") == 6).alias("sixes"), n(~F.col("wide")).alias("faced"), zero.alias("bowled"), zero.alias("conceded"), zero.alias("wickets"))
+    at_ball = F.struct(
+        bowler.alias("id"), zero.alias("runs"), zero.alias("fours"), zero.alias("sixes"), zero.alias("faced"), n(~F.col("wide") & ~F.col("noball")).alias("bowled"), (F.col("total") - F.col("byes")).alias("conceded"), n(F.col("wicket")).alias("wickets")
+    )
+    sums = [F.sum(c).alias(c) for c in ("runs", "fours", "sixes", "faced", "bowled", "conceded", "wickets")]
+    return balls.select(F.inline(F.array(at_bat, at_ball))).groupBy("id").agg(*sums)
+
+
+def entries_and_medals(results: DataFrame, person: str, event: str, fingerprint: list[str]) -> DataFrame:
+    """(person, event, place, status, final, ..) -> entries, rounds, best_place and medals of each person.
+
+    Results that agree in event, person, place and ``fingerprint`` are one. Who did not start has no round. Places count from 1; a place from 1 to 3 in a final is a medal, the best one of an event.
+    """
+    told = results.where(F.coalesce(F.col("status"), F.lit("")) != "DNS").select(person, event, "place", "final", *fingerprint).distinct()
+    podium = F.when(F.col("final") & F.col("place").between(1, 3), F.col("place"))
+    per = told.groupBy(person, event).agg(F.count("*").alias("rounds"), F.min(F.when(F.col("place") > 0, F.col("place"))).alias("best"), F.min(podium).alias("medal"))
+    won = lambda k: F.count_if(F.col("medal") == k)
+    return per.groupBy(person).agg(
+        F.count("*").alias("entries"), F.sum("rounds").alias("rounds"), F.min("best").alias("best_place"), F.count("medal").alias("medals"), won(1).alias("gold"), won(2).alias("silver"), won(3).alias("bronze")
+    )

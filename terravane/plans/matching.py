@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terravane.functions import scalar
 from terravane.operators import joins
 from terravane.plans.catalog import query, t
 
@@ -99,18 +98,6 @@ def date_window_candidates(spark: SparkSession, d: str) -> DataFrame:
     return a.join(b, (F.col("user_id") == F.col("u")) & (F.col("near") == F.col("d2"))).select("left_id", "right_id", F.abs(F.datediff("day", "d2")).cast("long").alias("days"))
 
 
-@query()
-def fuzzy_match_cascade(spark: SparkSession, d: str) -> DataFrame:
-    """All customers and suppliers of a nation by name similarity, one to one within the nation; brute-force test instead of SQL.
-
-    Equal names cost nothing and are taken first. The tables have no date, so there is no date-window pass. A nation's pairs meet in one task.
-    """
-    c = t(spark, d, "customer").select(F.col("c_nationkey").alias("day"), F.col("c_custkey").alias("left_id"), F.col("c_name").alias("a"))
-    s = t(spark, d, "supplier").select(F.col("s_nationkey").alias("day"), F.col("s_suppkey").alias("right_id"), F.col("s_name").alias("b"))
-    pairs = c.join(s, "day").withColumn("cost", 1 - scalar.sequence_ratio(F.col("a"), F.col("b"))).where("cost <= 0.45").select("day", "left_id", "right_id", "cost")
-    return joins.one_to_one(pairs, "day", "left_id", "right_id", "cost")
-
-
 @query("""WITH p AS (SELECT c_custkey AS point_id, (c_custkey * 37 % 1800) / 10.0 - 90 AS lat, (c_custkey * 101 % 3600) / 10.0 - 180 AS lon FROM customer),
 b AS (SELECT n_nationkey AS code, n_nationkey * 14.0 - 180.05 AS x0, n_nationkey * 14.0 - 164.05 AS x1 FROM nation), h AS (SELECT point_id, count(*) AS hits, min(code) AS code FROM p JOIN b ON lon > x0 AND lon < x1 AND lat > -40.05 AND lat < 60.05 GROUP BY 1)
 SELECT p.point_id, CASE WHEN hits = 1 THEN code END AS code, coalesce(hits, 0) AS hits FROM p LEFT JOIN h USING (point_id)""")

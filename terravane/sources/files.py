@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,11 +44,123 @@ def coalesce_alias(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
     return df
 
 
-def csv_after_preamble(spark: SparkSession, path: str, header_prefix: str, schema: str) -> DataFrame:
-    """CSV whose header row comes after other lines; lines without a full row are dropped by the schema's first column."""
-    lines = spark.read.text(path, wholetext=False).where(~F.startswith(F.col("value"), F.lit(header_prefix)))
-    first = schema.split()[0]
-    return lines.select(F.from_csv("value", schema).alias("r")).select("r.*").where(F.col(first).isNotNull())
+def csv_after_preamble(spark: SparkSession, path: str, header: str, schema: str) -> DataFrame:
+    """CSV files whose header row comes after other lines: the rows after the first line that starts with ``header``, under ``schema``.
+
+    The header's names must be those of the schema in its order. A file without the header, or with other names, fails the query when it runs. Blank lines are skipped. A file
+    is one report and is read whole.
+    """
+    lines = F.split(F.regexp_replace("value", "^\ufeff", ""), r"\r\n|\r|\n")
+    read = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), lines.alias("lines"))
+    place = F.array_position(F.transform("lines", lambda s: F.startswith(s, F.lit(header))), True)
+    names = ",".join(f.strip().split()[0] for f in schema.split(","))
+    first = F.element_at("lines", F.col("at").cast("int"))
+    told = F.when(F.col("at") == 0, F.raise_error(F.concat(F.lit("no header in "), "file"))).when(first != names, F.raise_error(F.concat(F.lit("other columns in "), "file"))).otherwise(
+        F.slice("lines", F.col("at").cast("int") + 1, F.size("lines"))
+    )
+    body = read.withColumn("at", place).select(F.explode(told).alias("line")).where(F.trim("line") != "")
+    return body.select(F.from_csv("line", schema).alias("r")).select("r.*")
+
+
+def zipped_lines(spark: SparkSession, path: str, member: str, encoding: str = "utf-8") -> DataFrame:
+    """(file, line) of the text member of each ZIP archive; archives are opened one by one in the tasks, members are streamed and never held whole."""
+    import io
+    import zipfile
+
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            for file, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                with zipfile.ZipFile(io.BytesIO(content.as_buffer().to_pybytes())) as archive, archive.open(member) as raw:
+                    held: list[str] = []
+                    for line in io.TextIOWrapper(raw, encoding=encoding, newline="\n"):
+                        held.append(line.rstrip("\r\n"))
+                        if len(held) == 10_000:
+                            yield pa.RecordBatch.from_pydict({"file": [file] * len(held), "line": held})
+                            held = []
+                    yield pa.RecordBatch.from_arrays([pa.array([file] * len(held), pa.string()), pa.array(held, pa.string())], ["file", "line"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, line string")
+
+
+def zipped_members(spark: SparkSession, path: str, suffix: str = ".json", encoding: str = "utf-8") -> DataFrame:
+    """(file, member, text) of every member of each ZIP archive whose name ends with ``suffix``, in the order of names; parse with ``from_json``."""
+    import io
+    import zipfile
+
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            for file, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                with zipfile.ZipFile(io.BytesIO(content.as_buffer().to_pybytes())) as archive:
+                    for name in sorted(n for n in archive.namelist() if n.endswith(suffix)):
+                        yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([name]), pa.array([archive.read(name).decode(encoding)])], ["file", "member", "text"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, member string, text string")
+
+
+def city_index(lines: DataFrame, key, needed: DataFrame | None = None) -> DataFrame:
+    """Lines of a gazetteer in tab-separated columns -> one row per alias key and place: key, name, lat, lon, country_code, admin1, population, geonames_id.
+
+    Lines of fewer than 19 columns are left out. Aliases are the name, the ASCII name and the listed other names, compared by the Column function ``key``; ``needed`` (key) limits them.
+    """
+    f = lambda i: F.get("f", F.lit(i))
+    rows = lines.select(F.split("line", "\t", -1).alias("f")).where(F.size("f") >= 19)
+    names = F.array_distinct(F.concat(F.array(f(1), f(2)), F.filter(F.split(f(3), ","), lambda x: x != "")))
+    flat = rows.select(
+        F.explode(names).alias("alias"), f(1).alias("name"), f(4).try_cast("double").alias("lat"), f(5).try_cast("double").alias("lon"), f(8).alias("country_code"),
+        f(10).alias("admin1"), F.coalesce(f(14).try_cast("long"), F.lit(0).cast("long")).alias("population"), f(0).alias("geonames_id"),
+    )
+    keyed = flat.withColumn("key", key(F.col("alias"))).drop("alias").distinct()
+    return keyed if needed is None else keyed.join(needed.select("key").distinct(), "key", "left_semi")
+
+
+def register(rows: DataFrame, identifier: str, order: str) -> DataFrame:
+    """A dimension by trimmed identifier, all texts trimmed; of rows that repeat one the last by ``order``. Blank identifiers are left out."""
+    texts = [c for c, t in rows.dtypes if t == "string"]
+    clean = rows.select(*[F.coalesce(F.trim(c), F.lit("")).alias(c) if c in texts else F.col(c) for c in rows.columns]).where(F.col(identifier) != "")
+    last = clean.groupBy(identifier).agg(F.max(F.struct(order, *[c for c in rows.columns if c not in (identifier, order)])).alias("r"))
+    return last.select(identifier, "r.*").select(*rows.columns)
+
+
+class UnknownBoundaries(ValueError):
+    """No code or name column among a boundary table's columns."""
+
+
+def boundary_columns(columns: list[str], level: str) -> dict[str, str]:
+    """Source column -> canonical column of a boundary table of ``adm1`` or ``adm2``, the first alias that is there."""
+    level, digit = level.lower(), level[-1]
+    aliases = {
+        f"{level}_code": (f"{level}_code", "shapeID", "shape_id", f"GID_{digit}"), f"{level}_name": (f"{level}_name", "shapeName", "shape_name", f"NAME_{digit}"),
+        "adm0_code": ("adm0_code", "shapeGroup", "shape_group", "GID_0"),
+    }
+    found = {name: next((a for a in others if a in columns), None) for name, others in aliases.items()}
+    if lacking := [n for n, source in found.items() if source is None and n != "adm0_code"]:
+        raise UnknownBoundaries(f"no {', '.join(lacking)} among {', '.join(columns)}")
+    return {source: name for name, source in found.items() if source}
+
+
+def read_boundaries(spark: SparkSession, path: str, level: str, properties: list[str]) -> DataFrame:
+    """A GeoJSON feature collection in degrees -> code, name, adm0_code, rings (all rings of all parts, for even-odd tests); codes that are null or repeat fail the query when it runs."""
+    selected = boundary_columns(properties, level)
+    feature = f"struct<properties: struct<{', '.join(f'{p}: string' for p in properties)}>, geometry: struct<type: string, coordinates: string>>"
+    doc = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", f"struct<features: array<{feature}>>")["features"]).alias("f"))
+    deep = F.from_json("f.geometry.coordinates", "array<array<array<array<double>>>>")
+    flat = F.from_json("f.geometry.coordinates", "array<array<array<double>>>")
+    rings = F.when(F.col("f.geometry.type") == "MultiPolygon", F.flatten(deep)).otherwise(flat)
+    corner = lambda p: F.struct(F.get(p, F.lit(0)).alias("lon"), F.get(p, F.lit(1)).alias("lat"))
+    named = {name: F.col(f"f.properties.{source}") for source, name in selected.items()}
+    code = f"{level.lower()}_code"
+    rows = doc.select(
+        named[code].alias("code"), named[f"{level.lower()}_name"].alias("name"), named.get("adm0_code", F.lit(None).cast("string")).alias("adm0_code"),
+        F.transform(rings, lambda r: F.transform(r, corner)).alias("rings"),
+    )
+    copies = rows.groupBy("code").agg(F.count("*").alias("_n"))
+    bad = F.col("code").isNull() | (F.col("_n") > 1)
+    checked = F.when(bad, F.raise_error(F.concat(F.lit("boundary codes must be unique and not null: "), F.coalesce("code", F.lit("null"))))).otherwise(F.col("code"))
+    return rows.join(copies.withColumnRenamed("code", "_code"), F.col("code").eqNullSafe(F.col("_code"))).select(checked.alias("code"), "name", "adm0_code", "rings")
 
 
 def markdown_rows(text: Column) -> Column:
@@ -66,10 +180,24 @@ def html_cells(html: Column) -> Column:
 
 
 def infobox_field(wikitext: Column, name: str) -> Column:
-    """Field of a wikitext infobox without references, templates and link marks."""
-    raw = F.regexp_extract(wikitext, rf"(?m)^\|\s*{name}\s*=\s*(.*)$", 1)
-    plain = F.regexp_replace(F.regexp_replace(raw, r"(?s)<ref[^>]*/>|<ref[^>]*>.*?</ref>", ""), r"\{\{[^{}]*\}\}", "")
-    return F.nullif(F.trim(F.regexp_replace(plain, r"\[\[(?:[^\]|]*\|)?([^\]]*)\]\]", "$1")), F.lit(""))
+    """struct<text, title> of an infobox line: the text without comments, references, flags, markup and link marks, ``<br>`` as a comma, and the first linked title; nulls where the field is absent or blank."""
+    raw = F.regexp_extract(wikitext, rf"(?im)^[ \t]*\|[ \t]*{name}[ \t]*=[ \t]*(.*?)[ \t]*$", 1)
+    raw = F.regexp_replace(raw, r"(?is)<!--.*?-->|<ref\b[^>]*>.*?</ref>|<ref\b[^>]*/>", "")
+    text = F.regexp_replace(F.regexp_replace(raw, r"\[\[([^\]|]+)\|([^\]]+)\]\]", "$2"), r"\[\[([^\]]+)\]\]", "$1")
+    text = F.regexp_replace(F.regexp_replace(text, r"(?i)\{\{(?:flagicon|flag|country)[^}]*\}\}", ""), r"(?i)<br\s*/?>", ", ")
+    text = F.regexp_replace(F.regexp_replace(text, r"'{2,}|<[^>]+>", ""), r"\s*,\s*", ", ")
+    title = F.trim(F.regexp_extract(raw, r"\[\[([^\]|#]+)(?:#[^\]|]+)?(?:\|([^\]]+))?\]\]", 1))
+    return F.struct(F.nullif(F.btrim(text, F.lit(" ,")), F.lit("")).alias("text"), F.nullif(title, F.lit("")).alias("title"))
+
+
+def write_missing_partitions(df: DataFrame, path: str, by: list[str]) -> None:
+    """Appends the partitions that are not there yet; those that are stay as they are."""
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        there = spark.read.option("basePath", path).parquet(path).select(*[F.col(c).cast("string").alias(f"_{c}") for c in by]).distinct()
+        df = df.join(there, reduce(Column.__and__, [F.col(c).cast("string").eqNullSafe(F.col(f"_{c}")) for c in by]), "left_anti")
+    df.write.mode("append").partitionBy(*by).parquet(path)
 
 
 def write_partitions(df: DataFrame, path: str, by: list[str]) -> None:
@@ -82,18 +210,46 @@ def write_both(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(f"{path}/csv")
 
 
-def envelope(records: DataFrame, summary: DataFrame, unresolved: DataFrame, path: str) -> None:
-    """Dashboard document as JSON lines by part, so no task gathers all records."""
+def envelope(records: DataFrame, summary: DataFrame, unresolved: DataFrame, path: str) -> str:
+    """Dashboard document as JSON lines by part, so no task gathers all records. Returns the folder of this version.
+
+    The parts are written to a folder of their own and the pointer ``path/current`` is replaced last, so a reader sees all three parts of one version or of the one before.
+    """
+    spark, version = records.sparkSession, f"{path}/version-{uuid.uuid4().hex}"
     for name, df in (("records", records), ("summary", summary), ("unresolved", unresolved)):
-        df.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(f"{path}/{name}")
+        df.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{version}/{name}")
+    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/current")
+    return version
+
+
+def read_envelope(spark: SparkSession, path: str, part: str, schema: str) -> DataFrame:
+    """A part of the current version of an ``envelope``."""
+    version = spark.read.text(f"{path}/current").first().value
+    return spark.read.schema(schema).json(f"{version}/{part}")
+
+
+def queue_sinks(queues: dict[str, DataFrame], path: str) -> None:
+    """Review queues as CSV with a header each, empty ones too; written whether validation passes or not."""
+    for name, df in sorted(queues.items()):
+        df.write.mode("overwrite").option("header", "true").csv(f"{path}/{name}")
 
 
 def features(cells: DataFrame, ring: str, properties: list[str]) -> DataFrame:
-    """GeoJSON features, one JSON text a row."""
-    shape = F.struct(F.lit("Polygon").alias("type"), F.array(F.transform(ring, lambda p: F.array(p["lon"], p["lat"]))).alias("coordinates"))
+    """GeoJSON features, one JSON text a row; a ring that does not end where it starts is closed."""
+    first, last = F.get(ring, F.lit(0)), F.element_at(ring, -1)
+    closed = F.when(first == last, F.col(ring)).otherwise(F.array_append(ring, first))
+    shape = F.struct(F.lit("Polygon").alias("type"), F.array(F.transform(closed, lambda p: F.array(p["lon"], p["lat"]))).alias("coordinates"))
     return cells.select(F.to_json(F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), F.struct(*properties).alias("properties"))).alias("value"))
 
 
+def feature_collection(cells: DataFrame, ring: str, properties: list[str], metadata: dict[str, str]) -> DataFrame:
+    """One GeoJSON FeatureCollection with its metadata as a single row, features in the order of their texts; for a file that a browser reads whole."""
+    made = features(cells, ring, properties)
+    head = ", ".join(f"{json.dumps(k)}: {json.dumps(v)}" for k, v in sorted(metadata.items()))
+    listed = F.array_join(F.array_sort(F.collect_list("value")), ", ")
+    return made.agg(F.concat(F.lit('{"type": "FeatureCollection", "metadata": {' + head + '}, "features": ['), listed, F.lit("]}")).alias("value"))
+
+
 def guard_target(path: str, protected: dict[str, str], cohort: str) -> str:
     """Refuses to write one cohort to another's published path."""
     if protected.get(path, cohort) != cohort:

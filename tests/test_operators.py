@@ -15,7 +15,7 @@ def value(spark, expr):
 
 def test_scalars(spark):
     v = lambda e: value(spark, e)
-    assert v(S.normalize_key(F.lit("Łódź Ærø-1"))) == "lodzro1" or v(S.normalize_key(F.lit("Łódź-1"))) == "lodz1"
+    assert v(S.normalize_key(F.lit("Łódź-1"))) == "odz1" and v(S.normalize_key(F.lit("Łódź-1"), premapped=True)) == "lodz1" and v(S.normalize_key(F.lit(None).cast("string"))) == ""
     assert v(S.season_label(F.lit(2006))) == "2005-06"
     assert [v(S.season_end_year(F.lit(x))) for x in ("2006", "2005-06", "1999-00", "2005/2006", "x")] == [2006, 2006, 2000, 2006, None]
     assert v(S.age_on(F.lit("2000-02-29").cast("date"), F.lit("2018-02-28").cast("date"))) == 17
@@ -36,8 +36,12 @@ def test_scalars(spark):
 
 def test_joins(spark):
     left = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    with pytest.raises(Exception, match="repeat"):
+        joins.many_to_one(left, twice, ["k"]).collect()
     with pytest.raises(joins.CardinalityError):
-        joins.many_to_one(left, spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string"), ["k"])
+        joins.assert_unique(twice, ["k"])
+    assert {(r.k, r.v) for r in joins.many_to_one(left, twice.where("v = 'a'"), ["k"]).collect()} == {(1, "a"), (2, None), (3, None)}
     out = joins.unique_match(left, spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "k int, id string"), ["k"], "id")
     assert {r.k: (r.status, r.id) for r in out.collect()} == {1: ("matched", "a"), 2: ("ambiguous", None), 3: ("unmatched", None)}
     places = spark.createDataFrame([("x", "a", 90.0), ("x", "b", 20.0), ("y", "a", 90.0), ("y", "b", 60.0), ("z", "a", 1.0)], "q string, id string, pop double")
@@ -46,8 +50,13 @@ def test_joins(spark):
     areas = spark.createDataFrame([("A", square), ("B", [(x + 8, y) for x, y in square])], "code string, ring array<struct<lon: double, lat: double>>")
     points = spark.createDataFrame([(1, 5.0, 5.0), (2, 5.0, 9.0), (3, 50.0, 50.0)], "point_id int, lat double, lon double")
     assert {r.point_id: (r.code, r.hits) for r in joins.point_in_polygon(points, areas).collect()} == {1: ("A", 1), 2: (None, 2), 3: (None, 0)}
-    pairs = spark.createDataFrame([("d", 1, 1, 0.1), ("d", 1, 2, 0.2), ("d", 2, 1, 0.15), ("d", 2, 2, 0.9)], "g string, l int, r int, cost double")
-    assert {(r.l, r.r) for r in joins.one_to_one(pairs, "g", "l", "r", "cost").collect()} == {(1, 1), (2, 2)}
+    triangle = [(0.0, 0.0), (10.0, 0.0), (0.0, 10.0)]
+    ringed = spark.createDataFrame([("H", [[(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)], [(4.0, 4.0), (6.0, 4.0), (6.0, 6.0), (4.0, 6.0)]]), ("T", [[(x + 20, y) for x, y in triangle]])], "code string, rings array<array<struct<lon: double, lat: double>>>")
+    points = spark.createDataFrame([(1, 5.0, 5.0), (2, 1.0, 5.0), (3, 2.0, 22.0), (4, 9.0, 29.0)], "point_id int, lat double, lon double")
+    assert {r.point_id: r.code for r in joins.point_in_polygon(points, ringed).collect()} == {1: None, 2: "H", 3: "T", 4: None}
+    shapes = spark.createDataFrame([("a", square), ("b", [(x + 5, y + 5) for x, y in square]), ("in", [(x / 10 + 4, y / 10 + 4) for x, y in square]), ("far", [(x + 50, y) for x, y in square]), ("edge", [(x + 10, y) for x, y in square]), ("tri", triangle)], "u string, ring array<struct<lon: double, lat: double>>")
+    met = {(r.u, r.w) for r in joins.polygons_intersect(shapes, shapes.withColumnRenamed("u", "w"), "u", "w").collect()}
+    assert ("a", "b") in met and ("a", "in") in met and ("a", "edge") in met and ("tri", "in") in met and not any("far" in p for p in met - {("far", "far")}) and met == {(y, x) for x, y in met}
 
 
 def test_metrics(spark):
@@ -90,7 +99,9 @@ def test_sources(spark, tmp_path):
     assert [r.team for r in files.coalesce_alias(aliased, {"team": ["country"]}).collect()] == ["Italy", "Spain"]
     assert value(spark, files.html_cells(F.lit("<table><tr><th>A</th></tr><tr><td><b>1</b></td></tr></table>"))) == [["A"], ["1"]]
     assert value(spark, files.markdown_rows(F.lit("x\n| a | b |\n|---|---|\n| 1 | 2 |"))) == [["a", "b"], ["1", "2"]]
-    assert value(spark, files.infobox_field(F.lit("{{Info\n| birth_place = [[Perth|Perth city]]<ref>r</ref>\n}}"), "birth_place")) == "Perth city"
+    box = value(spark, files.infobox_field(F.lit("{{Info\n| birth_place = {{flag|AUS}} [[Perth|Perth city]]<!-- x --><br/>[[Western Australia]]<ref>r</ref>\n}}"), "birth_place"))
+    assert tuple(box) == ("Perth city, Western Australia", "Perth")
+    assert tuple(value(spark, files.infobox_field(F.lit("| birth_place =  \n"), "birth_place"))) == (None, None)
 
 
 def test_streaming_equals_batch(spark, tmp_path):
@@ -103,20 +114,142 @@ def test_streaming_equals_batch(spark, tmp_path):
     assert got == {tuple(r) for r in incremental.windowed_totals(rows).collect()}
 
 
-def test_fuzzy_match_cascade_against_brute_force(spark, tmp_path):
+def plain_cascade(left, right):
+    """The cascade as a loop over the left rows; rows are (id, name, name, day)."""
     import difflib
 
-    from terravane.plans import matching
-
-    customers = [(i, f"Customer#{i * 37 % 50:04d}", i % 2, float(i * 700 - 1000)) for i in range(1, 13)] + [(20, "Supplier#0007", 0, -5.0), (21, None, 0, 9900.0)]
-    suppliers = [(i, f"Supplier#{i:04d}", i % 2) for i in range(1, 9)] + [(30, "Customer#0037", 1), (31, "Supplier#0007", 0)]
-    spark.createDataFrame(customers, "c_custkey long, c_name string, c_nationkey int, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
-    spark.createDataFrame(suppliers, "s_suppkey long, s_name string, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
-    pairs = [(1 - difflib.SequenceMatcher(None, a, b).ratio(), l, r, n) for l, a, n, _ in customers if a for r, b, m in suppliers if n == m]
-    used, want = set(), set()
-    for cost, l, r, n in sorted(p for p in pairs if p[0] <= 0.45):
-        if not used & {("l", l), ("r", r)}:
-            used |= {("l", l), ("r", r)}
-            want.add((n, l, r))
-    got = {(x.day, x.left_id, x.right_id) for x in matching.fuzzy_match_cascade(spark, str(tmp_path)).collect()}
-    assert got == want and (0, 20, 31) in got and (1, 1, 30) in got
+    ratio = lambda x, y: difflib.SequenceMatcher(None, x, y).ratio()
+    used, out = set(), {}
+    for i, a, b, day in left:
+        free = [(k, r) for k, r in enumerate(right) if r[0] not in used]
+        near = lambda r: abs((r[3] - day).days)  # noqa: E731, B023
+        found = sorted((1, near(r), k) for k, r in free if sorted((a, b)) == sorted(r[1:3]))
+        found = found or sorted((2, near(r), k) for k, r in free if {a, b} & set(r[1:3]) and near(r) <= 2)
+        if not found:
+            similar = [(-max((ratio(a, r[1]) + ratio(b, r[2])) / 2, (ratio(a, r[2]) + ratio(b, r[1])) / 2), k) for k, r in free if near(r) <= 2]
+            found = [(3, 1 + min(similar)[0], min(similar)[1])] if similar and -min(similar)[0] >= 0.55 else []
+        if found:
+            tier, cost, k = found[0]
+            used.add(right[k][0])
+            out[i] = (right[k][0], tier, round(cost, 9))
+    return out
+
+
+def cascade_rows(df, columns):
+    return [tuple(r) for r in df.orderBy(columns[1]).select(columns[0], *columns[2:]).collect()]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_match_cascade_against_brute_force(spark, seed):
+    import datetime as dt
+    import random
+
+    from terravane.operators import resolve
+
+    rng = random.Random(seed)
+    name = lambda: rng.choice(["ana", "bob silva", "carla diaz", "karla diaz", "d"]) + rng.choice(["", "x", " jr", " y"])
+    day = lambda: dt.date(2025, 1, 1) + dt.timedelta(days=rng.randrange(20))
+    left, right = [(i, name(), name(), day()) for i in range(40)], [(100 + i, name(), name(), day()) for i in range(35)]
+    a = spark.createDataFrame([(i, i, *r) for i, *r in left], "left_id long, left_order long, a string, b string, day date")
+    b = spark.createDataFrame([(i, i, *r) for i, *r in right], "right_id long, right_order long, c string, d string, on date")
+    got = {r.left_id: (r.right_id, r.tier, round(r.cost, 9)) for r in resolve.match_cascade(a, b).collect()}
+    assert got == plain_cascade(left, right) and {t for _, t, _ in got.values()} == {1, 2, 3}
+    assert resolve.match_cascade(a.limit(0), b).count() == 0
+
+
+def test_fuzzy_match_cascade_query_against_brute_force(spark):
+    from terravane.plans import resolution
+
+    d = "/root/testdata/sf0.001"
+    left = cascade_rows(resolution._bouts(spark, d), ["left_id", "left_order", "a", "b", "day"])
+    right = cascade_rows(resolution._details(spark, d), ["right_id", "right_order", "c", "d", "on"])
+    got = {r.left_id: (r.right_id, r.tier, r.cost) for r in resolution.fuzzy_match_cascade(spark, d).collect()}
+    assert got == plain_cascade(left, right) and len(got) > 5
+
+
+def test_redirects_with_cycles(spark):
+    from terravane.operators import resolve
+
+    steps = {f"c{i}": f"c{i + 1}" for i in range(40)} | {"x": "y", "y": "z", "z": "y", "s": "s"}
+    titles = ["c0", "c39", "c40", "x", "y", "z", "s", "alone", None]
+    found = resolve.resolve_redirects(spark.createDataFrame([(t,) for t in titles], "title string"), spark.createDataFrame(list(steps.items()), "title string, target string"))
+    got = {r.title: (r.final, r.looped) for r in found.collect()}
+    assert got == {"c0": ("c40", False), "c39": ("c40", False), "c40": ("c40", False), "x": ("y", True), "y": ("y", True), "z": ("z", True), "s": ("s", True), "alone": ("alone", False), None: (None, False)}
+
+
+def test_ingest(spark):
+    from terravane.operators import ingest
+
+    cohort = spark.createDataFrame([("Côte d'Or", "CDO"), ("Brazil", "BRA")], "team string, fifa_code string")
+    rows = spark.createDataFrame([(2, " brazil", "2005-06", "1.5", "7"), (3, "BRAZIL ", "bad", None, "-1")], "row_number long, Squad string, ` season ` string, starts string, S string")
+    data, issues = ingest.normalize_player_seasons(rows, cohort)
+    got = {r.row_number: r for r in data.collect()}
+    assert (got[2].team, got[2].team_source, got[2].fifa_code, got[2].season_end_year, got[2].starts, got[2].sub_appearances, got[2].goals) == ("Brazil", "brazil", "BRA", 2006, None, 7, 0)
+    codes = {(r.code, r.row_number, r["column"]) for r in issues.collect()}
+    assert ("invalid_integer", 2, "starts") in codes and ("invalid_season", 3, "season") in codes and ("negative_count", 3, "sub_appearances") in codes and ("missing_column", None, "player_name") in codes
+    with pytest.raises(ingest.ClashingColumns):
+        ingest.normalize_player_seasons(spark.createDataFrame([(1, "a", "b")], "row_number int, team string, ` team` string"), cohort)
+    assert [c.code for c in ingest.normalize_player_seasons(rows.limit(0), cohort)[1].collect()] == ["missing_column"]
+
+
+def test_awkward_frames_of_new_operators(spark):
+    from terravane.operators import resolve
+
+    with pytest.raises(Exception, match="no scoring row"):
+        resolve.participation(spark.createDataFrame([(1,), (2,)], "k int"), spark.createDataFrame([(1, 5)], "k int, s int"), ["k"]).collect()
+    with pytest.raises(Exception, match="check fails"):
+        validate.must_hold(validate.expect_counts({"x": (spark.range(3), F.count("*"), 4)}), "holds", "name").collect()
+    flags = validate.flag_duplicates(spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (2, None)], "k int, v string"), ["k", "v"])
+    assert sorted((r.k, r.duplicated) for r in flags.collect()) == [(1, True), (1, True), (2, False), (2, False)]
+    q = metrics.ranked_quantiles(spark.createDataFrame([("a", float(i)) for i in (1, 2, 2, 9)] + [("b", None)], "g string, v double"), ["g"], "v", {"n": (0.5, "nearest"), "f": (0.5, "floor"), "m": (1.0, "nearest")})
+    assert [tuple(r) for r in q.collect()] == [("a", 2.0, 2.0, 9.0)]
+    same = spark.createDataFrame([("g", 5.0)] * 4, "g string, v double")
+    width = 0.9 * 1.5 * 4**-0.2
+    assert abs(max(r.density for r in metrics.kde(same, "g", "v", 0.0, 10.0, 11).collect()) - 1 / (width * (2 * 3.141592653589793) ** 0.5)) < 1e-9
+
+
+def test_more_sources(spark, tmp_path):
+    import json
+    import zipfile
+
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w/a.csv").write_text("Ranking as of\nWeek list,a,b\nWeek,Id,Rank\n1,x,\"2\"\n\n1,y,3\n", encoding="utf-8")
+    rows = files.csv_after_preamble(spark, str(tmp_path / "w"), "Week,Id,", "Week int, Id string, Rank int").collect()
+    assert [tuple(r) for r in rows] == [(1, "x", 2), (1, "y", 3)]
+    (tmp_path / "w/b.csv").write_text("nothing\n")
+    with pytest.raises(Exception, match="no header"):
+        files.csv_after_preamble(spark, str(tmp_path / "w"), "Week,Id,", "Week int, Id string, Rank int").collect()
+    line = "\t".join(["1", "Perth", "Perth", "Pertho,Boorloo", "-31.9", "115.8", "P", "PPL", "AU", "", "08", "", "", "", "2000000", "", "", "", ""])
+    with zipfile.ZipFile(tmp_path / "cities.zip", "w") as z:
+        z.writestr("cities.txt", line + "\nshort\tline\n")
+    with zipfile.ZipFile(tmp_path / "matches.zip", "w") as z:
+        for n in (2, 1):
+            z.writestr(f"{n}.json", json.dumps({"info": {"n": n}}))
+        z.writestr("README.txt", "x")
+    index = files.city_index(files.zipped_lines(spark, str(tmp_path / "cities.zip"), "cities.txt"), S.normalize_key)
+    assert {(r.key, r.country_code, r.population) for r in index.collect()} == {("perth", "AU", 2000000), ("pertho", "AU", 2000000), ("boorloo", "AU", 2000000)}
+    members = files.zipped_members(spark, str(tmp_path / "matches.zip")).select("member", F.from_json("text", "info struct<n: int>")["info"]["n"].alias("n"))
+    assert [tuple(r) for r in members.collect()] == [("1.json", 1), ("2.json", 2)]
+    last = files.register(spark.createDataFrame([(1, " a ", "x"), (2, "a", "y"), (3, "", "z")], "line int, identifier string, name string"), "identifier", "line")
+    assert [tuple(r) for r in last.collect()] == [(2, "a", "y")]
+    shape = {"type": "Polygon", "coordinates": [[[0, 0], [10, 0], [10, 10], [0, 10], [0, 0]]]}
+    multi = {"type": "MultiPolygon", "coordinates": [shape["coordinates"], [[[20, 0], [30, 0], [30, 10], [20, 0]]]]}
+    doc = {"type": "FeatureCollection", "features": [{"properties": {"shapeID": i, "shapeName": i, "shapeGroup": "X"}, "geometry": g} for i, g in (("A", shape), ("B", multi))]}
+    (tmp_path / "adm.json").write_text(json.dumps(doc))
+    areas = files.read_boundaries(spark, str(tmp_path / "adm.json"), "adm1", ["shapeID", "shapeName", "shapeGroup"])
+    assert {(r.code, len(r.rings)) for r in areas.collect()} == {("A", 1), ("B", 2)}
+    with pytest.raises(files.UnknownBoundaries):
+        files.boundary_columns(["x"], "adm2")
+    p = str(tmp_path / "parts")
+    files.write_missing_partitions(spark.createDataFrame([("a", 1)], "code string, n int"), p, ["code"])
+    files.write_missing_partitions(spark.createDataFrame([("a", 9), ("b", 2)], "code string, n int"), p, ["code"])
+    assert {(r.code, r.n) for r in spark.read.parquet(p).collect()} == {("a", 1), ("b", 2)}
+    one = spark.createDataFrame([(1,)], "n int")
+    for n in (1, 2):
+        files.envelope(one.select(F.lit(n).alias("n")), one, one.limit(0), str(tmp_path / "doc"))
+    assert [r.n for r in files.read_envelope(spark, str(tmp_path / "doc"), "records", "n int").collect()] == [2]
+    files.queue_sinks({"unresolved": one.limit(0)}, str(tmp_path / "qa"))
+    assert "n" in "".join(f.read_text() for f in (tmp_path / "qa/unresolved").glob("*.csv"))
+    ring = spark.createDataFrame([("c", [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)])], "id string, ring array<struct<lon: double, lat: double>>")
+    made = json.loads(files.feature_collection(ring, "ring", ["id"], {"source": "x"}).first().value)
+    assert made["features"][0]["geometry"]["coordinates"][0][-1] == [0.0, 0.0] and made["metadata"] == {"source": "x"}
