@@ -38,9 +38,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     owned, classes = nearcopies.near_copies(docs)
     keys = staged(owned.groupBy("doc_id", "body").agg(F.count("*").alias("n")).join(classes.select("body", "class"), "body"), "pipeline-keys")
     key = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "body")
-    first = keys.groupBy("class").agg(F.min(key).alias("first"))
-    told = keys.join(first, "class").select("doc_id", "body", "n", (key == F.col("first")).alias("kept"))
-    told = staged(told.select(F.col("doc_id").alias("k"), F.col("body").alias("b"), "n", "kept"), "pipeline-told")
+    first = keys.groupBy("class").agg(F.min(key).alias("first")).select(F.col("first.doc_id").alias("k"), F.col("first.body").alias("b"), F.lit(True).alias("kept"))
+    # a key has one class, so the kept keys are met by id and text: a class of very many rows lies in no task
+    told = keys.join(first, F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("body") == F.col("b")), "left").select(
+        F.col("doc_id").alias("k"), F.col("body").alias("b"), "n", F.coalesce("kept", F.lit(False)).alias("kept")
+    )
+    told = staged(told, "pipeline-told")
     body = F.xxhash64("text")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("k")) & (body == F.col("b"))
     # a key of one row is that row; of the few kept keys with several rows one row is chosen
