@@ -1,9 +1,9 @@
 """Quality classification by naive Bayes support vectors.
 
 N-gram indicators of a text are scaled by their class log-count ratios, and a linear hinge-loss model is fitted on them
-by dual coordinate descent. N-grams are taken over words and over word shapes (runs of letter case, digits and marks), so that
-what a text looks like counts beside what it says; shape pairs mark a word that repeats the one before it. A sigmoid fitted on rows left out
-of the fit turns margins into scores.
+by dual coordinate descent. N-grams are taken over words (one and two) and over word shapes (runs of letter case, digits and marks), so that
+what a text looks like counts beside what it says; a few marks of the whole text (repeats, length, spread, main shapes) are indicators like others and
+can be left out. A sigmoid fitted on rows left out of the fit turns margins into scores.
 """
 
 from __future__ import annotations
@@ -36,14 +36,18 @@ class Shapes(dict):
         return shape
 
 
-def indicators(text: str | None, shapes: Shapes) -> set:
-    """The n-grams that a whole text holds: words, shapes, pairs of shapes (with an equality mark) and its length class."""
+def indicators(text: str | None, shapes: Shapes, marks: bool = True) -> set:
+    """The n-grams that a whole text holds: words and pairs of words, shapes and pairs of shapes, and with ``marks`` those of the whole text."""
     raw = (text or "").encode("utf-8", "surrogatepass")
     words = raw.split()
     form = [shapes[w] for w in raw.translate(_CLASSES).split()]
-    found: set = set(map(bytes.lower, words))
+    low = [w.lower() for w in words]
+    found: set = set(low)
+    found.update((a, b, 2) for a, b in zip(low, low[1:]))
     found.update(zip(form, form[1:]))
     found.update((f,) for f in set(form))
+    if not marks:
+        return found
     repeats = sum(map(bytes.__eq__, words, words[1:]))
     n = len(words)
     found.add(("repeat", int(8 * repeats / n) if n else -1, repeats > 0))
@@ -56,12 +60,13 @@ def indicators(text: str | None, shapes: Shapes) -> set:
 
 @dataclass
 class Model:
-    """weights: n-gram -> (log-count ratio, weight); the sigmoid of slope * margin + shift is the score."""
+    """weights: n-gram -> (log-count ratio, weight); the sigmoid of slope * margin + shift is the score. marks: whether marks of the whole text are among the indicators."""
 
     weights: dict
     bias: float
     slope: float
     shift: float
+    marks: bool = True
 
 
 def dual_descent(rows: list[np.ndarray], ratio: np.ndarray, y: np.ndarray, cost: np.ndarray, epochs: int = 30, seed: int = 3) -> tuple[np.ndarray, float]:
@@ -105,14 +110,14 @@ def _sigmoid(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(a, 1e-3)), float(c)
 
 
-def train(texts: list[str | None], labels: list[int], smoothing: float = 1.0, cost: float = 1.0, least_rows: int = 3, seed: int = 3) -> Model:
+def train(texts: list[str | None], labels: list[int], smoothing: float = 1.0, cost: float = 1.0, least_rows: int = 3, seed: int = 3, marks: bool = True) -> Model:
     """Fit on labelled whole texts. One class alone gives a constant score that leans to it; no rows give 0.5."""
     y = np.where(np.array(labels, dtype=np.int64) == 1, 1, -1)
     if len(set(y.tolist())) < 2:
         n = len(y)
         return Model({}, 0.0, 1.0, math.log((1 + (y > 0).sum()) / (1 + n - (y > 0).sum())))
     shapes = Shapes()
-    found = [indicators(t, shapes) for t in texts]
+    found = [indicators(t, shapes, marks) for t in texts]
     often = Counter(f for s in found for f in s)
     names = sorted((f for f, n in often.items() if n >= least_rows), key=repr)
     number = {f: i for i, f in enumerate(names)}
@@ -140,34 +145,29 @@ def train(texts: list[str | None], labels: list[int], smoothing: float = 1.0, co
         held[part] = margins(*fit(rest), part)
     slope, shift = _sigmoid(held, y)
     ratio, w, b = fit(np.arange(len(y)))
-    return Model({f: (float(ratio[i]), float(w[i])) for f, i in number.items()}, b, slope, shift)
+    return Model({f: (float(ratio[i]), float(w[i])) for f, i in number.items()}, b, slope, shift, marks)
 
 
 def score_text(model: Model, text: str | None, shapes: Shapes) -> float:
     w = model.weights
-    hits = [w[f] for f in indicators(text, shapes) & w.keys()]
+    hits = [w[f] for f in indicators(text, shapes, model.marks) & w.keys()] if w else []
     length = math.sqrt(sum(r * r for r, _ in hits))
     margin = model.bias + (sum(r * v for r, v in hits) / length if length else 0.0)
     return 1 / (1 + math.exp(min(60.0, max(-60.0, -(model.slope * margin + model.shift)))))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = 4000) -> tuple[list[str | None], list[int]]:
-    """Whole texts and labels of about ``rows`` training rows, half a class where there are as many, drawn by the hash of doc_id.
+    """Whole texts and labels of at most ``rows`` different training rows, drawn by hashes of id and text.
 
-    ``rows`` is the bound of the fit. Held-out rows and null labels are not drawn.
-    A doc_id with several labels is drawn with each.
+    ``rows`` bounds the fit and what comes to the driver, whatever repeats: first that many labelled ids, then that many of their different (id, text, label) rows. Both classes are drawn
+    at one rate, so a score means the same at every size. Held-out ids and null labels are not drawn. A doc_id with several labels is drawn with each.
     """
-    known = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("y")).where((fold(F.col("id")) != 0) & F.col("y").isNotNull())
-    counts = {bool(r.up): r.n for r in known.groupBy((F.col("y") == 1).alias("up")).agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return [], []
-    size = 1 << 20
-    limit = F.when(F.col("y") == 1, F.lit(int(size * rows / 2 / counts.get(True, 1)) + 1)).otherwise(F.lit(int(size * rows / 2 / counts.get(False, 1)) + 1))
-    drawn = known.where(F.pmod(F.xxhash64("id"), F.lit(size)) < limit)
-    # about `rows` rows by the bound above, ids and labels only
+    known = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("y")).where((fold(F.col("id")) != 0) & F.col("y").isNotNull()).distinct()
+    drawn = known.orderBy(F.xxhash64("id", "y"), "id", "y").limit(rows)
     joined = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("id"))
-    got = sorted(((r.doc_id, r.text or "", int(r.y == 1)) for r in joined.select("doc_id", "text", "y").collect()))
-    return [r[1] for r in got], [r[2] for r in got]
+    each = joined.groupBy("doc_id", F.xxhash64("text").alias("mark"), "y").agg(F.first("text").alias("text"))
+    got = each.orderBy(F.xxhash64("doc_id", "mark", "y"), "doc_id", "mark", "y").limit(rows).collect()
+    return [r.text or "" for r in got], [int(r.y == 1) for r in got]
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
@@ -184,6 +184,11 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = 4000, threshold: float = 0.3) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = 4000, threshold: float = 0.3, marks: bool = True) -> DataFrame:
+    """Train on the labelled sample and score every whole text: (doc_id, held_out, score, predicted), one row per input row.
+
+    Null and empty texts are scored as texts without a word; very long ones are read whole. Rows that repeat come out as often. A null doc_id has a null held_out and is never learned from.
+    Without a labelled row every score is 0.5, with labels of one class alone they lean to it. Other columns are not read. No documents give no rows.
+    """
     texts, y = labelled_sample(docs, labels, label, rows)
-    return score(docs, train(texts, y), threshold)
+    return score(docs, train(texts, y, marks=marks), threshold)

@@ -12,14 +12,17 @@ from terravane.llm.shared import table
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence findings of all ``documents``, a row per paragraph and family; null and empty texts have none, repeated rows give theirs once for each, very long texts are read in windows. See ``license_scan.scan``."""
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` in shards 0 to 39 under law ``bytes``; a null text counts as an empty one, equal texts stay together, repeated rows and null ids get a slot each, ties go by the group's hash. See ``sharding.shard``."""
     return sharding.shard(table(spark, sf_dir, "documents"), 40)
 
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``conversations`` and conversation -7, formatted and read back; null roles and texts are empty, turns of one number go by role and text, rows without a turn come first, null conversation ids are one conversation. See ``chat``."""
     said = "\\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select(
@@ -38,24 +41,29 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows of every hundredth vec_id; rows without an id or a usable vector take no part, repeated rows are rows of their own, ties go to the smaller vec_id. See ``ann.search``."""
     return ann.search(ann.usable(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0, 10)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text; null and empty texts are texts without a word, repeated rows come out as often, a null id has a null held_out. See ``quality.classify``."""
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best window of every pair of a document and an item of ``benchmark`` at a similarity of 0.8; null and empty texts match nothing, null ids take no part, ties go to the first window. See ``decontam.contaminated``."""
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived, read back and merged; a null html is an empty payload, rows without an id and repeated rows have records of their own, very large pages have an archive of their own. See ``warc.archive_pages``."""
     return warc.archive_pages(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured"
     )
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text; ``und`` for null texts and texts without a letter, repeated rows come out as often. See ``langid.identify``."""
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
@@ -78,6 +86,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document; texts without a word share fingerprint zero, repeated rows come out as often, null ids take no part in the smallest id. See ``simhash.near_duplicates``."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, radius=3, seed=42)
     return found.select("doc_id", simhash.digits(F.col("fp")).alias("fingerprint"), "component_id")
 

@@ -698,3 +698,75 @@ def test_shared_folder(spark, monkeypatch):
     cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077", applicationId="a"))
     with pytest.raises(shared.NoSharedFolder):
         shared.shared_dir(cluster)
+
+
+def test_quality_sample_is_bounded_and_text_alone_counts(spark):
+    rows = [(i % 7, f"text {i}") for i in range(300)] + [(3, "same")] * 500
+    labels = spark.createDataFrame([(i, i % 2) for i in range(7)] + [(3, 1), (3, 0), (5, None)], "doc_id long, quality int")
+    texts, y = quality.labelled_sample(docs_of(spark, rows), labels, rows=40)
+    assert len(texts) == len(y) <= 40 and sum(t == "same" for t in texts) <= 2
+    names = langid.labelled_sample(spark.createDataFrame([(5, "same", "en")] * 900 + [(i, f"t{i}", f"l{i % 90}") for i in range(900)], "doc_id long, text string, lang string"), per_language=5, languages=10)[1]
+    assert len(names) <= 50 and max(Counter(names).values()) <= 5
+
+
+def test_quality_awkward_texts_with_a_fitted_model(spark):
+    rng = random.Random(7)
+    good, bad = lambda: " ".join(f"word{rng.randrange(40)}" for _ in range(30)), lambda: "BUY!! " * rng.randint(5, 30)
+    rows = [(100 + i, good() if i % 2 else bad()) for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int").withColumn("text", F.lit("x"))
+    got = quality.classify(docs_of(spark, rows + AWKWARD), labels).collect()
+    assert len(got) == len(rows) + len(AWKWARD) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
+    by = {r.doc_id: r for r in got}
+    assert by[1].score == by[2].score and by[None].held_out is None and Counter(r.doc_id for r in got)[5] == 2
+
+
+def test_quality_scores_against_plain_sums():
+    rng = random.Random(11)
+    texts = [" ".join(rng.choices(["alpha", "beta", "gamma", "Delta", "42", "!!", "delta"], k=rng.randint(0, 20))) for _ in range(120)]
+    y = [int(t.count("alpha") + t.count("beta") > 4) for t in texts]
+    model, shapes = quality.train(texts, y, marks=False), quality.Shapes()
+    for text in [*texts[:30], "", None, "unseen words only"]:
+        words = (text or "").split()
+        low = [w.lower() for w in words]
+        form = ["".join(c for c, _ in __import__("itertools").groupby("A" if c.isupper() else "a" if c.islower() else "0" if c.isdigit() else c for c in w)).encode() for w in words]
+        grams = {w.encode() for w in low} | {(a.encode(), b.encode(), 2) for a, b in zip(low, low[1:], strict=False)} | set(zip(form, form[1:], strict=False)) | {(f,) for f in form}
+        known = [model.weights[g] for g in grams if g in model.weights]
+        size = math.sqrt(sum(r * r for r, _ in known))
+        margin = model.bias + (sum(r * w for r, w in known) / size if size else 0)
+        assert abs(quality.score_text(model, text, shapes) - 1 / (1 + math.exp(-(model.slope * margin + model.shift)))) < 1e-9
+    # no small step in any direction lowers the fitted loss
+    rows = [np.array(sorted(rng.sample(range(30), 6))) for _ in range(60)]
+    side, ratio, cost = np.array([1 if 3 in r or 7 in r else -1 for r in rows]), np.linspace(0.5, 2, 30), np.ones(60)
+    w, b = quality.dual_descent(rows, ratio, side, cost, epochs=400)
+
+    def loss(w, b):
+        units = [ratio[r] / np.sqrt((ratio[r] ** 2).sum()) for r in rows]
+        return 0.5 * (w @ w + b * b) + sum(max(0.0, 1 - s * (w[r] @ u + b)) for r, u, s in zip(rows, units, side, strict=True))
+
+    best = loss(w, b)
+    assert all(loss(w + 0.01 * d, b + 0.01 * e) > best - 1e-3 for d, e in zip(np.random.default_rng(1).standard_normal((200, 30)), np.random.default_rng(2).standard_normal(200), strict=True))
+
+
+def test_language_awkward_rows(spark):
+    rng = random.Random(13)
+    words = {"en": ["the", "with", "thing"], "de": ["der", "schön", "nicht"]}
+    rows = [(i, " ".join(rng.choices(words[lang], k=20)), lang, "s", 0, "x") for i, lang in enumerate(["en", "de"] * 120)]
+    rows += [(1000, "the thing with " * 60000, None, None, None, "x"), (1001, "der schön", None, None, None, "x"), (1001, "der schön", None, None, None, "x"), (None, "nicht der", "de", None, None, "x"), (1002, "", "en", None, None, "x")]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, lang_pred string")).collect()
+    by = {r.doc_id: r for r in got}
+    assert len(got) == len(rows) and by[1000].lang_pred == "en" and by[1001].lang_pred == "de" and by[None].held_out is None and by[None].lang_pred == "de" and (by[1002].lang_pred, by[1002].score) == ("und", 0.0)
+    net = langid.train([r[1] for r in rows[:240]], [r[2] for r in rows[:240]])
+    text = rows[0][1]
+    padded, used = langid.cut(text)
+    whole = np.zeros(len(net.names))
+    for at in range(0, len(padded), langid.WINDOW):  # the convolution written out, window by window
+        window = padded[at : at + langid.WINDOW]
+        top = np.full(len(net.bias), -np.inf)
+        for i in range(langid.WINDOW):
+            patch = np.concatenate([net.embed[window[i + j]] if i + j < langid.WINDOW else np.zeros(langid.EMBED) for j in range(max(langid.WIDTHS))])
+            top = np.maximum(top, patch @ net.filters)
+        z = np.maximum(top + net.bias, 0) @ net.out + net.out_bias
+        p = np.exp(z - z.max())
+        whole += p / p.sum() * min(langid.WINDOW, used - at)
+    names, scores = langid.predict_texts(net, [text])
+    assert names[0] == net.names[int(whole.argmax())] and abs(scores[0] - whole.max() / used) < 1e-4
