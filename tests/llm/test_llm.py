@@ -770,3 +770,73 @@ def test_language_awkward_rows(spark):
         whole += p / p.sum() * min(langid.WINDOW, used - at)
     names, scores = langid.predict_texts(net, [text])
     assert names[0] == net.names[int(whole.argmax())] and abs(scores[0] - whole.max() / used) < 1e-4
+
+
+def plain_pipeline(docs, items, weights):
+    """The stages' decisions in plain Python over (doc_id, text, lang, source); returns the ids kept by each."""
+    import xxhash
+
+    ids = lambda rows: {r[0] for r in rows}
+    kept = [r for r in docs if r[1] and any(map(str.isalpha, r[1]))]
+    out = [ids(kept)]
+    sets = [five(r[1]) for r in kept]
+    parent = {i: i for i in range(len(kept))}
+    for i in parent:
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                u, v = find(parent, i), find(parent, j)
+                parent[max(u, v)] = min(u, v)
+    least = {}
+    for i, r in enumerate(kept):
+        least[find(parent, i)] = min(least.get(find(parent, i), r[0]), r[0])
+    kept = [r for r in kept if r[0] in set(least.values())]
+    out.append(ids(kept))
+    cut = lambda t: [w for w in re.split(r"[\x20\t-\r]+", t.lower()) if w]
+    grams = {i: Counter(tuple(w[j : j + k]) for j in range(len(w) - k + 1)) for i, t in items if (w := cut(t or "")) and (k := min(5, len(w)))}
+    holders = Counter(g for c in {frozenset(c.items()) for c in grams.values()} for g, _ in c)
+
+    def leaks(text):
+        w = cut(text)
+        for i, c in grams.items():
+            k, n = len(next(iter(c))), len(cut(dict(items)[i]))
+            have = {tuple(w[j : j + k]) for j in range(len(w) - k + 1)}
+            if not have & set(c):
+                continue
+            for s in range(max(1, len(w) - n + 1)):
+                part = w[s : s + n]
+                mine = Counter(tuple(part[j : j + k]) for j in range(len(part) - k + 1))
+                if mine and max(brute_similarity(mine, c, lambda g: 1 / holders.get(g, 1)), brute_similarity(mine, c, lambda g: 1)) >= 0.8:
+                    return True
+        return False
+
+    kept = [r for r in kept if not leaks(r[1])]
+    out.append(ids(kept))
+    leaf = lambda r: (f"domain{zlib.crc32(r[3].encode()) % 4}", r[2], r[3])
+    tokens, held = Counter(), {}
+    for r in kept:
+        tokens[leaf(r)] += len(cut(r[1]))
+        held.setdefault(leaf(r), []).append(r)
+    budgets, chosen = plain_budgets(tokens, 0.9 * sum(tokens.values()), weights), set()
+    for name, rows in held.items():
+        run = 0
+        for r in sorted(rows, key=lambda r: hashlib.md5(f"17:0:{r[0]}:{(h := xxhash.xxh64_intdigest(r[1].encode(), 42)) - (1 << 64) * (h >> 63)}".encode()).hexdigest()):
+            run += len(cut(r[1]))
+            if run <= budgets[name] + 1e-6:
+                chosen.add(r[0])
+    return [*out, chosen]
+
+
+def test_pipeline_run_against_brute_force(spark):
+    d = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.text, r.lang or "none", r.source or "none") for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{d}/benchmark.parquet").collect()]
+    want = plain_pipeline(docs, items, corpus_pipeline.WEIGHTS)
+    assert len({r[0] for r in docs}) == len(docs) and len(docs) > len(want[1]) > len(want[2]) > len(want[3])
+    frame = spark.read.parquet(f"{d}/documents.parquet")
+    for (_, stage), ids in zip(corpus_pipeline.STAGES[:-1], want, strict=True):
+        frame = chat.staged(stage(spark, frame, d), "t")
+        assert sorted(r.doc_id for r in frame.collect()) == sorted(ids)
+    rows = corpus_pipeline.run(spark, d).collect()
+    text = dict((r[0], r[1]) for r in docs)
+    check_shards(rows, [(i, text[i]) for i in want[3]])
+    assert {r.shard for r in rows} == set(range(40)) if len(rows) >= 200 else len(rows) == len(want[3])
