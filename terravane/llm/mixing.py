@@ -32,6 +32,16 @@ def word_count(text: Column) -> Column:
     return F.when(flat == "", F.lit(0)).otherwise(F.length(flat) - F.length(F.replace(flat, F.lit(" "), F.lit(""))) + 1).cast("long")
 
 
+def _hex(digits: Column, count: int) -> Column:
+    """The first hex digits as a number; fifteen fit."""
+    return F.conv(F.substring(digits, 1, count), 16, 10).cast("long")
+
+
+def text_mark(text: Column) -> Column:
+    """Sixty bits of a text's MD5; null counts as empty."""
+    return _hex(F.md5(F.coalesce(text, F.lit(""))), 15)
+
+
 def water_fill(nodes: DataFrame, parent: tuple[str, ...]) -> DataFrame:
     """(.., wants, cap, budget) with the parent's budget in every row -> the same with ``got``: the budget divided by weight among the siblings, none above its cap."""
     open_ = (F.col("wants") > 0) & (F.col("cap") > 0)
@@ -145,13 +155,13 @@ def mix(
 
 def tree_columns(docs: DataFrame, domains: int = 4) -> DataFrame:
     """documents -> (doc_id, domain, language, origin, tokens, mark). The tables have no domain, so a source's hash names one; nulls become ``none``."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_leaf(domains), word_count(F.col("text")).alias("tokens"), F.xxhash64("text").alias("mark"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_leaf(domains), word_count(F.col("text")).alias("tokens"), text_mark(F.col("text")).alias("mark"))
 
 
 def _leaf(domains: int) -> list[Column]:
     origin = F.coalesce(F.col("source").cast("string"), F.lit("none"))
     return [
-        F.concat(F.lit("domain"), F.pmod(F.crc32(origin.cast("binary")), F.lit(domains)).cast("string")).alias("domain"),
+        F.concat(F.lit("domain"), (_hex(F.md5(origin), 8) % domains).cast("string")).alias("domain"),
         F.coalesce(F.col("lang").cast("string"), F.lit("none")).alias("language"),
         origin.alias("origin"),
     ]
@@ -168,6 +178,6 @@ def mixed_documents(
     """
     ends = staged(_chosen(tree_columns(docs, domains), weights, budget_share, 1, seed, 2000).groupBy(*LEVELS).agg(F.max(F.struct("draw", "doc_id", "mark")).alias("end")), "mix-ends")
     rows = docs.select(F.struct("*").alias("row"), *_leaf(domains)).join(ends, list(LEVELS))
-    doc_id, mark = F.col("row.doc_id").cast("long"), F.xxhash64("row.text")
+    doc_id, mark = F.col("row.doc_id").cast("long"), text_mark(F.col("row.text"))
     place = F.struct(_draw(seed, F.lit(0), doc_id, mark).alias("draw"), doc_id.alias("doc_id"), mark.alias("mark"))
     return rows.where(place <= F.col("end")).select("row.*")

@@ -72,7 +72,7 @@ TARGETS = {
     ("domain0",): 4.0, ("domain1",): 2.0, ("domain2",): 1.0, ("domain3",): 1.0,
     ("domain0", "en"): 1.0, ("domain0", "fr"): 2.0, ("domain0", "de"): 2.0, ("domain0", "es"): 3.0,
     ("domain1", "en"): 5.0, ("domain2", "de"): 4.0, ("domain3", "fr"): 0.5, ("domain3", "none"): 0.0,
-    ("domain0", "en", "src0"): 3.0, ("domain0", "en", "src2"): 0.5, ("domain1", "en", "src4"): 2.0, ("domain2", "en", "src3"): 6.0, ("domain3", "en", "src5"): 0.0,
+    ("domain0", "en", "src10"): 3.0, ("domain0", "en", "src14"): 0.5, ("domain1", "en", "src6"): 2.0, ("domain2", "en", "src0"): 6.0, ("domain3", "en", "src5"): 0.0,
 }
 
 
@@ -82,7 +82,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     Null texts have no tokens, null lang and source are named ``none``, repeated rows are rows of their own, empty tables give no rows; see ``mixing.mix``.
     """
     keyed = mixing.tree_columns(table(spark, sf_dir, "documents"))
-    return mixing.mix(keyed, TARGETS, budget_share=0.8, max_epochs=4)
+    return mixing.mix(keyed, TARGETS, budget_share=0.8, max_epochs=4).withColumn("leaf_budget", F.round("leaf_budget", 6))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,5 +182,37 @@ FROM u
 """
 
 
+def _level(depth: int) -> str:
+    """The nodes of a level, their budgets filled up to the level's water mark; the level above is ``b{depth - 1}``."""
+    names, above = ", ".join(mixing.LEVELS[:depth]), ", ".join(mixing.LEVELS[: depth - 1])
+    parent = f"PARTITION BY {above} " if above else ""
+    budget = f"b{depth - 1}.got" if above else "(SELECT least(sum(leaf_tokens) * 0.8, sum(room)) FROM rooms)"
+    return f"""n{depth} AS (SELECT {names}, any_value(w{depth}) AS wants, sum(room) AS cap FROM rooms GROUP BY ALL),
+p{depth} AS (SELECT n.*, CASE WHEN wants > 0 AND cap > 0 THEN wants ELSE 0 END AS w, CASE WHEN wants > 0 THEN cap ELSE 0 END AS c, CASE WHEN wants > 0 AND cap > 0 THEN cap / wants END AS ratio, {budget} AS budget FROM n{depth} n {f'JOIN b{depth - 1} USING ({above})' if above else ''}),
+v{depth} AS (SELECT *, CASE WHEN ratio IS NOT NULL THEN (budget - coalesce(sum(c) OVER (x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(w) OVER (x ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) END AS mark FROM p{depth} WINDOW x AS ({parent}ORDER BY ratio NULLS LAST, {names})),
+b{depth} AS (SELECT {names}, greatest(least(c, w * coalesce(max(mark) OVER ({parent}), 0)), 0) AS got FROM v{depth})"""
+
+
+OP9_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, 'domain' || CAST('0x' || substr(md5(coalesce(source, 'none')), 1, 8) AS BIGINT) % 4 AS domain, coalesce(lang, 'none') AS language, coalesce(source, 'none') AS origin,
+         CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '')) AS BIGINT) AS tokens, CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS mark FROM documents
+), t(domain, language, origin, weight) AS (VALUES {", ".join("(" + ", ".join([*(f"'{x}'" for x in path), *["NULL"] * (3 - len(path)), f"{w:.3f}::DOUBLE"]) + ")" for path, w in sorted(TARGETS.items()))}
+), l AS (SELECT domain, language, origin, sum(tokens)::DOUBLE AS leaf_tokens FROM d GROUP BY ALL
+), g AS (SELECT l.*, coalesce(a.weight, 1) AS w1, coalesce(b.weight, 1) AS w2, coalesce(c.weight, 1) AS w3 FROM l
+  LEFT JOIN t a ON a.domain = l.domain AND a.language IS NULL LEFT JOIN t b ON b.domain = l.domain AND b.language = l.language AND b.origin IS NULL LEFT JOIN t c ON c.domain = l.domain AND c.language = l.language AND c.origin = l.origin
+), rooms AS (SELECT *, CASE WHEN w1 > 0 AND w2 > 0 AND w3 > 0 THEN leaf_tokens * 4 ELSE 0 END AS room FROM g),
+{_level(1)},
+{_level(2)},
+{_level(3)},
+e AS (SELECT b3.domain, b3.language, b3.origin, got, unnest(range(0, CAST(CASE WHEN leaf_tokens > 0 THEN least(4, floor(got / leaf_tokens) + 1) ELSE 1 END AS BIGINT))) AS epoch FROM b3 JOIN l USING (domain, language, origin) WHERE got > 0
+), r AS (
+  SELECT doc_id, domain, language, origin, tokens, epoch, got, sum(tokens) OVER (PARTITION BY domain, language, origin ORDER BY epoch, md5('17:' || epoch || ':' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || mark), doc_id, mark, tokens ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS through
+  FROM d JOIN e USING (domain, language, origin)
+)
+SELECT doc_id, domain, language, origin, tokens, CAST(epoch AS INTEGER) AS epoch, round(got, 6) AS leaf_budget, CAST(through AS BIGINT) AS tokens_through FROM r WHERE through <= got + 1e-6
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": OP3_SQL, "op4_rotated_codes": OP4_SQL, "op6_decontamination": OP6_SQL, "op7_warc": OP7_SQL}
+    return {"op3_chat_format": OP3_SQL, "op4_rotated_codes": OP4_SQL, "op6_decontamination": OP6_SQL, "op7_warc": OP7_SQL, "op9_mixing": OP9_SQL}

@@ -774,8 +774,6 @@ def test_language_awkward_rows(spark):
 
 def plain_pipeline(docs, items, weights):
     """The stages' decisions in plain Python over (doc_id, text, lang, source); returns the ids kept by each."""
-    import xxhash
-
     ids = lambda rows: {r[0] for r in rows}
     kept = [r for r in docs if r[1] and any(map(str.isalpha, r[1]))]
     out = [ids(kept)]
@@ -811,7 +809,7 @@ def plain_pipeline(docs, items, weights):
 
     kept = [r for r in kept if not leaks(r[1])]
     out.append(ids(kept))
-    leaf = lambda r: (f"domain{zlib.crc32(r[3].encode()) % 4}", r[2], r[3])
+    leaf = lambda r: (f"domain{int(hashlib.md5(r[3].encode()).hexdigest()[:8], 16) % 4}", r[2], r[3])
     tokens, held = Counter(), {}
     for r in kept:
         tokens[leaf(r)] += len(cut(r[1]))
@@ -819,7 +817,7 @@ def plain_pipeline(docs, items, weights):
     budgets, chosen = plain_budgets(tokens, 0.9 * sum(tokens.values()), weights), set()
     for name, rows in held.items():
         run = 0
-        for r in sorted(rows, key=lambda r: hashlib.md5(f"17:0:{r[0]}:{(h := xxhash.xxh64_intdigest(r[1].encode(), 42)) - (1 << 64) * (h >> 63)}".encode()).hexdigest()):
+        for r in sorted(rows, key=lambda r: hashlib.md5(f"17:0:{r[0]}:{int(hashlib.md5(r[1].encode()).hexdigest()[:15], 16)}".encode()).hexdigest()):
             run += len(cut(r[1]))
             if run <= budgets[name] + 1e-6:
                 chosen.add(r[0])
