@@ -300,7 +300,7 @@ def scan(docs: DataFrame, confident: float = 0.6, confirm: float = 0.5, seed: in
     """documents -> (doc_id, paragraph, family, probability, template, template_similarity, confirmed, start_word, text), a row per paragraph and family found in it.
 
     family is a licence family or ``unknown``: the class ``unknown`` is the best one, or the best family stays below ``confident``.
-    A paragraph of several windows tells each family once, by its most probable window, ties to the first. Beside the best family, a
+    A paragraph of several windows tells each family once, by its most probable window (to nine digits), ties to the first. Beside the best family, a
     window tells every other one that outweighs both prose and unknown and is confirmed; its probability is taken against these two. ``unknown`` is told only where the paragraph holds no family.
     template is the number of the nearest template of the family (null for unknown), template_similarity the share of the
     shorter one's word pairs that both hold, ties to the first template. start_word is the window's first word in the paragraph, counted as ``tokens_of`` counts, and text the window's lower-cased words.
@@ -377,7 +377,7 @@ def scan(docs: DataFrame, confident: float = 0.6, confirm: float = 0.5, seed: in
     told = near.select(
         "row", "doc_id", "paragraph", "best", family.alias("family"),
         F.struct(
-            "probability", (-F.col("window")).alias("back"), F.when(F.col("k") > 1, -F.col("near.back")).alias("template"), similarity.alias("template_similarity"),
+            F.round("probability", 9).alias("probability"), (-F.col("window")).alias("back"), F.when(F.col("k") > 1, -F.col("near.back")).alias("template"), similarity.alias("template_similarity"),
             (is_family & (similarity >= confirm)).alias("confirmed"), F.array_join("words", " ").alias("text"),
         ).alias("said"),
     ).where(F.col("best") | F.col("said.confirmed"))

@@ -182,6 +182,40 @@ FROM u
 """
 
 
+def license_sql(confident: float = 0.6, confirm: float = 0.5) -> str:
+    """SQL of ``op1_license_scan``: the fitted weights and the templates are its constants, everything else is worked out anew."""
+    model = license_scan.train()
+    n, text = len(model.classes), lambda v: "'" + v.replace("'", "''") + "'"
+    weights = ", ".join("(" + ", ".join([text(" ".join(g)), *map(repr, w)]) + ")" for g, w in sorted(model.weights.items()))
+    templates = ", ".join(
+        f"({1 + k}, {i}, [{', '.join(map(text, license_scan.template_pairs(t)))}])" for k, texts in enumerate(license_scan.TEMPLATES.values(), 1) for i, t in enumerate(texts)
+    )
+    logits = ", ".join(f"({b!r} + sum(w{k})) / {model.temperature!r}" for k, b in enumerate(model.intercepts))
+    return rf"""
+WITH g(gram, {", ".join(f"w{k}" for k in range(n))}) AS (VALUES {weights}), t(k, i, held) AS (VALUES {templates}),
+b AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)), '
+[ 	]*(?:
+[ 	]*)+'), lambda x: regexp_matches(x, '[^ 
+	]')) AS blocks FROM documents),
+p AS (SELECT r, doc_id, unnest(range(0, len(blocks))) AS paragraph, unnest(list_transform(blocks, lambda x: regexp_split_to_array(lower(x), '[^a-z0-9]+'))) AS tokens FROM b),
+v AS (SELECT r, doc_id, paragraph, tokens, unnest(range(0, CAST(greatest(0, ceil((len(tokens) - {license_scan.WINDOW}) / {license_scan.STRIDE}.0)) AS BIGINT) + 1)) AS k FROM p),
+w AS (SELECT r, doc_id, paragraph, k AS w, tokens[k * {license_scan.STRIDE} + 1 : k * {license_scan.STRIDE} + {license_scan.WINDOW}] AS words FROM v),
+s AS (SELECT DISTINCT string_split(gram, ' ')[1] AS first FROM g),
+a AS (SELECT r, paragraph, w, words, unnest(range(1, len(words) + 1)) AS i, unnest(words) AS word FROM w),
+h AS (SELECT DISTINCT r, paragraph, w, array_to_string(words[i : i + n - 1], ' ') AS gram FROM a JOIN s ON word = first, (SELECT unnest([1, 2, 3]) AS n) WHERE i + n - 1 <= len(words)),
+z AS (SELECT r, paragraph, w, [{logits}] AS z FROM h JOIN g USING (gram) GROUP BY ALL),
+c AS (SELECT r, paragraph, w, z, list_position(z, list_max(z)) - 1 AS best, unnest(range(1, {n})) AS k FROM z WHERE list_position(z, list_max(z)) > 1),
+d AS (SELECT c.*, round(CASE WHEN k = best THEN 1 / list_sum(list_transform(z, lambda x: exp(x - z[k + 1]))) ELSE 1 / (1 + exp(z[1] - z[k + 1]) + exp(z[2] - z[k + 1])) END, 9) AS probability FROM c WHERE k = best OR (k > 1 AND z[k + 1] > z[1] AND z[k + 1] > z[2])),
+e AS (SELECT d.*, doc_id, words, list_distinct(list_transform(range(1, greatest(len(words) - 1, 1) + 1), lambda i: concat_ws(' ', words[i], words[i + 1]))) AS pairs FROM d JOIN w USING (r, paragraph, w)),
+f AS (SELECT e.*, t.i, len(list_intersect(pairs, held)) / greatest(least(len(pairs), len(held)), 1) AS alike, row_number() OVER (PARTITION BY r, paragraph, w, e.k ORDER BY len(list_intersect(pairs, held)) / greatest(least(len(pairs), len(held)), 1) DESC, t.i) AS near FROM e LEFT JOIN t ON t.k = e.k),
+m AS (SELECT *, CASE WHEN probability >= {confident} THEN [{", ".join(map(text, model.classes))}][k + 1] ELSE 'unknown' END AS family, k > 1 AND probability >= {confident} AND alike >= {confirm} AS confirmed FROM f WHERE near = 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY r, paragraph, family ORDER BY probability DESC, w) AS place FROM m WHERE k = best OR confirmed),
+q AS (SELECT *, count(*) FILTER (WHERE family <> 'unknown') OVER (PARTITION BY r, paragraph) AS families FROM o WHERE place = 1)
+SELECT doc_id, CAST(paragraph AS INTEGER) AS paragraph, family, probability, CAST(i AS INTEGER) AS template, coalesce(alike, 0.0) AS template_similarity, coalesce(confirmed, false) AS confirmed, CAST(w * {license_scan.STRIDE} AS INTEGER) AS start_word, array_to_string(words, ' ') AS text
+FROM q WHERE family <> 'unknown' OR families = 0
+"""
+
+
 def _level(depth: int) -> str:
     """The nodes of a level, their budgets filled up to the level's water mark; the level above is ``b{depth - 1}``."""
     names, above = ", ".join(mixing.LEVELS[:depth]), ", ".join(mixing.LEVELS[: depth - 1])
@@ -196,7 +230,8 @@ b{depth} AS (SELECT {names}, greatest(least(c, w * coalesce(max(mark) OVER ({par
 OP9_SQL = rf"""
 WITH d AS (
   SELECT doc_id, 'domain' || CAST('0x' || substr(md5(coalesce(source, 'none')), 1, 8) AS BIGINT) % 4 AS domain, coalesce(lang, 'none') AS language, coalesce(source, 'none') AS origin,
-         CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '')) AS BIGINT) AS tokens, CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS mark FROM documents
+         CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-
+]+'), lambda x: x <> '')) AS BIGINT) AS tokens, CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS mark FROM documents
 ), t(domain, language, origin, weight) AS (VALUES {", ".join("(" + ", ".join([*(f"'{x}'" for x in path), *["NULL"] * (3 - len(path)), f"{w:.3f}::DOUBLE"]) + ")" for path, w in sorted(TARGETS.items()))}
 ), l AS (SELECT domain, language, origin, sum(tokens)::DOUBLE AS leaf_tokens FROM d GROUP BY ALL
 ), g AS (SELECT l.*, coalesce(a.weight, 1) AS w1, coalesce(b.weight, 1) AS w2, coalesce(c.weight, 1) AS w3 FROM l
@@ -215,4 +250,4 @@ SELECT doc_id, domain, language, origin, tokens, CAST(epoch AS INTEGER) AS epoch
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": OP3_SQL, "op4_rotated_codes": OP4_SQL, "op6_decontamination": OP6_SQL, "op7_warc": OP7_SQL, "op9_mixing": OP9_SQL}
+    return {"op1_license_scan": license_sql(), "op3_chat_format": OP3_SQL, "op4_rotated_codes": OP4_SQL, "op6_decontamination": OP6_SQL, "op7_warc": OP7_SQL, "op9_mixing": OP9_SQL}

@@ -355,7 +355,7 @@ def plain_license_scan(rows, confident=0.6, confirm=0.5):
                     family = model.classes[c] if p >= confident else "unknown"
                     sure = c > 1 and p >= confident and near[0] >= confirm
                     if c == best or sure:
-                        said = (p, -k, -near[1] if near else None, near[0] if near else 0.0, sure)
+                        said = (round(p, 9), -k, -near[1] if near else None, near[0] if near else 0.0, sure)
                         told[family] = max(told.get(family, said), said, key=lambda x: x[:2])
             if len(told) > 1:
                 told.pop("unknown", None)
