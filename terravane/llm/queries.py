@@ -101,6 +101,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
+def _crc32_table() -> list[int]:
+    table = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    return table
+
+
+# longest-processing-time scheduling as a recursion over the jobs; slots as far as no job has more rows than a unit
+OP2_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text, strlen(coalesce(text, '')) + 16 AS size, sha256(coalesce(text, '')) AS key FROM documents),
+g AS (SELECT key, sum(size) AS bytes FROM d GROUP BY 1), o AS (SELECT key FROM g WHERE bytes * 40 * 256 >= (SELECT sum(size) FROM d)),
+j AS (SELECT d.*, CASE WHEN o.key IS NOT NULL THEN d.key ELSE 'bundle-' || CAST('0x' || substr(d.key, 1, 15) AS BIGINT) % (40 * 256) END AS job FROM d LEFT JOIN o USING (key)),
+p AS (SELECT job, sum(size) AS bytes, count(*) AS n, row_number() OVER (ORDER BY sum(size) DESC, job) AS step FROM j GROUP BY 1),
+r AS (SELECT CAST(0 AS BIGINT) AS step, list_transform(range(40), lambda x: CAST(0 AS HUGEINT)) AS loads, CAST(0 AS BIGINT) AS shard UNION ALL
+  SELECT p.step, list_transform(loads, lambda x, i: x + CASE WHEN i = list_position(loads, list_min(loads)) THEN p.bytes ELSE 0 END), list_position(loads, list_min(loads)) - 1 FROM r JOIN p ON p.step = r.step + 1),
+s AS (SELECT p.job, p.step, r.shard, sum(p.n) OVER (PARTITION BY r.shard ORDER BY p.step) - p.n AS start FROM p JOIN r USING (step)),
+c AS (SELECT key, any_value(regexp_extract_all(hex(encode(text)), '..')) AS pairs FROM d GROUP BY 1),
+x AS (SELECT key, xor(list_reduce(list_transform(pairs, lambda h: CAST('0x' || h AS BIGINT)), lambda a, b: xor(a >> 8, {_crc32_table()}[CAST(xor(a, b) & 255 AS INTEGER) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS crc FROM c)
+SELECT doc_id, CAST(size AS BIGINT) AS size, crc AS text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard, CAST(start + row_number() OVER (PARTITION BY j.job ORDER BY j.key, doc_id NULLS FIRST) - 1 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM j JOIN s USING (job) JOIN x ON x.key = j.key
+"""
+
 OP3_SQL = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -250,4 +274,4 @@ SELECT doc_id, domain, language, origin, tokens, CAST(epoch AS INTEGER) AS epoch
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": license_sql(), "op3_chat_format": OP3_SQL, "op4_rotated_codes": OP4_SQL, "op6_decontamination": OP6_SQL, "op7_warc": OP7_SQL, "op9_mixing": OP9_SQL}
+    return {"op1_license_scan": license_sql(), "op2_sharding": OP2_SQL, "op3_chat_format": OP3_SQL, "op4_rotated_codes": OP4_SQL, "op6_decontamination": OP6_SQL, "op7_warc": OP7_SQL, "op9_mixing": OP9_SQL}

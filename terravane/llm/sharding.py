@@ -58,7 +58,7 @@ def shard(docs: DataFrame, shards: int = 40, grain: int = 256, unit_rows: int =
     spark = docs.sparkSession
     rows = staged(sized(docs), "shard-rows")
     total = rows.agg(F.sum("size")).first()[0] or 0
-    small = F.concat(F.lit("bundle-"), F.pmod(F.xxhash64("key"), F.lit(shards * grain)).cast("string"))
+    small = F.concat(F.lit("bundle-"), (F.conv(F.substring("key", 1, 15), 16, 10).cast("long") % (shards * grain)).cast("string"))
     groups = rows.groupBy("key").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
     large = staged(groups.where(F.col("bytes") * shards * grain >= total).select("key", "bytes", "rows"), "shard-large")
     own = large.select("key", F.lit(True).alias("own"))

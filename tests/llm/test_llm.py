@@ -838,3 +838,37 @@ def test_pipeline_run_against_brute_force(spark):
     text = dict((r[0], r[1]) for r in docs)
     check_shards(rows, [(i, text[i]) for i in want[3]])
     assert {r.shard for r in rows} == set(range(40)) if len(rows) >= 200 else len(rows) == len(want[3])
+
+
+def test_simhash_query_against_brute_force(spark):
+    import xxhash
+
+    from terravane.llm import queries
+
+    d = "/root/testdata/sf0.001"
+    prints = {}
+    for r in spark.read.parquet(f"{d}/documents.parquet").collect():
+        words = [w for w in re.split(r"[\x20\x09-\x0d]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in r.text or "")) if w]
+        grams = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+        hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+        prints[r.doc_id] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    parent = {i: i for i in prints}
+    for a in prints:
+        for b in prints:
+            if a < b and (prints[a] ^ prints[b]).bit_count() <= 3:
+                u, v = find(parent, a), find(parent, b)
+                parent[max(u, v)] = min(u, v)
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in queries.op10_simhash(spark, d).collect()}
+    assert got == {i: (f"{prints[i]:016x}", find(parent, i)) for i in prints} and len({c for _, c in got.values()}) < len(got)
+
+
+def test_queries_against_sql(spark):
+    from terravane.llm import queries
+
+    d = "/root/testdata/sf0.001"
+    tables = {t: f"{d}/{t}.parquet" for t in ("documents", "benchmark", "conversations", "embeddings", "pages")}
+    for name, sql in queries.oracle_sql().items():
+        df = queries.queries()[name](spark, d)
+        want = oracle_rows(sql, **tables)
+        show = lambda r: str([round(r[c], 9) if isinstance(r[c], float) else str(r[c]) for c in sorted(df.columns)])  # noqa: E731, B023
+        assert sorted(map(show, df.collect())) == sorted(map(show, want)) and want, name
