@@ -36,10 +36,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Pairs come from SimHash classes at five words and from MinHash bands, each verified exactly. Texts without a word (null, empty, white space) are one class. No rows give no rows.
     """
     owned, classes = nearcopies.near_copies(docs)
-    keys = staged(owned.groupBy("doc_id", "body").agg(F.count("*").alias("n")).join(classes.select("body", "class"), "body"), "pipeline-keys")
+    keys = staged(owned.groupBy("doc_id", "body").agg(F.count("*").alias("n")), "pipeline-keys")
+    # the first key of each text, then of each class: minima that are taken before any shuffle, so copies of one text do not meet in a task
     key = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "body")
-    first = keys.groupBy("class").agg(F.min(key).alias("first")).select(F.col("first.doc_id").alias("k"), F.col("first.body").alias("b"), F.lit(True).alias("kept"))
-    # a key has one class, so the kept keys are met by id and text: a class of very many rows lies in no task
+    each = keys.groupBy("body").agg(F.min(key).alias("first")).join(classes.select("body", "class"), "body")
+    first = each.groupBy("class").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("k"), F.col("first.body").alias("b"), F.lit(True).alias("kept"))
+    # a key has one class, so the kept keys are met by id and text
     told = keys.join(first, F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("body") == F.col("b")), "left").select(
         F.col("doc_id").alias("k"), F.col("body").alias("b"), "n", F.coalesce("kept", F.lit(False)).alias("kept")
     )
