@@ -117,11 +117,15 @@ def train(texts: list[str | None], labels: list[int], smoothing: float = 1.0, co
         n = len(y)
         return Model({}, 0.0, 1.0, math.log((1 + (y > 0).sum()) / (1 + n - (y > 0).sum())))
     shapes = Shapes()
-    found = [indicators(t, shapes, marks) for t in texts]
+    # most n-grams stand in one text only: a first pass counts their hashes, so that only frequent ones are ever held
+    hashes, counts = np.unique(np.concatenate([np.fromiter(map(hash, indicators(t, shapes, marks)), np.int64) for t in texts]), return_counts=True)
+    frequent = set(hashes[counts >= least_rows].tolist())
+    found = [{f for f in indicators(t, shapes, marks) if hash(f) in frequent} for t in texts]
     often = Counter(f for s in found for f in s)
     names = sorted((f for f, n in often.items() if n >= least_rows), key=repr)
     number = {f: i for i, f in enumerate(names)}
     rows = [np.array(sorted(number[f] for f in s if f in number), np.int64) for s in found]
+    del found, often, frequent
 
     def fit(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         up, down = np.full(len(names), smoothing), np.full(len(names), smoothing)
