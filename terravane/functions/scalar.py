@@ -179,13 +179,13 @@ def _loud(word: Column) -> Column:
     return (word == F.upper(word)) & (word != F.lower(word))
 
 
-# name particles that can stand in a surname in any case
+# Particles that can stand in a surname in any case.
 PARTICLES = ("van", "von", "der", "den", "de", "del", "da", "do", "du", "le", "la")
 
 
-def _split_at(parts: Column, ends: Column) -> Column:
-    """Words from the first one for which ``ends`` holds, then the ones before it with capitals eased."""
-    flags = F.transform(parts, ends) if callable(ends) else ends
+def _split_at(parts: Column, ends) -> Column:
+    """Words from the first one for which the Column function ``ends`` holds, then the ones before it with capitals eased."""
+    flags = F.transform(parts, ends)
     first = F.coalesce(F.nullif(F.array_position(flags, True), F.lit(0).cast("long")).cast("int"), F.size(parts) + 1)
     surname = F.transform(F.slice(parts, 1, first - 1), lambda w: F.when(_loud(w), title_case(w)).otherwise(w))
     return F.array_join(F.concat(F.slice(parts, first, F.size(parts)), surname), " ")
@@ -259,8 +259,9 @@ def cell_area(cell: Column, radius_km: float = 6371.0088) -> Column:
     return F.lit(radius_km**2) * wide * (F.sin(north) - F.sin(south))
 
 
-# bounding box south, north, west, east
+# A bounding box (south, north, west, east) and the states that can end a city's name.
 AUSTRALIA = (-44.5, -9.0, 112.0, 154.5)
+STATES = ("NSW", "QLD", "VIC", "WA", "SA", "TAS", "ACT", "NT")
 
 
 def inside_box(lat: Column, lon: Column, box: tuple[float, float, float, float] = AUSTRALIA) -> Column:
@@ -280,7 +281,7 @@ def city_search_name(value: Column, no_cities: Column | None = None, ascii_only:
     comma = F.instr(text, ",") > 0
     name = F.when(comma, F.trim(F.substring_index(text, ",", 1))).otherwise(text)
     hint = F.when(comma, F.trim(F.regexp_extract(text, "(?s)^[^,]*,(.*)$", 1)))
-    state = r"(?i)\s+(NSW|QLD|VIC|WA|SA|TAS|ACT|NT)$"
+    state = rf"(?i)\s+({'|'.join(STATES)})$"
     there = name.rlike(state)
     found = F.struct(F.when(there, F.trim(F.regexp_replace(name, state, ""))).otherwise(name).alias("name"), F.when(there, F.lit("AU")).otherwise(hint).alias("country"))
     bad = F.lit(False) if no_cities is None else F.array_contains(no_cities, normalize_key(found["name"], ascii_only=ascii_only))

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from terravane.functions.scalar import season_end_year, season_label, stable_id
 
+# The seasons in scope, the canonical columns and their aliases, and the codes of the issues below.
 SEASONS = (2000, 2026)
 CANONICAL = ("team", "fifa_code", "season", "season_end_year", "player_id", "player_name", "player_url", "starts", "sub_appearances", "goals", "position_source", "source_url", "retrieved_at")
 REQUIRED = ("team", "fifa_code", "season", "season_end_year", "player_id", "player_name", "starts", "sub_appearances")
 WHOLE = ("season_end_year", "starts", "sub_appearances", "goals", "expected_matches")
 COUNTS = ("starts", "sub_appearances", "goals", "expected_matches")
-# alias -> canonical column
 ALIASES = {
     "country": "team", "squad": "team", "code": "fifa_code", "player": "player_name", "name": "player_name", "a": "starts", "s": "sub_appearances",
     "subs": "sub_appearances", "substitutions": "sub_appearances", "g": "goals", "position": "position_source", "profile_url": "player_url",
@@ -102,27 +102,27 @@ def normalize_player_seasons(df: DataFrame, cohort: DataFrame, row: str = "row_n
         rules.append((code, column, broken, F.lit(None).cast("string") if value is None else value.cast("string"), F.lit(message) if isinstance(message, str) else message))
 
     for c in whole:
-        rule("invalid_integer", c, bad_number[c], F.col(f"_text_{c}"), f"'{c}' must be a whole number")
+        rule("invalid_integer", c, bad_number[c], F.col(f"_text_{c}"), f"{c} is not a whole number")
     for c in REQUIRED:
         if present(c):
             value = F.col("_season") if c == "season" else F.col(c)
-            rule("missing_value", c, value.isNull() if c in WHOLE else _blank(value), value, f"'{c}' cannot be blank")
+            rule("missing_value", c, value.isNull() if c in WHOLE else _blank(value), value, f"{c} has no value")
     for c in COUNTS:
         if c in data.columns:
-            rule("negative_count", c, F.col(c) < 0, F.col(c), f"'{c}' cannot be negative")
-    rule("unknown_team", "team", F.col("team").isNotNull() & F.col("_code").isNull(), F.col("team"), "Team is not in the cohort")
-    rule("unknown_fifa_code", "fifa_code", F.col("fifa_code").isNotNull() & F.col("_known_code").isNull(), F.col("fifa_code"), "Code is not in the cohort")
-    rule("team_code_mismatch", "fifa_code", F.col("_code").isNotNull() & F.col("fifa_code").isNotNull() & (F.col("_code") != F.col("fifa_code")), F.col("fifa_code"), F.concat(F.lit("Expected "), "_code", F.lit(" for "), "team"))
-    rule("season_out_of_scope", "season_end_year", ~F.col("season_end_year").between(*SEASONS), F.col("season_end_year"), f"Season end year must be {SEASONS[0]}-{SEASONS[1]}")
-    rule("invalid_season", "season", F.col("_season").isNotNull() & F.col("_parsed").isNull(), F.col("_season"), "Season must look like 2005-06, 2005/06, or an end year")
-    rule("season_mismatch", "season", F.col("_parsed") != F.col("season_end_year"), F.col("_season"), F.concat(F.lit("Season text does not match end year "), F.col("season_end_year").cast("string")))
-    rule("duplicate_team_season_player", None, F.col("_copies") > 1, None, "Duplicate team-season-player row")
+            rule("negative_count", c, F.col(c) < 0, F.col(c), f"{c} is below zero")
+    rule("unknown_team", "team", F.col("team").isNotNull() & F.col("_code").isNull(), F.col("team"), "no team of the cohort")
+    rule("unknown_fifa_code", "fifa_code", F.col("fifa_code").isNotNull() & F.col("_known_code").isNull(), F.col("fifa_code"), "no code of the cohort")
+    rule("team_code_mismatch", "fifa_code", F.col("_code").isNotNull() & F.col("fifa_code").isNotNull() & (F.col("_code") != F.col("fifa_code")), F.col("fifa_code"), F.concat(F.lit("the code of "), "team", F.lit(" is "), "_code"))
+    rule("season_out_of_scope", "season_end_year", ~F.col("season_end_year").between(*SEASONS), F.col("season_end_year"), f"ends before {SEASONS[0]} or after {SEASONS[1]}")
+    rule("invalid_season", "season", F.col("_season").isNotNull() & F.col("_parsed").isNull(), F.col("_season"), "names no season, as 2006, 2005-06 and 2005/2006 do")
+    rule("season_mismatch", "season", F.col("_parsed") != F.col("season_end_year"), F.col("_season"), F.concat(F.lit("the end year is "), F.col("season_end_year").cast("string")))
+    rule("duplicate_team_season_player", None, F.col("_copies") > 1, None, "another row has this team, season and player")
     each = [
         F.when(F.coalesce(broken, F.lit(False)), F.struct(F.lit(code).alias("code"), F.lit(column).cast("string").alias("column"), value.alias("value"), message.alias("message")))
         for code, column, broken, value, message in rules
     ]
     issues = data.select(F.col(row).cast("long").alias("row_number"), F.explode(F.array_compact(F.array(*each))).alias("i")).select(F.lit("error").alias("severity"), "i.code", "row_number", "i.column", "i.value", "i.message")
-    absent = [("error", "missing_column", None, c, None, f"Required column '{c}' is missing") for c in REQUIRED if not present(c)]
+    absent = [("error", "missing_column", None, c, None, f"no column {c}") for c in REQUIRED if not present(c)]
     if absent:
         spark = df.sparkSession
         issues = issues.unionByName(spark.createDataFrame(absent, "severity string, code string, row_number long, column string, value string, message string").select("severity", "code", "row_number", "column", "value", "message"))

@@ -14,8 +14,10 @@ from pyspark.sql import types as T
 
 from terravane.operators.lineage import cut
 
+# The bounds of the cascade, and the forms of short names (a mark that is no part of a name, initial and surname, a junior's key).
 LEAST_SIMILARITY = 0.55
 NEAR_DAYS = 2
+MARK, INITIALLED, JUNIOR = r"(?i)\s*\(WCD\)\s*", r"^([A-Za-z])\.?\s+(.+)$", "(jr|junior)$"
 
 
 def serial_choice(pairs: DataFrame, left: str, right: str, order: str, preference: list[str]) -> DataFrame:
@@ -89,15 +91,14 @@ def name_variants(short: DataFrame, roster: DataFrame, aliases: dict[str, str] |
     end. An alias that the roster lacks has no candidate. Suffixes of roster keys are exploded, so all joins are on equality.
     """
     known = F.create_map(*[F.lit(x) for pair in sorted((aliases or {}).items()) for x in pair]) if aliases else F.lit(None).cast("map<string,string>")
-    clean = F.trim(F.regexp_replace("name", r"(?i)\s*\(WCD\)\s*", " "))
+    clean = F.trim(F.regexp_replace("name", MARK, " "))
     key_of = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
-    initialled = r"^([A-Za-z])\.?\s+(.+)$"
     asked = short.select(
         "short_id", "key", F.get(F.map_values(F.map_filter(known, lambda k, v: k == F.col("key"))), F.lit(0)).alias("alias"),
-        F.nullif(F.lower(F.regexp_extract(clean, initialled, 1)), F.lit("")).alias("initial"), F.nullif(key_of(F.regexp_extract(clean, initialled, 2)), F.lit("")).alias("surname"),
+        F.nullif(F.lower(F.regexp_extract(clean, INITIALLED, 1)), F.lit("")).alias("initial"), F.nullif(key_of(F.regexp_extract(clean, INITIALLED, 2)), F.lit("")).alias("surname"),
         F.when(F.size(F.split(clean, r"\s+")) > 1, F.nullif(key_of(F.regexp_extract(clean, r"(\S+)$", 1)), F.lit(""))).alias("last"),
     )
-    bare = F.regexp_replace("full_key", "(jr|junior)$", "")
+    bare = F.regexp_replace("full_key", JUNIOR, "")
     people = roster.select("roster_id", "full_key", bare.alias("bare"))
     ends = people.where(F.length("bare") > 0).select("roster_id", "bare", F.explode(F.transform(F.sequence(F.lit(1), F.length("bare")), lambda i: F.substr(F.col("bare"), i))).alias("end"))
     tier = lambda df, n: df.select("short_id", "roster_id", F.lit(n).alias("tier"))

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _QUIET = frozenset(("script", "style", "template"))
+# The formats of linked data, of application data and of ranking tables in Markdown.
+LINKED_DATA = r"""(?s)<script[^>]+type=["']application/ld\+json["'][^>]*>(.*?)</script>"""
+APPLICATION_DATA = r'(?s)<script id="__NEXT_DATA__" type="application/json">(.*?)</script>'
+RANKED_LINE, PLAYER_LINK = r"^\|\s*\d+\s*\|", r'\[([^\]]+)\]\(https?://[^/\s)]+/player/(\d+)/[^\s)]*(?:\s+"[^"]*")?\)'
+FLAG_IMAGE, CAPITALS, POINTS = r"Image\s+\d+:\s+([A-Z]{3})", r"\b([A-Z]{3})\b", r"([\d,]+)\s*/\s*(\d+)"
 
 
 class _Tables(HTMLParser):
@@ -122,12 +127,12 @@ def label_value(lines: Column, label: str) -> Column:
 
 def json_ld(html: Column) -> Column:
     """JSON texts of the linked-data scripts of a document."""
-    return F.regexp_extract_all(html, F.lit(r"""(?s)<script[^>]+type=["']application/ld\+json["'][^>]*>(.*?)</script>"""), 1)
+    return F.regexp_extract_all(html, F.lit(LINKED_DATA), 1)
 
 
 def next_data(html: Column, path: str = "$.props.pageProps") -> Column:
     """JSON text under ``path`` of a page's application data; null without it."""
-    return F.get_json_object(F.nullif(F.regexp_extract(html, r'(?s)<script id="__NEXT_DATA__" type="application/json">(.*?)</script>', 1), F.lit("")), path)
+    return F.get_json_object(F.nullif(F.regexp_extract(html, APPLICATION_DATA, 1), F.lit("")), path)
 
 
 def markdown_ranking(df: DataFrame, text: str, keep: list[str], limit: int) -> DataFrame:
@@ -135,18 +140,16 @@ def markdown_ranking(df: DataFrame, text: str, keep: list[str], limit: int) -> D
 
     Lines that do not start with a rank, have fewer than seven cells or a rank beyond ``limit`` are left out. Players are array<struct<name, player_id>> by the number in their link; countries are three capitals.
     """
-    line = F.explode(F.filter(F.split(text, r"\r\n|\r|\n"), lambda s: s.rlike(r"^\|\s*\d+\s*\|")))
+    line = F.explode(F.filter(F.split(text, r"\r\n|\r|\n"), lambda s: s.rlike(RANKED_LINE)))
     cells = F.transform(F.split(F.btrim(F.trim("line"), F.lit("|")), r"\|"), lambda c: F.trim(c))
     rows = df.select(*keep, line.alias("line")).select(*keep, cells.alias("c")).where(F.size("c") >= 7)
     c = lambda i: F.get("c", F.lit(i))
-    link = r'\[([^\]]+)\]\(https?://[^/\s)]+/player/(\d+)/[^\s)]*(?:\s+"[^"]*")?\)'
-    names, ids = F.regexp_extract_all(c(2), F.lit(link), 1), F.regexp_extract_all(c(2), F.lit(link), 2)
+    names, ids = F.regexp_extract_all(c(2), F.lit(PLAYER_LINK), 1), F.regexp_extract_all(c(2), F.lit(PLAYER_LINK), 2)
     players = F.transform(F.arrays_zip(names.alias("name"), ids.alias("player_id")), lambda p: F.struct(F.regexp_replace(F.trim(p["name"]), r"\s+", " ").alias("name"), p["player_id"].alias("player_id")))
-    marked, bare = F.regexp_extract_all(c(1), F.lit(r"Image\s+\d+:\s+([A-Z]{3})"), 1), F.regexp_extract_all(c(1), F.lit(r"\b([A-Z]{3})\b"), 1)
-    score = r"([\d,]+)\s*/\s*(\d+)"
+    marked, bare = F.regexp_extract_all(c(1), F.lit(FLAG_IMAGE), 1), F.regexp_extract_all(c(1), F.lit(CAPITALS), 1)
     return rows.select(
         *keep, c(0).cast("int").alias("rank"), players.alias("players"), F.when(F.size(marked) >= F.size(names), marked).otherwise(bare).alias("countries"),
-        F.replace(F.regexp_extract(c(6), score, 1), F.lit(","), F.lit("")).try_cast("long").alias("points"), F.regexp_extract(c(6), score, 2).try_cast("long").alias("tournaments"),
+        F.replace(F.regexp_extract(c(6), POINTS, 1), F.lit(","), F.lit("")).try_cast("long").alias("points"), F.regexp_extract(c(6), POINTS, 2).try_cast("long").alias("tournaments"),
     ).where(F.col("rank") <= limit)
 
 
