@@ -47,6 +47,11 @@ def participant_filter(df: DataFrame, q: ExplorerQuery, country: str = "country"
     return df
 
 
+def with_workload(df: DataFrame, spec: EditionSpec, name: str = "minutes") -> DataFrame:
+    """The edition's ranking measure under the name that every edition shares; a missing one is 0."""
+    return df.withColumn(name, F.coalesce(F.col(spec.workload).cast("double"), F.lit(0.0)))
+
+
 def selected_splits(splits: DataFrame, spec: EditionSpec, q: ExplorerQuery) -> DataFrame:
     if q.groups:
         splits = splits.where(F.col(spec.group).isin(*sorted(q.groups)))

@@ -315,3 +315,8 @@ def entries_rounds_medals(spark: SparkSession, d: str) -> DataFrame:
         F.col("event_type").alias("event"), "user_id", F.to_date("ts").alias("race"), F.col("value").alias("mark"), place.alias("place"), F.when(F.col("value") < 5, "DNS").alias("status")
     ).withColumn("final", F.dayofmonth("race") % 5 == 0)
     return metrics.entries_and_medals(raw, "user_id", "event", ["race", "mark"])
+
+
+@query("SELECT event_id, coalesce(value, 0.0) AS minutes FROM events")
+def workload_alias(spark: SparkSession, d: str) -> DataFrame:
+    return explorer.with_workload(t(spark, d, "events"), explorer.EditionSpec("value")).select("event_id", "minutes")

@@ -253,3 +253,40 @@ def test_more_sources(spark, tmp_path):
     ring = spark.createDataFrame([("c", [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)])], "id string, ring array<struct<lon: double, lat: double>>")
     made = json.loads(files.feature_collection(ring, "ring", ["id"], {"source": "x"}).first().value)
     assert made["features"][0]["geometry"]["coordinates"][0][-1] == [0.0, 0.0] and made["metadata"] == {"source": "x"}
+
+
+def test_markup(spark):
+    from terravane.sources import markup
+
+    html = "<p>Position<p> Wing &amp; back <table><tr><th>A<th>b<tr><td>1<table><tr><td>in</table>x<td>2<tr><td>3</table><script>Position: no</script><table><tr><td>open"
+    got = spark.createDataFrame([(html,), (None,), ("",)], "html string").select(markup.html_tables("html").alias("t"), markup.visible_lines("html").alias("l")).collect()
+    assert got[0].t == [[["A", "b"], ["1x", "2"], ["3"]], [["in"]], [["open"]]] and got[1].t is None and got[2].t == []
+    rows = spark.createDataFrame([(got[0].t, got[0].l)], "t array<array<array<string>>>, l string")
+    first = rows.select(markup.table_records(F.col("t"), ["B", "a"]).alias("r"), markup.table_records(F.col("t"), ["zz"]).alias("none"), markup.label_value(F.col("l"), "position").alias("p"), markup.label_value(F.col("l"), "Height").alias("h")).first()
+    assert first.r == [{"B": "2", "a": "1x"}, {"B": None, "a": "3"}] and first.none is None and (first.p, first.h) == ("Wing & back", None)
+    page = F.lit('<script id="__NEXT_DATA__" type="application/json">{"props":{"pageProps":{"x":[1,2]}}}</script>')
+    assert value(spark, markup.next_data(page, "$.props.pageProps.x[1]")) == "2" and value(spark, markup.next_data(F.lit("none"))) is None
+    listed = spark.createDataFrame([("d", k, k, 1.0) for k in (1, 2, 2)], "ranking_date string, rank int, player int, points double")
+    people = spark.createDataFrame([(1, "a"), (2, " ")], "player_id int, name string")
+    for bad, message in ((listed, "exact ranks"), (listed.distinct(), "incomplete row")):
+        with pytest.raises(Exception, match=message):
+            markup.ranking_cohort(bad, people, "d", 2).collect()
+    tables = markup.Tables()
+    assert tables.get(("a", 1), lambda: spark.range(3)) is tables.get(("a", 1), lambda: spark.range(9))
+    tables.clear()
+    assert tables.get(("a", 1), lambda: spark.range(9)).count() == 9
+
+
+def test_more_explorer(spark):
+    cells = spark.createDataFrame([("a", 5.0, False), ("b", 1.0, True), ("c", None, True), ("d", 1.0, True)], "cell string, rate double, stable boolean")
+    assert [r.cell for r in explorer.stable_first(cells, "rate", "cell", 3).collect()] == ["b", "d", "a"]
+    assert [r.cell for r in explorer.stable_first(cells, "rate", "cell", 3, only=True).collect()] == ["b", "d"]
+    texts = [("en", "action.x", "go {n}"), ("en", "plain", "p"), ("fr", "action.x", "va {n}"), ("de", "plain", "q {m}"), ("xx", "new", "z")]
+    found = {(r.language, r.key, r.code) for r in validate.language_issues(spark.createDataFrame(texts, "language string, key string, text string"), previews=("fr", "de", "xx")).collect()}
+    assert found == {("de", "action.x", "missing_key"), ("xx", "action.x", "missing_key"), ("de", "plain", "parameters_differ"), ("xx", "new", "unknown_key")}
+    records = spark.createDataFrame([(1, "n1", "x", "E", 9.0, 1), (2, "n2", "y", "W", 4.0, 2), (3, "n3", "z", "W", 1.0, None)], "id int, name string, team string, conference string, points double, rank int")
+    some = spark.createDataFrame([(1, "x", "E", 6.0, 1), (1, "y", "W", 3.0, 9)], "id int, team string, conference string, points double, rank int")
+    spec = explorer.EditionSpec("points", min_stats=("rank",))
+    got = {r.id: (r.name, r.team, r.points, r["rank"]) for r in explorer.project_records(records, some, spec, explorer.ExplorerQuery(groups=frozenset({"W"}))).collect()}
+    assert got == {1: ("n1", "y", 3.0, 9), 2: ("n2", "y", 4.0, 2), 3: ("n3", "z", 1.0, None)}
+    assert {r.id for r in explorer.project_records(records, some, spec, explorer.ExplorerQuery(best_rank=1)).collect()} == {1}
