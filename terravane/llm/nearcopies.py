@@ -145,13 +145,15 @@ def _compare(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[p
 
 
 def links(texts: DataFrame, sketch: DataFrame, shingle_words: int = 5, similarity: float = 0.8, block_rows: int = 512) -> DataFrame:
-    """(body, text), (body, cells) with distinct bodies, the SimHash class's cell last, -> (a, b): links whose classes are those of all compared pairs that reach ``similarity``."""
+    """(doc_id, body, text), (body, first_id, cells) with distinct bodies, the SimHash class's cell last, -> (a, b): links whose classes are those of all compared pairs that reach ``similarity``."""
     grid = sketch.select("body", F.explode("cells").alias("cell"))
     met = grid.groupBy("cell").agg(F.min("body").alias("least"), F.max("body").alias("most")).where("least < most")
     candidates = components(grid.join(staged(met.select("cell", "least"), "nearcopies-cells"), "cell").select(F.col("body").alias("a"), F.col("least").alias("b")))
     member = staged(candidates.unionByName(candidates.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "body"), "nearcopies-candidates")
-    held = sketch.select("body", F.element_at("cells", -1).alias("class_cell"))
-    wanted = texts.select("body", "text").join(member.join(held, "body"), "body").dropDuplicates(["body"]).select("body", "root", "class_cell", "text")
+    held = member.join(sketch.select("body", F.element_at("cells", -1).alias("class_cell"), "first_id"), "body").withColumnRenamed("body", "same")
+    # of a text's copies the one with the smallest id is fetched: by id and text, so copies do not meet in a task
+    one = (F.col("body") == F.col("same")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    wanted = texts.join(held, one).dropDuplicates(["body"]).select("body", "root", "class_cell", "text")
     sets = staged(wanted.mapInArrow(lambda it: _sets(it, shingle_words), "body long, root long, cells array<long>, held array<long>"), "nearcopies-sets")
     hot = staged(member.groupBy("root").count().where(F.col("count") > block_rows).select("root"), "nearcopies-hot")
     order = ["root", "block", "probe", "body", "cells", "held"]
