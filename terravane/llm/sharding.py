@@ -47,7 +47,7 @@ def sized(docs: DataFrame, overhead: int = 16) -> DataFrame:
     )
 
 
-def shard(docs: DataFrame, shards: int = 40, grain: int = 256, unit_rows: int = 5000) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 40, grain: int = 256, unit_rows: int = 500) -> DataFrame:
     """documents -> doc_id, size, text_crc32, law, shard, slot, grown_shard; one row per input row.
 
     Law ``bytes``: the sizes of the shards are near equal as far as no group outweighs a shard. A null
