@@ -9,8 +9,8 @@ probability 0.99995, one of 0.9 always but for one in 10^9. No other step loses
 Cells are joined to their smallest text by equi-joins, whose classes are the candidate classes. A text's set is
 shipped once to its candidate class and compared there with the texts it shares a cell with, less those already
 linked to it. Candidate classes of more than ``block_rows`` texts are first compared with one pivot; texts linked to it need
-no comparison with one another, and the others are dealt into blocks that every text of the class passes by, so no task
-holds more than ``block_rows`` sets of a class and none is left out.
+no comparison with one another, and the others are dealt into blocks that every text of the class passes by, in lanes of about ``block_rows`` texts, so no task
+holds or reads many more than ``block_rows`` sets of a class at a time and none is left out.
 """
 
 from __future__ import annotations
@@ -165,12 +165,15 @@ def links(texts: DataFrame, sketch: DataFrame, shingle_words: int = 5, similarit
         near = both >= similarity * (F.size("held") + F.size("pivot") - both) - 1e-9
         told = staged(sets.join(pivot, "root").select("body", "root", near.alias("near")), "nearcopies-pivot")
         pivoted = told.where("near AND body <> root").select(F.col("body").alias("a"), F.col("root").alias("b"))
-        blocks = told.groupBy("root").agg(F.ceil(F.count_if(~F.col("near")) / block_rows).cast("int").alias("blocks"))
+        blocks = told.groupBy("root").agg(F.ceil(F.count_if(~F.col("near")) / block_rows).cast("long").alias("blocks"), F.ceil(F.count("*") / block_rows).cast("long").alias("lanes"))
         spread = sets.join(told.select("body", "near"), "body", "left").join(staged(blocks, "nearcopies-blocks"), "root", "left")
-        home = F.when(F.col("blocks").isNull(), 0).when(F.col("near"), F.col("blocks")).otherwise(F.pmod(F.xxhash64("body"), F.col("blocks")).cast("int"))
+        home = F.when(F.col("blocks").isNull(), 0).when(F.col("near"), F.col("blocks")).otherwise(F.pmod(F.xxhash64("body"), F.col("blocks")))
         end = F.when(F.col("near"), F.col("blocks") - 1).otherwise(home)
         spread = spread.withColumn("home", home).withColumn("last", end).where("last >= 0")
-        placed = spread.withColumn("block", F.explode(F.sequence(F.lit(0), "last"))).withColumn("probe", F.expr("if(block = home, 0, 1)")).select(*order)
+        met = spread.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), "last"))).withColumn("probe", F.expr("if(at = home, 0, 1)")).withColumn("lanes", F.coalesce("lanes", F.lit(1).cast("long")))
+        # what passes by a block is dealt into lanes, and each lane holds the block's filed sets: no task reads a class of very many texts
+        lane = F.when(F.col("probe") == 0, F.sequence(F.lit(0).cast("long"), F.col("lanes") - 1)).otherwise(F.array(F.pmod(F.xxhash64("body", F.lit(1)), F.col("lanes"))))
+        placed = met.withColumn("lane", F.explode(lane)).withColumn("block", F.col("at") * F.col("lanes") + F.col("lane")).select(*order)
     dealt = placed.repartition("root", "block").sortWithinPartitions("root", "block", "probe")
     found = dealt.mapInArrow(lambda it: _compare(it, similarity), "a long, b long")
     return found.unionByName(pivoted) if pivoted is not None else found
