@@ -1,4 +1,4 @@
-"""The eleven queries over the driver's tables, with SQL where SQL can express them."""
+"""The queries over the driver's tables, with SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terravane.llm import ann, chat, decontam, langid, license_scan, mixing, quality, sharding, simhash, warc
+from terravane.llm import ann, chat, decontam, langid, license_scan, mixing, prefix_trie, quality, ranked_search, repeats, sharding, simhash, warc
 from terravane.llm.shared import table
 
 
@@ -91,10 +91,25 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all ``documents`` for each item of ``benchmark``; null and empty texts neither find nor are found, repeated rows are ranked each, ties go to the smaller doc_id. See ``ranked_search.search``."""
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all ``conversations``, each begun with turns of the one whose number is divisible by 20; null roles and texts are empty, null turns first, turns of one number go by role and text, null conversation ids take no part. See ``prefix_trie``."""
+    return prefix_trie.trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` without the words of any window of 35 that stands at two places; null and short texts lose nothing, repeated rows all lose what they share. See ``repeats.remove_repeats``."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), window=35)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_license_scan, op2_sharding, op3_chat_format, op4_rotated_codes, op5_quality,
-        op6_decontamination, op7_warc, op8_language, op9_mixing, op10_simhash,
+        op6_decontamination, op7_warc, op8_language, op9_mixing, op10_simhash, op11_ranked_search, op12_prefix_trie, op13_repeats,
     )
     import corpus_pipeline
 
@@ -273,5 +288,60 @@ SELECT doc_id, domain, language, origin, tokens, CAST(epoch AS INTEGER) AS epoch
 """
 
 
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), g AS (SELECT CAST(count(*) FILTER (WHERE len(terms) > 0) AS BIGINT) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS length FROM d
+), c AS (SELECT r, doc_id, len(terms) AS n, term, count(*) AS tf FROM (SELECT r, doc_id, terms, unnest(terms) AS term FROM d) GROUP BY ALL
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), w AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS weight FROM c, g GROUP BY term, n_docs
+), s AS (
+  SELECT item_id, r, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // length)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN c USING (term), g GROUP BY 1, 2, 3
+), k AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+# each node's subtree is told by walking up from every node over its smallest member's own prefixes
+OP12_SQL = rf"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda a, b: xor(a >> 8, {_crc32_table()}[CAST(xor(a, b) & 255 AS INTEGER) + 1])), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)
+), b AS (
+  SELECT c.conv_id, i, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 AND i <= h
+  UNION ALL SELECT conv_id, i + 4, role, text FROM c JOIN t USING (conv_id) WHERE i > h
+), p AS (
+  SELECT conv_id, row_number() OVER x AS depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words, sha256(array_to_string(list(sha256(length(role) || ':' || role || text)) OVER x, ',')) AS node
+  FROM b WINDOW x AS (PARTITION BY conv_id ORDER BY i)
+  UNION ALL SELECT conv_id, 0, 0, 'root' FROM c
+), m AS (SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS above, depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM p
+), n AS (
+  SELECT node, depth, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(CASE WHEN last THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM m GROUP BY 1, 2
+), k AS (SELECT above AS node, count(*) AS n_children FROM n GROUP BY 1
+), u AS (
+  SELECT a.node, CAST(sum(CASE WHEN k.node IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves, CAST(sum((n.n_convs - 1) * n.words) AS BIGINT) AS saved_tokens
+  FROM n JOIN p a ON a.conv_id = n.conv_id AND a.depth <= n.depth LEFT JOIN k ON k.node = n.node GROUP BY 1
+)
+SELECT n.conv_id, n.depth, o.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM n JOIN u USING (node) LEFT JOIN k USING (node) LEFT JOIN n o ON o.node = n.above
+"""
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+), u AS (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d
+), w AS (SELECT r, i, sha256(string_agg(word, ' ') OVER x) AS sha, count(*) OVER x AS n FROM u WINDOW x AS (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)
+), s AS (SELECT r, i, count(*) OVER (PARTITION BY sha) > 1 AS again FROM w WHERE n = 35
+), v AS (SELECT u.r, u.i, word, coalesce(bool_or(again) OVER (PARTITION BY u.r ORDER BY u.i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), false) AS gone FROM u LEFT JOIN s ON s.r = u.r AND s.i = u.i
+), k AS (SELECT r, count(*) FILTER (WHERE gone) AS n_removed, string_agg(CASE WHEN NOT gone THEN word END, ' ' ORDER BY i) AS kept FROM v GROUP BY 1)
+SELECT doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": license_sql(), "op2_sharding": OP2_SQL, "op3_chat_format": OP3_SQL, "op4_rotated_codes": OP4_SQL, "op6_decontamination": OP6_SQL, "op7_warc": OP7_SQL, "op9_mixing": OP9_SQL}
+    return {"op1_license_scan": license_sql(), "op2_sharding": OP2_SQL, "op3_chat_format": OP3_SQL, "op4_rotated_codes": OP4_SQL, "op6_decontamination": OP6_SQL, "op7_warc": OP7_SQL, "op9_mixing": OP9_SQL, "op11_ranked_search": OP11_SQL, "op12_prefix_trie": OP12_SQL, "op13_repeats": OP13_SQL}
