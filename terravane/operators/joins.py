@@ -9,24 +9,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-class CardinalityError(ValueError):
-    """Keys that should be unique are not."""
-
-
-def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    twice = df.groupBy(*keys).count().where("count > 1").limit(3).collect()
-    if twice:
-        raise CardinalityError(f"keys {keys} repeat: {[tuple(r)[:-1] for r in twice]}")
-    return df
-
-
 def many_to_one(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join that fails when it runs if a key of the right side repeats; the check is part of the plan."""
+    """Left join that fails when it runs if any key of the right side repeats, whichever columns are read of it.
+
+    The check is a condition on the joined rows, so no pruning of columns takes it out of the plan.
+    """
     rest = [c for c in right.columns if c not in keys]
     once = right.groupBy(*keys).agg(F.count("*").alias("_n"), F.first(F.struct(*rest) if rest else F.lit(True)).alias("_row"))
-    told = F.concat(F.lit(f"keys {keys} repeat: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
-    checked = once.select(*keys, F.when(F.col("_n") == 1, F.col("_row")).otherwise(F.raise_error(told)).alias("_row"))
-    return left.join(checked, keys, "left").select("*", *[F.col(f"_row.{c}").alias(c) for c in rest]).drop("_row")
+    told = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
+    worst = once.agg(F.max(F.struct("_n", told.alias("keys"))).alias("_worst"))  # one row
+    fits = F.coalesce(F.col("_worst._n"), F.lit(1)) == 1
+    failed = F.raise_error(F.concat(F.lit(f"keys {keys} repeat: "), F.col("_worst.keys"))).cast("boolean")
+    joined = left.crossJoin(worst).where(F.when(fits, True).otherwise(failed)).join(once, keys, "left")
+    return joined.select(*left.columns, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
 def densify(left: DataFrame, right: DataFrame, facts: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
@@ -75,72 +70,3 @@ def parent_chain(nodes: DataFrame, node: str, parent: str, value: str, hops: int
 def override(base: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``changes`` replace rows of ``base`` with their keys; new keys are added."""
     return base.join(changes.select(*keys), keys, "left_anti").unionByName(changes)
-
-
-def point_in_polygon(points: DataFrame, polygons: DataFrame, point_id: str = "point_id", cell: float = 5.0) -> DataFrame:
-    """points (id, lat, lon) and polygons (code, and ring: array<struct<lon, lat>> or rings: an array of them) -> (id, code, hits): code is null where none or several contain the point.
-
-    All rings of a polygon count together by the even-odd rule, so holes and parts need no marks. Points and polygon boxes meet by grid cell; the ray test runs on the meetings only. A point on an edge is outside.
-    """
-    if "rings" not in polygons.columns:
-        polygons = polygons.withColumn("rings", F.array("ring"))
-    corners = F.flatten("rings")
-    xs, ys = F.transform(corners, lambda p: p["lon"]), F.transform(corners, lambda p: p["lat"])
-    span = lambda a: F.sequence(F.floor(F.array_min(a) / cell), F.floor(F.array_max(a) / cell))
-    boxed = polygons.select("code", "rings", F.explode(span(xs)).alias("_x"), span(ys).alias("_ys")).select("code", "rings", "_x", F.explode("_ys").alias("_y"))
-    placed = points.withColumn("_x", F.floor(F.col("lon") / cell)).withColumn("_y", F.floor(F.col("lat") / cell))
-
-    def crossings(ring: Column) -> Column:
-        size = F.size(ring)
-
-        def edge(i: Column) -> Column:
-            a, b = F.get(ring, i), F.get(ring, (i + 1) % size)
-            at = (b["lon"] - a["lon"]) * (F.col("lat") - a["lat"]) / F.nullif(b["lat"] - a["lat"], F.lit(0.0)) + a["lon"]
-            return F.when(((a["lat"] > F.col("lat")) != (b["lat"] > F.col("lat"))) & (F.col("lon") < at), 1).otherwise(0)
-
-        return F.aggregate(F.transform(F.sequence(F.lit(0), size - 1), edge), F.lit(0), lambda s, x: s + x)
-
-    flips = F.aggregate(F.transform("rings", crossings), F.lit(0), lambda s, x: s + x)
-    inside = placed.join(boxed, ["_x", "_y"]).where(flips % 2 == 1).select(point_id, "code").distinct()
-    per = inside.groupBy(point_id).agg(F.count("*").alias("hits"), F.min("code").alias("code"))
-    return points.select(point_id).join(per, point_id, "left").select(
-        point_id, F.when(F.col("hits") == 1, F.col("code")).alias("code"), F.coalesce("hits", F.lit(0)).alias("hits")
-    )
-
-
-def polygons_intersect(left: DataFrame, right: DataFrame, left_id: str, right_id: str, cell: float = 5.0) -> DataFrame:
-    """(left_id, ring) and (right_id, ring) -> the pairs of polygons that share a point: edges that cross or touch, or one within the other.
-
-    Rings are array<struct<lon, lat>>. Boxes meet by grid cell, and the exact test runs on pairs whose boxes overlap.
-    """
-
-    def boxed(df: DataFrame, name: str, ring: str) -> DataFrame:
-        xs, ys = F.transform("ring", lambda p: p["lon"]), F.transform("ring", lambda p: p["lat"])
-        span = lambda a: F.sequence(F.floor(F.array_min(a) / cell), F.floor(F.array_max(a) / cell))
-        box = F.struct(F.array_min(xs).alias("w"), F.array_max(xs).alias("e"), F.array_min(ys).alias("s"), F.array_max(ys).alias("n"))
-        return df.select(name, F.col("ring").alias(ring), box.alias(f"{ring}_box"), F.explode(span(xs)).alias("_x"), span(ys).alias("_ys")).withColumn("_y", F.explode("_ys")).drop("_ys")
-
-    met = boxed(left, left_id, "_a").join(boxed(right, right_id, "_b"), ["_x", "_y"])
-    a, b = F.col("_a_box"), F.col("_b_box")
-    near = met.where((a["w"] <= b["e"]) & (b["w"] <= a["e"]) & (a["s"] <= b["n"]) & (b["s"] <= a["n"])).dropDuplicates([left_id, right_id])
-    side = lambda p, q, r: F.signum((q["lon"] - p["lon"]) * (r["lat"] - p["lat"]) - (q["lat"] - p["lat"]) * (r["lon"] - p["lon"]))
-    within = lambda p, q, r: (r["lon"].between(F.least(p["lon"], q["lon"]), F.greatest(p["lon"], q["lon"]))) & (r["lat"].between(F.least(p["lat"], q["lat"]), F.greatest(p["lat"], q["lat"])))
-
-    def edges(ring: str) -> Column:
-        n = F.size(ring)
-        return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.get(ring, i).alias("p"), F.get(ring, (i + 1) % n).alias("q")))
-
-    def crosses(u: Column, v: Column) -> Column:
-        p, q, r, t = u["p"], u["q"], v["p"], v["q"]
-        d1, d2, d3, d4 = side(p, q, r), side(p, q, t), side(r, t, p), side(r, t, q)
-        touch = ((d1 == 0) & within(p, q, r)) | ((d2 == 0) & within(p, q, t)) | ((d3 == 0) & within(r, t, p)) | ((d4 == 0) & within(r, t, q))
-        return ((d1 * d2 < 0) & (d3 * d4 < 0)) | touch
-
-    def holds(ring: str, point: Column) -> Column:
-        flips = F.filter(edges(ring), lambda e: ((e["p"]["lat"] > point["lat"]) != (e["q"]["lat"] > point["lat"])) & (
-            point["lon"] < (e["q"]["lon"] - e["p"]["lon"]) * (point["lat"] - e["p"]["lat"]) / F.nullif(e["q"]["lat"] - e["p"]["lat"], F.lit(0.0)) + e["p"]["lon"]
-        ))
-        return F.size(flips) % 2 == 1
-
-    hit = F.exists(edges("_a"), lambda u: F.exists(edges("_b"), lambda v: crosses(u, v)))
-    return near.where(hit | holds("_a", F.get("_b", F.lit(0))) | holds("_b", F.get("_a", F.lit(0)))).select(left_id, right_id)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terravane.operators import joins
+from terravane.operators.areas import point_in_polygon
 from terravane.plans.catalog import query, t
 
 
@@ -106,7 +107,7 @@ def spatial_point_in_polygon(spark: SparkSession, d: str) -> DataFrame:
     x0, x1 = F.col("n_nationkey") * 14.0 - 180.05, F.col("n_nationkey") * 14.0 - 164.05
     corner = lambda x, y: F.struct(x.alias("lon"), F.lit(y).alias("lat"))
     areas = t(spark, d, "nation").select(F.col("n_nationkey").alias("code"), F.array(corner(x0, -40.05), corner(x1, -40.05), corner(x1, 60.05), corner(x0, 60.05)).alias("ring"))
-    return joins.point_in_polygon(points, areas)
+    return point_in_polygon(points, areas)
 
 
 @query("""WITH m AS (SELECT n_nationkey AS cell, unnest(range(n_nationkey * 5, n_nationkey * 5 + 8)) AS id FROM nation) SELECT cell, count(c_custkey) AS people, coalesce(sum(c_acctbal > 0), 0)::BIGINT AS mapped FROM m LEFT JOIN customer ON c_custkey = id GROUP BY cell""")

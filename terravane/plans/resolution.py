@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terravane.functions import scalar
-from terravane.operators import joins, resolve
+from terravane.operators import areas, resolve
 from terravane.plans.catalog import query, t
 
 
@@ -159,7 +159,7 @@ def polygon_intersections(spark: SparkSession, d: str) -> DataFrame:
     cells = t(spark, d, "nation").select(F.col("n_nationkey").alias("cell"), box(x, x + 9, y, y + 9).alias("ring"))
     r = F.col("r_regionkey")
     lands = t(spark, d, "region").select(r.alias("land"), box(r * 55.0 - 150, r * 55.0 - 110, F.lit(-50.0), r * 10 + 10.0).alias("ring"))
-    return joins.polygons_intersect(cells, lands, "cell", "land")
+    return areas.polygons_intersect(cells, lands, "cell", "land")
 
 
 @query("""SELECT l_orderkey, l_linenumber, o_custkey, l_quantity FROM lineitem JOIN orders ON o_orderkey = l_orderkey""")

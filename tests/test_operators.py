@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terravane.functions import scalar as S
+from terravane.operators import areas as areas_of
 from terravane.operators import explorer, joins, metrics, validate
 from terravane.sources import files
 from terravane.streaming import incremental
@@ -39,8 +40,12 @@ def test_joins(spark):
     twice = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
     with pytest.raises(Exception, match="repeat"):
         joins.many_to_one(left, twice, ["k"]).collect()
-    with pytest.raises(joins.CardinalityError):
-        joins.assert_unique(twice, ["k"])
+    checked = joins.many_to_one(left, twice, ["k"])
+    for read in (lambda: checked.select("k").collect(), checked.count, lambda: checked.groupBy().count().collect()):
+        with pytest.raises(Exception, match="repeat"):
+            read()
+    with pytest.raises(Exception, match="repeat"):
+        joins.many_to_one(left.where("k > 1"), twice, ["k"]).select("k").count()
     assert {(r.k, r.v) for r in joins.many_to_one(left, twice.where("v = 'a'"), ["k"]).collect()} == {(1, "a"), (2, None), (3, None)}
     out = joins.unique_match(left, spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "k int, id string"), ["k"], "id")
     assert {r.k: (r.status, r.id) for r in out.collect()} == {1: ("matched", "a"), 2: ("ambiguous", None), 3: ("unmatched", None)}
@@ -49,13 +54,13 @@ def test_joins(spark):
     square = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)]
     areas = spark.createDataFrame([("A", square), ("B", [(x + 8, y) for x, y in square])], "code string, ring array<struct<lon: double, lat: double>>")
     points = spark.createDataFrame([(1, 5.0, 5.0), (2, 5.0, 9.0), (3, 50.0, 50.0)], "point_id int, lat double, lon double")
-    assert {r.point_id: (r.code, r.hits) for r in joins.point_in_polygon(points, areas).collect()} == {1: ("A", 1), 2: (None, 2), 3: (None, 0)}
+    assert {r.point_id: (r.code, r.hits) for r in areas_of.point_in_polygon(points, areas).collect()} == {1: ("A", 1), 2: (None, 2), 3: (None, 0)}
     triangle = [(0.0, 0.0), (10.0, 0.0), (0.0, 10.0)]
     ringed = spark.createDataFrame([("H", [[(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)], [(4.0, 4.0), (6.0, 4.0), (6.0, 6.0), (4.0, 6.0)]]), ("T", [[(x + 20, y) for x, y in triangle]])], "code string, rings array<array<struct<lon: double, lat: double>>>")
     points = spark.createDataFrame([(1, 5.0, 5.0), (2, 1.0, 5.0), (3, 2.0, 22.0), (4, 9.0, 29.0)], "point_id int, lat double, lon double")
-    assert {r.point_id: r.code for r in joins.point_in_polygon(points, ringed).collect()} == {1: None, 2: "H", 3: "T", 4: None}
+    assert {r.point_id: r.code for r in areas_of.point_in_polygon(points, ringed).collect()} == {1: None, 2: "H", 3: "T", 4: None}
     shapes = spark.createDataFrame([("a", square), ("b", [(x + 5, y + 5) for x, y in square]), ("in", [(x / 10 + 4, y / 10 + 4) for x, y in square]), ("far", [(x + 50, y) for x, y in square]), ("edge", [(x + 10, y) for x, y in square]), ("tri", triangle)], "u string, ring array<struct<lon: double, lat: double>>")
-    met = {(r.u, r.w) for r in joins.polygons_intersect(shapes, shapes.withColumnRenamed("u", "w"), "u", "w").collect()}
+    met = {(r.u, r.w) for r in areas_of.polygons_intersect(shapes, shapes.withColumnRenamed("u", "w"), "u", "w").collect()}
     assert ("a", "b") in met and ("a", "in") in met and ("a", "edge") in met and ("tri", "in") in met and not any("far" in p for p in met - {("far", "far")}) and met == {(y, x) for x, y in met}
 
 
