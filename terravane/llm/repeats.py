@@ -11,8 +11,9 @@ independent 64-bit fingerprints tell. Windows that meet an equal one join into m
 repeats, whose words go.
 
 Occurrences of one anchor are never paired: their windows are sorted and counted. An anchor
-with more than ``block_rows`` occurrences does not meet in a task; its windows are counted
-by a pre-aggregated group-by and met again by an equi-join, which adaptive execution splits.
+with more than ``block_rows`` occurrences does not meet in a task: those that reach over the same
+windows are pre-aggregated to a class, the windows of classes are counted by a group-by, and occurrences
+meet their class again by an equi-join, which adaptive execution splits.
 Copies of whole texts are counted by the digest of their words, and one of
 them stands for all.
 """
@@ -186,9 +187,10 @@ def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 12, block_rows
         "tid", "doc_id", F.col("seed.anchors").alias("anchor"), F.col("seed.places").alias("place")
     )
     where = F.xxhash64("tid", "place")
-    joined = seeds.groupBy("anchor").agg(F.min(where).alias("low"), F.max(where).alias("high")).where("low <> high").select("anchor")
+    # joined tables are written first, so that both sides of a join come from exchanges and a hot key is split
+    joined = staged(seeds.groupBy("anchor").agg(F.min(where).alias("low"), F.max(where).alias("high")).where("low <> high").select("anchor"), "repeats-joined")
     # one row a text: of its copies that with the smallest id carries the words
-    wanted = seeds.join(joined, "anchor", "left_semi").groupBy("tid").agg(F.collect_set("place").alias("places"), F.min("doc_id").alias("carrier"))
+    wanted = staged(seeds.join(joined, "anchor", "left_semi").groupBy("tid").agg(F.collect_set("place").alias("places"), F.min("doc_id").alias("carrier")), "repeats-wanted")
     carriers = staged(
         texts.join(wanted, "tid").where(F.col("doc_id").eqNullSafe(F.col("carrier"))).select("tid", "text", "places"), "repeats-carriers"
     )
@@ -197,17 +199,22 @@ def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 12, block_rows
     met = (
         found.join(hot, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_repeated, "tid long, starts array<int>")
     )
-    many = found.join(hot, "anchor", "left_semi").select("tid", "anchor", "first", F.posexplode("windows").alias("at", "mark"))
-    many = many.select("anchor", "mark", "tid", (F.col("first") + F.col("at")).alias("start"))
-    place = F.xxhash64("tid", "start")
-    twice = many.groupBy("anchor", "mark").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("anchor", "mark")
-    hot_met = many.join(twice, ["anchor", "mark"], "left_semi").groupBy("tid").agg(F.collect_set("start").alias("starts"))
+    # of a hot anchor, occurrences with the same windows are one class, and classes are compared
+    many = found.join(hot, "anchor", "left_semi").withColumn("span", F.xxhash64("windows"))
+    place = F.xxhash64("tid", "first")
+    classes = staged(many.groupBy("anchor", "span").agg(F.min("windows").alias("windows"), (F.min(place) != F.max(place)).alias("shared")), "repeats-classes")
+    marks = classes.select("anchor", "span", "shared", F.posexplode("windows").alias("at", "mark"))
+    part = F.xxhash64("span", "at")
+    twice = staged(marks.groupBy("anchor", "mark").agg(F.min(part).alias("low"), F.max(part).alias("high")).where("low <> high").select("anchor", "mark"), "repeats-twice")
+    some = marks.where("NOT shared").join(twice, ["anchor", "mark"], "left_semi").groupBy("anchor", "span").agg(F.collect_list("at").alias("hits"))
+    hits = staged(classes.where("shared").select("anchor", "span", F.sequence(F.lit(0), F.size("windows") - 1).alias("hits")).unionByName(some), "repeats-hits")
+    hot_met = many.join(hits, ["anchor", "span"]).select("tid", F.transform("hits", lambda x: x + F.col("first")).alias("starts"))
     starts = met.unionByName(hot_met).groupBy("tid").agg(F.flatten(F.collect_list("starts")).alias("starts"))
     cut = staged(
         carriers.select("tid", "text").join(starts, "tid").mapInArrow(lambda it: _remove(it, window), "tid long, cut long, cut_sha256 string").dropDuplicates(["tid"]),
         "repeats-cut",
     )
-    copies = read.groupBy("whole").count().where("count > 1").select("whole", F.lit(True).alias("copied"))
+    copies = staged(read.groupBy("whole").count().where("count > 1").select("whole", F.lit(True).alias("copied")), "repeats-copies")
     rows = read.select("doc_id", "tid", "n_words", "whole").join(copies, "whole", "left").join(cut, "tid", "left")
     gone = F.col("copied") & (F.col("n_words") >= window)
     return rows.select(
