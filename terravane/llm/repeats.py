@@ -11,9 +11,9 @@ independent 64-bit fingerprints tell. Windows that meet an equal one join into m
 repeats, whose words go.
 
 Occurrences of one anchor are never paired: their windows are sorted and counted. An anchor
-with more than ``block_rows`` occurrences does not meet in a task: those that reach over the same
-windows are pre-aggregated to a class, the windows of classes are counted by a group-by, and occurrences
-meet their class again by an equi-join, which adaptive execution splits.
+with more than ``block_rows`` occurrences is dealt into blocks of about so many. Most of its windows find their
+like inside a block; each block also hands on one row for each different window, and those that stand once in
+theirs are found in others by a count of these rows and an equi-join, which adaptive execution splits.
 Copies of whole texts are counted by the digest of their words, and one of
 them stands for all.
 """
@@ -115,15 +115,16 @@ def _extend(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterat
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences sorted by anchor -> (tid, starts): the windows that stand at two places or more."""
+    """Occurrences sorted by anchor and block -> the windows that stand at two places of a block; of dealt anchors also one row for each different window of a block."""
     held = None
     for batch in batches:
         if held is not None:
             batch = pa.concat_batches([held, batch])
         if not batch.num_rows:
             continue
-        anchor = batch.column("anchor").to_numpy()
-        start = int(np.searchsorted(anchor, anchor[-1], "left"))  # the last anchor may go on
+        anchor, block = batch.column("anchor").to_numpy(), batch.column("block").to_numpy()
+        change = np.flatnonzero((anchor[1:] != anchor[:-1]) | (block[1:] != block[:-1]))
+        start = int(change[-1]) + 1 if len(change) else 0  # the last block may go on
         held = batch.slice(start)
         if start:
             yield from _counted(batch.slice(0, start))
@@ -135,22 +136,33 @@ def _counted(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     lists = batch.column("windows")
     sizes = np.diff(lists.offsets.to_numpy())
     row = np.repeat(np.arange(batch.num_rows), sizes)
-    anchor, tid = (batch.column(c).to_numpy()[row] for c in ("anchor", "tid"))
+    anchor, block, tid, dealt = (batch.column(c).to_numpy(zero_copy_only=False)[row] for c in ("anchor", "block", "tid", "dealt"))
     within = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     start = batch.column("first").to_numpy()[row] + within
     mark = lists.flatten().to_numpy()
-    order = np.lexsort((start, tid, mark, anchor))
-    anchor, mark, tid, start = anchor[order], mark[order], tid[order], start[order]
-    new_window = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (mark[1:] != mark[:-1])))
+    order = np.lexsort((start, tid, mark, block, anchor))
+    anchor, block, mark, tid, start, dealt = anchor[order], block[order], mark[order], tid[order], start[order], dealt[order]
+    new_window = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (block[1:] != block[:-1]) | (mark[1:] != mark[:-1])))
     new_place = new_window | np.concatenate(([True], (tid[1:] != tid[:-1]) | (start[1:] != start[:-1])))
     group = np.cumsum(new_window) - 1
-    shared = (np.bincount(group, weights=new_place) > 1)[group] & new_place
+    often = (np.bincount(group, weights=new_place) > 1)[group]
+    open_ = np.flatnonzero(new_window & dealt)
+    if len(open_):
+        alone = ~often[open_]
+        # what stands once in its block may stand in another
+        starts = pa.ListArray.from_arrays(pa.array(np.arange(len(open_) + 1, dtype=np.int32)), pa.array(start[open_].astype(np.int32)))
+        yield pa.RecordBatch.from_arrays([pa.array(tid[open_]), starts, pa.array(anchor[open_]), pa.array(mark[open_]), pa.array(alone)], _MET)
+    shared = often & new_place
     tid, start = tid[shared], start[shared]
     order = np.lexsort((start, tid))
     tid, start = tid[order], start[order]
     heads = np.flatnonzero(np.concatenate(([True], tid[1:] != tid[:-1]))) if len(tid) else np.zeros(0, np.int64)
-    cuts = pa.array(np.append(heads, len(tid)).astype(np.int32))
-    yield pa.RecordBatch.from_arrays([pa.array(tid[heads]), pa.ListArray.from_arrays(cuts, pa.array(start.astype(np.int32)))], ["tid", "starts"])
+    starts = pa.ListArray.from_arrays(pa.array(np.append(heads, len(tid)).astype(np.int32)), pa.array(start.astype(np.int32)))
+    none = pa.nulls(len(heads), pa.int64())
+    yield pa.RecordBatch.from_arrays([pa.array(tid[heads]), starts, none, none, pa.nulls(len(heads), pa.bool_())], _MET)
+
+
+_MET = ["tid", "starts", "anchor", "mark", "alone"]
 
 
 def _remove(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -195,21 +207,16 @@ def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 12, block_rows
         texts.join(wanted, "tid").where(F.col("doc_id").eqNullSafe(F.col("carrier"))).select("tid", "text", "places"), "repeats-carriers"
     )
     found = staged(carriers.mapInArrow(lambda it: _extend(it, window, gram), "anchor long, tid long, first int, windows array<long>"), "repeats-windows")
-    hot = staged(found.groupBy("anchor").count().where(F.col("count") > block_rows).select("anchor"), "repeats-hot")
-    met = (
-        found.join(hot, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_repeated, "tid long, starts array<int>")
+    hot = staged(found.groupBy("anchor").count().where(F.col("count") > block_rows).select("anchor", F.ceil(F.col("count") / block_rows).cast("int").alias("blocks")), "repeats-hot")
+    block = F.coalesce(F.pmod(F.xxhash64("tid", "first"), F.col("blocks")), F.lit(0)).cast("int")
+    dealt = found.join(hot, "anchor", "left").select("anchor", block.alias("block"), F.col("blocks").isNotNull().alias("dealt"), "tid", "first", "windows")
+    met = staged(
+        dealt.repartition("anchor", "block").sortWithinPartitions("anchor", "block").mapInArrow(_repeated, "tid long, starts array<int>, anchor long, mark long, alone boolean"), "repeats-met"
     )
-    # of a hot anchor, occurrences with the same windows are one class, and classes are compared
-    many = found.join(hot, "anchor", "left_semi").withColumn("span", F.xxhash64("windows"))
-    place = F.xxhash64("tid", "first")
-    classes = staged(many.groupBy("anchor", "span").agg(F.min("windows").alias("windows"), (F.min(place) != F.max(place)).alias("shared")), "repeats-classes")
-    marks = classes.select("anchor", "span", "shared", F.posexplode("windows").alias("at", "mark"))
-    part = F.xxhash64("span", "at")
-    twice = staged(marks.groupBy("anchor", "mark").agg(F.min(part).alias("low"), F.max(part).alias("high")).where("low <> high").select("anchor", "mark"), "repeats-twice")
-    some = marks.where("NOT shared").join(twice, ["anchor", "mark"], "left_semi").groupBy("anchor", "span").agg(F.collect_list("at").alias("hits"))
-    hits = staged(classes.where("shared").select("anchor", "span", F.sequence(F.lit(0), F.size("windows") - 1).alias("hits")).unionByName(some), "repeats-hits")
-    hot_met = many.join(hits, ["anchor", "span"]).select("tid", F.transform("hits", lambda x: x + F.col("first")).alias("starts"))
-    starts = met.unionByName(hot_met).groupBy("tid").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    # a window has one row in each block, so two rows are two blocks
+    across = staged(met.where("anchor IS NOT NULL").groupBy("anchor", "mark").count().where("count > 1").select("anchor", "mark"), "repeats-across")
+    later = met.where("alone").join(across, ["anchor", "mark"], "left_semi").select("tid", "starts")
+    starts = met.where("anchor IS NULL").select("tid", "starts").unionByName(later).groupBy("tid").agg(F.flatten(F.collect_list("starts")).alias("starts"))
     cut = staged(
         carriers.select("tid", "text").join(starts, "tid").mapInArrow(lambda it: _remove(it, window), "tid long, cut long, cut_sha256 string").dropDuplicates(["tid"]),
         "repeats-cut",
