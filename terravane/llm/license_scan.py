@@ -6,7 +6,7 @@ A multinomial logistic regression over n-grams of one to three words knows a cla
 licences and one for prose. Features are indicators without a length in them: words that the model does not know change nothing.
 ``unknown`` is fitted on notices of families that have no class of their own and on frames such as ``licensed under the ... license``
 with made-up names; the intercepts are fitted with the weights. The temperature is chosen on notices, families and prose that the fit has
-not seen. A family is confirmed if the window shares enough word pairs with one of its templates.
+not seen. A family is confirmed if the window shares enough word pairs with one of its templates; a second family in a window must have pairs that the first one's templates lack.
 
 The fit is a bounded loop over the fixed texts below, on the driver. Its weights are constants of the plan (a hash set of
 known n-grams and a table by hash), whatever the corpus, so texts are read once and never shuffled; only findings are.
@@ -33,6 +33,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "This project is released under the Apache 2.0 license.",
         "SPDX-License-Identifier: Apache-2.0",
+        "Apache License Version 2.0, January 2004",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     ),
     "mit": (
@@ -40,6 +41,8 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This project is licensed under the terms of the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
         "SPDX-License-Identifier: MIT",
+        "MIT License",
+        "The MIT License (MIT)",
     ),
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -47,6 +50,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Released under the GPL v3.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
         "SPDX-License-Identifier: GPL-2.0-only",
+        "GNU General Public License version 2",
         "You should have received a copy of the GNU General Public License along with this program.",
     ),
     "lgpl": (
@@ -54,11 +58,16 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
         "Released under the LGPL.",
         "SPDX-License-Identifier: LGPL-2.1",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+        "GNU Lesser General Public License",
     ),
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "Released under the BSD 3-Clause License.",
+        "BSD 3-Clause License",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "SPDX-License-Identifier: BSD-2-Clause",
+        "Released under the BSD 2-Clause License.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     ),
@@ -70,14 +79,34 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
     "cc-by-nc": (
         "Licensed under CC BY-NC 4.0.",
+        "CC BY-NC 4.0",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-        "Creative Commons Attribution NonCommercial, no commercial use without permission, CC BY-NC-SA.",
+        "Creative Commons Attribution NonCommercial, no commercial use without permission, CC BY-NC.",
     ),
     "cc-by-sa": (
         "Licensed under CC BY-SA 4.0.",
+        "CC BY-SA 4.0",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
         "Text is available under the Creative Commons Attribution-ShareAlike License.",
     ),
+    "cc-by-nd": (
+        "Licensed under CC BY-ND 4.0.",
+        "CC BY-ND 4.0",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "Creative Commons Attribution NoDerivs, CC BY-ND.",
+    ),
+    "cc-by-nc-sa": (
+        "Licensed under CC BY-NC-SA 4.0.",
+        "CC BY-NC-SA 4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+        "Creative Commons Attribution NonCommercial ShareAlike, CC BY-NC-SA.",
+    ),
+    "cc-by-nc-nd": (
+        "Licensed under CC BY-NC-ND 4.0.",
+        "CC BY-NC-ND 4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+        "Creative Commons Attribution NonCommercial NoDerivs, CC BY-NC-ND.",
+    ),
     "cc-by": (
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
@@ -85,6 +114,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
     "public-domain": (
         "This work is released into the public domain.",
+        "This file is in the public domain.",
         "To the extent possible under law, the author has waived all copyright and related rights, CC0 1.0 Universal.",
         "This is free and unencumbered software released into the public domain, the Unlicense.",
     ),
@@ -122,6 +152,16 @@ PROSE_TEXTS = (
     "Version 2 of the program was shown to the public under a general title at the free fair.",
     "They worked under the terms of a contract with the foundation.",
     "He may use the file and copy the map for any purpose he likes.",
+    "Under the terms of the act of 1884 the company held a license to dig for coal.",
+    "A license to sell spirits was granted to the inn by the magistrate, and the fee was paid in silver.",
+    "The station lost its license to broadcast under the new law.",
+    "The ferry was run under a license of the county until the bridge was opened.",
+    "Each license was granted for one season under the rules of the guild.",
+    "The treaty was signed under the terms of an earlier convention.",
+    "The right to operate the railway was granted by the crown in 1845.",
+    "A license to operate a tavern was given to the widow of the captain.",
+    "The charter of the market was granted under the terms of an act of 1790.",
+    "A license under the act was needed to keep the inn open at night.",
 )
 # Notices of families without a class of their own, and frames around names that nobody knows: the class ``unknown``.
 OTHER_NOTICES = (
@@ -141,6 +181,8 @@ OTHER_NOTICES = (
     "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "Licensed under the Microsoft Public License.",
     "Licensed under the Business Source License 1.1.",
+    "Licensed under the Apache Software License, Version 1.1.",
+    "The Apache Software License, Version 1.0",
 )
 FRAMES = (
     "Licensed under the {0} License.", "Released under the {0} License, version {1}.", "This project is licensed under the {0} {2} License {1}.", "Licensed under the {0}, Version {1}.",
@@ -150,9 +192,12 @@ FRAMES = (
 # Seen by the calibration only: other wordings, other families, other prose.
 HELD_NOTICES: dict[str, tuple[str, ...]] = {
     "apache-2.0": ("Distributed under the Apache License 2.0, see the file for details.", "The code in this folder is available under the Apache License, version 2.0."),
-    "mit": ("This code is available under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software, to deal in the Software without restriction."),
+    "mit": ("This code is available under the MIT License.", "MIT License Copyright 2020 the authors", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software, to deal in the Software without restriction."),
     "gpl": ("This file is part of a program under the GNU General Public License version 2 or later.", "It is free software, licensed under the GNU GPL v3."),
-    "lgpl": ("You can redistribute this library under the GNU Lesser General Public License.",),
+    "lgpl": ("You can redistribute this library under the GNU Lesser General Public License.", "SPDX-License-Identifier: LGPL-3.0-only"),
+    "cc-by-nd": ("These texts are available under CC BY-ND 3.0.",),
+    "cc-by-nc-sa": ("The recordings are published under CC BY-NC-SA 3.0.",),
+    "cc-by-nc-nd": ("The essays are available under CC BY-NC-ND 3.0.",),
     "bsd": ("Licensed under the 3-clause BSD license.", "Redistributions of source code must retain the above; redistribution and use in source and binary forms are permitted."),
     "mpl-2.0": ("This file is covered by the Mozilla Public License 2.0.",),
     "cc-by-nc": ("These photos are available under CC BY-NC 3.0.",),
@@ -168,7 +213,7 @@ HELD_OTHER = (
 HELD_PROSE = (
     "She renewed her license at the office and went home.", "The work was modified by two later painters.", "A public version of the report was distributed to the press.",
     "The foundation published three books on free trade.", "All the seats had been reserved since spring.", "The notice on the door said that the library was closed.",
-    "Copies of the map were sold without the names of the streets.", "The source of the noise was a binary star.", "Rights of way cross the domain.", "He was granted a permit to sell fish.",
+    "Copies of the map were sold without the names of the streets.", "The source of the noise was a binary star.", "Rights of way cross the domain.", "He was granted a permit to sell fish.", "A license to run trains was granted under the act of 1846.", "The mill stood under the terms of an old lease.",
 )
 STOP = frozenset(
     "a an and any are as at be by can for from has have in into is it its may most no not of on one or part that the their then these this to until was were while with without you your".split()
@@ -301,7 +346,8 @@ def scan(docs: DataFrame, confident: float = 0.6, confirm: float = 0.5, seed: in
 
     family is a licence family or ``unknown``: the class ``unknown`` is the best one, or the best family stays below ``confident``.
     A paragraph of several windows tells each family once, by its most probable window (to nine digits), ties to the first. Beside the best family, a
-    window tells every other one that outweighs both prose and unknown and is confirmed; its probability is taken against these two. ``unknown`` is told only where the paragraph holds no family.
+    window tells every other one that outweighs both prose and unknown, is confirmed and has evidence of its own: of the word pairs of one of its templates that no template of the best family has, the window holds
+    at least the share ``confirm``. Its probability is taken against prose and unknown. ``unknown`` is told only where the paragraph holds no family.
     template is the number of the nearest template of the family (null for unknown), template_similarity the share of the
     shorter one's word pairs that both hold, ties to the first template. start_word is the window's first word in the paragraph, counted as ``tokens_of`` counts, and text the window's lower-cased words.
     Null and empty texts have no paragraph. Repeated rows give their findings once for each; null ids are ids like others. Other columns are not read. No rows give no rows.
@@ -354,7 +400,7 @@ def scan(docs: DataFrame, confident: float = 0.6, confirm: float = 0.5, seed: in
         z = F.get("z", F.lit(k))
         best = F.col("best") == k
         apart = F.exp(F.get("z", F.lit(0)) - z) + F.exp(F.get("z", F.lit(1)) - z)
-        told = F.struct(F.lit(k).alias("k"), best.alias("best"), F.when(best, 1 / F.col("whole")).otherwise(1 / (1 + apart)).alias("probability"))
+        told = F.struct(F.lit(k).alias("k"), best.alias("best"), F.col("best").alias("leader"), F.when(best, 1 / F.col("whole")).otherwise(1 / (1 + apart)).alias("probability"))
         return F.when(best | (F.lit(k > 1) & (z > F.get("z", F.lit(0))) & (z > F.get("z", F.lit(1)))), told)
 
     claims = F.when(F.col("best") > 0, F.array_compact(F.array(*[claim(k) for k in range(1, n)])))
@@ -362,14 +408,20 @@ def scan(docs: DataFrame, confident: float = 0.6, confirm: float = 0.5, seed: in
         "row", "doc_id", "paragraph", "window", "words", "claim.*",
         F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - 1, F.lit(1))), lambda i: F.concat_ws(" ", F.get("words", i - 1), F.get("words", i)))).alias("pairs"),
     )
-    options = []
+    # what the best family's templates hold is no evidence for another
+    led = F.array(*[F.array(*[F.lit(p) for p in family_pairs(c)]).cast("array<string>") for c in model.classes])
+    claimed = claimed.withColumn("led", F.get(led, F.col("leader")))
+    options, owned = [], []
     for family, texts in TEMPLATES.items():
         for i, text in enumerate(texts):
             pairs = template_pairs(text)
+            told_apart = F.array_except(F.array(*[F.lit(p) for p in pairs]), F.col("led"))
+            own = F.size(F.array_intersect("pairs", told_apart)) / F.greatest(F.size(told_apart), F.lit(1))
+            owned.append(F.when(F.get(names, F.col("k")) == family, own.cast("double")))
             shared = F.size(F.array_intersect("pairs", F.array(*[F.lit(p) for p in pairs])))
             share = shared / F.greatest(F.least(F.size("pairs"), F.lit(len(pairs))), F.lit(1))
             options.append(F.when(F.get(names, F.col("k")) == family, F.struct(share.cast("double").alias("similarity"), F.lit(-i).alias("back"))))
-    near = claimed.withColumn("near", F.array_max(F.array_compact(F.array(*options))))
+    near = claimed.withColumn("near", F.array_max(F.array_compact(F.array(*options)))).withColumn("own", F.array_max(F.array_compact(F.array(*owned))))
     sure = F.col("probability") >= confident
     family = F.when(sure, F.get(names, F.col("k"))).otherwise(F.lit(UNKNOWN))
     is_family = (F.col("k") > 1) & sure
@@ -379,8 +431,8 @@ def scan(docs: DataFrame, confident: float = 0.6, confirm: float = 0.5, seed: in
         F.struct(
             F.round("probability", 9).alias("probability"), (-F.col("window")).alias("back"), F.when(F.col("k") > 1, -F.col("near.back")).alias("template"), similarity.alias("template_similarity"),
             (is_family & (similarity >= confirm)).alias("confirmed"), F.array_join("words", " ").alias("text"),
-        ).alias("said"),
-    ).where(F.col("best") | F.col("said.confirmed"))
+        ).alias("said"), "own",
+    ).where(F.col("best") | (F.col("said.confirmed") & (F.col("own") >= confirm)))
     per = told.groupBy("row", "doc_id", "paragraph", "family").agg(F.max("said").alias("said"))
     # at most one row a family in each of these partitions
     families = F.sum(F.when(F.col("family") != UNKNOWN, 1).otherwise(0)).over(Window.partitionBy("row", "paragraph"))
@@ -392,3 +444,8 @@ def scan(docs: DataFrame, confident: float = 0.6, confirm: float = 0.5, seed: in
 def template_pairs(text: str) -> list[str]:
     t = tokens_of(text)
     return sorted({f"{a} {b}" for a, b in zip(t, t[1:], strict=False)})
+
+
+def family_pairs(family: str) -> list[str]:
+    """The word pairs of all templates of a family; none for prose and unknown."""
+    return sorted({p for text in TEMPLATES.get(family, ()) for p in template_pairs(text)})

@@ -229,9 +229,10 @@ def license_sql(confident: float = 0.6, confirm: float = 0.5) -> str:
     templates = ", ".join(
         f"({1 + k}, {i}, [{', '.join(map(text, license_scan.template_pairs(t)))}])" for k, texts in enumerate(license_scan.TEMPLATES.values(), 1) for i, t in enumerate(texts)
     )
+    led = ", ".join(f"({k}, CAST([{', '.join(map(text, license_scan.family_pairs(c)))}] AS VARCHAR[]))" for k, c in enumerate(model.classes))
     logits = ", ".join(f"({b!r} + sum(w{k})) / {model.temperature!r}" for k, b in enumerate(model.intercepts))
     return rf"""
-WITH g(gram, {", ".join(f"w{k}" for k in range(n))}) AS (VALUES {weights}), t(k, i, held) AS (VALUES {templates}),
+WITH g(gram, {", ".join(f"w{k}" for k in range(n))}) AS (VALUES {weights}), t(k, i, held) AS (VALUES {templates}), u(leader, union_pairs) AS (VALUES {led}),
 b AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)), '
 [ 	]*(?:
 [ 	]*)+'), lambda x: regexp_matches(x, '[^ 
@@ -246,9 +247,9 @@ z AS (SELECT r, paragraph, w, [{logits}] AS z FROM h JOIN g USING (gram) GROUP B
 c AS (SELECT r, paragraph, w, z, list_position(z, list_max(z)) - 1 AS best, unnest(range(1, {n})) AS k FROM z WHERE list_position(z, list_max(z)) > 1),
 d AS (SELECT c.*, round(CASE WHEN k = best THEN 1 / list_sum(list_transform(z, lambda x: exp(x - z[k + 1]))) ELSE 1 / (1 + exp(z[1] - z[k + 1]) + exp(z[2] - z[k + 1])) END, 9) AS probability FROM c WHERE k = best OR (k > 1 AND z[k + 1] > z[1] AND z[k + 1] > z[2])),
 e AS (SELECT d.*, doc_id, words, list_distinct(list_transform(range(1, greatest(len(words) - 1, 1) + 1), lambda i: concat_ws(' ', words[i], words[i + 1]))) AS pairs FROM d JOIN w USING (r, paragraph, w)),
-f AS (SELECT e.*, t.i, len(list_intersect(pairs, held)) / greatest(least(len(pairs), len(held)), 1) AS alike, row_number() OVER (PARTITION BY r, paragraph, w, e.k ORDER BY len(list_intersect(pairs, held)) / greatest(least(len(pairs), len(held)), 1) DESC, t.i) AS near FROM e LEFT JOIN t ON t.k = e.k),
+f AS (SELECT e.*, t.i, len(list_intersect(pairs, held)) / greatest(least(len(pairs), len(held)), 1) AS alike, max(len(list_filter(list_intersect(pairs, held), lambda x: NOT list_contains(union_pairs, x))) / greatest(len(list_filter(held, lambda x: NOT list_contains(union_pairs, x))), 1)) OVER (PARTITION BY r, paragraph, w, e.k) AS own, row_number() OVER (PARTITION BY r, paragraph, w, e.k ORDER BY len(list_intersect(pairs, held)) / greatest(least(len(pairs), len(held)), 1) DESC, t.i) AS near FROM e LEFT JOIN t ON t.k = e.k LEFT JOIN u ON u.leader = e.best),
 m AS (SELECT *, CASE WHEN probability >= {confident} THEN [{", ".join(map(text, model.classes))}][k + 1] ELSE 'unknown' END AS family, k > 1 AND probability >= {confident} AND alike >= {confirm} AS confirmed FROM f WHERE near = 1),
-o AS (SELECT *, row_number() OVER (PARTITION BY r, paragraph, family ORDER BY probability DESC, w) AS place FROM m WHERE k = best OR confirmed),
+o AS (SELECT *, row_number() OVER (PARTITION BY r, paragraph, family ORDER BY probability DESC, w) AS place FROM m WHERE k = best OR (confirmed AND own >= {confirm})),
 q AS (SELECT *, count(*) FILTER (WHERE family <> 'unknown') OVER (PARTITION BY r, paragraph) AS families FROM o WHERE place = 1)
 SELECT doc_id, CAST(paragraph AS INTEGER) AS paragraph, family, probability, CAST(i AS INTEGER) AS template, coalesce(alike, 0.0) AS template_similarity, coalesce(confirmed, false) AS confirmed, CAST(w * {license_scan.STRIDE} AS INTEGER) AS start_word, array_to_string(words, ' ') AS text
 FROM q WHERE family <> 'unknown' OR families = 0
