@@ -1,8 +1,8 @@
-"""Column functions: keys, dates, lenient numbers, names and places. All are JVM-side expressions but ``fold_accents``, ``strip_diacritics``, ``round_binary`` and ``sequence_ratio``."""
+"""Column functions: keys, dates, lenient numbers, names and places. All are JVM-side expressions but ``round_binary``."""
 
 from __future__ import annotations
 
-import difflib
+import functools
 import unicodedata
 
 import pandas as pd
@@ -11,16 +11,50 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-@F.pandas_udf(T.StringType())
-def fold_accents(values: pd.Series) -> pd.Series:
-    """Compatibility decomposition without combining marks; Spark has no Unicode normaliser."""
-    return values.map(lambda v: None if v is None else "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c)))
+@functools.cache
+def _decompositions(marks: bool) -> tuple[str, str, dict[str, str]]:
+    """Compatibility decompositions of all letters, less their marks: (letters, their single letters, letters -> several).
+
+    ``marks`` tells whether all combining marks go, or only U+0300 to U+036F. Letters without a counterpart stand last, so ``translate`` drops them. Hangul syllables are a rule of their own.
+    """
+    gone = (lambda c: unicodedata.combining(c) != 0) if marks else (lambda c: "\u0300" <= c <= "\u036f")
+    one, none, several = [], [], {}
+    for letter in map(chr, [*range(0x80, 0xAC00), *range(0xD7A4, 0xD800), *range(0xE000, 0x30000)]):
+        left = "".join(c for c in unicodedata.normalize("NFKD", letter) if not gone(c))
+        if left == letter:
+            continue
+        if len(left) > 1:
+            several[letter] = left
+        else:
+            (one if left else none).append((letter, left))
+    return "".join(x for x, _ in one + none), "".join(y for _, y in one), several
+
+
+def _decomposed(value: Column, marks: bool) -> Column:
+    """Letters with one counterpart go by ``translate``; those with several and Hangul syllables by a map, only in texts that have one."""
+    letters, single, several = _decompositions(marks)
+    plain = F.translate(value, letters, single)
+    known = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in sorted(several.items()))), F.lit("\x01"), F.lit("\x02"))  # folded to one constant of the plan
+    first, middle, last = ([F.lit(chr(c)) for c in range(low, low + n)] for low, n in ((0x1100, 19), (0x1161, 21), (0x11A7, 28)))
+    last[0] = F.lit("")
+
+    def parts(c: Column) -> Column:
+        place = F.ascii(c) - 0xAC00
+        syllable = F.concat(F.get(F.array(*first), F.floor(place / 588).cast("int")), F.get(F.array(*middle), F.floor(place % 588 / 28).cast("int")), F.get(F.array(*last), (place % 28).cast("int")))
+        return F.when(c < "\u0080", c).when(c.between("\uac00", "\ud7a3"), syllable).otherwise(F.coalesce(F.try_element_at(known, c), c))
+
+    some = "[" + "".join(sorted(several)) + "\uac00-\ud7a3]"
+    return F.when(plain.rlike(some), F.array_join(F.transform(F.regexp_extract_all(plain, F.lit("(?s)."), 0), parts), "")).otherwise(plain)
 
 
-@F.pandas_udf(T.StringType())
-def strip_diacritics(values: pd.Series) -> pd.Series:
-    """Compatibility decomposition without the marks U+0300 to U+036F; other combining marks stay."""
-    return values.map(lambda v: None if v is None else "".join(c for c in unicodedata.normalize("NFKD", v) if not "\u0300" <= c <= "\u036f"))
+def fold_accents(value: Column) -> Column:
+    """Compatibility decomposition without combining marks, letter by letter."""
+    return _decomposed(value, marks=True)
+
+
+def strip_diacritics(value: Column) -> Column:
+    """Compatibility decomposition without the marks U+0300 to U+036F, letter by letter; other combining marks stay where they stand."""
+    return _decomposed(value, marks=False)
 
 
 def premap(value: Column) -> Column:
@@ -365,9 +399,3 @@ def fill_template(template: Column, values: dict[str, Column]) -> Column:
     for name, value in values.items():
         template = F.replace(template, F.lit("{" + name + "}"), value.cast("string"))
     return template
-
-
-@F.pandas_udf(T.DoubleType())
-def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Matching-blocks similarity of two strings, 0 to 1; no edit-distance built-in equals it."""
-    return pd.Series([None if a is None or b is None else difflib.SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right, strict=True)])

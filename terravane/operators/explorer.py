@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terravane.functions.scalar import search_text
+
 
 @dataclass(frozen=True)
 class EditionSpec:
@@ -118,7 +120,8 @@ def page(df: DataFrame, order: list[Column], number: int, size: int) -> DataFram
 
 
 def contains_text(df: DataFrame, needle: str, columns: list[str]) -> DataFrame:
-    return df.where(F.contains(F.lower(F.concat_ws(" ", *columns)), F.lit(needle.lower())))
+    """Rows whose columns, joined by spaces, hold the text; case and diacritics do not count on either side."""
+    return df.where(F.contains(search_text(F.concat_ws(" ", *columns)), search_text(F.lit(needle))))
 
 
 def stable_first(cells: DataFrame, rate: str, name: str, n: int, only: bool = False) -> DataFrame:
@@ -148,3 +151,33 @@ def age_overview(people: DataFrame, age: str, by: list[str], home: Column, mappe
     )
     pct = lambda a, b: F.when(F.col(b) > 0, F.lit(100.0) * F.col(a) / F.col(b)).otherwise(0.0)
     return out.withColumn("young_pct", pct("young", "aged")).withColumn("old_pct", pct("old", "aged")).withColumn("outside_pct", pct("_away", "_mapped")).drop("_away", "_mapped")
+
+
+def overriding(rules: list[tuple[str, Column, bool]], start: str) -> Column:
+    """The status that the rules leave behind, gone through in order from ``start``: (status, condition, only_start) replaces any earlier status where the condition holds, or only ``start``."""
+    status = F.lit(start)
+    for name, holds, only_start in rules:
+        status = F.when(F.coalesce(holds, F.lit(False)) & ((status == start) if only_start else F.lit(True)), name).otherwise(status)
+    return status
+
+
+def _listed(c: str) -> Column:
+    return F.array_join(F.array_sort(F.collect_set(c)), ", ")
+
+
+def timeline(rows: DataFrame, season: str, team: str, measure: str) -> DataFrame:
+    """The measure of each team in each season."""
+    return rows.groupBy(season, team).agg(F.sum(measure).alias(measure))
+
+
+def place_summary(rows: DataFrame, place: list[str], person: str, starts: str, team: str) -> DataFrame:
+    """People, those with starts, starts and teams of each place; null parts of a place are a value like any other."""
+    return rows.groupBy(*place).agg(
+        F.count_distinct(person).alias("players"), F.count_distinct(F.when(F.col(starts) > 0, F.col(person))).alias("unique_starters"), F.sum(starts).alias(starts), _listed(team).alias("teams")
+    )
+
+
+def player_summary(rows: DataFrame, person: list[str], team: str, season: str, sums: list[str], firsts: dict[str, str], order: str) -> DataFrame:
+    """Teams, seasons and sums of each person, and of each column in ``firsts`` (name -> column) the first value that is not null by ``order``."""
+    first = [F.min(F.when(F.col(c).isNotNull(), F.struct(order, F.col(c).alias("_v"))))["_v"].alias(name) for name, c in firsts.items()]
+    return rows.groupBy(*person).agg(_listed(team).alias("teams"), F.count_distinct(season).alias("seasons"), *[F.sum(c).alias(c) for c in sums], *first)

@@ -30,12 +30,18 @@ def _blank(c: Column) -> Column:
     return c.isNull() | (F.trim(c) == "")
 
 
+def _kept_source(data: DataFrame, name: str, changed: Column, source: Column) -> DataFrame:
+    """Adds the source text of all rows if any row is changed, nulls otherwise; whether one is, is one row joined to all."""
+    any_changed = data.agg(F.coalesce(F.bool_or(changed), F.lit(False)).alias("_any"))
+    return data.crossJoin(any_changed).withColumn(name, F.when(F.col("_any"), source)).drop("_any")
+
+
 def normalize_player_seasons(df: DataFrame, cohort: DataFrame, row: str = "row_number") -> tuple[DataFrame, DataFrame]:
     """Incoming rows (all text columns, and ``row``, the input's row number) and the cohort (team, fifa_code) -> canonical rows, issues.
 
     Aliases fill canonical columns that are absent, null or blank, and stay themselves. Teams are compared without case and written as the cohort writes them, codes in upper case; the other of
-    team and code, and of season and end year, is derived where its column is absent. ``team_source`` and ``season_source`` keep the source text of rows of tables that lack such a column; they are null where
-    nothing was changed. An absent column that is required is one issue without a row number. Nothing is dropped: a row with issues stays in the canonical rows.
+    team and code, and of season and end year, is derived where its column is absent. ``team_source`` and ``season_source`` keep the source text of tables that lack such a column: of all rows
+    once one is rewritten, and nulls where none is. An absent column that is required is one issue without a row number. Nothing is dropped: a row with issues stays in the canonical rows.
     """
     trimmed = [c.strip() for c in df.columns]
     if len(set(trimmed)) != len(trimmed):
@@ -56,7 +62,7 @@ def normalize_player_seasons(df: DataFrame, cohort: DataFrame, row: str = "row_n
         data = data.withColumn("team", F.trim("team")).join(teams, F.lower("team") == F.col("_folded"), "left")
         changed = F.col("_team").isNotNull() & (F.col("team") != F.col("_team"))
         if "team_source" not in had:
-            data = data.withColumn("team_source", F.when(changed, F.col("team")))
+            data = _kept_source(data, "team_source", changed, F.col("team"))
         data = data.withColumn("team", F.coalesce("_team", "team"))
     if "fifa_code" in had:
         data = data.withColumn("fifa_code", F.upper(F.trim("fifa_code"))).join(codes, F.col("fifa_code") == F.col("_known_code"), "left")
@@ -89,7 +95,7 @@ def normalize_player_seasons(df: DataFrame, cohort: DataFrame, row: str = "row_n
     parsed, label = season_end_year(F.col("season")), season_label(F.col("season_end_year"))
     data = data.withColumn("_season", F.col("season")).withColumn("_parsed", parsed).withColumn("_label", label)
     if "season_source" not in had:
-        data = data.withColumn("season_source", F.when(F.col("_label").isNotNull() & (F.trim("_season") != F.col("_label")), F.col("_season")))
+        data = _kept_source(data, "season_source", F.col("_label").isNotNull() & (F.trim("_season") != F.col("_label")), F.col("_season"))
     data = data.withColumn("season", F.when(F.col("_parsed").isNotNull() & F.col("_label").isNotNull(), F.col("_label")).otherwise(F.col("season")))
     key = ["team", "season_end_year", "player_id"]
     copies = data.where(reduce(Column.__and__, [F.col(k).isNotNull() for k in key])).groupBy(*key).agg(F.count("*").alias("_copies"))

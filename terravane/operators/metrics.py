@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terravane.functions.scalar import attempted, landed, whole_int
+from terravane.operators.joins import many_to_one
+
 
 def total(c: Column | str) -> Column:
     """Sum that is 0 for a group without a value."""
@@ -58,6 +62,18 @@ def ranked_quantiles(df: DataFrame, by: list[str], value: str, named: dict[str,
     return placed.groupBy(*by).agg(*out)
 
 
+def linear_quantiles(df: DataFrame, by: str, value: str, named: dict[str, float]) -> DataFrame:
+    """name -> q: quantiles of each group between the two nearest elements, by counts of equal values and their running sum; a window that is too large for memory spills."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(by, F.col(value).alias("_v")).agg(F.count("*").alias("_m"))
+    placed = counts.withColumn("_end", F.sum("_m").over(Window.partitionBy(by).orderBy("_v"))).withColumn("_n", F.sum("_m").over(Window.partitionBy(by)))
+    out = []
+    for name, q in named.items():
+        at = (F.col("_n") - 1) * q
+        low, high = (F.min(F.when(F.col("_end") > place, F.col("_v"))) for place in (F.floor(at), F.ceil(at)))
+        out.append((low + (high - low) * F.max(at - F.floor(at))).alias(name))
+    return placed.groupBy(by).agg(*out)
+
+
 def quantile_linear(values: str, q: float) -> Column:
     return F.expr(f"percentile({values}, {q})")
 
@@ -70,19 +86,17 @@ def lowest_mode(column: str) -> Column:
 def kde(df: DataFrame, by: str, value: str, low: float, high: float, points: int = 81) -> DataFrame:
     """Gaussian density on an even grid; bandwidth 0.9 spread n^-0.2 within 0.75 and 2.5, 1.2 for fewer than two values; spread is min(sd, iqr / 1.34), sd where iqr is 0, and 1.5 for equal values."""
     known = df.where(F.col(value).isNotNull()).select(by, value)
-    per = known.groupBy(by).agg(
-        F.count("*").alias("n"), F.stddev_samp(value).alias("sd"), (quantile_linear(value, 0.75) - quantile_linear(value, 0.25)).alias("iqr")
-    )
-    spread = F.when(F.col("iqr") > 0, F.least(F.col("sd"), F.col("iqr") / 1.34)).otherwise(F.col("sd"))
+    per = known.groupBy(by).agg(F.count("*").alias("n"), F.stddev_samp(value).alias("sd")).join(linear_quantiles(known, by, value, {"low_q": 0.25, "high_q": 0.75}), by)
+    iqr = F.col("high_q") - F.col("low_q")
+    spread = F.when(iqr > 0, F.least(F.col("sd"), iqr / 1.34)).otherwise(F.col("sd"))
     spread = F.when(spread == 0, 1.5).otherwise(spread)
     width = F.when(F.col("n") < 2, 1.2).otherwise(F.least(F.lit(2.5), F.greatest(F.lit(0.75), 0.9 * spread * F.pow(F.col("n"), F.lit(-0.2)))))
-    # equal values are counted first, so the grid meets distinct values and not rows
-    counted = known.groupBy(by, value).agg(F.count("*").alias("m")).join(per.select(by, "n", width.alias("width")), by)
     step = (high - low) / (points - 1)
     at = F.explode(F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.lit(low) + i * step))
     z = (F.col("x") - F.col(value)) / F.col("width")
-    return counted.withColumn("x", at).groupBy(by, "x").agg(
-        (F.sum(F.col("m") * F.exp(-0.5 * z * z)) / (F.first("n") * F.first("width") * math.sqrt(2 * math.pi))).alias("density")
+    # each task sums its own rows on the grid before anything is shuffled
+    return known.join(per.select(by, "n", width.alias("width")), by).withColumn("x", at).groupBy(by, "x").agg(
+        (F.sum(F.exp(-0.5 * z * z)) / (F.first("n") * F.first("width") * math.sqrt(2 * math.pi))).alias("density")
     )
 
 
@@ -114,6 +128,201 @@ def gap_to_primary(splits: DataFrame, totals: DataFrame, person: str, team: str,
     ).drop("_place", "_sum", canonical)
 
 
+def per_million_of(rows: DataFrame, population: DataFrame, area: str, values: list[str], year: int | None = None) -> DataFrame:
+    """Adds population and ``<value>_per_million`` of each area; populations of 0 or below, and absent ones, give nulls.
+
+    population: (area, population, and year if there are several). If ``year`` is there only its rows count. An area with two rows left fails the query when it runs.
+    """
+    if year is not None and "year" in population.columns:
+        there = population.agg(F.coalesce(F.bool_or(F.col("year") == year), F.lit(False)).alias("_there"))  # one row
+        population = population.crossJoin(there).where(~F.col("_there") | (F.col("year") == year)).drop("_there")
+    once = population.select(area, F.when(F.col("population") > 0, F.col("population")).alias("population"))
+    joined = many_to_one(rows, once, [area])
+    return joined.select("*", *[(F.col(v) / F.col("population") * 1_000_000.0).alias(f"{v}_per_million") for v in values])
+
+
+def group_comparison(records: DataFrame, group: str, person: str, order: str, home: Column, top: int = 4) -> DataFrame:
+    """records (group, person, order, age, mapped, code, country, continent) -> a row per group over its people.
+
+    A person counts once: with the first known age, and with the first mapped record's country. ``home`` is the group's own country code. Columns: players, mapped, domestic_pct (of
+    the mapped), countries, continents, diversity (``normalised_entropy`` of countries), median_age, under21_pct and over30_pct (of known ages, from 30 on), the ``top`` countries and all continents with
+    their people, the most first and on a tie the one seen first.
+    """
+    one = records.groupBy(group, person).agg(
+        F.min(F.when(F.col("age").isNotNull(), F.struct(order, "age")))["age"].alias("age"),
+        F.min(F.when(F.col("mapped"), F.struct(order, "code", "country", "continent"))).alias("born"),
+    )
+    whole = one.groupBy(group).agg(
+        F.count("*").alias("players"), F.count("born").alias("mapped"), F.count_if(F.col("born.code") == home).alias("_home"),
+        F.median("age").alias("median_age"), F.count("age").alias("_aged"), F.count_if(F.col("age") < 21).alias("_young"), F.count_if(F.col("age") >= 30).alias("_old"),
+    )
+
+    def listed(name: str) -> DataFrame:
+        counts = one.where("born IS NOT NULL").groupBy(group, F.col(f"born.{name}").alias("name")).agg(F.count("*").alias("n"), F.min(f"born.{order}").alias("first"))
+        ranked = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "first", "name"))), lambda x: F.struct(x["name"].alias("name"), (-x["k"]).alias("n")))
+        share = F.col("n") / F.sum("n").over(Window.partitionBy(group))
+        return counts.withColumn("_p", share).groupBy(group).agg(
+            F.count("*").alias(f"_{name}"), F.when(F.count("*") > 1, 100 * F.sum(-F.col("_p") * F.ln("_p")) / F.ln(F.count("*"))).otherwise(0.0).alias(f"_entropy_{name}"), ranked.alias(f"_list_{name}")
+        )
+
+    pct = lambda a, b: F.when(F.col(b) > 0, F.lit(100.0) * F.col(a) / F.col(b)).otherwise(0.0)
+    none = F.array().cast("array<struct<name: string, n: bigint>>")
+    joined = whole.join(listed("country"), group, "left").join(listed("continent"), group, "left")
+    return joined.select(
+        group, "players", "mapped", pct("_home", "mapped").alias("domestic_pct"), F.coalesce("_country", F.lit(0)).alias("countries"), F.coalesce("_continent", F.lit(0)).alias("continents"),
+        F.coalesce("_entropy_country", F.lit(0.0)).alias("diversity"), "median_age", pct("_young", "_aged").alias("under21_pct"), pct("_old", "_aged").alias("over30_pct"),
+        F.slice(F.coalesce("_list_country", none), 1, top).alias("top_countries"), F.coalesce("_list_continent", none).alias("continent_counts"),
+    )
+
+
+def conference_summary(records: DataFrame, conference: str, teams: str, home: str, top: int = 5) -> DataFrame:
+    """records (conference, teams: array, mapped, country, age, minutes), one per person -> a row per conference.
+
+    Columns: players, teams, mapped, countries, minutes, median_age of known ages, outside_home_pct of the mapped, and the ``top`` countries of the mapped, the most first and then by name. A mapped
+    person without a country is outside.
+    """
+    mapped = records.where("mapped")
+    counts = mapped.where("country IS NOT NULL").groupBy(conference, "country").agg(F.count("*").alias("n"))
+    ranked = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), F.col("country")))), lambda x: F.struct(x["country"].alias("name"), (-x["k"]).alias("n")))
+    places = counts.groupBy(conference).agg(F.count("*").alias("countries"), F.slice(ranked, 1, top).alias("top_countries"))
+    played = records.select(conference, F.explode(teams).alias("team")).groupBy(conference).agg(F.count_distinct("team").alias("teams"))
+    whole = records.groupBy(conference).agg(
+        F.count("*").alias("players"), F.count_if("mapped").alias("mapped"), total("minutes").alias("minutes"), F.median("age").alias("median_age"),
+        F.count_if(F.col("mapped") & ~F.coalesce(F.col("country") == home, F.lit(False))).alias("_outside"),
+    )
+    joined = whole.join(places, conference, "left").join(played, conference, "left")
+    return joined.select(
+        conference, "players", F.coalesce("teams", F.lit(0)).alias("teams"), "mapped", F.coalesce("countries", F.lit(0)).alias("countries"), "minutes", "median_age",
+        F.when(F.col("mapped") > 0, F.lit(100.0) * F.col("_outside") / F.col("mapped")).otherwise(0.0).alias("outside_home_pct"), "top_countries",
+    )
+
+
+def population_cells(cells: DataFrame, people: DataFrame, references: bool, workload: str | None = None) -> DataFrame:
+    """cells (cell, population, label, country) and people (person, cell, place, country, minutes) -> cell, players, workload, rate, reference, stable, label, country.
+
+    Each person counts once a cell. The rate is people, or the sum of ``workload``, per million residents; null without residents. A cell is stable from two people and 100,000 residents on. Label and country are
+    the most frequent among its people, on a tie the first by name, and the cell's own without any. Cells without people are references, or left out.
+    """
+    one = people.groupBy("cell", "person").agg(F.max(F.struct("minutes", "place", "country")).alias("p"))
+
+    def modal(name: str, spare: str) -> DataFrame:
+        counts = one.select("cell", F.coalesce(f"p.{name}", F.lit(spare)).alias("v")).groupBy("cell", "v").agg(F.count("*").alias("n"))
+        return counts.groupBy("cell").agg(F.min(F.struct((-F.col("n")).alias("k"), "v"))["v"].alias(f"_{name}"))
+
+    sums = one.groupBy("cell").agg(F.count("*").alias("players"), total("p.minutes").alias("workload"))
+    joined = cells.join(sums, "cell", "left").join(modal("place", "Mapped area"), "cell", "left").join(modal("country", "Country unavailable"), "cell", "left")
+    joined = joined.withColumn("players", F.coalesce("players", F.lit(0))).withColumn("workload", F.coalesce("workload", F.lit(0)))
+    measure = F.col(workload) if workload else F.col("players")
+    residents = F.coalesce("population", F.lit(0))
+    out = joined.select(
+        "cell", "players", "workload", F.when(residents != 0, measure / F.col("population") * 1_000_000.0).alias("rate"), (F.col("players") == 0).alias("reference"),
+        ((F.col("players") >= 2) & (residents >= 100_000)).alias("stable"), F.coalesce("_place", "label").alias("label"), F.coalesce("_country", F.col("country")).alias("country"),
+    )
+    return out if references else out.where(~F.col("reference"))
+
+
+def rate_stops(cells: DataFrame) -> DataFrame:
+    """cells (rate, stable, reference) -> one row of five stops: 0 and the quantiles 0.25, 0.5, 0.75 and 0.95 of the rates.
+
+    Rates of stable cells count if there are five of them, otherwise all known ones but references'. Quantiles are elements at round((n - 1) q), 0 where there is none.
+    """
+    named = {f"q{round(q * 100)}": (q, "nearest") for q in (0.25, 0.5, 0.75, 0.95)}
+    told = cells.select(F.explode(F.array(
+        F.when(F.col("stable"), F.struct(F.lit("stable").alias("kind"), F.coalesce("rate", F.lit(0.0)).alias("rate"))),
+        F.when(~F.col("reference") & F.col("rate").isNotNull(), F.struct(F.lit("all").alias("kind"), F.col("rate"))),
+    )).alias("r")).where("r IS NOT NULL").select("r.*")
+    each = ranked_quantiles(told, ["kind"], "rate", named).withColumn("s", F.struct(*named))
+    some = told.groupBy("kind").agg(F.count("*").alias("n")).join(each, "kind")
+    # two rows at most: one for each kind
+    both = some.agg(F.max(F.when((F.col("kind") == "stable") & (F.col("n") >= 5), F.col("s"))).alias("a"), F.max(F.when(F.col("kind") == "all", F.col("s"))).alias("b"))
+    return both.select(F.lit(0.0).alias("q0"), *[F.coalesce(F.coalesce("a", "b")[n], F.lit(0.0)).alias(n) for n in named])
+
+
+# The kinds of dismissal that are not the bowler's, and what a fielder is counted for.
+NOT_BOWLED = ("obstructing the field", "retired hurt", "retired out", "run out", "timed out")
+FIELDED = {"caught": "catches", "caught and bowled": "catches", "stumped": "stumpings", "run out": "run_outs"}
+
+
+def match_deliveries(matches: DataFrame) -> DataFrame:
+    """matches (match_id, doc: VARIANT of a match document) -> a row per delivery: match_id, innings, batter, bowler, batter_runs, total, wide, noball, byes, wickets.
+
+    A document has ``innings`` of ``overs`` of ``deliveries``; absent lists are empty, super overs are left out, and missing counts are 0. wickets is array<struct<kind, fielders>>; a fielder is a
+    name, or an object with one; caught and bowled without a fielder is the bowler's catch.
+    """
+    innings = matches.select("match_id", F.expr("explode(cast(variant_get(doc, '$.innings') as array<variant>))").alias("i")).where("NOT coalesce(try_variant_get(i, '$.super_over', 'boolean'), false)")
+    numbered = innings.select("match_id", F.expr("try_variant_get(i, '$.team', 'string')").alias("innings"), F.expr("explode(cast(variant_get(i, '$.overs') as array<variant>))").alias("o"))
+    balls = numbered.select("match_id", "innings", F.expr("explode(cast(variant_get(o, '$.deliveries') as array<variant>))").alias("d"))
+    number = lambda path: F.expr(f"coalesce(try_variant_get(d, '$.{path}', 'bigint'), 0L)")
+    names = """filter(transform(cast(coalesce(variant_get(w, '$.fielders'), parse_json('[]')) as array<variant>), f -> coalesce(try_variant_get(f, '$.name', 'string'), try_variant_get(f, '$', 'string'))), n -> n is not null and not startswith(n, '{'))"""
+    kind = "lower(coalesce(try_variant_get(w, '$.kind', 'string'), ''))"
+    wickets = F.expr(f"""transform(cast(coalesce(variant_get(d, '$.wickets'), parse_json('[]')) as array<variant>), w -> named_struct('kind', {kind}, 'fielders',
+        if({kind} = 'caught and bowled' and size({names}) = 0, array(try_variant_get(d, '$.bowler', 'string')), {names})))""")
+    return balls.select(
+        "match_id", "innings", F.expr("try_variant_get(d, '$.batter', 'string')").alias("batter"), F.expr("try_variant_get(d, '$.bowler', 'string')").alias("bowler"),
+        number("runs.batter").alias("batter_runs"), number("runs.total").alias("total"), F.expr("variant_get(d, '$.extras.wides') is not null").alias("wide"), F.expr("variant_get(d, '$.extras.noballs') is not null").alias("noball"),
+        (number("extras.byes") + number("extras.legbyes") + number("extras.penalty")).alias("byes"), wickets.alias("wickets"),
+    )
+
+
+def cricket_totals(balls: DataFrame) -> DataFrame:
+    """``match_deliveries`` -> id, runs, fours, sixes, faced, bowled, conceded, wickets, catches, stumpings, run_outs and batting_innings of each name, sums over all its roles."""
+    n = lambda c: c.cast("long")
+    counted = ("runs", "fours", "sixes", "faced", "bowled", "conceded", "wickets", *sorted(set(FIELDED.values())))
+
+    def row(who: Column, **values: Column) -> Column:
+        return F.struct(who.alias("id"), *[values.get(c, F.lit(0).cast("long")).alias(c) for c in counted])
+
+    taken = F.size(F.filter("wickets", lambda w: ~w["kind"].isin(*NOT_BOWLED)))
+    at_bat = row(F.col("batter"), runs=F.col("batter_runs"), fours=n(F.col("batter_runs") == 4), sixes=n(F.col("batter_runs") == 6), faced=n(~F.col("wide")))
+    at_ball = row(F.col("bowler"), bowled=n(~F.col("wide") & ~F.col("noball")), conceded=F.col("total") - F.col("byes"), wickets=n(taken))
+    fielding = F.flatten(F.transform("wickets", lambda w: F.transform(w["fielders"], lambda name: row(name, **{c: n(w["kind"].isin(*[k for k, v in FIELDED.items() if v == c])) for c in set(FIELDED.values())}))))
+    rows = balls.select(F.inline(F.concat(F.array(at_bat, at_ball), fielding))).where("id IS NOT NULL")
+    batted = balls.where("batter IS NOT NULL").groupBy(F.col("batter").alias("id")).agg(F.count_distinct("match_id", "innings").alias("batting_innings"))
+    return rows.groupBy("id").agg(*[F.sum(c).alias(c) for c in counted]).join(batted, "id", "left").withColumn("batting_innings", F.coalesce("batting_innings", F.lit(0)))
+
+
+ROUND_FIELDS = {"Sig_str": "significant_strikes", "Total_str": "total_strikes", "Td": "takedowns"}
+
+
+def fight_rounds(fights: DataFrame, rounds: int = 5) -> DataFrame:
+    """Fights with text columns ``p1_rd1_KD``, ``_Sig_str``, ``_Total_str``, ``_Td`` (``x of y``) and ``_Sub_att`` for both sides and each round -> a row per side with its sums.
+
+    Columns: fight_id, side (1 or 2), knockdowns, submission_attempts, and landed and attempted of the three others. Columns that are absent, and texts of another form, count as 0.
+    """
+    text = lambda side, i, name: F.col(c) if (c := f"p{side}_rd{i}_{name}") in fights.columns else F.lit(None).cast("string")
+    summed = lambda f, side, name: reduce(Column.__add__, [f(text(side, i, name)).cast("long") for i in range(1, rounds + 1)])
+    sides = [
+        F.struct(
+            F.lit(side).alias("side"), summed(whole_int, side, "KD").alias("knockdowns"), summed(whole_int, side, "Sub_att").alias("submission_attempts"),
+            *[summed(f, side, source).alias(f"{name}_{kind}") for source, name in ROUND_FIELDS.items() for kind, f in (("landed", landed), ("attempted", attempted))],
+        )
+        for side in (1, 2)
+    ]
+    return fights.select("fight_id", F.inline(F.array(*sides)))
+
+
+def fighter_splits(fights: DataFrame, stats: DataFrame) -> DataFrame:
+    """fights (fight_id, first_id, second_id, first_result, second_result, gender, division, method, title, on) and ``fight_rounds`` -> a row per fighter and division.
+
+    Counts: bouts, wins, losses, draws, no_contests, wins by knockout, submission and decision (the first of the three words in the method that fits), title_bouts, detailed bouts and the sums of their
+    statistics; log lists the fights, the latest first. A fighter of both genders fails the query when it runs.
+    """
+    sides = F.inline(F.array(*[F.struct(F.lit(i).alias("side"), F.col(f"{a}_id").alias("fighter_id"), F.col(f"{a}_result").alias("result"), F.col(f"{b}_id").alias("opponent_id")) for i, a, b in ((1, "first", "second"), (2, "second", "first"))]))
+    rows = fights.select("fight_id", "gender", "division", "title", "on", F.lower("method").alias("_m"), sides).join(stats, ["fight_id", "side"], "left")
+    method, won = F.col("_m"), F.col("result") == "W"
+    how = F.when(F.contains(method, F.lit("ko")), "ko").when(F.contains(method, F.lit("submission")), "submission").when(F.contains(method, F.lit("decision")), "decision")
+    numbers = [c for c in stats.columns if c not in ("fight_id", "side")]
+    genders = rows.groupBy("fighter_id").agg(F.min("gender").alias("_low"), F.max("gender").alias("_high"))
+    failed = F.raise_error(F.concat(F.lit("both genders: "), F.col("fighter_id").cast("string"))).cast("boolean")
+    one = rows.join(genders, "fighter_id").where(F.when(F.col("_low") == F.col("_high"), True).otherwise(failed))
+    log = F.transform(F.sort_array(F.collect_list(F.struct("on", (-F.col("fight_id")).alias("k"), "opponent_id", "result")), asc=False), lambda x: F.struct(x["on"].alias("on"), x["opponent_id"].alias("opponent_id"), x["result"].alias("result")))
+    return one.groupBy("fighter_id", "gender", "division").agg(
+        F.count("*").alias("bouts"), *[F.count_if(F.col("result") == r).alias(n) for r, n in (("W", "wins"), ("L", "losses"), ("D", "draws"), ("NC", "no_contests"))],
+        *[F.count_if(won & (how == m)).alias(f"{m}_wins") for m in ("ko", "submission", "decision")], F.count_if("title").alias("title_bouts"),
+        F.count(numbers[0]).alias("detailed_bouts"), *[total(c).alias(c) for c in numbers], log.alias("log"),
+    )
+
+
 def deliveries(balls: DataFrame, batter: Column, bowler: Column) -> DataFrame:
     """(runs, wide, noball, byes, total, wicket) -> id, runs, fours, sixes, faced, bowled, conceded, wickets: the batter faces all but wides, the bowler bowls all but wides and no-balls and concedes the total less byes."""
     zero, n = F.lit(0).cast("long"), lambda c: c.cast("long")

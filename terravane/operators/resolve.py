@@ -6,12 +6,15 @@ Nothing here guesses: where more than one candidate is left the result says so.
 from __future__ import annotations
 
 import difflib
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terravane.operators.graphs import components
 from terravane.operators.lineage import cut
 
 # The bounds of the cascade, and the forms of short names (a mark that is no part of a name, initial and surname, a junior's key).
@@ -20,6 +23,43 @@ NEAR_DAYS = 2
 MARK, INITIALLED, JUNIOR = r"(?i)\s*\(WCD\)\s*", r"^([A-Za-z])\.?\s+(.+)$", "(jr|junior)$"
 
 
+def _first_free(batches: Iterator[pa.RecordBatch], left: str, right: str) -> Iterator[pa.RecordBatch]:
+    """Pairs sorted by component, order and preference: each left row takes the first right row that none before it took."""
+    component, taken, done = None, set(), None
+    for batch in batches:
+        keep = []
+        for at, (c, x, y) in enumerate(zip(batch.column("_component").to_pylist(), batch.column(left).to_pylist(), batch.column(right).to_pylist(), strict=True)):
+            if c != component:
+                component, taken, done = c, set(), None
+            if x != done and y not in taken:
+                keep.append(at)
+                taken.add(y)
+                done = x
+        yield batch.select([left, right]).take(pa.array(keep, pa.int64()))
+
+
+def chosen(pairs: DataFrame, left: str, right: str, order: str, preference: list[str], task_pairs: int = 2_000_000) -> DataFrame:
+    """Each left row in ``order`` takes what it prefers most among the right rows that no earlier one took; a row per choice.
+
+    Left rows that share no right row, directly or through others, do not wait for each other: each connected component of the pairs is gone
+    through by one task, in sorted order and with only the taken right rows in memory. Components of more than ``task_pairs``
+    pairs are chosen by ``serial_choice`` instead. ``order`` is unique among left rows, and ``preference`` with the right row's name orders a left row's pairs.
+    """
+    pairs = cut(pairs)
+    ends = pairs.select(F.concat(F.lit("l:"), F.col(left).cast("string")).alias("a"), F.concat(F.lit("r:"), F.col(right).cast("string")).alias("b"))
+    root = components(ends).select("node", F.col("root").alias("_component"))
+    marked = pairs.withColumn("node", F.concat(F.lit("l:"), F.col(left).cast("string"))).join(root, "node").drop("node")
+    large = cut(marked.groupBy("_component").count().where(F.col("count") > task_pairs).select("_component"))
+    by = ["_component", order, *preference, right]
+    small = marked.join(large, "_component", "left_anti").select(*dict.fromkeys([*by, left])).repartition("_component").sortWithinPartitions(*by)
+    schema = T.StructType([pairs.schema[left], pairs.schema[right]])
+    found = small.mapInArrow(lambda it: _first_free(it, left, right), schema)
+    if not large.isEmpty():
+        rest = marked.join(large, "_component", "left_semi").drop("_component")
+        found = found.unionByName(serial_choice(rest, left, right, order, preference).select(left, right))
+    return pairs.join(found, [left, right])
+
+
 def serial_choice(pairs: DataFrame, left: str, right: str, order: str, preference: list[str]) -> DataFrame:
     """Each left row in ``order`` takes what it prefers most among the right rows that no earlier one took; a row per choice.
 
@@ -55,11 +95,37 @@ def _length_bound(a: str, b: str) -> Column:
     return F.when(x + y == 0, 1.0).otherwise(2 * F.least(x, y) / (x + y))
 
 
+def _letters(name: str) -> Column:
+    """The letters of a name, each with its count so far, so that common letters of two names are common elements."""
+    letters = F.transform(F.sequence(F.lit(1), F.length(name)), lambda i: F.substr(F.col(name), i, F.lit(1)))
+    numbered = F.transform(letters, lambda c, i: F.concat(c, F.size(F.filter(F.slice(letters, 1, i + 1), lambda x: x == c)).cast("string")))
+    return F.when(F.length(name) > 0, numbered).otherwise(F.array(F.lit("")))  # two empty names are alike
+
+
+def alike_names(left: DataFrame, right: DataFrame, by: list[str], least: float = LEAST_SIMILARITY) -> DataFrame:
+    """(by, x) and (by, y) -> the pairs of names under equal ``by`` whose common letters allow a ratio of ``least``.
+
+    A ratio is at most twice the common letters over both lengths. A name with n letters needs at least n * least / (2 - least) in common with whatever is alike, so it
+    is filed under its rarest letters only, one more than it may miss; names that share none of them never meet.
+    """
+    names = left.select(F.col("x").alias("name")).unionByName(right.select(F.col("y").alias("name"))).distinct()
+    lettered = cut(names.where("name IS NOT NULL").withColumn("letters", _letters("name")))
+    each = lettered.select("name", F.explode("letters").alias("letter"))
+    often = each.groupBy("letter").agg(F.count("*").alias("often"))
+    ranked = each.join(often, "letter").groupBy("name").agg(F.sort_array(F.collect_list(F.struct("often", "letter"))).alias("r"))
+    filed = ranked.select("name", F.explode(F.slice("r", 1, F.size("r") - F.ceil(F.size("r") * (least / (2 - least)) - 1e-9).cast("int") + 1)).alias("f")).select("name", F.col("f.letter").alias("letter"))
+    side = lambda df, name: df.select(*by, name).distinct().join(filed.withColumnRenamed("name", name), name)
+    met = side(left, "x").join(side(right, "y"), [*by, "letter"]).select(*by, "x", "y").distinct()
+    told = met.join(lettered.select(F.col("name").alias("x"), F.col("letters").alias("_x")), "x").join(lettered.select(F.col("name").alias("y"), F.col("letters").alias("_y")), "y")
+    return told.where(2 * F.size(F.array_intersect("_x", "_y")) >= (F.size("_x") + F.size("_y")) * least - 1e-9).select(*by, "x", "y")
+
+
 def cascade_candidates(left: DataFrame, right: DataFrame, fuzzy: bool = True) -> DataFrame:
     """(left_id, left_order, a, b, day) and (right_id, right_order, c, d, on) -> candidate pairs with tier, days and cost.
 
     Tier 1: the same two names, on any day. Tier 2: a name in common, at most two days apart. Tier 3: at most two days apart, with a pair similarity of at least 0.55; its cost is
-    1 - similarity. Costs of the other tiers are the days between. Joins are on equality: days meet by filing left rows under the five days around them.
+    1 - similarity. Costs of the other tiers are the days between. Joins are on equality: days meet by filing left rows under the five days around them, and in the third tier names of those
+    days meet by rare letters, so pairs out of reach of the bound are not compared.
     """
     one = left.withColumn("_k", F.array_sort(F.array("a", "b")))
     two = right.withColumn("_k", F.array_sort(F.array("c", "d")))
@@ -71,8 +137,13 @@ def cascade_candidates(left: DataFrame, right: DataFrame, fuzzy: bool = True) ->
     shared = names.drop("_near", "_name").distinct().withColumn("tier", F.lit(2)).withColumn("days", days).withColumn("cost", days.cast("double"))
     found = exact.unionByName(shared)
     if fuzzy:
+        # a mean of two ratios reaches the bound only if one of them does
+        one_name = around.withColumn("x", F.explode(F.array_distinct(F.array("a", "b"))))
+        two_name = there.withColumn("y", F.explode(F.array_distinct(F.array("c", "d"))))
+        alike = alike_names(one_name, two_name, ["_near"])
+        card = one_name.join(alike, ["_near", "x"]).join(two_name, ["_near", "y"]).drop("_near", "x", "y").dropDuplicates(["left_id", "right_id"])
         able = F.greatest(_length_bound("a", "c") + _length_bound("b", "d"), _length_bound("a", "d") + _length_bound("b", "c")) / 2 >= LEAST_SIMILARITY
-        card = around.join(there, "_near").drop("_near").where(able).withColumn("_s", pair_similarity("a", "b", "c", "d"))
+        card = card.where(able).withColumn("_s", pair_similarity("a", "b", "c", "d"))
         found = found.unionByName(card.where(F.col("_s") >= LEAST_SIMILARITY).withColumn("tier", F.lit(3)).withColumn("days", days).withColumn("cost", 1 - F.col("_s")).drop("_s"))
     keys = ["left_id", "left_order", "right_id", "right_order"]
     return found.groupBy(*keys).agg(F.min(F.struct("tier", "cost", "days")).alias("_b")).select(*keys, "_b.tier", "_b.cost", "_b.days")
@@ -80,7 +151,7 @@ def cascade_candidates(left: DataFrame, right: DataFrame, fuzzy: bool = True) ->
 
 def match_cascade(left: DataFrame, right: DataFrame) -> DataFrame:
     """One-to-one matches of ``cascade_candidates``: left rows in order, each taking the unused right row of the lowest tier, then the least cost, then the first."""
-    return serial_choice(cascade_candidates(left, right), "left_id", "right_id", "left_order", ["tier", "cost", "right_order"])
+    return chosen(cascade_candidates(left, right), "left_id", "right_id", "left_order", ["tier", "cost", "right_order"])
 
 
 def name_variants(short: DataFrame, roster: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
@@ -88,7 +159,7 @@ def name_variants(short: DataFrame, roster: DataFrame, aliases: dict[str, str] |
 
     Keys are ``normalize_key`` texts. Tiers: an alias names the roster key; the key is equal; initial and surname (``J. Doe``) are the key's start and end; the surname is its
     end; the last word is its end. The lowest tier with candidates counts, and only a single candidate is a match. A ``jr`` or ``junior`` at the end of a roster key does not stand against its
-    end. An alias that the roster lacks has no candidate. Suffixes of roster keys are exploded, so all joins are on equality.
+    end. An alias that the roster lacks has no candidate. Roster keys are filed under their ends of the lengths that surnames have, so all joins are on equality.
     """
     known = F.create_map(*[F.lit(x) for pair in sorted((aliases or {}).items()) for x in pair]) if aliases else F.lit(None).cast("map<string,string>")
     clean = F.trim(F.regexp_replace("name", MARK, " "))
@@ -100,7 +171,9 @@ def name_variants(short: DataFrame, roster: DataFrame, aliases: dict[str, str] |
     )
     bare = F.regexp_replace("full_key", JUNIOR, "")
     people = roster.select("roster_id", "full_key", bare.alias("bare"))
-    ends = people.where(F.length("bare") > 0).select("roster_id", "bare", F.explode(F.transform(F.sequence(F.lit(1), F.length("bare")), lambda i: F.substr(F.col("bare"), i))).alias("end"))
+    lengths = asked.select(F.explode(F.array("surname", "last")).alias("s")).where("s IS NOT NULL").agg(F.collect_set(F.length("s")).alias("_lengths"))  # one row of lengths of names
+    able = F.filter("_lengths", lambda n: n <= F.length("bare"))
+    ends = people.where(F.length("bare") > 0).crossJoin(lengths).select("roster_id", "bare", F.explode(F.transform(able, lambda n: F.right(F.col("bare"), n))).alias("end"))
     tier = lambda df, n: df.select("short_id", "roster_id", F.lit(n).alias("tier"))
     plain = asked.where("alias IS NULL")
     by_surname = plain.join(ends, F.col("surname") == F.col("end"))

@@ -28,7 +28,7 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from terravane.plans import contributions, geography, ingestion, matching, quality, resolution, scalars, scans  # noqa: F401
+    from terravane.plans import comparisons, contributions, geography, ingestion, landing, matching, quality, resolution, scalars, scans, sinks  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

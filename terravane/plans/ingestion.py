@@ -45,7 +45,7 @@ def _cohort(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {INCOMING_SQL} SELECT row_number, team, fifa_code, CASE WHEN parsed IS NOT NULL AND label IS NOT NULL THEN label ELSE season0 END AS season, sey AS season_end_year, player_id, player_name, starts, subs AS sub_appearances, 0 AS goals,
-  CASE WHEN known IS NOT NULL AND trim(team0) <> known THEN trim(team0) END AS team_source, CASE WHEN label IS NOT NULL AND trim(season0) <> label THEN season0 END AS season_source FROM m""")
+  CASE WHEN coalesce(bool_or(known IS NOT NULL AND trim(team0) <> known) OVER (), false) THEN trim(team0) END AS team_source, CASE WHEN coalesce(bool_or(label IS NOT NULL AND trim(season0) <> label) OVER (), false) THEN season0 END AS season_source FROM m""")
 def canonical_player_seasons(spark: SparkSession, d: str) -> DataFrame:
     rows, _ = ingest.normalize_player_seasons(_incoming(spark, d), _cohort(spark, d))
     return rows.select("row_number", "team", "fifa_code", "season", "season_end_year", "player_id", "player_name", "starts", "sub_appearances", "goals", "team_source", "season_source")

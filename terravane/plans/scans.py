@@ -66,7 +66,19 @@ def positioned_words_scan(spark: SparkSession, d: str) -> DataFrame:
     top = (k % 10 * 9).cast("double")
     word = lambda x, shift, text: F.struct(F.lit(x).alias("x0"), (top + shift).alias("top"), text.alias("text"))
     words = t(spark, d, "supplier").select(F.floor(k / 10).alias("page"), F.explode(F.array(word(250.0, 1.0, k.cast("string")), word(80.0, 0.0, k.cast("string")), word(200.0, 2.0, F.lit("Supplier")))).alias("w")).select("page", "w.*")
-    return markup.positioned_rows(words, ["page"], {"rank": (70.0, 91.0), "name": (150.0, 300.0)})
+    found = markup.positioned_rows(words, ["page"], {"rank": (70.0, 91.0), "name": (150.0, 300.0)}, "rank")
+    return found.select("page", F.floor(F.col("top") / 3).alias("line"), "rank", "name")
+
+
+@query("SELECT s_suppkey // 10 AS page, CAST(s_suppkey % 10 * 7 + 2.9::DOUBLE AS DOUBLE) AS top, CAST(s_suppkey AS VARCHAR) AS rank, s_suppkey % 10 || ' name' AS name FROM supplier")
+def positioned_words_across_bands(spark: SparkSession, d: str) -> DataFrame:
+    """Words a little above and below their rank's word, on either side of any fixed band, and others just out of reach."""
+    k = F.col("s_suppkey")
+    top = (k % 10 * 7).cast("double") + 2.9
+    word = lambda x, shift, text: F.struct(F.lit(x).alias("x0"), (top + shift).alias("top"), text.alias("text"))
+    placed = F.array(word(80.0, 0.0, k.cast("string")), word(160.0, -2.5, (k % 10).cast("string")), word(250.0, 0.2, F.lit("name")), word(260.0, 3.1, F.lit("below")), word(85.0, 3.3, F.lit("no-rank")))
+    words = t(spark, d, "supplier").select(F.floor(k / 10).alias("page"), F.explode(placed).alias("w")).select("page", "w.*")
+    return markup.positioned_rows(words, ["page"], {"rank": (70.0, 91.0), "name": (150.0, 300.0)}, "rank")
 
 
 @query("SELECT n_regionkey, n_nationkey, n_name FROM nation")
@@ -76,6 +88,16 @@ def csv_text_scan(spark: SparkSession, d: str) -> DataFrame:
     return markup.csv_rows(docs, "body", ["n_regionkey"], "n_nationkey int, n_name string")
 
 
+@query("""SELECT s_nationkey, s_suppkey, 'line one' || chr(10) || 'said "' || s_suppkey || '", so' || CASE WHEN s_suppkey % 2 = 0 THEN chr(13) || chr(10) ELSE chr(10) END || 'end' AS note, CASE WHEN s_suppkey % 3 > 0 THEN s_name END AS name FROM supplier""")
+def csv_quoted_records(spark: SparkSession, d: str) -> DataFrame:
+    """Fields with line ends of both kinds, doubled quotes and commas inside quotes; every third name is empty."""
+    k = F.col("s_suppkey").cast("string")
+    mark = F.when(F.col("s_suppkey") % 2 == 0, "\r\n").otherwise("\n")
+    row = F.concat(k, F.lit(',"line one\nsaid ""'), k, F.lit('"", so'), mark, F.lit('end",'), F.when(F.col("s_suppkey") % 3 > 0, F.col("s_name")).otherwise(""))
+    docs = _joined(t(spark, d, "supplier"), "s_nationkey", row, "s_suppkey", "\n").withColumn("body", F.concat(F.lit('key,"a ""note""\nof two lines",name\n\n'), "body"))
+    return markup.csv_rows(docs, "body", ["s_nationkey"], "s_suppkey long, note string, name string")
+
+
 @query("SELECT CAST(row_number() OVER (ORDER BY s_acctbal DESC, s_suppkey) AS INTEGER) AS rank, s_suppkey AS player, s_name AS name, s_acctbal AS points FROM supplier QUALIFY rank <= 10")
 def ranking_cohort_scan(spark: SparkSession, d: str) -> DataFrame:
     s = t(spark, d, "supplier")

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terravane.sources.markup import CSV_OPTIONS, csv_records
+
 
 class MissingColumns(ValueError):
     """A scan lacks required columns."""
@@ -47,7 +49,7 @@ def coalesce_alias(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
 def csv_after_preamble(spark: SparkSession, path: str, header: str, schema: str) -> DataFrame:
     """CSV files whose header row comes after other lines: the rows after the first line that starts with ``header``, under ``schema``.
 
-    The header's names must be those of the schema in its order. A file without the header, or with other names, fails the query when it runs. Blank lines are skipped. A file
+    The header's names must be those of the schema in its order. A file without the header, or with other names, fails the query when it runs. Blank lines are skipped, quoted fields may hold line ends. A file
     is one report and is read whole.
     """
     lines = F.split(F.regexp_replace("value", "^\ufeff", ""), r"\r\n|\r|\n")
@@ -56,10 +58,10 @@ def csv_after_preamble(spark: SparkSession, path: str, header: str, schema: str)
     names = ",".join(f.strip().split()[0] for f in schema.split(","))
     first = F.element_at("lines", F.col("at").cast("int"))
     told = F.when(F.col("at") == 0, F.raise_error(F.concat(F.lit("no header in "), "file"))).when(first != names, F.raise_error(F.concat(F.lit("other columns in "), "file"))).otherwise(
-        F.slice("lines", F.col("at").cast("int") + 1, F.size("lines"))
+        csv_records(F.array_join(F.slice("lines", F.col("at").cast("int") + 1, F.size("lines")), "\n"))
     )
-    body = read.withColumn("at", place).select(F.explode(told).alias("line")).where(F.trim("line") != "")
-    return body.select(F.from_csv("line", schema).alias("r")).select("r.*")
+    body = read.withColumn("at", place).select(F.explode(told).alias("line"))
+    return body.select(F.from_csv("line", schema, CSV_OPTIONS).alias("r")).select("r.*")
 
 
 def zipped_lines(spark: SparkSession, path: str, member: str, encoding: str = "utf-8") -> DataFrame:
@@ -159,8 +161,9 @@ def read_boundaries(spark: SparkSession, path: str, level: str, properties: list
     )
     copies = rows.groupBy("code").agg(F.count("*").alias("_n"))
     bad = F.col("code").isNull() | (F.col("_n") > 1)
-    checked = F.when(bad, F.raise_error(F.concat(F.lit("boundary codes must be unique and not null: "), F.coalesce("code", F.lit("null"))))).otherwise(F.col("code"))
-    return rows.join(copies.withColumnRenamed("code", "_code"), F.col("code").eqNullSafe(F.col("_code"))).select(checked.alias("code"), "name", "adm0_code", "rings")
+    failed = F.raise_error(F.concat(F.lit("boundary codes must be unique and not null: "), F.coalesce("code", F.lit("null")))).cast("boolean")
+    joined = rows.join(copies.withColumnRenamed("code", "_code"), F.col("code").eqNullSafe(F.col("_code")))
+    return joined.where(F.when(bad, failed).otherwise(True)).select("code", "name", "adm0_code", "rings")
 
 
 def markdown_rows(text: Column) -> Column:
@@ -173,32 +176,14 @@ def html_title(html: Column) -> Column:
     return F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
 
 
-def html_cells(html: Column) -> Column:
-    """Table rows of well-formed HTML -> array<array<string>>, tags stripped."""
-    rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), 1)
-    return F.transform(rows, lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), 1), lambda c: F.trim(F.regexp_replace(c, r"<[^>]+>", ""))))
-
-
-def infobox_field(wikitext: Column, name: str) -> Column:
-    """struct<text, title> of an infobox line: the text without comments, references, flags, markup and link marks, ``<br>`` as a comma, and the first linked title; nulls where the field is absent or blank."""
-    line = F.get(F.filter(F.split(wikitext, r"\r?\n"), lambda s: s.rlike(rf"(?i)^\s*\|\s*{name}\s*=")), F.lit(0))
-    raw = F.regexp_replace(F.substr(line, F.instr(line, "=") + 1), r"(?i)<!--.*?-->|<ref\b[^>]*?(?:/>|>.*?</ref>)", "")
-    title = F.trim(F.regexp_extract(raw, r"\[\[([^\]|#]+)", 1))
-    # what is shown of a link, then the parts between breaks and commas without flags, tags and quotes
-    shown = F.regexp_replace(raw, r"\[\[(?:[^\]|]*\|)?([^\]]*)\]\]", "$1")
-    plain = F.regexp_replace(F.regexp_replace(shown, r"(?i)<br\s*/?>", ","), r"(?i)\{\{(?:flag|country)[^}]*\}\}|<[^>]+>|''+", "")
-    parts = F.filter(F.transform(F.split(plain, ","), lambda p: F.trim(p)), lambda p: p != "")
-    return F.struct(F.nullif(F.array_join(parts, ", "), F.lit("")).alias("text"), F.nullif(title, F.lit("")).alias("title"))
-
-
 def write_missing_partitions(df: DataFrame, path: str, by: list[str]) -> None:
-    """Appends the partitions that are not there yet; those that are stay as they are."""
+    """Writes the partitions that are not there yet; those that are stay as they are. A partition is put in place whole, so of two writers at once the later one's stands and no row stands twice."""
     spark = df.sparkSession
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        there = spark.read.option("basePath", path).parquet(path).select(*[F.col(c).cast("string").alias(f"_{c}") for c in by]).distinct()
+        there = spark.read.schema(df.schema).option("basePath", path).parquet(path).select(*[F.col(c).cast("string").alias(f"_{c}") for c in by]).distinct()
         df = df.join(there, reduce(Column.__and__, [F.col(c).cast("string").eqNullSafe(F.col(f"_{c}")) for c in by]), "left_anti")
-    df.write.mode("append").partitionBy(*by).parquet(path)
+    write_partitions(df, path, by)
 
 
 def write_partitions(df: DataFrame, path: str, by: list[str]) -> None:
@@ -211,15 +196,29 @@ def write_both(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(f"{path}/csv")
 
 
+def rename_over(spark: SparkSession, source: str, target: str) -> None:
+    """Puts a finished file in the place of another in one step."""
+    jvm = spark._jvm
+    paths = [jvm.org.apache.hadoop.fs.Path(p) for p in (source, target)]
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(paths[1].getFileSystem(spark._jsc.hadoopConfiguration()).getUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(*[context.makeQualified(p) for p in paths], options)
+
+
 def envelope(records: DataFrame, summary: DataFrame, unresolved: DataFrame, path: str) -> str:
     """Dashboard document as JSON lines by part, so no task gathers all records. Returns the folder of this version.
 
-    The parts are written to a folder of their own and the pointer ``path/current`` is replaced last, so a reader sees all three parts of one version or of the one before.
+    The parts are written to a folder of their own; then a finished pointer file is renamed over ``path/current``, so a reader sees all three parts of one version or of the one before.
     """
     spark, version = records.sparkSession, f"{path}/version-{uuid.uuid4().hex}"
     for name, df in (("records", records), ("summary", summary), ("unresolved", unresolved)):
         df.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{version}/{name}")
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/current")
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{version}/pointer")
+    out = pointer.getFileSystem(spark._jsc.hadoopConfiguration()).create(pointer)
+    out.writeBytes(version)
+    out.close()
+    rename_over(spark, f"{version}/pointer", f"{path}/current")
     return version
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -159,35 +160,109 @@ def text_rows(df: DataFrame, text: str, keep: list[str], pattern: str, names: li
     return df.select(*keep, F.inline(F.arrays_zip(*groups)))
 
 
-def positioned_rows(words: DataFrame, page: list[str], columns: dict[str, tuple[float, float]], line_height: float = 3.0) -> DataFrame:
-    """Words with their places (page, x0, top, text) -> one row per line, the words between two x-coordinates joined into each column, left to right. Words of a line share a band of ``line_height``."""
-    lines = words.withColumn("line", F.floor(F.col("top") / line_height))
-    cells = []
-    for name, (left, right) in columns.items():
-        inside = (F.col("x0") >= left) & (F.col("x0") < right)
-        cells.append(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(inside, F.struct("x0", "text")))), lambda w: w["text"]), " ").alias(name))
-    return lines.groupBy(*page, "line").agg(*cells)
+def positioned_rows(words: DataFrame, page: list[str], columns: dict[str, tuple[float, float]], anchor: str, pattern: str = r"^\d+$", height: float = 3.0) -> DataFrame:
+    """Words with their places (page, x0, top, text) -> a row for every word of the column ``anchor`` that fits ``pattern``: page, its top, and the words of each column on its line.
+
+    A word is on the anchor's line if their tops are less than ``height`` apart; columns are ranges of x0, their words joined left to right. Anchors meet words by
+    the band of their top and its neighbours, so nearness does not depend on where bands begin.
+    """
+    left, right = columns[anchor]
+    band = F.floor(F.col("top") / height)
+    anchors = words.where((F.col("x0") >= left) & (F.col("x0") < right) & F.col("text").rlike(pattern)).select(*page, F.col("top").alias("_top"), F.col("x0").alias("_x0"), F.explode(F.array(band - 1, band, band + 1)).alias("_band"))
+    near = anchors.join(words.withColumn("_band", band), [*page, "_band"]).where(F.abs(F.col("top") - F.col("_top")) < height)
+    cells = [
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when((F.col("x0") >= low) & (F.col("x0") < high), F.struct("x0", "text")))), lambda w: w["text"]), " ").alias(name)
+        for name, (low, high) in columns.items()
+    ]
+    return near.groupBy(*page, "_top", "_x0").agg(*cells).withColumnRenamed("_top", "top").drop("_x0")
+
+
+# two noncharacters that no text holds stand for line ends inside quotes
+_IN_QUOTES = "\ufdd0\ufdd1"
+
+
+def csv_records(text: Column) -> Column:
+    """The records of a CSV text, blank ones left out: lines, joined where a line end stands inside quotes.
+
+    A quote opens or closes, so an odd number of them before a line end leaves it open; a doubled quote closes and opens again.
+    """
+    held = F.transform(F.split(text, '"', -1), lambda part, i: F.when(i % 2 == 1, F.translate(part, "\n\r", _IN_QUOTES)).otherwise(part))
+    lines = F.split(F.array_join(held, '"'), r"\r\n|\r|\n")
+    return F.transform(F.filter(lines, lambda s: F.trim(s) != ""), lambda s: F.translate(s, _IN_QUOTES, "\n\r"))
+
+
+CSV_OPTIONS = {"escape": '"', "maxCharsPerColumn": "-1"}
 
 
 def csv_rows(df: DataFrame, text: str, keep: list[str], schema: str) -> DataFrame:
-    """CSV documents held in a column, header first -> their rows under ``schema`` (the header's names are not compared)."""
-    lines = F.filter(F.slice(F.split(F.regexp_replace(text, "^﻿", ""), r"\r\n|\r|\n"), 2, 1 << 30), lambda s: F.trim(s) != "")
-    return df.select(*keep, F.explode(lines).alias("_line")).select(*keep, F.from_csv("_line", schema).alias("_r")).select(*keep, "_r.*")
+    """CSV documents held in a column, header first -> their rows under ``schema`` (the header's names are not compared). Quoted fields may hold line ends, commas and doubled quotes."""
+    records = F.slice(csv_records(F.regexp_replace(text, "^\ufeff", "")), 2, 1 << 30)
+    return df.select(*keep, F.explode(records).alias("_line")).select(*keep, F.from_csv("_line", schema, CSV_OPTIONS).alias("_r")).select(*keep, "_r.*")
 
 
 def ranking_cohort(rankings: DataFrame, players: DataFrame, date: str, limit: int) -> DataFrame:
     """Rankings (ranking_date, rank, player, points) of one date up to ``limit`` with their players (player_id, name).
 
-    Fails when it runs unless the ranks are exactly 1 to ``limit`` over as many players, and each has its metadata and points.
+    Fails when it runs unless the ranks are exactly 1 to ``limit`` over as many players, and each has its metadata and points; a date without rows fails too. The checks are
+    conditions on the rows, so they hold whichever columns are read.
     """
     some = rankings.where((F.col("ranking_date") == date) & F.col("rank").between(1, limit))
-    whole = some.agg(F.count("*").alias("_n"), F.count_distinct("rank").alias("_r"), F.count_distinct("player").alias("_p"))
+    whole = some.agg(F.count("*").alias("_n"), F.count_distinct("rank").alias("_r"), F.count_distinct("player").alias("_p"))  # one row, of an empty date too
     exact = (F.col("_n") == limit) & (F.col("_r") == limit) & (F.col("_p") == limit)
-    joined = some.crossJoin(whole).join(players, F.col("player") == F.col("player_id"), "left")  # one row of counts
-    told = F.when(~exact, F.raise_error(F.lit(f"expected the exact ranks 1 to {limit}"))).when(
-        F.col("name").isNull() | (F.trim("name") == "") | F.col("points").isNull(), F.raise_error(F.concat(F.lit("incomplete row at rank "), F.col("rank").cast("string")))
-    ).otherwise(F.col("rank"))
-    return joined.select(told.alias("rank"), "player", "name", "points")
+    lacking = F.col("name").isNull() | (F.trim("name") == "") | F.col("points").isNull()
+    joined = whole.join(some.select("rank", "player", "points"), F.lit(True), "left").join(players.select("player_id", "name"), F.col("player") == F.col("player_id"), "left")
+    ok = F.when(~exact, F.raise_error(F.lit(f"expected the exact ranks 1 to {limit}")).cast("boolean")).when(
+        lacking, F.raise_error(F.concat(F.lit("incomplete row at rank "), F.coalesce(F.col("rank").cast("string"), F.lit("none")))).cast("boolean")
+    ).otherwise(True)
+    return joined.where(ok).select("rank", "player", "name", "points")
+
+
+_ENDS = {"[[": "]]", "{{": "}}", "<!--": "-->", "<": ">"}
+
+
+def _shown(raw: str) -> tuple[str, str | None]:
+    """Reads wikitext from left to right: what it shows, and the title of its first link. Links show their label, comments, references, flags and tags show nothing, a line break is a comma."""
+    shown, title, at = [], None, 0
+    while at < len(raw):
+        mark = next((m for m in _ENDS if raw.startswith(m, at)), None)
+        end = raw.find(_ENDS[mark], at + len(mark)) if mark else -1
+        if end < 0:
+            shown.append(raw[at])
+            at += 1
+            continue
+        inner, after = raw[at + len(mark) : end], end + len(_ENDS[mark])
+        name = inner.strip().lower()
+        if mark == "[[":
+            target, _, label = inner.partition("|")
+            shown.append(_shown(label or target)[0])
+            title = title or target.partition("#")[0].strip() or None
+        elif mark == "{{":
+            shown.append("" if name.startswith(("flag", "country")) else raw[at:after])
+        elif mark == "<" and name.startswith("ref") and not name.endswith("/"):
+            close = raw.lower().find("</ref>", after)
+            after = close + len("</ref>") if close >= 0 else after
+        elif mark == "<" and name.rstrip("/ ") == "br":
+            shown.append(",")
+        at = after
+    return "".join(shown), title
+
+
+def _infobox_value(raw: str) -> tuple[str | None, str | None]:
+    """Text and title of a field: quote marks of emphasis go, commas stand tight before and a space after, none at the ends."""
+    shown, title = _shown(raw)
+    text = ", ".join(part.strip() for part in re.sub("'{2,}", "", shown).split(",")).strip(" ,")
+    return text or None, title
+
+
+@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("title", T.StringType())]))
+def _infobox_values(raw: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([(None, None) if v is None else _infobox_value(v) for v in raw], columns=["text", "title"])
+
+
+def infobox_field(wikitext: Column, name: str) -> Column:
+    """struct<text, title> of the first infobox line of that name: what it shows, and the title of its first link; nulls where the field is absent or blank."""
+    line = F.get(F.filter(F.split(wikitext, r"\r?\n"), lambda s: s.rlike(rf"(?i)^[ \t]*\|[ \t]*{name}[ \t]*=")), F.lit(0))
+    return _infobox_values(F.trim(F.substr(line, F.instr(line, "=") + 1)))
 
 
 class Tables:

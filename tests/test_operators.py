@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from terravane.functions import scalar as S
 from terravane.operators import areas as areas_of
 from terravane.operators import explorer, joins, metrics, validate
-from terravane.sources import files
+from terravane.sources import files, markup
 from terravane.streaming import incremental
 
 
@@ -32,7 +32,6 @@ def test_scalars(spark):
     assert v(S.escape_html(F.lit("<a&'\">"))) == "&lt;a&amp;&#39;&quot;&gt;"
     assert v(S.page_title(F.lit("https://en.wikipedia.org/wiki/S%C3%A3o_Paulo"))) == "São Paulo"
     assert v(S.name_key(F.lit("Müller  Anna"))) == "anna muller"
-    assert abs(v(S.sequence_ratio(F.lit("abcd"), F.lit("bcde"))) - 0.75) < 1e-9
 
 
 def test_joins(spark):
@@ -102,11 +101,10 @@ def test_sources(spark, tmp_path):
         files.guard_target("out", {"out": "a"}, "b")
     aliased = spark.createDataFrame([("", "Italy"), ("Spain", "x")], "team string, Country string")
     assert [r.team for r in files.coalesce_alias(aliased, {"team": ["country"]}).collect()] == ["Italy", "Spain"]
-    assert value(spark, files.html_cells(F.lit("<table><tr><th>A</th></tr><tr><td><b>1</b></td></tr></table>"))) == [["A"], ["1"]]
     assert value(spark, files.markdown_rows(F.lit("x\n| a | b |\n|---|---|\n| 1 | 2 |"))) == [["a", "b"], ["1", "2"]]
-    box = value(spark, files.infobox_field(F.lit("{{Info\n| birth_place = {{flag|AUS}} [[Perth|Perth city]]<!-- x --><br/>[[Western Australia]]<ref>r</ref>\n}}"), "birth_place"))
+    box = value(spark, markup.infobox_field(F.lit("{{Info\n| birth_place = {{flag|AUS}} [[Perth|Perth city]]<!-- x --><br/>[[Western Australia]]<ref>r</ref>\n}}"), "birth_place"))
     assert tuple(box) == ("Perth city, Western Australia", "Perth")
-    assert tuple(value(spark, files.infobox_field(F.lit("| birth_place =  \n"), "birth_place"))) == (None, None)
+    assert tuple(value(spark, markup.infobox_field(F.lit("| birth_place =  \n"), "birth_place"))) == (None, None)
 
 
 def test_streaming_equals_batch(spark, tmp_path):
