@@ -249,8 +249,8 @@ def match_deliveries(matches: DataFrame) -> DataFrame:
     A document has ``innings`` of ``overs`` of ``deliveries``; absent lists are empty, super overs are left out, and missing counts are 0. wickets is array<struct<kind, fielders>>; a fielder is a
     name, or an object with one; caught and bowled without a fielder is the bowler's catch.
     """
-    innings = matches.select("match_id", F.expr("explode(cast(variant_get(doc, '$.innings') as array<variant>))").alias("i")).where("NOT coalesce(try_variant_get(i, '$.super_over', 'boolean'), false)")
-    numbered = innings.select("match_id", F.expr("try_variant_get(i, '$.team', 'string')").alias("innings"), F.expr("explode(cast(variant_get(i, '$.overs') as array<variant>))").alias("o"))
+    innings = matches.select("match_id", F.expr("posexplode(cast(variant_get(doc, '$.innings') as array<variant>))").alias("innings", "i")).where("NOT coalesce(try_variant_get(i, '$.super_over', 'boolean'), false)")
+    numbered = innings.select("match_id", "innings", F.expr("explode(cast(variant_get(i, '$.overs') as array<variant>))").alias("o"))
     balls = numbered.select("match_id", "innings", F.expr("explode(cast(variant_get(o, '$.deliveries') as array<variant>))").alias("d"))
     number = lambda path: F.expr(f"coalesce(try_variant_get(d, '$.{path}', 'bigint'), 0L)")
     names = """filter(transform(cast(coalesce(variant_get(w, '$.fielders'), parse_json('[]')) as array<variant>), f -> coalesce(try_variant_get(f, '$.name', 'string'), try_variant_get(f, '$', 'string'))), n -> n is not null and not startswith(n, '{'))"""

@@ -59,11 +59,11 @@ class PageReader(DataSourceReader):
     def partitions(self) -> list[Folders]:
         if self.urls is not None:
             urls = sorted(self.urls, key=page_name)
-            return [Folders((), part) for i in range(self.tasks) if (part := tuple(urls[i :: self.tasks]))]
+            return [Folders((), part) for i in range(self.tasks) if (part := tuple(urls[i :: self.tasks]))] or [Folders(())]
         store, root = _store(self.path)
         found = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
         names = sorted(x.base_name for x in found if x.type == fs.FileType.Directory)
-        return [Folders(part) for i in range(self.tasks) if (part := tuple(names[i :: self.tasks]))]
+        return [Folders(part) for i in range(self.tasks) if (part := tuple(names[i :: self.tasks]))] or [Folders(())]
 
     def read(self, partition: Folders) -> Iterator[pa.RecordBatch]:
         store, root = _store(self.path)
