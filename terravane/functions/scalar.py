@@ -43,8 +43,15 @@ def _decomposed(value: Column, marks: bool) -> Column:
         syllable = F.concat(F.get(F.array(*first), F.floor(place / 588).cast("int")), F.get(F.array(*middle), F.floor(place % 588 / 28).cast("int")), F.get(F.array(*last), (place % 28).cast("int")))
         return F.when(c < "\u0080", c).when(c.between("\uac00", "\ud7a3"), syllable).otherwise(F.coalesce(F.try_element_at(known, c), c))
 
-    some = "[" + "".join(sorted(several)) + "\uac00-\ud7a3]"
-    return F.when(plain.rlike(some), F.array_join(F.transform(F.regexp_extract_all(plain, F.lit("(?s)."), 0), parts), "")).otherwise(plain)
+    runs: list[list[str]] = []
+    for letter in sorted(several):
+        if runs and ord(letter) == ord(runs[-1][1]) + 1:
+            runs[-1][1] = letter
+        else:
+            runs.append([letter, letter])
+    some = "[" + "".join(f"{a}-{b}" for a, b in runs) + "\uac00-\ud7a3]"
+    wide = F.when(plain.rlike(some), F.array_join(F.transform(F.regexp_extract_all(plain, F.lit("(?s)."), 0), parts), "")).otherwise(plain)
+    return F.when(value.rlike("[^\\x00-\\x7F]"), wide).otherwise(value)  # ASCII texts are as they are
 
 
 def fold_accents(value: Column) -> Column:
