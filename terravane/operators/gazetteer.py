@@ -55,10 +55,11 @@ def resolve_places(requests: DataFrame, places: DataFrame, countries: DataFrame,
     else:
         asked = asked.withColumn("area_key", key(F.col("area"))).join(areas.withColumnRenamed("admin1", "wanted"), ["country_code", "area_key"], "left")
         held = F.col("p.admin1")
-    index = alias_index(places, key, asked)
+    order = F.struct(F.coalesce("population", F.lit(0)).alias("n"), (-F.col("line")).alias("l"), "place_id", "lat", "lon", "country_code", "admin1")
+    # the best place of a name in each area is found before requests meet it, so a name of very many places is a few rows
+    index = alias_index(places, key, asked).groupBy("key", "country_code", "admin1").agg(F.max(order).alias("b"), F.count("*").alias("m"))
     met = asked.alias("q").join(index.alias("p"), (F.col("q.key") == F.col("p.key")) & (F.col("q.country_code") == F.col("p.country_code")))
     fits = met.where(F.col("wanted").isNull() | (held == F.col("wanted")))
-    order = F.struct(F.coalesce(F.col("p.population"), F.lit(0)).alias("n"), (-F.col("p.line")).alias("l"), F.col("p.place_id").alias("place_id"), "p.lat", "p.lon", F.col("p.country_code").alias("country_code"), F.col("p.admin1").alias("admin1"))
-    best = fits.groupBy(request_id).agg(F.max(order).alias("b"), F.count("*").alias("candidates"))
+    best = fits.groupBy(request_id).agg(F.max("p.b").alias("b"), F.sum("p.m").alias("candidates"))
     found = best.select(request_id, "b.place_id", F.round("b.lat", 6).alias("lat"), F.round("b.lon", 6).alias("lon"), "b.country_code", "b.admin1", "candidates")
     return requests.select(request_id).join(found, request_id, "left").withColumn("candidates", F.coalesce("candidates", F.lit(0)).cast("long"))
