@@ -2,7 +2,7 @@
 
 A benchmark item of n words is looked for in document windows of n words. A window that reaches the similarity holds some of
 the item's rarest shingles (its prefix, below), so documents and items meet there first; each pair's windows are then
-those that put a shared shingle at its place in the item. Windows and items get two SimHashes, one over weighted and one over plain
+those that put a shared shingle at its place in the item. Places of a shingle in even steps are one run on both sides, and two runs give one sequence of windows, so repeated words cost a document's windows and not its places times the item's. Windows and items get two SimHashes, one over weighted and one over plain
 shingles. Fingerprints are cut into radius + 1 blocks, of which at least one is equal whenever two differ in no more than
 radius bits: the equi-join on blocks brings together every window and its item within the radius in either fingerprint. Each
 such pair is verified by its exact shingle similarity: the sum of the smaller weights over the sum of the larger ones.
@@ -10,7 +10,7 @@ such pair is verified by its exact shingle similarity: the sum of the smaller we
 A shingle weighs one over the number of different item texts that hold it, so what many items share counts little; a shingle that
 no item holds weighs one. As that would let new words outweigh a shared stem, a pair also passes by its plain similarity, in which every
 shingle weighs one. A feature enters a SimHash with the root of its weight: then two sets of similarity J have an angle whose
-cosine is at least 2 J / (1 + J), whatever the weights, and a pair at 0.8 differs in more than 22 of 64 bits about once in 10^4.
+cosine is at least 2 J / (1 + J), whatever the weights, and a pair at 0.8 lies within 28 of 64 bits (of 40,000 simulated ones all do; at 22 bits about one in 10^4 does not).
 
 Documents meet the items' shingles through Bloom filters, constants of the plan of at most ``FILTER_BITS`` bits at every benchmark
 size: only documents that may hold a prefix shingle, and of them only the positions that may hold any, go on. What the filters let through by chance the joins drop;
@@ -109,6 +109,33 @@ def _blocks(radius: int) -> Column:
     return F.expr(f"array({', '.join(parts)})")
 
 
+def runs(rows: DataFrame, keys: list[str], at: str) -> DataFrame:
+    """(keys, at) with distinct positions -> (keys, lo, hi, step, n): positions of a key that follow one another in even steps are one row, so a repeated word is one run however often it stands."""
+    order = Window.partitionBy(*keys).orderBy(at)
+    gaps = rows.select(*keys, at, (F.col(at) - F.lag(at).over(order)).alias("gap"))
+    turns = gaps.withColumn("turn", F.coalesce(F.col("gap") != F.lag("gap").over(order), F.lit(False)).cast("int"))
+    numbered = turns.withColumn("run", F.sum("turn").over(order))
+    found = numbered.groupBy(*keys, "run").agg(F.min(at).alias("lo"), F.max(at).alias("hi"), F.count("*").alias("n"))
+    step = F.when(F.col("n") > 1, (F.col("hi") - F.col("lo")) / (F.col("n") - 1)).otherwise(1).cast("int")
+    return found.select(*keys, "lo", "hi", step.alias("step"), "n")
+
+
+def _starts() -> Column:
+    """The parts of an item's run that meet a document's run in one even sequence of starts: the whole run, or its single places where the steps differ."""
+    even = (F.col("n") == 1) | (F.col("item_n") == 1) | (F.col("step") == F.col("item_step"))
+    whole = F.array(F.struct(F.col("item_lo").alias("lo"), F.col("item_hi").alias("hi")))
+    single = F.transform(F.sequence("item_lo", "item_hi", "item_step"), lambda q: F.struct(q.alias("lo"), q.alias("hi")))
+    return F.when(even, whole).otherwise(single)
+
+
+def _clamped() -> Column:
+    """The distinct first words of the windows that put a place of the run at a place of the part."""
+    by = F.when(F.col("n") > 1, F.col("step")).otherwise(F.col("item_step"))
+    last = F.greatest(F.col("doc_words") - F.col("n_words"), F.lit(0))
+    starts = F.sequence(F.col("lo") - F.col("part.hi"), F.col("hi") - F.col("part.lo"), by)
+    return F.array_distinct(F.transform(starts, lambda x: F.greatest(F.least(x, last), F.lit(0))))
+
+
 def prefixes(items: DataFrame, similarity: float) -> DataFrame:
     """(item_id, size, h): the rarest shingles of each item, as many that what is left over cannot reach ``similarity`` alone, weighted or plain."""
     order = Window.partitionBy("item_id").orderBy("holders", "h", "item_pos")
@@ -123,7 +150,7 @@ def prefixes(items: DataFrame, similarity: float) -> DataFrame:
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, shingle_words: int = 5, similarity: float = 0.8, radius: int = 22, id_type: str = "long"
+    docs: DataFrame, benchmark: DataFrame, shingle_words: int = 5, similarity: float = 0.8, radius: int = 28, id_type: str = "long"
 ) -> DataFrame:
     """documents, benchmark -> (doc_id, item_id, start_word, n_words, similarity): the best window of each pair that reaches ``similarity``, weighted or plain; the larger one is told, to nine digits.
 
@@ -150,20 +177,22 @@ def contaminated(
         return hashed.select(*doc, F.size("w").alias("doc_words"), F.lit(size).alias("size"), F.inline(F.filter(at, lambda x: may(x["h"]))))
 
     hits = staged(reduce(DataFrame.unionByName, [seen(size) for size in sizes]), "decontam-hits")
-    pairs = staged(hits.select(*doc, "size", "h").distinct().join(first, ["size", "h"]).select(*doc, "item_id").distinct(), "decontam-pairs")
-    shared = staged(
-        pairs.join(items.select("item_id", "size", "n_words", "item_pos", "h", "weight"), "item_id").join(hits, [*doc, "size", "h"])
-        .select(*doc, "doc_words", "pos", "item_id", "size", "n_words", "item_pos", "weight"),
-        "decontam-shared",
-    )
+    told = hits.select(*doc, "size", "h").distinct()
+    pairs = staged(told.join(first, ["size", "h"]).select(*doc, "item_id").distinct(), "decontam-pairs")
     # a pair whose shared weight and count are below similarity times the item's cannot pass: shared / larger sum <= shared / item sum
     needed = items.groupBy("item_id").agg(F.sum("weight").alias("item_total"), F.count("*").alias("item_n"))
-    sums = shared.select(*doc, "item_id", "item_pos", "weight").distinct().groupBy(*doc, "item_id").agg(F.sum("weight").alias("shared"), F.count("*").alias("shared_n"))
-    able = sums.join(needed, "item_id").where((F.col("shared") >= F.col("item_total") * similarity - 1e-9) | (F.col("shared_n") >= F.col("item_n") * similarity - 1e-9)).select(*doc, "item_id")
-    last = F.greatest(F.col("doc_words") - F.col("n_words"), F.lit(0))
-    start = F.greatest(F.least(F.col("pos") - F.col("item_pos"), last), F.lit(0))
+    shared = pairs.join(items.select("item_id", "size", "h", "weight"), "item_id").join(told, [*doc, "size", "h"])
+    sums = shared.groupBy(*doc, "item_id").agg(F.sum("weight").alias("shared"), F.count("*").alias("shared_n"))
+    able = staged(
+        sums.join(needed, "item_id").where((F.col("shared") >= F.col("item_total") * similarity - 1e-9) | (F.col("shared_n") >= F.col("item_n") * similarity - 1e-9)).select(*doc, "item_id"),
+        "decontam-shared",
+    )
+    here = runs(hits.join(able, doc, "left_semi"), [*doc, "doc_words", "size", "h"], "pos")
+    there = runs(items.select("item_id", "size", "n_words", "h", "item_pos").distinct(), ["item_id", "size", "n_words", "h"], "item_pos")
+    there = there.select("item_id", "size", "n_words", "h", *[F.col(c).alias(f"item_{c}") for c in ("lo", "hi", "step", "n")])
+    met = able.join(there, "item_id").join(here, [*doc, "size", "h"])
     key = [*doc, "size", "n_words", "start_word"]
-    windows = staged(shared.join(able, [*doc, "item_id"], "left_semi").select(*doc, "item_id", "size", "n_words", start.alias("start_word")).distinct(), "decontam-windows")
+    windows = staged(met.select(*doc, "item_id", "size", "n_words", F.explode(_starts()).alias("part"), "doc_words", "lo", "hi", "step", "n", "item_step").select(*doc, "item_id", "size", "n_words", F.explode(_clamped()).alias("start_word")).distinct(), "decontam-windows")
     wanted = windows.groupBy(*doc).agg(F.collect_set(F.struct("size", "n_words", "start_word")).alias("windows"))
     again = hashed.join(wanted, doc).select(*doc, "w", F.explode("windows").alias("window"))
     cut = again.select(*doc, "window.*", F.slice(F.col("w"), F.col("window.start_word") + 1, F.col("window.n_words")).alias("part"))
