@@ -9,8 +9,9 @@ probability 0.99995, one of 0.9 always but for one in 10^9. No other step loses
 Cells are joined to their smallest text by equi-joins, whose classes are the candidate classes. A text's set is
 shipped once to its candidate class and compared there with the texts it shares a cell with, less those already
 linked to it. Candidate classes of more than ``block_rows`` texts are first compared with one pivot; texts linked to it need
-no comparison with one another, and the others are dealt into blocks that every text of the class passes by, in lanes of about ``block_rows`` texts, so no task
-holds or reads many more than ``block_rows`` sets of a class at a time and none is left out.
+no comparison with one another, and the others are a block that every text of the class passes by. As cells chain, a class can grow with the corpus: where more than ``block_rows``
+texts are unlike the pivot, sets are filed by cell instead, at most once for each of a text's 26 cells, and only a cell of more than ``block_rows`` texts is cut: by a pivot of its own, then into blocks
+that the cell's texts pass by in lanes of about ``block_rows``. So no task holds or reads many more than ``block_rows`` sets at a time and none is left out.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terravane.llm import simhash
@@ -144,6 +145,49 @@ def _compare(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[p
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
+def _alike(a: str, b: str, similarity: float) -> Column:
+    both = F.size(F.array_intersect(a, b))
+    return both >= similarity * (F.size(a) + F.size(b) - both) - 1e-9
+
+
+def _by_cell(members: DataFrame, sets: DataFrame, similarity: float, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(body, cell, near) -> rows to place, keyed by cell, and the links (a, b) found on the way.
+
+    Cells of one text or of near texts only need no comparison, and of cells with the same texts one is kept. A cell of more than ``block_rows`` texts has a pivot of its own, unless
+    most of its texts are near already.
+    """
+    sized = members.groupBy("cell").agg(
+        F.count("*").alias("total"), F.count_if(~F.col("near")).alias("rest"), F.min(F.when(~F.col("near"), F.col("body"))).alias("pivot"),
+        F.expr("bit_xor(xxhash64(body))").alias("x"), F.expr("bit_xor(xxhash64(body, 1))").alias("y"),
+    )
+    same = sized.where("total > 1 AND rest > 0").groupBy("total", "x", "y").agg(F.min(F.struct("cell", "rest", "pivot")).alias("kept"))
+    kept = staged(same.select("total", "kept.*"), "nearcopies-kept")
+    inside = staged(members.join(kept, "cell"), "nearcopies-inside")
+    own = (F.col("total") > block_rows) & (F.col("rest") * 2 > F.col("total"))
+    pivots = staged(kept.where(own).select("cell", F.col("pivot").alias("body")).join(sets.select("body", F.col("held").alias("pivot_held")), "body").select("cell", "pivot_held"), "nearcopies-cell-pivots")
+    again = inside.where(own).join(sets.select("body", "held"), "body").join(pivots, "cell").select("cell", "body", "pivot", "total", _alike("held", "pivot_held", similarity).alias("near"))
+    again = staged(again, "nearcopies-cell-near")
+    linked = again.where("near AND body <> pivot").select(F.col("body").alias("a"), F.col("pivot").alias("b"))
+    left = again.groupBy("cell").agg(F.count_if(~F.col("near")).alias("rest"))
+    settled = again.join(left, "cell").select("cell", "near", "rest", "total", "body")
+    rows = inside.where(~own).select("cell", "near", "rest", "total", "body").unionByName(settled).where("rest > 0")
+    return rows.join(sets.select("body", "cells", "held"), "body").withColumnRenamed("cell", "root"), linked
+
+
+def _blocks(rows: DataFrame, block_rows: int) -> DataFrame:
+    """(root, near, rest, total, body, cells, held) -> (root, block, probe, body, cells, held).
+
+    The texts that are not near are dealt into blocks, where each is filed once; it passes by the blocks before its own, and near texts pass by all. What passes by a
+    block is dealt into lanes, and each lane holds the block's filed sets, so no task reads a root of very many texts. A total of 0 is a root of one block and one lane.
+    """
+    blocks, lanes = F.ceil(F.col("rest") / block_rows).cast("long"), F.greatest(F.ceil(F.col("total") / block_rows).cast("long"), F.lit(1).cast("long"))
+    home = F.when(F.col("near"), blocks).when(blocks > 0, F.pmod(F.xxhash64("body"), blocks)).otherwise(0)
+    dealt = rows.withColumn("lanes", lanes).withColumn("home", home).withColumn("last", F.when(F.col("near"), blocks - 1).otherwise(F.col("home"))).where("last >= 0")
+    met = dealt.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), "last"))).withColumn("probe", F.expr("if(at = home, 0, 1)"))
+    lane = F.when(F.col("probe") == 0, F.sequence(F.lit(0).cast("long"), F.col("lanes") - 1)).otherwise(F.array(F.pmod(F.xxhash64("body", F.lit(1)), F.col("lanes"))))
+    return met.withColumn("lane", F.explode(lane)).select("root", (F.col("at") * F.col("lanes") + F.col("lane")).alias("block"), "probe", "body", "cells", "held")
+
+
 def links(texts: DataFrame, sketch: DataFrame, shingle_words: int = 5, similarity: float = 0.8, block_rows: int = 512) -> DataFrame:
     """(doc_id, body, text), (body, first_id, cells) with distinct bodies, the SimHash class's cell last, -> (a, b): links whose classes are those of all compared pairs that reach ``similarity``."""
     grid = sketch.select("body", F.explode("cells").alias("cell"))
@@ -156,24 +200,22 @@ def links(texts: DataFrame, sketch: DataFrame, shingle_words: int = 5, similarit
     wanted = texts.join(held, one).dropDuplicates(["body"]).select("body", "root", "class_cell", "text")
     sets = staged(wanted.mapInArrow(lambda it: _sets(it, shingle_words), "body long, root long, cells array<long>, held array<long>"), "nearcopies-sets")
     hot = staged(member.groupBy("root").count().where(F.col("count") > block_rows).select("root"), "nearcopies-hot")
-    order = ["root", "block", "probe", "body", "cells", "held"]
-    if hot.isEmpty():
-        placed, pivoted = sets.select("root", F.lit(0).alias("block"), F.lit(0).alias("probe"), "body", "cells", "held"), None
-    else:
+    columns = ["root", "near", "rest", "total", "body", "cells", "held"]
+    # a small class is one block of texts that are all filed
+    placed, pivoted = sets.select("root", F.lit(False).alias("near"), F.lit(0).cast("long").alias("rest"), F.lit(0).cast("long").alias("total"), "body", "cells", "held"), None
+    if not hot.isEmpty():
         pivot = sets.where("body = root").join(hot, "root").select("root", F.col("held").alias("pivot"))
-        both = F.size(F.array_intersect("held", "pivot"))
-        near = both >= similarity * (F.size("held") + F.size("pivot") - both) - 1e-9
-        told = staged(sets.join(pivot, "root").select("body", "root", near.alias("near")), "nearcopies-pivot")
+        told = staged(sets.join(pivot, "root").select("body", "root", _alike("held", "pivot", similarity).alias("near")), "nearcopies-pivot")
         pivoted = told.where("near AND body <> root").select(F.col("body").alias("a"), F.col("root").alias("b"))
-        blocks = told.groupBy("root").agg(F.ceil(F.count_if(~F.col("near")) / block_rows).cast("long").alias("blocks"), F.ceil(F.count("*") / block_rows).cast("long").alias("lanes"))
-        spread = sets.join(told.select("body", "near"), "body", "left").join(staged(blocks, "nearcopies-blocks"), "root", "left")
-        home = F.when(F.col("blocks").isNull(), 0).when(F.col("near"), F.col("blocks")).otherwise(F.pmod(F.xxhash64("body"), F.col("blocks")))
-        end = F.when(F.col("near"), F.col("blocks") - 1).otherwise(home)
-        spread = spread.withColumn("home", home).withColumn("last", end).where("last >= 0")
-        met = spread.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), "last"))).withColumn("probe", F.expr("if(at = home, 0, 1)")).withColumn("lanes", F.coalesce("lanes", F.lit(1).cast("long")))
-        # what passes by a block is dealt into lanes, and each lane holds the block's filed sets: no task reads a class of very many texts
-        lane = F.when(F.col("probe") == 0, F.sequence(F.lit(0).cast("long"), F.col("lanes") - 1)).otherwise(F.array(F.pmod(F.xxhash64("body", F.lit(1)), F.col("lanes"))))
-        placed = met.withColumn("lane", F.explode(lane)).withColumn("block", F.col("at") * F.col("lanes") + F.col("lane")).select(*order)
+        counts = staged(told.groupBy("root").agg(F.count_if(~F.col("near")).alias("rest"), F.count("*").alias("total")), "nearcopies-blocks")
+        # where many texts are unlike the pivot a class is cut into its cells
+        wide = counts.where(F.col("rest") > block_rows).select("root", F.lit(True).alias("wide"))
+        spread = sets.join(told.select("body", "near"), "body", "left").join(counts.join(wide, "root", "left"), "root", "left").where("wide IS NULL")
+        placed = spread.select("root", F.coalesce("near", F.lit(False)).alias("near"), F.coalesce("rest", F.lit(0)).alias("rest"), F.coalesce("total", F.lit(0)).alias("total"), "body", "cells", "held")
+        in_cells = staged(grid.join(told.join(wide, "root").select("body", "near"), "body"), "nearcopies-wide")
+        filed, linked = _by_cell(in_cells, sets, similarity, block_rows)
+        placed, pivoted = placed.unionByName(filed.select(*columns)), pivoted.unionByName(linked)
+    placed = _blocks(placed, block_rows)
     dealt = placed.repartition("root", "block").sortWithinPartitions("root", "block", "probe")
     found = dealt.mapInArrow(lambda it: _compare(it, similarity), "a long, b long")
     return found.unionByName(pivoted) if pivoted is not None else found

@@ -486,6 +486,55 @@ def test_near_copies_against_brute_force(spark, block_rows):
     assert got == {i: find(parent, i) for i in parent} and len(set(got.values())) < len(texts) - 20
 
 
+def chain(n, step):
+    """n texts of 60 words, each shifted by ``step`` words against the one before: neighbours are near copies, distant ones share nothing."""
+    words = [f"c{i}" for i in range(60 + n * step)]
+    return [" ".join(words[i * step : i * step + 60]) for i in range(n)]
+
+
+def test_near_copies_of_a_chain_are_compared_by_cell(spark, monkeypatch):
+    placed, real = [], nearcopies._blocks
+
+    def counted(rows, block_rows):
+        found = real(rows, block_rows)
+        placed.append(found.count())
+        return found
+
+    monkeypatch.setattr(nearcopies, "_blocks", counted)
+    for n in (150, 600):
+        owned, classes = nearcopies.near_copies(docs_of(spark, list(enumerate(chain(n, 3)))), block_rows=20)
+        assert {r.component_id for r in owned.join(classes, "body").collect()} == {0}
+    assert placed[1] < 4.6 * placed[0], placed  # sets that travel grow with the class, not with its square
+
+
+def test_near_copies_in_one_hot_cell(spark):
+    rng = random.Random(30)
+    texts = []
+    for group in range(12):
+        base = [f"h{rng.randrange(3000)}" for _ in range(50)]
+        for _ in range(3 if group else 90):
+            copy = list(base)
+            copy[rng.randrange(50)] = f"h{rng.randrange(3000)}"
+            texts.append(" ".join(copy))
+    texts += chain(60, 3)
+    docs = docs_of(spark, list(enumerate(texts))).withColumn("body", F.xxhash64("text")).select("doc_id", "body", "text")
+    # every text stands in one cell, whatever its bands say
+    sketch = docs.select("body", F.col("doc_id").alias("first_id"), F.array(F.lit(1).cast("long"), F.lit(7).cast("long")).alias("cells"))
+    for block_rows in (16, 10_000):
+        found = nearcopies.links(docs, sketch, block_rows=block_rows)
+        root = {r.node: r.root for r in components(found).collect()}
+        body = {r.doc_id: r.body for r in docs.select("doc_id", "body").collect()}
+        sets, parent = [five(t) for t in texts], {i: i for i in range(len(texts))}
+        for i in parent:
+            for j in range(i):
+                if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                    u, v = find(parent, i), find(parent, j)
+                    parent[max(u, v)] = min(u, v)
+        got = [root.get(body[i], body[i]) for i in parent]
+        same = [find(parent, i) for i in parent]
+        assert len(set(zip(got, same, strict=True))) == len(set(got)) == len(set(same))
+
+
 def test_pipeline_drops_loose_near_copies(spark, tmp_path):
     rng = random.Random(10)
     base = [f"w{rng.randrange(5000)}" for _ in range(80)]
