@@ -9,8 +9,8 @@ probability 0.99995, one of 0.9 always but for one in 10^9. No other step loses
 Cells are joined to their smallest text by equi-joins, whose classes are the candidate classes. A text's set is
 shipped once to its candidate class and compared there with the texts it shares a cell with, less those already
 linked to it. Candidate classes of more than ``block_rows`` texts are first compared with one pivot; texts linked to it need
-no comparison with one another, and the others are a block that every text of the class passes by. As cells chain, a class can grow with the corpus: where more than ``block_rows``
-texts are unlike the pivot, sets are filed by cell instead, at most once for each of a text's 26 cells, and only a cell of more than ``block_rows`` texts is cut: by a pivot of its own, then into blocks
+no comparison with one another, and the others are dealt into blocks that every text of the class passes by. As cells chain, a class can grow with the corpus: where the texts unlike the pivot would
+make more blocks than a text has cells (26), sets are filed by cell instead, at most once for each cell, and only a cell of more than ``block_rows`` texts is cut: by a pivot of its own, then into blocks
 that the cell's texts pass by in lanes of about ``block_rows``. So no task holds or reads many more than ``block_rows`` sets at a time and none is left out.
 """
 
@@ -208,8 +208,8 @@ def links(texts: DataFrame, sketch: DataFrame, shingle_words: int = 5, similarit
         told = staged(sets.join(pivot, "root").select("body", "root", _alike("held", "pivot", similarity).alias("near")), "nearcopies-pivot")
         pivoted = told.where("near AND body <> root").select(F.col("body").alias("a"), F.col("root").alias("b"))
         counts = staged(told.groupBy("root").agg(F.count_if(~F.col("near")).alias("rest"), F.count("*").alias("total")), "nearcopies-blocks")
-        # where many texts are unlike the pivot a class is cut into its cells
-        wide = counts.where(F.col("rest") > block_rows).select("root", F.lit(True).alias("wide"))
+        # a text passes by every block, or stands in each of its cells: with more blocks than cells a class is cut by its cells
+        wide = counts.where(F.ceil(F.col("rest") / block_rows) > BANDS + 1).select("root", F.lit(True).alias("wide"))
         spread = sets.join(told.select("body", "near"), "body", "left").join(counts.join(wide, "root", "left"), "root", "left").where("wide IS NULL")
         placed = spread.select("root", F.coalesce("near", F.lit(False)).alias("near"), F.coalesce("rest", F.lit(0)).alias("rest"), F.coalesce("total", F.lit(0)).alias("total"), "body", "cells", "held")
         in_cells = staged(grid.join(told.join(wide, "root").select("body", "near"), "body"), "nearcopies-wide")

@@ -502,7 +502,7 @@ def test_near_copies_of_a_chain_are_compared_by_cell(spark, monkeypatch):
 
     monkeypatch.setattr(nearcopies, "_blocks", counted)
     for n in (150, 600):
-        owned, classes = nearcopies.near_copies(docs_of(spark, list(enumerate(chain(n, 3)))), block_rows=20)
+        owned, classes = nearcopies.near_copies(docs_of(spark, list(enumerate(chain(n, 3)))), block_rows=4)
         assert {r.component_id for r in owned.join(classes, "body").collect()} == {0}
     assert placed[1] < 4.6 * placed[0], placed  # sets that travel grow with the class, not with its square
 
@@ -520,7 +520,7 @@ def test_near_copies_in_one_hot_cell(spark):
     docs = docs_of(spark, list(enumerate(texts))).withColumn("body", F.xxhash64("text")).select("doc_id", "body", "text")
     # every text stands in one cell, whatever its bands say
     sketch = docs.select("body", F.col("doc_id").alias("first_id"), F.array(F.lit(1).cast("long"), F.lit(7).cast("long")).alias("cells"))
-    for block_rows in (16, 10_000):
+    for block_rows in (3, 10_000):
         found = nearcopies.links(docs, sketch, block_rows=block_rows)
         root = {r.node: r.root for r in components(found).collect()}
         body = {r.doc_id: r.body for r in docs.select("doc_id", "body").collect()}
