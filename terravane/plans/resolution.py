@@ -48,9 +48,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY left_id ORDER BY tier, days, rig
 SELECT left_id, right_id, CAST(tier AS INTEGER) AS tier, CAST(days AS INTEGER) AS days FROM r WHERE k = 1""")
 def exact_and_window_candidates(spark: SparkSession, d: str) -> DataFrame:
     """Each customer's first candidate by the exact and the date-window passes."""
-    found = resolve.cascade_candidates(_bouts(spark, d), _details(spark, d), fuzzy=False)
-    best = found.groupBy("left_id").agg(F.min(F.struct("tier", "days", "right_id")).alias("b"))
-    return best.select("left_id", "b.right_id", "b.tier", "b.days")
+    return resolve.first_candidates(_bouts(spark, d), _details(spark, d))
 
 
 @query("""WITH r AS (SELECT s_suppkey AS roster_id, lower(replace(s_name, '#', '')) || CASE WHEN s_suppkey % 7 = 0 THEN 'jr' ELSE '' END AS full_key, lower(replace(s_name, '#', '')) AS bare FROM supplier),

@@ -320,3 +320,28 @@ def test_names_meet_one_row_a_tier(spark):
     found = resolve.name_variants(short, roster)
     assert {(r.short_id, r.tier, r.candidates, r.status) for r in found.collect()} == {(i, 3, 100, "ambiguous") for i in range(100)}
     assert 0 < joined_rows(found) < 2_000
+
+
+def test_first_candidates_meet_one_right_row_a_name_and_day(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from terravane.operators import resolve
+
+    day = lambda i: dt.date(2025, 1, 1 + i % 4)
+    left = spark.createDataFrame([(i, i, "ana", f"x{i % 7}", day(i)) for i in range(120)], "left_id long, left_order long, a string, b string, day date")
+    right = spark.createDataFrame([(i, i, f"x{i % 7}" if i % 3 else "z", "ana", day(i // 2)) for i in range(110)], "right_id long, right_order long, c string, d string, on date")
+    found = resolve.first_candidates(left, right)
+    best = resolve.cascade_candidates(left, right, fuzzy=False).groupBy("left_id").agg(F.min(F.struct("tier", "days", "right_id")).alias("b"))
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in best.select("left_id", "b.right_id", "b.tier", "b.days").collect()}
+    assert 0 < joined_rows(found) < 3_000
+
+
+def test_window_candidates_query_joins_few_rows(spark, tmp_path):
+    from terravane.plans import resolution
+
+    spark.range(600).selectExpr("id AS c_custkey", "'Customer#1' AS c_name", "0 AS c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(500).selectExpr("id AS s_suppkey", "'Supplier#1' AS s_name", "0 AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    found = resolution.exact_and_window_candidates(spark, str(tmp_path))
+    assert 0 < joined_rows(found) < 3_000 and found.where("tier = 1").count() == 600
