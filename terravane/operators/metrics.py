@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from terravane.functions.scalar import attempted, landed, whole_int
 from terravane.operators.joins import many_to_one
+from terravane.operators.lineage import cut
 
 
 def total(c: Column | str) -> Column:
@@ -47,14 +48,27 @@ def normalised_entropy(counts: DataFrame, by: str, n: str) -> DataFrame:
     )
 
 
+def _placed(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """(by, _v, _m, _end, _n): each group's different values with their counts, the running count up to them and the group's count. Nulls are left out.
+
+    Values are dealt to tasks by range, and each range is given the count of all before it, so no task reads a group's values.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_m"))
+    dealt = cut(counts.repartitionByRange(*by, "_v").withColumn("_part", F.spark_partition_id()))
+    ranges = dealt.groupBy(*by, "_part").agg(F.sum("_m").alias("_s"))
+    group = Window.partitionBy(*[f"_by{i}" for i in range(len(by))])
+    before = ranges.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("_part").alias("_p"), "_s").withColumn("_before", F.sum("_s").over(group.orderBy("_p")) - F.col("_s")).withColumn("_n", F.sum("_s").over(group))
+    here = dealt.withColumn("_end", F.sum("_m").over(Window.partitionBy(*by, "_part").orderBy("_v")))
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)], F.col("_part") == F.col("_p"))
+    return here.join(before, same).select(*by, "_v", "_m", (F.col("_end") + F.col("_before")).alias("_end"), "_n")
+
+
 def ranked_quantiles(df: DataFrame, by: list[str], value: str, named: dict[str, tuple[float, str]]) -> DataFrame:
     """name -> (q, rule) quantiles of each group, by counts of equal values and their running sum: no task holds a group's rows.
 
     ``nearest`` is the element at round((n - 1) q), halves up, of the sorted values, ``floor`` the one at floor((n - 1) q). Nulls are left out; a group without a value has no row.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_m"))
-    ordered = Window.partitionBy(*by).orderBy("_v")
-    placed = counts.withColumn("_end", F.sum("_m").over(ordered)).withColumn("_n", F.sum("_m").over(Window.partitionBy(*by)))
+    placed = _placed(df, by, value)
     out = []
     for name, (q, rule) in named.items():
         place = F.floor((F.col("_n") - 1) * q + (0.5 if rule == "nearest" else 0.0))
@@ -63,9 +77,8 @@ def ranked_quantiles(df: DataFrame, by: list[str], value: str, named: dict[str,
 
 
 def linear_quantiles(df: DataFrame, by: str, value: str, named: dict[str, float]) -> DataFrame:
-    """name -> q: quantiles of each group between the two nearest elements, by counts of equal values and their running sum; a window that is too large for memory spills."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(by, F.col(value).alias("_v")).agg(F.count("*").alias("_m"))
-    placed = counts.withColumn("_end", F.sum("_m").over(Window.partitionBy(by).orderBy("_v"))).withColumn("_n", F.sum("_m").over(Window.partitionBy(by)))
+    """name -> q: quantiles of each group between the two nearest elements, by counts of equal values and their running sum."""
+    placed = _placed(df, [by], value)
     out = []
     for name, q in named.items():
         at = (F.col("_n") - 1) * q

@@ -227,9 +227,12 @@ def cell_rates_stable(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT l_returnflag AS g, median(l_quantity) AS med, round(quantile_cont(l_extendedprice, 0.25), 4) AS q25, round(quantile_cont(l_extendedprice, 0.75), 4) AS q75 FROM lineitem GROUP BY 1")
 def median_and_linear_quantiles(spark: SparkSession, d: str) -> DataFrame:
-    return t(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("g")).agg(
-        F.median("l_quantity").alias("med"), F.round(metrics.quantile_linear("l_extendedprice", 0.25), 4).alias("q25"), F.round(metrics.quantile_linear("l_extendedprice", 0.75), 4).alias("q75")
-    )
+    rows = t(spark, d, "lineitem").select(F.col("l_returnflag").alias("g"), "l_quantity", "l_extendedprice")
+    middle = metrics.linear_quantiles(rows, "g", "l_quantity", {"med": 0.5}).withColumnRenamed("g", "_g")
+    price = metrics.linear_quantiles(rows, "g", "l_extendedprice", {"q25": 0.25, "q75": 0.75}).withColumnRenamed("g", "_h")
+    groups = rows.select("g").distinct()  # one without a value stays
+    told = groups.join(middle, F.col("g").eqNullSafe(F.col("_g")), "left").join(price, F.col("g").eqNullSafe(F.col("_h")), "left")
+    return told.select("g", "med", F.round("q25", 4).alias("q25"), F.round("q75", 4).alias("q75"))
 
 
 @query("""WITH s AS (SELECT event_type AS g, list_sort(list(value)) AS v FROM events WHERE value IS NOT NULL GROUP BY 1)

@@ -345,3 +345,26 @@ def test_window_candidates_query_joins_few_rows(spark, tmp_path):
     spark.range(500).selectExpr("id AS s_suppkey", "'Supplier#1' AS s_name", "0 AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
     found = resolution.exact_and_window_candidates(spark, str(tmp_path))
     assert 0 < joined_rows(found) < 3_000 and found.where("tier = 1").count() == 600
+
+
+def test_quantile_query_keeps_odd_groups_and_reads_no_group_in_one_task(spark, tmp_path):
+    from terravane.operators import metrics
+    from terravane.plans import contributions
+
+    rows = [("a", float(i), i / 7) for i in range(400)] + [(None, 1.0, 2.0), (None, 2.0, 4.0), ("none", None, None)]
+    spark.createDataFrame(rows, "l_returnflag string, l_quantity double, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {r.g: (r.med, r.q25, r.q75) for r in contributions.median_and_linear_quantiles(spark, str(tmp_path)).collect()}
+    assert got == {"a": (199.5, round(99.75 / 7, 4), round(299.25 / 7, 4)), None: (1.5, 2.5, 3.5), "none": (None, None, None)}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = metrics._placed(spark.range(4000).selectExpr("'a' AS g", "id AS v"), ["g"], "v")
+        sizes = placed.groupBy(F_partition()).count().collect()
+        assert placed.where("_end = _v + 1 AND _n = 4000").count() == 4000 and max(r["count"] for r in sizes) < 3_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def F_partition():
+    from pyspark.sql import functions as F
+
+    return F.spark_partition_id().alias("task")
