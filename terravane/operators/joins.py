@@ -70,3 +70,16 @@ def parent_chain(nodes: DataFrame, node: str, parent: str, value: str, hops: int
 def override(base: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``changes`` replace rows of ``base`` with their keys; new keys are added."""
     return base.join(changes.select(*keys), keys, "left_anti").unionByName(changes)
+
+
+# Fixed value: about so many rows of an input meet in one task of ``dealt``.
+ROWS_OF_A_TASK = 250_000
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to as many partitions as ``rows``, its number of rows or a bound of it, ask for, so that what a task holds does not grow with the input.
+
+    Where the session's own number of shuffle partitions is enough ``df`` is returned as it is, and the planner deals it.
+    """
+    n = -(-rows // ROWS_OF_A_TASK)
+    return df.repartition(n, *keys) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df

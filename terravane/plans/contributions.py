@@ -22,12 +22,13 @@ def teams(spark: SparkSession, d: str) -> DataFrame:
 
 
 def splits(spark: SparkSession, d: str) -> DataFrame:
+    """A person's work and games for each team. Lines are summed per order before people meet, so no distinct orders are held; both steps hold a bounded number of rows a task."""
     lines = t(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
     orders = t(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("id"))
-    return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(teams(spark, d), F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy("id", "team", "conference").agg(F.sum("l_quantity").alias("workload"), F.count_distinct("l_orderkey").alias("games"))
-    )
+    n = lines.count()
+    played = joins.dealt(lines.join(teams(spark, d), F.col("l_suppkey") == F.col("s_suppkey")).select("l_orderkey", "team", "conference", "l_quantity"), n, "l_orderkey")
+    games = played.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("l_orderkey", "id", "team", "conference").agg(F.sum("l_quantity").alias("workload"))
+    return joins.dealt(games.drop("l_orderkey"), n, "id").groupBy("id", "team", "conference").agg(F.sum("workload").alias("workload"), F.count("*").alias("games"))
 
 
 def people(spark: SparkSession, d: str) -> DataFrame:

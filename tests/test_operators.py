@@ -368,3 +368,21 @@ def F_partition():
     from pyspark.sql import functions as F
 
     return F.spark_partition_id().alias("task")
+
+
+def test_splits_of_large_inputs_are_dealt_by_their_rows(spark, monkeypatch, tmp_path):
+    from terravane.operators import joins
+    from terravane.plans import contributions, ingestion
+
+    d = "/root/testdata/sf0.001"
+    plain = {tuple(r) for r in ingestion.untouched_records(spark, d).collect()}
+    monkeypatch.setattr(joins, "ROWS_OF_A_TASK", 500)
+    assert contributions.splits(spark, d).rdd.getNumPartitions() >= spark.read.parquet(f"{d}/lineitem.parquet").count() // 500
+    assert {tuple(r) for r in ingestion.untouched_records(spark, d).collect()} == plain
+    # an order that is listed twice is one game and counts its work twice
+    for name in ("nation", "region", "supplier", "lineitem"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{d}/{name}.parquet")
+    orders = spark.read.parquet(f"{d}/orders.parquet")
+    orders.unionByName(orders).write.parquet(str(tmp_path / "orders.parquet"))
+    once, twice = ({(r.id, r.team): (r.workload, r.games) for r in contributions.splits(spark, p).collect()} for p in (d, str(tmp_path)))
+    assert {k: (w / 2, n) for k, (w, n) in twice.items()} == once
