@@ -256,42 +256,57 @@ NOT_BOWLED = ("obstructing the field", "retired hurt", "retired out", "run out",
 FIELDED = {"caught": "catches", "caught and bowled": "catches", "stumped": "stumpings", "run out": "run_outs"}
 
 
+# What is read of a document's innings; whatever may be of another kind stays a VARIANT.
+INNINGS = "array<struct<super_over: variant, overs: array<struct<deliveries: array<struct<batter: string, bowler: string, runs: variant, extras: variant, wickets: array<struct<kind: string, fielders: array<variant>>>>>>>>>"
+
+
 def match_deliveries(matches: DataFrame) -> DataFrame:
-    """matches (match_id, doc: VARIANT of a match document) -> a row per delivery: match_id, innings, batter, bowler, batter_runs, total, wide, noball, byes, wickets.
+    """matches (match_id, doc: VARIANT of a match document), a row per match -> a row per delivery: match_id, innings, batters, batter, bowler, batter_runs, total, wide, noball, byes, wickets.
 
-    A document has ``innings`` of ``overs`` of ``deliveries``; absent lists are empty, super overs are left out, and missing counts are 0. wickets is array<struct<kind, fielders>>; a fielder is a
-    name, or an object with one; caught and bowled without a fielder is the bowler's catch.
+    A document has ``innings`` of ``overs`` of ``deliveries``; absent lists are empty, super overs are left out, and missing counts are 0. A list that is none, or an element of one that is no object,
+    fails the query. wickets is array<struct<kind, fielders>>; a fielder is a name, or an object with one; caught and bowled without a fielder is the bowler's catch. batters are the names who bat in the
+    innings, once each, and stand at one of its deliveries; at the others they are null.
     """
-    innings = matches.select("match_id", F.expr("posexplode(cast(variant_get(doc, '$.innings') as array<variant>))").alias("innings", "i")).where("NOT coalesce(try_variant_get(i, '$.super_over', 'boolean'), false)")
-    numbered = innings.select("match_id", "innings", F.expr("explode(cast(variant_get(i, '$.overs') as array<variant>))").alias("o"))
-    balls = numbered.select("match_id", "innings", F.expr("explode(cast(variant_get(o, '$.deliveries') as array<variant>))").alias("d"))
-    number = lambda path: F.expr(f"coalesce(try_variant_get(d, '$.{path}', 'bigint'), 0L)")
-    names = """filter(transform(cast(coalesce(variant_get(w, '$.fielders'), parse_json('[]')) as array<variant>), f -> coalesce(try_variant_get(f, '$.name', 'string'), try_variant_get(f, '$', 'string'))), n -> n is not null and not startswith(n, '{'))"""
-    kind = "lower(coalesce(try_variant_get(w, '$.kind', 'string'), ''))"
-    wickets = F.expr(f"""transform(cast(coalesce(variant_get(d, '$.wickets'), parse_json('[]')) as array<variant>), w -> named_struct('kind', {kind}, 'fielders',
-        if({kind} = 'caught and bowled' and size({names}) = 0, array(try_variant_get(d, '$.bowler', 'string')), {names})))""")
+    # one pass over a document: parts taken out of a VARIANT one by one are each written anew
+    innings = matches.select("match_id", F.expr(f"posexplode(variant_get(doc, '$.innings', '{INNINGS}'))").alias("innings", "i")).where("NOT coalesce(try_variant_get(i.super_over, '$', 'boolean'), false)")
+    told = innings.select("match_id", "innings", F.flatten(F.array_compact("i.overs.deliveries")).alias("d")).where("size(d) > 0")
+    balls = told.select("match_id", "innings", F.inline(F.arrays_zip("d", F.array(F.array_distinct("d.batter")))).alias("d", "batters")).select("match_id", "innings", "batters", "d.*")
+    balls = balls.withColumns({
+        "runs": F.expr("try_variant_get(runs, '$', 'struct<batter: bigint, total: bigint>')"),
+        "extras": F.expr("try_variant_get(extras, '$', 'struct<wides: variant, noballs: variant, byes: bigint, legbyes: bigint, penalty: bigint>')"),
+    })
+    number = lambda path: F.coalesce(path, F.lit(0).cast("long"))
+    names = "filter(transform(w.fielders, f -> coalesce(try_variant_get(f, '$.name', 'string'), try_variant_get(f, '$', 'string'))), n -> n is not null and not startswith(n, '{'))"
+    named = f"transform(wickets, w -> named_struct('kind', lower(coalesce(w.kind, '')), 'fielders', coalesce({names}, array())))"
+    wickets = F.expr(f"if(size(wickets) > 0, transform({named}, w -> if(w.kind = 'caught and bowled' and size(w.fielders) = 0, named_struct('kind', w.kind, 'fielders', array(bowler)), w)), array())")
     return balls.select(
-        "match_id", "innings", F.expr("try_variant_get(d, '$.batter', 'string')").alias("batter"), F.expr("try_variant_get(d, '$.bowler', 'string')").alias("bowler"),
-        number("runs.batter").alias("batter_runs"), number("runs.total").alias("total"), F.expr("variant_get(d, '$.extras.wides') is not null").alias("wide"), F.expr("variant_get(d, '$.extras.noballs') is not null").alias("noball"),
-        (number("extras.byes") + number("extras.legbyes") + number("extras.penalty")).alias("byes"), wickets.alias("wickets"),
+        "match_id", "innings", "batters", "batter", "bowler", number("runs.batter").alias("batter_runs"), number("runs.total").alias("total"), F.col("extras.wides").isNotNull().alias("wide"),
+        F.col("extras.noballs").isNotNull().alias("noball"), (number("extras.byes") + number("extras.legbyes") + number("extras.penalty")).alias("byes"), wickets.alias("wickets"),
     )
 
 
 def cricket_totals(balls: DataFrame) -> DataFrame:
-    """``match_deliveries`` -> id, runs, fours, sixes, faced, bowled, conceded, wickets, catches, stumpings, run_outs and batting_innings of each name, sums over all its roles."""
+    """``match_deliveries`` -> id, runs, fours, sixes, faced, bowled, conceded, wickets, catches, stumpings, run_outs and batting_innings of each name, sums over all its roles.
+
+    Deliveries are gone through once, and only sums per name are held; the innings a name batted in are counted where ``batters`` stand.
+    """
     n = lambda c: c.cast("long")
-    counted = ("runs", "fours", "sixes", "faced", "bowled", "conceded", "wickets", *sorted(set(FIELDED.values())))
+    counted = ("runs", "fours", "sixes", "faced", "bowled", "conceded", "wickets", *sorted(set(FIELDED.values())), "batting_innings")
 
     def row(who: Column, **values: Column) -> Column:
         return F.struct(who.alias("id"), *[values.get(c, F.lit(0).cast("long")).alias(c) for c in counted])
 
-    taken = F.size(F.filter("wickets", lambda w: ~w["kind"].isin(*NOT_BOWLED)))
-    at_bat = row(F.col("batter"), runs=F.col("batter_runs"), fours=n(F.col("batter_runs") == 4), sixes=n(F.col("batter_runs") == 6), faced=n(~F.col("wide")))
-    at_ball = row(F.col("bowler"), bowled=n(~F.col("wide") & ~F.col("noball")), conceded=F.col("total") - F.col("byes"), wickets=n(taken))
+    some = F.size("wickets") > 0
+    taken = F.when(some, F.size(F.filter("wickets", lambda w: ~w["kind"].isin(*NOT_BOWLED)))).otherwise(0)
     fielding = F.flatten(F.transform("wickets", lambda w: F.transform(w["fielders"], lambda name: row(name, **{c: n(w["kind"].isin(*[k for k, v in FIELDED.items() if v == c])) for c in set(FIELDED.values())}))))
-    rows = balls.select(F.inline(F.concat(F.array(at_bat, at_ball), fielding))).where("id IS NOT NULL")
-    batted = balls.where("batter IS NOT NULL").groupBy(F.col("batter").alias("id")).agg(F.count_distinct("match_id", "innings").alias("batting_innings"))
-    return rows.groupBy("id").agg(*[F.sum(c).alias(c) for c in counted]).join(batted, "id", "left").withColumn("batting_innings", F.coalesce("batting_innings", F.lit(0)))
+    batted = F.transform(F.coalesce("batters", F.array().cast("array<string>")), lambda name: row(name, batting_innings=F.lit(1).cast("long")))
+    # most deliveries have neither; lambdas are told apart from the rows of the batter and the bowler, which are compiled
+    told = balls.withColumns({"_taken": n(taken), "_others": F.when(some | F.col("batters").isNotNull(), F.concat(fielding, batted))})
+    at_bat = row(F.col("batter"), runs=F.col("batter_runs"), fours=n(F.col("batter_runs") == 4), sixes=n(F.col("batter_runs") == 6), faced=n(~F.col("wide")))
+    at_ball = row(F.col("bowler"), bowled=n(~F.col("wide") & ~F.col("noball")), conceded=F.col("total") - F.col("byes"), wickets=F.col("_taken"))
+    both = F.array(at_bat, at_ball)
+    rows = told.select(F.inline(F.when(F.col("_others").isNull(), both).otherwise(F.concat(both, "_others")))).where("id IS NOT NULL")
+    return rows.groupBy("id").agg(*[F.sum(c).alias(c) for c in counted])
 
 
 ROUND_FIELDS = {"Sig_str": "significant_strikes", "Total_str": "total_strikes", "Td": "takedowns"}

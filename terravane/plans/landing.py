@@ -110,8 +110,14 @@ def variant_event_props(spark: SparkSession, d: str) -> DataFrame:
     return v.select("event_id", k.alias("k"), (k > 50).alias("large"))
 
 
+LINES_OF_A_TASK = 50_000
+
+
 def match_documents(spark: SparkSession, d: str) -> DataFrame:
-    """An order is a match, its lines are deliveries in innings of odd and even lines; shapes vary: fielders are names or objects, absent extras and wickets have no key."""
+    """An order is a match, its lines are deliveries in innings of odd and even lines; shapes vary: fielders are names or objects, absent extras and wickets have no key.
+
+    Lines move once, before they are text, dealt by order into as many tasks as their number asks for; innings and documents are put together where they lie.
+    """
     q = F.col("l_quantity").cast("long")
     name = lambda mark, c: F.concat(F.lit(mark), c.cast("string"))
     fielder = name("b", F.col("l_suppkey") % 10)
@@ -120,10 +126,12 @@ def match_documents(spark: SparkSession, d: str) -> DataFrame:
     wicket = F.when(F.col("l_returnflag") == "R", F.concat(F.lit(', "wickets": [{"kind": "'), kind, F.lit('", "fielders": '), fielders, F.lit("}]"))).otherwise("")
     extra = F.when(F.col("l_discount") > 0.08, ', "extras": {"wides": 1}').when(F.col("l_discount") > 0.06, ', "extras": {"noballs": 1, "legbyes": 2}').otherwise("")
     ball = F.concat(F.lit('{"batter": "'), name("b", F.col("l_suppkey") % 10), F.lit('", "bowler": "'), name("p", F.col("l_partkey") % 10), F.lit('", "runs": {"batter": '), (q % 7).cast("string"), F.lit(', "total": '), (q % 7 + 2).cast("string"), F.lit("}"), extra, wicket, F.lit("}"))
-    innings = t(spark, d, "lineitem").select("l_orderkey", (F.col("l_linenumber") % 3).alias("i"), F.struct("l_linenumber", "l_partkey", "l_suppkey", ball.alias("ball")).alias("b"))
-    overs = innings.groupBy("l_orderkey", "i").agg(F.array_join(F.transform(F.array_sort(F.collect_list("b")), lambda b: b["ball"]), ", ").alias("balls"))
+    lines = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag")
+    lines = lines.repartition(lines.count() // LINES_OF_A_TASK + 1, "l_orderkey")
+    innings = lines.select("l_orderkey", (F.col("l_linenumber") % 3).alias("i"), F.struct("l_linenumber", "l_partkey", "l_suppkey", ball.alias("ball")).alias("b"))
+    overs = innings.groupBy("l_orderkey", "i").agg(F.array_join(F.sort_array(F.collect_list("b"))["ball"], ", ").alias("balls"))
     text = F.concat(F.lit('{"team": "t'), F.col("i").cast("string"), F.lit('", "overs": [{"over": 0, "deliveries": ['), "balls", F.lit("]}, {}]"), F.when(F.col("i") == 2, ', "super_over": true').otherwise(""), F.lit("}"))
-    docs = overs.groupBy("l_orderkey").agg(F.concat(F.lit('{"info": {}, "innings": ['), F.array_join(F.array_sort(F.collect_list(text)), ", "), F.lit("]}")).alias("doc"))
+    docs = overs.groupBy("l_orderkey").agg(F.concat(F.lit('{"info": {}, "innings": ['), F.array_join(F.sort_array(F.collect_list(text)), ", "), F.lit("]}")).alias("doc"))
     return docs.select(F.col("l_orderkey").alias("match_id"), F.parse_json("doc").alias("doc"))
 
 

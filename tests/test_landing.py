@@ -234,6 +234,37 @@ def test_match_documents_of_mixed_shapes(spark):
     assert (got["f"].catches, got["f"].run_outs, got["g"].catches, got["g"].batting_innings) == (1, 1, 1, 0)
 
 
+def test_innings_are_counted_where_deliveries_are_read(spark):
+    ball = lambda batter, **x: {"batter": batter, "bowler": "p", "runs": {"batter": 1, "total": 1}, **x}
+    over = lambda *balls: {"overs": [{"deliveries": list(balls)}, {"deliveries": None}, {}]}
+    first = {"innings": [over(ball("a"), ball("b"), ball("a"), {"bowler": "p"}), over(ball("b", extras=[])), {"overs": [{"deliveries": []}]}, None]}
+    second = {"innings": [over(ball("a", wickets=None), ball("c", wickets=[{"kind": "caught", "fielders": None}, {"kind": "caught and bowled", "fielders": None}]))]}
+    rows = spark.createDataFrame([(1, json.dumps(first)), (2, json.dumps(second)), (3, None)], "match_id int, d string").select("match_id", F.parse_json("d").alias("doc"))
+    balls = metrics.match_deliveries(rows)
+    assert sorted((r.match_id, r.innings, sorted(filter(None, r.batters))) for r in balls.where("batters IS NOT NULL").collect()) == [(1, 0, ["a", "b"]), (1, 1, ["b"]), (2, 0, ["a", "c"])]
+    got = {r.id: r for r in metrics.cricket_totals(balls).collect()}
+    assert {k: (r.runs, r.faced, r.batting_innings) for k, r in got.items()} == {"a": (3, 3, 2), "b": (2, 2, 2), "c": (1, 1, 1), "p": (0, 0, 0)}
+    assert (got["p"].bowled, got["p"].conceded, got["p"].wickets, got["p"].catches) == (7, 6, 2, 1)
+    for torn in ('{"innings": {"overs": []}}', '{"innings": [{"overs": 1}]}', '{"innings": [{"overs": [{"deliveries": "x"}]}]}', '{"innings": [{"overs": [{"deliveries": [{"wickets": {}}]}]}]}'):
+        bad = spark.createDataFrame([(1, torn)], "match_id int, d string").select("match_id", F.parse_json("d").alias("doc"))
+        with pytest.raises(Exception, match="INVALID_VARIANT_CAST"):
+            metrics.cricket_totals(metrics.match_deliveries(bad)).collect()
+
+
+def test_match_documents_are_made_once(spark, tmp_path, monkeypatch):
+    """Lines are read once and move once, into as many tasks as their number asks for."""
+    from terravane.plans import landing as plans
+
+    monkeypatch.setattr(plans, "LINES_OF_A_TASK", 100)
+    lines = [(k // 5, k % 7 + 1, k % 11, k % 13, float(k % 50), (k % 11) / 100, "R" if k % 3 == 0 else "N") for k in range(500)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_discount double, l_returnflag string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    frame = plans.match_document_totals(spark, str(tmp_path))
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange ") == 2 and plan.count("REPARTITION_BY_NUM") == 1
+    assert plans.match_documents(spark, str(tmp_path)).rdd.getNumPartitions() == 6
+    assert sum(r.batting_innings for r in frame.collect()) == len({(k, n % 3, s % 10) for k, n, _, s, *_ in lines if n % 3 < 2})
+
+
 def test_fighters_of_both_genders_fail(spark):
     fights = spark.createDataFrame([(1, "a", "b", "W", "L", "Men", "x", "KO", True, dt.date(2025, 1, 1)), (2, "a", "c", "W", "L", "Women", "x", "KO", True, dt.date(2025, 1, 2))], "fight_id int, first_id string, second_id string, first_result string, second_result string, gender string, division string, method string, title boolean, on date")
     none = metrics.fight_rounds(spark.createDataFrame([], "fight_id int"))
