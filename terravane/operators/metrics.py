@@ -269,8 +269,8 @@ def match_deliveries(matches: DataFrame) -> DataFrame:
     """
     # one pass over a document: parts taken out of a VARIANT one by one are each written anew
     innings = matches.select("match_id", F.expr(f"posexplode(variant_get(doc, '$.innings', '{INNINGS}'))").alias("innings", "i")).where("NOT coalesce(try_variant_get(i.super_over, '$', 'boolean'), false)")
-    told = innings.select("match_id", "innings", F.flatten(F.array_compact("i.overs.deliveries")).alias("d")).where("size(d) > 0")
-    balls = told.select("match_id", "innings", F.inline(F.arrays_zip("d", F.array(F.array_distinct("d.batter")))).alias("d", "batters")).select("match_id", "innings", "batters", "d.*")
+    told = innings.select("match_id", "innings", F.flatten(F.array_compact("i.overs.deliveries")).alias("d"))
+    balls = told.select("match_id", "innings", F.inline(F.when(F.size("d") > 0, F.arrays_zip("d", F.array(F.array_distinct("d.batter"))))).alias("d", "batters")).select("match_id", "innings", "batters", "d.*")
     balls = balls.withColumns({
         "runs": F.expr("try_variant_get(runs, '$', 'struct<batter: bigint, total: bigint>')"),
         "extras": F.expr("try_variant_get(extras, '$', 'struct<wides: variant, noballs: variant, byes: bigint, legbyes: bigint, penalty: bigint>')"),
@@ -299,10 +299,13 @@ def cricket_totals(balls: DataFrame) -> DataFrame:
     some = F.size("wickets") > 0
     taken = F.when(some, F.size(F.filter("wickets", lambda w: ~w["kind"].isin(*NOT_BOWLED)))).otherwise(0)
     fielding = F.flatten(F.transform("wickets", lambda w: F.transform(w["fielders"], lambda name: row(name, **{c: n(w["kind"].isin(*[k for k, v in FIELDED.items() if v == c])) for c in set(FIELDED.values())}))))
-    batted = F.transform(F.coalesce("batters", F.array().cast("array<string>")), lambda name: row(name, batting_innings=F.lit(1).cast("long")))
+    # the first of the batters is as a rule the delivery's own
+    own = F.coalesce(F.get("batters", F.lit(0)) == F.col("batter"), F.lit(False))
+    rest = F.coalesce(F.when(own, F.slice("batters", 2, F.size("batters"))).otherwise(F.col("batters")), F.array().cast("array<string>"))
+    batted = F.transform("_rest", lambda name: row(name, batting_innings=F.lit(1).cast("long")))
     # most deliveries have neither; lambdas are told apart from the rows of the batter and the bowler, which are compiled
-    told = balls.withColumns({"_taken": n(taken), "_others": F.when(some | F.col("batters").isNotNull(), F.concat(fielding, batted))})
-    at_bat = row(F.col("batter"), runs=F.col("batter_runs"), fours=n(F.col("batter_runs") == 4), sixes=n(F.col("batter_runs") == 6), faced=n(~F.col("wide")))
+    told = balls.withColumns({"_taken": n(taken), "_own": n(own), "_rest": rest}).withColumn("_others", F.when(some | (F.size("_rest") > 0), F.concat(fielding, batted)))
+    at_bat = row(F.col("batter"), runs=F.col("batter_runs"), fours=n(F.col("batter_runs") == 4), sixes=n(F.col("batter_runs") == 6), faced=n(~F.col("wide")), batting_innings=F.col("_own"))
     at_ball = row(F.col("bowler"), bowled=n(~F.col("wide") & ~F.col("noball")), conceded=F.col("total") - F.col("byes"), wickets=F.col("_taken"))
     both = F.array(at_bat, at_ball)
     rows = told.select(F.inline(F.when(F.col("_others").isNull(), both).otherwise(F.concat(both, "_others")))).where("id IS NOT NULL")
